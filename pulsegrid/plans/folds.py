@@ -1,0 +1,191 @@
+"""Ordered folds per key: state that depends on everything seen before.
+
+Used where window functions cannot say it (debounce, state machines, line
+buffers). Rows are shuffled by key, sorted, and streamed through a small Python
+step in Arrow batches, so a task holds one batch and one state at a time.
+
+A key too large for one task is cut into segments (see ``ordered``). The effect
+of a segment on *any* incoming state is condensed into a small digest; digests
+are chained per key to get each segment's true incoming state, and the segments
+then run in parallel.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .ordered import SEG, Split, _attach, measure, segmented
+
+
+class Fold:
+    """What one operator must say. States must survive JSON."""
+
+    inputs: tuple[str, ...] = ()
+    extra: tuple[T.StructField, ...] = ()
+
+    def initial(self) -> Any:
+        raise NotImplementedError
+
+    def walk(self, cols: list[list], lo: int, hi: int, state: Any, rows: list[int],
+             extra: list[list]) -> Any:
+        """Run rows lo..hi; append kept row indexes and their extra values; return the state."""
+        raise NotImplementedError
+
+    def blank(self) -> Any:
+        """An empty digest."""
+        raise NotImplementedError
+
+    def feed(self, cols: list[list], lo: int, hi: int, digest: Any) -> Any:
+        raise NotImplementedError
+
+    def seal(self, digest: Any) -> Any:
+        """A digest as JSON-ready data."""
+        raise NotImplementedError
+
+    def step(self, state: Any, sealed: Any) -> Any:
+        """The state after a segment, given the state before it."""
+        raise NotImplementedError
+
+
+def _runs(batch: pa.RecordBatch, keys: list[str], last: tuple | None):
+    """(lo, hi, starts a new group) for each run of equal keys, and the last key."""
+    n = batch.num_rows
+    change = None
+    for k in keys:
+        col = batch.column(k)
+        a, b = col.slice(0, n - 1), col.slice(1)
+        same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        differ = pc.invert(same)
+        change = differ if change is None else pc.or_(change, differ)
+    cuts = [0] + ([] if change is None or n < 2 else
+                  [int(i) + 1 for i in change.to_numpy(zero_copy_only=False).nonzero()[0]]) + [n]
+    first = tuple(batch.column(k)[0].as_py() for k in keys)
+    spans = [(lo, hi, i > 0 or last is None or first != last)
+             for i, (lo, hi) in enumerate(zip(cuts, cuts[1:]))]
+    return spans, tuple(batch.column(k)[n - 1].as_py() for k in keys)
+
+
+def _walker(fold: Fold, group: list[str], passed: list[str], schema: pa.Schema,
+            has_state: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            spans, last = _runs(batch, group, last)
+            cols = [batch.column(c).to_pylist() for c in fold.inputs]
+            rows: list[int] = []
+            extra: list[list] = [[] for _ in fold.extra]
+            for lo, hi, new in spans:
+                if new:
+                    given = batch.column("_state")[lo].as_py() if has_state else None
+                    state = fold.initial() if given is None else json.loads(given)
+                state = fold.walk(cols, lo, hi, state, rows, extra)
+            taken = batch.take(pa.array(rows, pa.int64()))
+            arrays = [taken.column(c) for c in passed]
+            arrays += [pa.array(v, schema.field(f.name).type) for v, f in zip(extra, fold.extra)]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return run
+
+
+def _digester(fold: Fold, group: list[str], schema: pa.Schema) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, digest = None, None
+
+        def out(key):
+            row = [pa.array([v], schema.field(i).type) for i, v in enumerate(key)]
+            row.append(pa.array([json.dumps(fold.seal(digest))], pa.string()))
+            return pa.RecordBatch.from_arrays(row, names=schema.names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before = last
+            spans, last = _runs(batch, group, last)
+            cols = [batch.column(c).to_pylist() for c in fold.inputs]
+            for lo, hi, new in spans:
+                if new:
+                    if before is not None:
+                        yield out(before)
+                    digest = fold.blank()
+                before = tuple(batch.column(k)[lo].as_py() for k in group)
+                digest = fold.feed(cols, lo, hi, digest)
+        if last is not None:
+            yield out(last)
+
+    return run
+
+
+def _chainer(fold: Fold, keys: list[str], schema: pa.Schema) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            spans, last = _runs(batch, keys, last)
+            sealed = batch.column("_digest").to_pylist()
+            states = []
+            for lo, hi, new in spans:
+                if new:
+                    state = fold.initial()
+                for i in range(lo, hi):
+                    states.append(json.dumps(state))
+                    state = fold.step(state, json.loads(sealed[i]))
+            arrays = [batch.column(k) for k in keys] + [batch.column(SEG)]
+            yield pa.RecordBatch.from_arrays(arrays + [pa.array(states, pa.string())],
+                                             names=schema.names)
+
+    return run
+
+
+def _arrow(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(schema)
+
+
+def run_fold(df: DataFrame, keys, order, fold: Fold, passed: list[str],
+             split: Split | None = None, max_rows: int | None = None) -> DataFrame:
+    """Rows kept by the fold: the ``passed`` columns plus ``fold.extra``."""
+    if split is None:
+        split = measure(df, keys, order, max_rows)
+    keys, order = list(split.keys), list(split.order)
+    need = list(dict.fromkeys(keys + order + list(fold.inputs) + passed))
+    df = df.select(*need)
+    out_schema = T.StructType([df.schema[c] for c in passed] + list(fold.extra))
+
+    def arranged(d: DataFrame, by: list[str], along: list[str]) -> DataFrame:
+        spread = d.repartition(*by) if by else d.repartition(1)
+        return spread.sortWithinPartitions(*by, *along)
+
+    if split.cuts is None:
+        rows = arranged(df, keys, order)
+        return rows.mapInArrow(_walker(fold, keys, passed, _arrow(out_schema), False), out_schema)
+
+    cut = segmented(df, split)
+    group = keys + [SEG]
+    digest_schema = T.StructType([cut.schema[c] for c in group] + [T.StructField("_digest", T.StringType())])
+    digests = arranged(cut.filter(F.col(SEG).isNotNull()), group, order).mapInArrow(
+        _digester(fold, group, _arrow(digest_schema)), digest_schema
+    )
+    state_schema = T.StructType([cut.schema[c] for c in group] + [T.StructField("_state", T.StringType())])
+    # one digest per segment, at most a few thousand for a key
+    states = arranged(digests, keys, [SEG]).mapInArrow(
+        _chainer(fold, keys, _arrow(state_schema)), state_schema
+    )
+    side = states.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(SEG).alias("_kseg"), "_state"
+    )
+    given = _attach(cut, side, keys, "_k", "left", cut[SEG] == side["_kseg"]).drop("_kseg")
+    return arranged(given, group, order).mapInArrow(
+        _walker(fold, group, passed, _arrow(out_schema), True), out_schema
+    )
