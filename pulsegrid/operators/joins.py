@@ -23,19 +23,17 @@ def positional_join(a: DataFrame, b: DataFrame, order_a, order_b, key=None,
         raise ValueError(f"rename {sorted(clash)} on one side first")
     left = od.scan(a, keys, order_a, k=od.row_number(), max_rows=max_rows)
     right = od.scan(b, keys, order_b, k=od.row_number(), max_rows=max_rows)
+    right = right.select(
+        *[F.col(c).alias(f"_r_{c}") for c in keys], F.col("k").alias("_rk"),
+        *[c for c in b.columns if c not in keys],
+    )
+    cond = F.col("k") == F.col("_rk")
     for c in keys:
-        # null keys pair up too
-        left = left.withColumn(f"_has_{c}", F.col(c).isNotNull())
-        right = right.withColumn(f"_has_{c}", F.col(c).isNotNull())
-    cond = left["k"] == right["k"]
-    for c in keys:
-        cond = cond & left[c].eqNullSafe(right[c])
-    joined = left.join(right, cond, how)
-    return joined.select(
-        *[F.coalesce(left[c], right[c]).alias(c) for c in keys],
-        F.coalesce(left["k"], right["k"]).alias("k"),
-        *[left[c] for c in a.columns if c not in keys],
-        *[right[c] for c in b.columns if c not in keys],
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(right, cond, how).select(
+        *[F.coalesce(c, f"_r_{c}").alias(c) for c in keys],
+        F.coalesce("k", "_rk").alias("k"),
+        *[c for c in [*a.columns, *b.columns] if c not in keys],
     )
 
 

@@ -35,7 +35,12 @@ def idle_gaps(df: DataFrame, server, start: str, end: str, day_start: int = 0, t
 
 def _whole_minutes(total: Column, n: Column) -> Column:
     """Mean as whole ticks, then whole minutes of 100 ticks; null for n = 0."""
-    return F.floor(F.floor(F.try_divide(total, n)) / 100).cast("long")
+    return _div(_div(total, F.nullif(n, F.lit(0))), F.lit(100))
+
+
+def _div(a: Column, b: Column) -> Column:
+    """Whole-number division, exact for every long."""
+    return F.call_function("div", a, b)
 
 
 def server_report(services: DataFrame, breaks: DataFrame, server: str, start: str = "start",
@@ -67,7 +72,7 @@ def server_report(services: DataFrame, breaks: DataFrame, server: str, start: st
     servers = F.lit(n_servers) if n_servers is not None else both.agg(F.count(F.lit(1)).alias("c")).scalar()
 
     def minutes(c: str) -> Column:
-        return F.floor(F.col(c) / 100).cast("long")
+        return _div(F.col(c), F.lit(100))
 
     none = F.lit("No breaks taken")
     avg_break = _whole_minutes(F.col("_break"), F.col("breaks"))
@@ -99,7 +104,7 @@ def queue_report(matched: DataFrame, depth: DataFrame, queue: str) -> DataFrame:
         queue,
         F.coalesce("served", F.lit(0)).alias("served"),
         _whole_minutes(F.col("_total"), F.col("served")).alias("avg_wait"),
-        F.floor(F.col("_longest") / 100).cast("long").alias("max_wait"),
+        _div(F.col("_longest"), F.lit(100)).alias("max_wait"),
         "max_depth",
     )
 
