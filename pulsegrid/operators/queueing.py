@@ -69,7 +69,11 @@ def server_report(services: DataFrame, breaks: DataFrame, server: str, start: st
         0, ["served", "_service", "_longest_service", "_idle", "_longest_idle", "breaks", "_break",
             "_longest_break"]
     )
-    servers = F.lit(n_servers) if n_servers is not None else both.agg(F.count(F.lit(1)).alias("c")).scalar()
+    if n_servers is None:
+        known = services.select(server).unionByName(breaks.select(server)).distinct()
+        servers = known.agg(F.count(F.lit(1)).alias("c")).scalar()
+    else:
+        servers = F.lit(n_servers)
 
     def minutes(c: str) -> Column:
         return _div(F.col(c), F.lit(100))

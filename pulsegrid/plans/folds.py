@@ -174,7 +174,7 @@ def run_fold(df: DataFrame, keys, order, fold: Fold, passed: list[str],
     cut = segmented(df, split)
     group = keys + [SEG]
     digest_schema = T.StructType([cut.schema[c] for c in group] + [T.StructField("_digest", T.StringType())])
-    digests = arranged(cut.filter(F.col(SEG).isNotNull()), group, order).mapInArrow(
+    digests = arranged(segmented(df, split, "inner"), group, order).mapInArrow(
         _digester(fold, group, _arrow(digest_schema)), digest_schema
     )
     state_schema = T.StructType([cut.schema[c] for c in group] + [T.StructField("_state", T.StringType())])

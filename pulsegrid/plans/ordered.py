@@ -31,7 +31,6 @@ MAX_HOT_KEYS = 2048
 #: at most about this many segments in all, so summaries stay small
 MAX_SEGMENTS = 4096
 _SAMPLE_PER_SEGMENT = 24
-_BLOCK = 64
 
 SEG = "_seg"
 
@@ -44,11 +43,12 @@ def names(cols: str | Sequence[str] | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Split:
-    """Where large keys are cut. ``cuts`` is None when no key needs it."""
+    """Where large keys are cut, and the most cuts of a key. ``cuts`` is None when no key needs it."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cuts: DataFrame | None = None
+    most: int = 0
 
 
 def whole(keys, order) -> Split:
@@ -89,8 +89,7 @@ def measure(df: DataFrame, keys, order, max_rows: int | None = None) -> Split:
 
     sampled = _attach(df.select(*dict.fromkeys(keys + order)), hot_df, keys, "_h", "inner")
     picked = sampled.filter(F.pmod(F.xxhash64(*order), F.col("_every")) == 0)
-    value = F.struct(*[F.col(c) for c in order])
-    sorted_sample = F.array_sort(F.collect_list(value))
+    sorted_sample = F.array_sort(F.collect_list(_value(order)))
     cuts = (
         picked.groupBy(*keys, "_parts")
         .agg(sorted_sample.alias("_s"))
@@ -104,7 +103,8 @@ def measure(df: DataFrame, keys, order, max_rows: int | None = None) -> Split:
         .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_cuts")
     )
     found = cuts.collect()
-    return Split(tuple(keys), tuple(order), spark.createDataFrame(found, cuts.schema))
+    most = max((len(r["_cuts"]) for r in found), default=0)
+    return Split(tuple(keys), tuple(order), spark.createDataFrame(found, cuts.schema), most)
 
 
 def _attach(df: DataFrame, side: DataFrame, keys: Sequence[str], prefix: str, how: str,
@@ -121,28 +121,27 @@ def _attach(df: DataFrame, side: DataFrame, keys: Sequence[str], prefix: str, ho
     return joined.drop(*[f"{prefix}{i}" for i in range(len(keys))])
 
 
-def segmented(df: DataFrame, split: Split) -> DataFrame:
-    """``df`` with ``_seg``: the segment of a row of a cut key, null for other keys."""
+def _value(order: Sequence[str]) -> Column:
+    """What rows are compared by: the order column, or all of them together."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+
+
+def segmented(df: DataFrame, split: Split, how: str = "left") -> DataFrame:
+    """``df`` with ``_seg``: the segment of a row of a cut key, null for other keys.
+
+    ``how='inner'`` leaves only the rows of cut keys.
+    """
     if split.cuts is None:
         return df.withColumn(SEG, F.lit(None).cast("int"))
-    out = _attach(df, split.cuts, split.keys, "_h", "left")
-    value = F.struct(*[F.col(c) for c in split.order])
-    # two-level lookup: whole blocks of cuts below the row, then inside one block
-    blocks = F.expr(
-        f"transform(sequence(1, greatest(1, size(_cuts) div {_BLOCK})), j -> j * {_BLOCK})"
-    )
-    out = out.withColumn("_v", value)
-    full = F.size(
-        F.filter(
-            blocks,
-            lambda j: (j <= F.size("_cuts")) & (F.get(F.col("_cuts"), j - 1) < F.col("_v")),
-        )
-    )
-    inside = F.size(
-        F.filter(F.slice(F.col("_cuts"), full * _BLOCK + 1, _BLOCK), lambda c: c < F.col("_v"))
-    )
-    seg = F.when(F.col("_cuts").isNotNull(), full * _BLOCK + inside)
-    return out.withColumn(SEG, seg.cast("int")).drop("_cuts", "_v")
+    out = _attach(df, split.cuts, split.keys, "_h", how).withColumn("_v", _value(split.order))
+    # binary search, one projection per step: how many cuts lie below the row
+    at = F.lit(0)
+    for i in reversed(range(max(1, split.most).bit_length())):
+        step = F.when(F.get("_cuts", at + F.lit((1 << i) - 1)) < F.col("_v"), 1 << i).otherwise(0)
+        out = out.withColumn(f"_at{i}", at + step)
+        at = F.col(f"_at{i}")
+    seg = F.when(F.col("_cuts").isNotNull(), at)
+    return out.withColumn(SEG, seg).select(*df.columns, SEG)
 
 
 # --------------------------------------------------------------------------- specs
@@ -283,7 +282,7 @@ def scan(df: DataFrame, keys, order, split: Split | None = None,
 
     position = F.struct(*by)
     parts = (
-        cut.filter(F.col(SEG).isNotNull())
+        segmented(df, split, "inner")
         .groupBy(*keys, SEG)
         .agg(*[s.summary(position).alias(f"_s_{n}") for n, s in specs.items()])
     )

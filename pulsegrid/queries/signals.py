@@ -76,7 +76,11 @@ def threshold_binary_cut(t):
 
 # Event values as a 14-bit reading that saturates at both ends.
 ADC_SQL = "CASE WHEN cents >= 500 THEN 16383 WHEN cents < 200 THEN 0 ELSE cents END"
-ADC = F.when(F.col("cents") >= 500, 16383).when(F.col("cents") < 200, 0).otherwise(F.col("cents"))
+
+
+def readings(t):
+    c = F.col("cents")
+    return t.ev.withColumn("adc", F.when(c >= 500, 16383).when(c < 200, 0).otherwise(c))
 
 
 @query("f4_saturating_peaks", f"""
@@ -86,7 +90,7 @@ SELECT event_id, coalesce(adc = 16383 AND adc > prev, false) AS is_peak,
   coalesce(adc = 0 AND prev <> 0, false) AS is_fall FROM p
 """)
 def saturating_peaks(t):
-    out = sg.saturating_peaks(t.ev.withColumn("adc", ADC), "user_id", ["us", "event_id"], "adc", 16383)
+    out = sg.saturating_peaks(readings(t), "user_id", ["us", "event_id"], "adc", 16383)
     return out.select("event_id", "is_peak", "is_fall")
 
 
@@ -103,8 +107,7 @@ FROM p GROUP BY event_type, place // 500
 
 
 def rate(t, **opts):
-    df = t.ev.withColumn("adc", ADC)
-    out = sg.rate_per_minute(df, "event_type", ["us", "event_id"], "tick", "adc", 16383, **opts)
+    out = sg.rate_per_minute(readings(t), "event_type", ["us", "event_id"], "tick", "adc", 16383, **opts)
     return out.withColumn("per_minute", F.round("per_minute", 9))
 
 
@@ -122,7 +125,7 @@ CROSSINGS = f"""
 WITH {EV}, p AS (SELECT event_id, user_id, (tick - 1704067200000)::DOUBLE AS x, (cents - 500)::DOUBLE AS f,
   lag((tick - 1704067200000)::DOUBLE) OVER w AS px, lag((cents - 500)::DOUBLE) OVER w AS pf
   FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id))
-SELECT event_id, user_id, round(x - f * (x - px) / (f - pf), 2) AS x_cross,
+SELECT event_id, user_id, x - f * (x - px) / (f - pf) AS x_cross,
   CASE WHEN f > 0 THEN 'up' ELSE 'down' END AS direction FROM p WHERE f * pf < 0
 """
 
@@ -131,7 +134,7 @@ def crossings(t, **opts):
     df = t.ev.withColumn("x", (F.col("tick") - 1704067200000).cast("double")).withColumn(
         "y", F.col("cents").cast("double"))
     out = sg.level_crossings(df, "user_id", ["us", "event_id"], "x", "y", 500.0, **opts)
-    return out.select("event_id", "user_id", F.round("x_cross", 2).alias("x_cross"), "direction")
+    return out.select("event_id", "user_id", "x_cross", "direction")
 
 
 @query("w8_level_crossings", CROSSINGS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalars import code_label
 from ..operators import states as st
 from ..session import workspace
 from ..streaming import stateful as ss
@@ -73,14 +74,12 @@ FRAME_SUMS = """
 SELECT user_id, frame_id, close, n_samples, CAST(sum(value * (idx + 1)) AS BIGINT) AS weighted
 FROM rows GROUP BY user_id, frame_id, close, n_samples
 """
-MARK = (F.when(F.col("event_type") == "click", -1).when(F.col("event_type") == "error", -2)
-        .when(F.col("event_type") == "signup", -3).when(F.col("event_type") == "purchase", -4)
-        .otherwise(F.col("cents")))
 LEAST = {-2: 2, -4: 0}
 
 
 def marked(df):
-    return df.select("user_id", "event_id", MARK.cast("long").alias("value"))
+    mark = code_label("event_type", {"click": "-1", "error": "-2", "signup": "-3", "purchase": "-4"}, None)
+    return df.select("user_id", "event_id", F.coalesce(mark.cast("long"), "cents").alias("value"))
 
 
 def weigh(arrays):
@@ -163,9 +162,6 @@ def assemble_lines_stream(t):
 
 EVENTS = {"click": "continued", "view": "servo_at_position", "signup": "recipe_restarted",
           "purchase": "paused", "error": "error_detected"}
-EVENT = F
-for _k, _v in EVENTS.items():
-    EVENT = EVENT.when(F.col("event_type") == _k, _v)
 
 MACHINE = f"""
 WITH RECURSIVE {EV}, e AS (SELECT user_id, event_id,
@@ -181,7 +177,7 @@ SELECT user_id, event_id, event, "from", "to" FROM r
 
 
 def commands(df):
-    return df.select("user_id", "event_id", EVENT.alias("event"))
+    return df.select("user_id", "event_id", code_label("event_type", EVENTS, None).alias("event"))
 
 
 @query("t6_state_machine", MACHINE)
