@@ -71,12 +71,16 @@ def number_text(x) -> Column:
     """A number with six significant digits, the shortest way: 1.5, -395.213, 1e+06, 3.4e-07."""
     x = col(x).cast("double")
     sci = F.format_string("%.5e", x)
-    power = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
-    mantissa = F.regexp_replace(F.regexp_extract(sci, r"^(-?\d\.\d+)", 1), r"\.?0+$", "")
-    small = F.concat(mantissa, F.regexp_extract(sci, r"(e[+-]\d+)$", 1))
-    plain = F.regexp_replace(sci.cast("decimal(24,12)").cast("string"), r"\.?0+$", "")
+    size = F.abs(x)
+    # six digits read back as a double print without padding in this range
+    usual = F.regexp_replace(sci.cast("double").cast("string"), r"\.0$", "")
+    small = F.regexp_replace(sci.cast("decimal(24,12)").cast("string"), r"\.?0+$", "")
+    far = F.regexp_replace(sci, r"\.?0*e", "e")
     return (
-        F.when(x == 0, F.lit("0")).when((power < -4) | (power > 5), small).otherwise(plain)
+        F.when(x == 0, F.lit("0"))
+        .when((size >= 0.001) & (size < 999999.5), usual)
+        .when((size >= 0.000099999950) & (size < 0.001), small)
+        .otherwise(far)
     )
 
 

@@ -101,25 +101,22 @@ WITH {WORDS}, {BENCH_WORDS}
 SELECT word, word IN (SELECT word FROM words) AS found FROM asked
 """)
 def word_hits(t):
-    corpus = tx.words_of(t.documents, "doc_id", "text")
-    asked = tx.words_of(t.benchmark, "item_id", "text")
-    return search.word_hits(corpus, asked)
+    return search.word_hits(tx.words_of(t.documents, "doc_id", "text"),
+                            tx.words_of(t.benchmark, "item_id", "text"))
 
 
 @query("j3_occurring", f"""
 WITH {WORDS}, {BENCH_WORDS} SELECT word FROM asked WHERE word IN (SELECT word FROM words)
 """)
 def occurring(t):
-    return search.occurring(tx.words_of(t.documents, "doc_id", "text"),
-                            tx.words_of(t.benchmark, "item_id", "text"))
+    return search.occurring(tx.words_of(t.documents, "doc_id", "text"), tx.words_of(t.benchmark, "item_id", "text"))
 
 
 @query("j3_missing", f"""
 WITH {WORDS}, {BENCH_WORDS} SELECT word FROM asked WHERE word NOT IN (SELECT word FROM words)
 """)
 def missing(t):
-    return search.missing(tx.words_of(t.documents, "doc_id", "text"),
-                          tx.words_of(t.benchmark, "item_id", "text"))
+    return search.missing(tx.words_of(t.documents, "doc_id", "text"), tx.words_of(t.benchmark, "item_id", "text"))
 
 
 # ----------------------------------------------------------------------------- matrices

@@ -39,7 +39,9 @@ def fields(text) -> Column:
 
 
 def number(text: Column) -> Column:
-    return text.try_cast("double")
+    """A text as a double, or null. A Java type suffix such as ``1.5d`` is no number."""
+    suffixed = F.right(text, F.lit(1)).isin("d", "D", "f", "F") & ~F.lower(text).endswith("inf")
+    return F.when(~suffixed, text.try_cast("double"))
 
 
 # ----------------------------------------------------------------------------- points
@@ -47,17 +49,17 @@ def number(text: Column) -> Column:
 
 def parse_points(lines: DataFrame, line: str = "line") -> DataFrame:
     """``x`` and ``y`` of a two-column line; ``rejected`` where they are not two numbers."""
-    cells = F.col("_f")
-    x, y = number(F.get(cells, F.lit(0))), number(F.get(cells, F.lit(1)))
-    ok = (F.size(cells) == 2) & x.isNotNull() & y.isNotNull()
+    # plain string steps instead of patterns: this runs once per line of input
+    blank = F.btrim(F.translate(col(line), "\t\n\x0b\f\r", "     "))
+    first = F.substring_index(F.col("_t"), " ", 1)
+    x = number(first)
+    y = number(F.ltrim(F.substr(F.col("_t"), F.length(first) + 1)))
+    ok = F.col("_x").isNotNull() & F.col("_y").isNotNull()
     return (
-        lines.withColumn("_f", fields(line))
-        .withColumns({
-            "x": F.when(ok, x),
-            "y": F.when(ok, y),
-            "rejected": ~ok,
-        })
-        .drop("_f")
+        lines.withColumn("_t", blank)
+        .withColumns({"_x": x, "_y": y})
+        .withColumns({"x": F.when(ok, F.col("_x")), "y": F.when(ok, F.col("_y")), "rejected": ~ok})
+        .drop("_t", "_x", "_y")
     )
 
 
@@ -73,9 +75,9 @@ def read_points(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
 
 def tokenize(df: DataFrame, doc: str, text: str, max_len: int = 256) -> DataFrame:
     """(doc, pos, word, rejected): one row per token; tokens of ``max_len`` or more are rejected whole."""
-    return df.select(doc, F.posexplode(fields(text)).alias("pos", "word")).withColumn(
-        "rejected", F.length("word") >= max_len
-    )
+    # the outer form keeps Spark from splitting every text twice, once to test for words
+    tokens = df.select(doc, F.posexplode_outer(fields(text)).alias("pos", "word"))
+    return tokens.filter(F.col("word").isNotNull()).withColumn("rejected", F.length("word") >= max_len)
 
 
 def words_of(df: DataFrame, doc: str, text: str, max_len: int = 256) -> DataFrame:
@@ -202,31 +204,33 @@ def extract_numbers(df: DataFrame, text: str) -> DataFrame:
 
 # ----------------------------------------------------------------------------- timing logs
 
-_TOTAL = r"^Elapsed CPU Time (\w+) = ([0-9.eE+-]+) seconds"
-_EACH = r"^Elapsed CPU Time per Iteration \((\w+), (\d+)\) = ([0-9.eE+-]+) seconds"
+_TIMING = (r"^Elapsed CPU Time (?:per Iteration \((\w+), (\d+)\)|(\w+)) = ([0-9.eE+-]+) seconds")
 _HEADER = r"^-{5,} *(\S+)"
 
 
 def parse_timing_log(lines: DataFrame, file: str = "file", order=LINE_ORDER, line: str = "line",
-                     **opts) -> DataFrame:
+                     split=None, max_rows: int | None = None) -> DataFrame:
     """(file, order, config, timer, iterations, seconds), one row per timing line.
 
     ``config`` is the latest header line before it. ``iterations`` is null on a total.
     """
+    # counted before parsing: all lines of a file are at least as many as its marked ones
+    split = split or od.measure(lines, file, order, max_rows)
     text = F.col(line)
 
     def part(pattern: str, group: int) -> Column:
         return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
+    timing = text.startswith("Elapsed CPU Time ")
     marked = lines.withColumns({
-        "_config": part(_HEADER, 1),
-        "timer": F.coalesce(part(_EACH, 1), part(_TOTAL, 1)),
-        "iterations": part(_EACH, 2).cast("long"),
-        "seconds": F.coalesce(part(_EACH, 3), part(_TOTAL, 2)).try_cast("double"),
+        "_config": F.when(text.startswith("-----"), part(_HEADER, 1)),
+        "timer": F.when(timing, F.coalesce(part(_TIMING, 3), part(_TIMING, 1))),
+        "iterations": F.when(timing, part(_TIMING, 2).cast("long")),
+        "seconds": F.when(timing, part(_TIMING, 4).try_cast("double")),
     })
     # only headers and timings matter from here on
     marked = marked.filter(F.col("_config").isNotNull() | F.col("timer").isNotNull())
-    held = od.scan(marked, file, order, config=od.last_value("_config"), **opts)
+    held = od.scan(marked, file, order, split, config=od.last_value("_config"))
     return held.filter(F.col("timer").isNotNull()).select(
         file, *od.names(order), "config", "timer", "iterations", "seconds"
     )
