@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..plans import ordered as od
 
+_TICKS_PER_BLOCK = 4096
+
 
 def positional_join(a: DataFrame, b: DataFrame, order_a, order_b, key=None,
                     how: str = "full_outer", max_rows: int | None = None) -> DataFrame:
@@ -77,9 +79,15 @@ def snapshot(events: DataFrame, key, ts: str, every: int = 3000,
             return condensed
         span = (ends["lo"], ends["hi"])
     lo, hi = span
-    # the grid is the report itself: one row per key and tick
-    ticks = F.sequence(F.lit(lo), F.lit(hi), F.lit(every))
-    grid = condensed.select(*keys).distinct().withColumn("tick", F.explode(ticks))
+    # the grid is the report itself, one row per key and tick, made in blocks of ticks
+    block = every * _TICKS_PER_BLOCK
+    firsts = F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(block)))
+    owners = condensed.select(*keys).distinct() if keys else events.sparkSession.range(1).select()
+    grid = owners.select("*", firsts.alias("_first")).select(
+        *keys,
+        F.explode(F.sequence("_first", F.least(F.col("_first") + (block - every), F.lit(hi)), F.lit(every)))
+        .alias("tick"),
+    )
     filled = grid.join(condensed, keys + ["tick"], "left")
     count = (hi - lo) // every + 1
     split = od.whole(keys, "tick") if count <= od.DEFAULT_MAX_ROWS else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,25 +12,37 @@ from ..plans.ordered import names
 
 
 def sort_by(df: DataFrame, keys, absolute: Sequence[str] = (), descending: Sequence[str] = ()) -> DataFrame:
-    """Total order by ``keys``; keys in ``absolute`` compare by size, largest first."""
+    """Total order by ``keys``; keys in ``absolute`` compare by size, largest first.
+
+    A hash of the row comes last, so that rows with one very frequent key value
+    spread over several tasks and ties come out the same every time.
+    """
     by: list[Column] = []
     for k in names(keys):
         if k in absolute:
             by.append(F.abs(k).desc())
         else:
             by.append(F.col(k).desc() if k in descending else F.col(k).asc())
-    return df.orderBy(*by)
+    return df.orderBy(*by, F.xxhash64(*df.columns))
 
 
-def sort_array_by_size(values) -> Column:
-    """An array sorted by absolute value, largest first."""
-    return F.array_sort(
-        values,
-        lambda a, b: F.when(F.abs(a) > F.abs(b), -1).when(F.abs(a) < F.abs(b), 1)
-        .when(a < b, -1).when(a > b, 1).otherwise(0),
+def sort_array_with(values, compare: Callable[[Column, Column], Column]) -> Column:
+    """An array sorted by a caller's comparator: negative, zero or positive as in C."""
+    return F.array_sort(values, compare)
+
+
+def larger_first(a: Column, b: Column) -> Column:
+    """By absolute value, largest first; equal sizes in rising order."""
+    return (
+        F.when(F.abs(a) > F.abs(b), -1).when(F.abs(a) < F.abs(b), 1)
+        .when(a < b, -1).when(a > b, 1).otherwise(0)
     )
 
 
+def sort_array_by_size(values) -> Column:
+    return sort_array_with(values, larger_first)
+
+
 def head_tail(df: DataFrame, order, n: int = 6) -> DataFrame:
     """The first and last ``n`` rows with ``side`` and ``place``; each side is a top-n, not a sort."""
     order = names(order)

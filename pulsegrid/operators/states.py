@@ -267,41 +267,30 @@ def frames(df: DataFrame, key, order, value: str, opens=(-1, -3), closes=(-2, -4
     An opening marker restarts the frame; a closing marker sends it if it has at
     least ``min_samples`` samples and starts over. ``min_samples`` may differ by
     closing marker; the sender's second channel always sends: ``{-2: 127, -4: 0}``.
-    Returns (key, frame_id, idx, value, close), ``frame_id`` counting markers seen.
+    Returns (key, frame_id, idx, value, close, n_samples), ``frame_id`` counting markers seen.
+    No frame is gathered, so one that never closes costs no more than its rows.
     """
-    keys = od.names(key)
-    is_open, is_close = F.col(value).isin(*opens), F.col(value).isin(*closes)
-    marker = is_open | is_close
-    # a marker belongs to the span it ends; samples after it start the next span
-    numbered = od.scan(df, key, order, split, max_rows,
-                       _upto=od.running_sum(F.when(marker, 1).otherwise(0)),
-                       _rn=od.row_number())
-    span = F.col("_upto") - F.when(marker, 1).otherwise(0)
-    numbered = numbered.withColumn("frame_id", span.cast("long")).withColumn("_m", marker)
+    split = split or od.measure(df, key, order, max_rows)
+    keys, order = list(split.keys), list(split.order)
+    marker = F.col(value).isin(*opens, *closes)
+    numbered = od.scan(df, keys, order, split, _rn=od.row_number(),
+                       _seen=od.running_sum(F.when(marker, 1)))
+    # a frame lies between two markers: each sample looks back to one and ahead to the other
+    between = od.scan(numbered, keys, order, split,
+                      _back=od.last_value(F.when(marker, F.col("_rn"))),
+                      _ahead=od.next_value(F.when(marker, F.struct(F.col("_rn").alias("rn"), F.col(value).alias("v")))))
+    start = F.coalesce("_back", F.lit(0))
+    n_samples = F.col("_ahead.rn") - start - 1
     if isinstance(min_samples, Mapping):
         need = F.lit(0)
         for mark, least in min_samples.items():
-            need = F.when(F.col("close") == mark, least).otherwise(need)
+            need = F.when(F.col("_ahead.v") == mark, least).otherwise(need)
     else:
         need = F.lit(min_samples)
-    closed = (
-        numbered.groupBy(*keys, "frame_id")
-        .agg(
-            F.max(F.when(F.col("_m") & is_close, F.col(value))).alias("close"),
-            F.count(F.when(~F.col("_m"), 1)).alias("n_samples"),
-            F.min("_rn").alias("_first"),
-        )
-        .filter(F.col("close").isNotNull() & (F.col("n_samples") >= need))
-    )
-    samples = numbered.filter(~F.col("_m")).select(*keys, "frame_id", "_rn", F.col(value))
-    sent = closed.select(*[F.col(k).alias(f"_c{i}") for i, k in enumerate(keys)],
-                         F.col("frame_id").alias("_cf"), "close", "n_samples", "_first")
-    cond = samples["frame_id"] == sent["_cf"]
-    for i, k in enumerate(keys):
-        cond = cond & samples[k].eqNullSafe(sent[f"_c{i}"])
-    return samples.join(sent, cond, "inner").select(
-        *keys, "frame_id", (F.col("_rn") - F.col("_first")).alias("idx"), F.col(value), "close",
-        "n_samples",
+    sent = ~marker & F.col("_ahead.v").isin(*closes) & (n_samples >= need)
+    return between.filter(sent).select(
+        *keys, F.col("_seen").alias("frame_id"), (F.col("_rn") - start - 1).alias("idx"), F.col(value),
+        F.col("_ahead.v").alias("close"), n_samples.alias("n_samples"),
     )
 
 

@@ -159,7 +159,7 @@ class Spec:
     value: Column | None = None
     default: Column | None = None
 
-    def local(self, w) -> Column:
+    def local(self, w, back) -> Column:
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         if self.kind == "row_number":
             return F.row_number().over(w).cast("long")
@@ -171,6 +171,9 @@ class Spec:
             return F.min(self.value).over(upto)
         if self.kind == "last":
             return F.last(self.value, ignorenulls=True).over(upto)
+        if self.kind == "next":
+            return F.last(self.value, ignorenulls=True).over(
+                back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         if self.kind in ("whole_max", "whole_min"):
             everything = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             return (F.max if self.kind == "whole_max" else F.min)(self.value).over(everything)
@@ -189,12 +192,16 @@ class Spec:
             return F.min(self.value)
         if self.kind == "last":
             return F.max_by(self.value, F.when(self.value.isNotNull(), position))
+        if self.kind == "next":
+            return F.min_by(self.value, F.when(self.value.isNotNull(), position))
         if self.kind == "lag":
             return F.max_by(F.struct(self.value.alias("v")), position)
         return F.min_by(F.struct(self.value.alias("v")), position)
 
-    def carry(self, column: str, w) -> Column:
+    def carry(self, column: str, w, back) -> Column:
         before = w.rowsBetween(Window.unboundedPreceding, -1)
+        if self.kind == "next":
+            return F.last(column, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
         if self.kind in ("row_number", "sum"):
             return F.sum(column).over(before)
         if self.kind == "max":
@@ -257,6 +264,11 @@ def whole_min(value) -> Spec:
     return Spec("whole_min", _col(value))
 
 
+def next_value(value) -> Spec:
+    """The nearest non-null value from the row onwards."""
+    return Spec("next", _col(value))
+
+
 def lag(value, default=None) -> Spec:
     return Spec("lag", _col(value), None if default is None else F.lit(default))
 
@@ -274,11 +286,13 @@ def scan(df: DataFrame, keys, order, split: Split | None = None,
     by = [F.col(c) for c in order]
     if split.cuts is None:
         w = Window.partitionBy(*keys).orderBy(*by)
-        return df.select("*", *[s.merge(s.local(w), None).alias(n) for n, s in specs.items()])
+        back = Window.partitionBy(*keys).orderBy(*[c.desc() for c in by])
+        return df.select("*", *[s.merge(s.local(w, back), None).alias(n) for n, s in specs.items()])
 
     cut = segmented(df, split)
     w = Window.partitionBy(*keys, SEG).orderBy(*by)
-    local = cut.select("*", *[s.local(w).alias(f"_l_{n}") for n, s in specs.items()])
+    back = Window.partitionBy(*keys, SEG).orderBy(*[c.desc() for c in by])
+    local = cut.select("*", *[s.local(w, back).alias(f"_l_{n}") for n, s in specs.items()])
 
     position = F.struct(*by)
     parts = (
@@ -288,10 +302,11 @@ def scan(df: DataFrame, keys, order, split: Split | None = None,
     )
     # one row per segment: at most MAX_SEGMENTS + MAX_HOT_KEYS rows in all
     along = Window.partitionBy(*keys).orderBy(SEG)
+    against = Window.partitionBy(*keys).orderBy(F.col(SEG).desc())
     carried = parts.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(SEG).alias("_kseg"),
-        *[s.carry(f"_s_{n}", along).alias(f"_c_{n}") for n, s in specs.items()],
+        *[s.carry(f"_s_{n}", along, against).alias(f"_c_{n}") for n, s in specs.items()],
     )
     joined = _attach(local, carried, keys, "_k", "left", local[SEG] == carried["_kseg"])
     return joined.select(

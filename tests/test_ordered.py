@@ -29,6 +29,7 @@ def _specs():
         prev_ts=od.lag("ts", -1),
         nxt=od.lead("v"),
         nxt_ts=od.lead("ts"),
+        upcoming=od.next_value("v"),
         most=od.whole_max("v"),
         least=od.whole_min("id"),
     )
