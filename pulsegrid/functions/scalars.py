@@ -36,6 +36,17 @@ def poly_eval(coefs, x) -> Column:
     return F.aggregate(col(coefs), F.lit(0.0), lambda a, c: a * x + c)
 
 
+def poly_eval_complex(coefs, re, im) -> Column:
+    """Value at the complex number ``re + im·i`` as ``struct<re,im>``; real coefficients, highest first."""
+    re, im = col(re).cast("double"), col(im).cast("double")
+    zero = F.struct(F.lit(0.0).alias("re"), F.lit(0.0).alias("im"))
+    return F.aggregate(
+        col(coefs), zero,
+        lambda a, c: F.struct((a["re"] * re - a["im"] * im + c).alias("re"),
+                              (a["re"] * im + a["im"] * re).alias("im")),
+    )
+
+
 def _derive(coefs: Column) -> Column:
     n = F.size(coefs)
     return F.when(

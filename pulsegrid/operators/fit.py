@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixedpoint import qn_decode, qn_encode
-from ..functions.scalars import CALIBRATION_SETS, correction
+from ..functions.scalars import CALIBRATION_SETS, correction, poly_eval
 from ..plans.ordered import names
 
 
@@ -117,6 +117,24 @@ def calibration_sweep(df: DataFrame, ideal: str, real: str, sets=CALIBRATION_SET
     return fit_quality(fixed, ideal, "corrected", "variant")
 
 
+def calibrate(df: DataFrame, ideal: str, real: str, order: int = 2, name: str = "corrected") -> DataFrame:
+    """Fit the error ``real - ideal`` as a polynomial of ``real`` and take it off each reading.
+
+    The fit is one row, read by the correction as a scalar.
+    """
+    errors = df.select(F.col(real).cast("double").alias("_r"), (F.col(real) - F.col(ideal)).alias("_e"))
+    high_first = F.reverse("coefs")
+    fitted = poly_fit(errors, "_r", "_e", order).select(high_first.alias("c")).scalar()
+    error = F.col("_err")
+    whole = F.when(error >= 0, (error + 0.5).cast("int")).otherwise((error - 0.5).cast("int"))
+    return (
+        df.withColumn("_c", fitted)
+        .withColumn("_err", poly_eval("_c", real))
+        .withColumn(name, F.col(real) - whole)
+        .drop("_c", "_err")
+    )
+
+
 def qn_error(df: DataFrame, x: str, ns: Sequence[int]) -> DataFrame:
     """Per-cent error of a value quantised to n fractional bits, for each n."""
     swept = param_sweep(df.select(x), [(n,) for n in ns], ["qn"])

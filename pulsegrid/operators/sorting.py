@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.ordered import names
+from ..plans.ordered import names, row_number, scan
 
 
 def sort_by(df: DataFrame, keys, absolute: Sequence[str] = (), descending: Sequence[str] = ()) -> DataFrame:
@@ -53,14 +53,20 @@ def head_tail(df: DataFrame, order, n: int = 6) -> DataFrame:
     )
 
 
+#: up to this many rows per key Spark trims every task's rows before it moves them
+_TRIMMED = 1000
+
+
 def cap_first(df: DataFrame, key, order, n: int, salts: int = 64) -> DataFrame:
     """The first ``n`` rows of each key along ``order``.
 
     Two rounds: the first ``n`` of each (key, salt), then of each key. Spark also
     trims to ``n`` before each shuffle, so a key with a third of all rows never
-    meets in one task.
+    meets in one task. For a large ``n`` the rows are numbered by an ordered scan.
     """
     keys, order = names(key), names(order)
+    if n > _TRIMMED:
+        return scan(df, keys, order, _rank=row_number()).filter(F.col("_rank") <= n).drop("_rank")
     by = [F.col(c) for c in order]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     inner = Window.partitionBy(*keys, "_salt").orderBy(*by)

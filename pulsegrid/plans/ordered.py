@@ -29,8 +29,10 @@ DEFAULT_MAX_ROWS = 4_000_000
 #: max(max_rows, table rows / MAX_HOT_KEYS)
 MAX_HOT_KEYS = 2048
 #: at most about this many segments in all, so summaries stay small
-MAX_SEGMENTS = 4096
-_SAMPLE_PER_SEGMENT = 24
+MAX_SEGMENTS = 16384
+_SAMPLE_PER_SEGMENT = 16
+#: cuts are looked up in two steps of at most about this many
+_BLOCK = 128
 
 SEG = "_seg"
 
@@ -56,18 +58,22 @@ def whole(keys, order) -> Split:
     return Split(tuple(names(keys)), tuple(names(order)))
 
 
-def measure(df: DataFrame, keys, order, max_rows: int | None = None) -> Split:
+def measure(df: DataFrame, keys, order, max_rows: int | None = None,
+            sizes: DataFrame | None = None) -> Split:
     """Count rows per key and choose cut values for the keys above ``max_rows``.
 
     ``order`` must tell the rows of a key apart. What reaches the driver is
-    bounded: MAX_HOT_KEYS counts and a sample of MAX_SEGMENTS * 24 order values,
-    used only to place the cuts.
+    bounded: MAX_HOT_KEYS counts and about MAX_SEGMENTS cut values, placed by a
+    sample of 16 rows per segment. ``sizes`` (the keys and ``_n``) may give the
+    counts when there is a cheaper way to them than counting ``df``.
     """
     keys, order = names(keys), names(order)
     spark = df.sparkSession
     if max_rows is None:
         max_rows = int(spark.conf.get("pulsegrid.window.maxRows", str(DEFAULT_MAX_ROWS)))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = sizes.filter(F.col("_n") > max_rows)
     if keys:
         counts = counts.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS)
     hot = counts.collect()
@@ -133,15 +139,40 @@ def segmented(df: DataFrame, split: Split, how: str = "left") -> DataFrame:
     """
     if split.cuts is None:
         return df.withColumn(SEG, F.lit(None).cast("int"))
-    out = _attach(df, split.cuts, split.keys, "_h", how).withColumn("_v", _value(split.order))
-    # binary search, one projection per step: how many cuts lie below the row
+    hashed = [f"_h{i}" for i in range(len(split.keys))]
+    if split.most <= _BLOCK:
+        out = _attach(df, split.cuts, split.keys, "_h", how).withColumn("_v", _value(split.order))
+        out, seg = _below(out, "_cuts", split.most)
+        seg = F.when(F.col("_cuts").isNotNull(), seg)
+        return out.withColumn(SEG, seg).select(*df.columns, SEG)
+    # many cuts: find the block by the last cut of each, then the place within the block,
+    # so that no row ever carries more than a block of cuts
+    ends = split.cuts.select(
+        *hashed, F.filter("_cuts", lambda c, i: (i + 1) % _BLOCK == 0).alias("_ends")
+    )
+    blocks = split.cuts.select(
+        *hashed,
+        F.posexplode(F.expr(
+            f"transform(sequence(0, size(_cuts) div {_BLOCK}), b -> slice(_cuts, b * {_BLOCK} + 1, {_BLOCK}))"
+        )).alias("_hb", "_cuts"),
+    )
+    out = _attach(df, ends, split.keys, "_h", how).withColumn("_v", _value(split.order))
+    out, block = _below(out, "_ends", split.most // _BLOCK)
+    block = F.when(F.col("_ends").isNotNull(), block)
+    out = out.withColumn("_block", block).select(*df.columns, "_v", "_block")
+    out = _attach(out, blocks, split.keys, "_h", "left", out["_block"] == blocks["_hb"])
+    out, inside = _below(out, "_cuts", _BLOCK)
+    return out.withColumn(SEG, F.col("_block") * _BLOCK + inside).select(*df.columns, SEG)
+
+
+def _below(df: DataFrame, cuts: str, most: int) -> tuple[DataFrame, Column]:
+    """How many of the sorted ``cuts`` lie below ``_v``: binary search, one projection per step."""
     at = F.lit(0)
-    for i in reversed(range(max(1, split.most).bit_length())):
-        step = F.when(F.get("_cuts", at + F.lit((1 << i) - 1)) < F.col("_v"), 1 << i).otherwise(0)
-        out = out.withColumn(f"_at{i}", at + step)
-        at = F.col(f"_at{i}")
-    seg = F.when(F.col("_cuts").isNotNull(), at)
-    return out.withColumn(SEG, seg).select(*df.columns, SEG)
+    for i in reversed(range(max(1, most).bit_length())):
+        step = F.when(F.get(cuts, at + F.lit((1 << i) - 1)) < F.col("_v"), 1 << i).otherwise(0)
+        df = df.withColumn(f"_at_{cuts}{i}", at + step)
+        at = F.col(f"_at_{cuts}{i}")
+    return df, at
 
 
 # --------------------------------------------------------------------------- specs

@@ -126,6 +126,26 @@ def calibration_sweep(t):
     return rounded(fit.calibration_sweep(readings(t), "ideal", "real"), "variant")
 
 
+@query("calibration_fit", """
+WITH r AS (SELECT p_partkey, CAST(trunc(p_retailprice) AS INTEGER) AS real,
+    CAST(trunc(p_retailprice * 0.9e0) AS INTEGER) - 50 + p_size % 5 AS ideal FROM part),
+s AS (SELECT count(*)::DOUBLE AS s0, sum(t) AS s1, sum(t*t) AS s2, sum(t*t*t) AS s3, sum(t*t*t*t) AS s4,
+         sum(y) AS v0, sum(t*y) AS v1, sum(t*t*y) AS v2
+  FROM (SELECT (real - 1000) / 50.0e0 AS t, (real - ideal)::DOUBLE AS y FROM r)),
+d AS (SELECT *, s0*(s2*s4-s3*s3) - s1*(s1*s4-s2*s3) + s2*(s1*s3-s2*s2) AS det FROM s),
+z AS (SELECT (v0*(s2*s4-s3*s3) - s1*(v1*s4-v2*s3) + s2*(v1*s3-v2*s2)) / det AS z0,
+  (s0*(v1*s4-v2*s3) - v0*(s1*s4-s2*s3) + s2*(s1*v2-s2*v1)) / det AS z1,
+  (s0*(s2*v2-s3*v1) - s1*(s1*v2-s2*v1) + v0*(s1*s3-s2*s2)) / det AS z2 FROM d),
+e AS (SELECT p_partkey, real, ideal, z0 + z1 * ((real - 1000) / 50.0e0) + z2 * ((real - 1000) / 50.0e0) ** 2 AS err FROM r, z)
+SELECT p_partkey, real, ideal, real - CAST(trunc(err + CASE WHEN err >= 0 THEN 0.5e0 ELSE -0.5e0 END) AS INTEGER) AS corrected FROM e
+""")
+def calibration_fit(t):
+    """Coefficients from a fit instead of a table."""
+    df = t.part.select("p_partkey", F.col("p_retailprice").cast("int").alias("real"),
+                       ((F.col("p_retailprice") * 0.9).cast("int") - 50 + F.col("p_size") % 5).alias("ideal"))
+    return fit.calibrate(df, "ideal", "real")
+
+
 @query("a9_qn_error", """
 WITH s AS (SELECT qn, x, CAST(trunc(x * (1::BIGINT << qn)) AS BIGINT) / CAST(1::BIGINT << qn AS DOUBLE) AS d
   FROM (SELECT l_quantity / 7 AS x FROM lineitem), (SELECT unnest([20, 21, 22, 23, 24]) AS qn))

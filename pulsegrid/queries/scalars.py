@@ -30,6 +30,18 @@ def poly_eval(t):
     )
 
 
+@query("p1_poly_eval_complex", """
+WITH h AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS a, p_retailprice AS c FROM part),
+s AS (SELECT *, a * 1.5e0 + -2.0e0 AS r1, a * 0.5e0 AS i1 FROM h)
+SELECT p_partkey, r1 * 1.5e0 - i1 * 0.5e0 + c AS re, r1 * 0.5e0 + i1 * 1.5e0 AS im FROM s
+""")
+def poly_eval_complex(t):
+    """size·z² - 2z + price at 1.5 + 0.5i."""
+    coefs = F.array(F.col("p_size").cast("double"), F.lit(-2.0), F.col("p_retailprice"))
+    value = sc.poly_eval_complex(coefs, F.lit(1.5), F.lit(0.5))
+    return t.part.select("p_partkey", value.alias("v")).select("p_partkey", "v.re", "v.im")
+
+
 @query("p2_correct", """
 WITH r AS (SELECT l_orderkey, l_linenumber, CAST(trunc(l_extendedprice / 25) AS INTEGER) AS real FROM lineitem),
 s1 AS (SELECT *, CAST(CAST(-0.000358309e0 AS FLOAT) * CAST(real AS FLOAT) AS DOUBLE) + 1.24539e0 AS d FROM r),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalars import code_label
+from ..operators import signal as sg
 from ..operators import states as st
+from ..plans import ordered as od
 from ..session import workspace
 from ..streaming import stateful as ss
 from .queues import CLOSING, TOTALS, depths
@@ -118,6 +120,22 @@ def frames_stream(t):
     return weigh(ss.run_to_table(live, "frames"))
 
 
+@query("line_scan", f"""
+WITH {FRAMES}, smooth AS (SELECT *, avg(value) OVER (PARTITION BY user_id, frame_id ORDER BY idx
+  ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS smooth FROM rows)
+SELECT user_id, frame_id, idx, round(smooth, 6) AS smooth,
+  CASE WHEN smooth >= 0.7e0 * max(smooth) OVER (PARTITION BY user_id, frame_id) THEN 1 ELSE 0 END AS bit FROM smooth
+""")
+def line_scan(t):
+    """Frames, smoothed and turned into bits, as one plan."""
+    rows = st.frames(marked(t.ev), "user_id", "event_id", "value", min_samples=LEAST)
+    frame = ["user_id", "frame_id"]
+    split = od.measure(rows, frame, "idx")
+    smooth = sg.moving_mean(rows, frame, "idx", "value", split=split)
+    bits = sg.threshold_binary(smooth, frame, "idx", "smooth", split=split)
+    return bits.select(*frame, "idx", F.round("smooth", 6).alias("smooth"), "bit")
+
+
 # ----------------------------------------------------------------------------- lines
 
 TYPED = """
@@ -130,30 +148,40 @@ lines AS (SELECT conv_id, line_no, list_reduce(list_concat([''], string_split(ra
 """
 
 
-def keystrokes(t):
-    """Conversations as typed characters; a ``t`` is a backspace, ``. `` a carriage return."""
+def typed(df):
+    """Conversations as typed text; a ``t`` is a backspace, ``. `` a carriage return."""
     text = F.concat(F.replace(F.replace("text", F.lit("t"), F.lit("\b")), F.lit(". "), F.lit("\r")), F.lit("\n"))
-    chars = t.conversations.select("conv_id", "turn", F.posexplode(F.split(text, "")).alias("pos", "ch"))
+    return df.select("conv_id", "turn", text.alias("text"))
+
+
+def keystrokes(texts):
+    chars = texts.select("conv_id", "turn", F.posexplode(F.split("text", "")).alias("pos", "ch"))
     return chars.filter(F.col("ch") != "")
 
 
+def lines(t, max_rows=None):
+    texts = typed(t.conversations)
+    # the lengths of the texts say how many characters there will be
+    sizes = texts.groupBy("conv_id").agg(F.sum(F.length("text")).alias("_n"))
+    chars, order = keystrokes(texts), ["turn", "pos"]
+    split = od.measure(chars, "conv_id", order, max_rows, sizes)
+    return st.assemble_lines(chars, "conv_id", order, "ch", split=split).select("conv_id", "line_no", "line")
+
+
 @query("t5_assemble_lines", f"WITH {TYPED} SELECT conv_id, line_no, line FROM lines")
 def assemble_lines(t):
-    out = st.assemble_lines(keystrokes(t), "conv_id", ["turn", "pos"], "ch")
-    return out.select("conv_id", "line_no", "line")
+    return lines(t)
 
 
 @query("t5_assemble_lines_cut", f"WITH {TYPED} SELECT conv_id, line_no, line FROM lines")
 def assemble_lines_cut(t):
-    out = st.assemble_lines(keystrokes(t), "conv_id", ["turn", "pos"], "ch", max_rows=700)
-    return out.select("conv_id", "line_no", "line")
+    return lines(t, max_rows=700)
 
 
 @query("t5_assemble_lines_stream", f"WITH {TYPED} SELECT conv_id, line_no, line FROM lines")
 def assemble_lines_stream(t):
     live = ss.table_stream(t.spark, t.folder, "conversations", t.conversations.schema)
-    text = F.concat(F.replace(F.replace("text", F.lit("t"), F.lit("\b")), F.lit(". "), F.lit("\r")), F.lit("\n"))
-    chars = live.select("conv_id", "turn", F.posexplode(F.split(text, "")).alias("pos", "ch")).filter("ch <> ''")
+    chars = keystrokes(typed(live))
     out = ss.run_to_table(ss.assemble_lines(chars, "conv_id", ["turn", "pos"], "ch"), "lines")
     return out.select("conv_id", "line_no", "line")
 

@@ -5,6 +5,6 @@ from pulsegrid.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session("4", "tests", **{"spark.sql.shuffle.partitions": "2"})
     yield session
     session.stop()

@@ -120,6 +120,23 @@ def test_cubic_is_recovered_far_from_zero(spark):
     assert abs(c[3] - 1e-3) < 1e-9
 
 
+def test_calibration_takes_the_error_off(spark):
+    df = spark.range(81, 400).select(F.col("id").cast("int").alias("ideal"),
+                                     (F.col("id") * 1.2 + 30).cast("int").alias("real"))
+    worst = fit.calibrate(df, "ideal", "real").agg(F.max(F.abs(F.col("corrected") - F.col("ideal")))).first()[0]
+    assert worst <= 1
+
+
+def test_complex_value(spark):
+    v = one(spark, sc.poly_eval_complex(floats(1, 0, 1), F.lit(0.0), F.lit(1.0)))
+    assert (v["re"], v["im"]) == (0, 0)
+
+
+def test_large_cap(spark):
+    df = spark.range(5000).select(F.lit("k").alias("k"), "id").repartition(4)
+    assert sorted(r["id"] for r in sorting.cap_first(df, "k", "id", 1500).collect()) == list(range(1500))
+
+
 def test_fit_quality(spark):
     df = spark.createDataFrame([(10.0, 11.0), (20.0, 20.0), (40.0, 38.0)], "i double, r double")
     q = fit.fit_quality(df, "i", "r").first()

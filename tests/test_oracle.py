@@ -42,6 +42,8 @@ def test_query(spark, duck, name):
     got = Counter(tuple(plain(row[c]) for c in columns) for row in df.collect())
     assert want
     assert got == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry(spark):

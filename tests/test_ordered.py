@@ -63,6 +63,27 @@ def test_segments_are_bounded_and_ordered(spark):
     assert all(a["hi"] < b["lo"] for a, b in zip(ends, ends[1:]))
 
 
+def test_two_step_lookup(spark, monkeypatch):
+    """Many cuts per key are found block by block."""
+    monkeypatch.setattr(od, "_BLOCK", 4)
+    for keys in (["k"], []):
+        df = spark.createDataFrame(_rows(7), "k string, ts long, id long, v int")
+        split = od.measure(df, keys, ["ts", "id"], 12)
+        assert split.most > 16
+        got = od.scan(df, keys, ["ts", "id"], split, rn=od.row_number(), nxt=od.lead("v"))
+        want = od.scan(df, keys, ["ts", "id"], od.whole(keys, ["ts", "id"]), rn=od.row_number(), nxt=od.lead("v"))
+        assert sorted(got.collect(), key=lambda r: r["id"]) == sorted(want.collect(), key=lambda r: r["id"])
+        sizes = od.segmented(df, split, "inner").groupBy(*keys, od.SEG).count()
+        assert sizes.agg(F.max("count")).first()[0] <= 60
+
+
+def test_given_sizes(spark):
+    df = spark.createDataFrame(_rows(5), "k string, ts long, id long, v int")
+    sizes = spark.createDataFrame([("hot", 900), ("a", 3)], "k string, _n long")
+    split = od.measure(df, "k", ["ts", "id"], 100, sizes)
+    assert [r["_h0"] for r in split.cuts.collect()] == ["hot"]
+
+
 def test_small_keys_are_left_whole(spark):
     df = spark.createDataFrame(_rows(5), "k string, ts long, id long, v int")
     assert od.measure(df, ["k"], ["ts", "id"], 10_000).cuts is None
