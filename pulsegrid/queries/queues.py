@@ -23,8 +23,8 @@ CUSTOMERS = f"""
   SELECT event_id, user_id % 3 AS queue, user_id % 7 AS server, tick - {DAY0} AS arrived,
     tick - {DAY0} + cents * 200 AS start, tick - {DAY0} + cents * 1200 AS finish
   FROM ev WHERE event_type = 'purchase'),
-breaks AS (SELECT user_id % 7 AS server, tick - {DAY0} AS start, tick - {DAY0} + cents * 30 AS finish
-  FROM ev WHERE event_type = 'error' AND user_id % 7 <> 2)
+breaks AS (SELECT user_id % 6 AS server, tick - {DAY0} AS start, tick - {DAY0} + cents * 30 AS finish
+  FROM ev WHERE event_type = 'error')
 """
 
 
@@ -38,10 +38,10 @@ def customers(t):
 
 
 def breaks(t):
-    """Server 2 takes none."""
+    """Servers 0 to 5 take them, server 6 takes none."""
     at = F.col("tick") - DAY0
-    return t.ev.filter("event_type = 'error' and user_id % 7 <> 2").select(
-        (F.col("user_id") % 7).alias("server"), at.alias("start"),
+    return t.ev.filter("event_type = 'error'").select(
+        (F.col("user_id") % 6).alias("server"), at.alias("start"),
         (at + F.col("cents") * 30).alias("finish"),
     )
 

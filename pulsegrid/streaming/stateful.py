@@ -183,12 +183,16 @@ def running_totals(stream: DataFrame, server, duration: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType,
-                 files_per_trigger: int = 64) -> DataFrame:
-    """A stream over the files of one table; each micro-batch takes a bounded number of files."""
+                 bytes_per_trigger: int = 512 << 20) -> DataFrame:
+    """A stream over the files of one table.
+
+    Each micro-batch takes at most about ``bytes_per_trigger``, which also bounds the
+    rows a task holds for one key, however large the key is.
+    """
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxBytesPerTrigger", bytes_per_trigger)
         .parquet(folder)
     )
 
