@@ -93,25 +93,22 @@ def level_crossings(df: DataFrame, key, order, x: str, y: str, level: float = 0.
     }).drop("_f", "_px", "_pf")
 
 
-def pulse_widths(df: DataFrame, key, ts: str, tie=None, wrap: int = WRAP, **opts) -> DataFrame:
-    """(key, ts, width): edges taken two by two; a counter that wrapped is unwrapped."""
-    order = [ts] + od.names(tie)
-    paired = od.scan(df, key, order, _rn=od.row_number(), _next=od.lead(ts), **opts)
+def pulse_widths(df: DataFrame, key, ts: str, tie=None, order=None, wrap: int = WRAP, **opts) -> DataFrame:
+    """The first edge of each pair with ``width``: edges taken two by two, a wrapped counter unwrapped.
+
+    Edges follow ``order`` (default: their time; give a sequence where the counter wraps).
+    """
+    by = od.names(order) or [ts] + od.names(tie)
+    paired = od.scan(df, key, by, _rn=od.row_number(), _next=od.lead(ts), **opts)
     kept = paired.filter((F.col("_rn") % 2 == 1) & F.col("_next").isNotNull())
     return kept.withColumn("width", F.pmod(F.col("_next") - F.col(ts), F.lit(wrap))).drop("_rn", "_next")
 
 
 def pulse_histogram(df: DataFrame, key, ts: str, lo: int, hi: int | None = None, cap: int = 1000,
                     tie=None, order=None, wrap: int = WRAP, **opts) -> DataFrame:
-    """(key, bucket, width, count) of the first ``cap`` widths within the band of each key.
-
-    Edges follow ``order`` (default: their time; give a sequence where the counter wraps).
-    """
+    """(key, bucket, width, count) of the first ``cap`` widths within the band of each key."""
     by = od.names(order) or [ts] + od.names(tie)
-    paired = od.scan(df, key, by, _rn=od.row_number(), _next=od.lead(ts), **opts)
-    widths = paired.filter((F.col("_rn") % 2 == 1) & F.col("_next").isNotNull()).withColumn(
-        "width", F.pmod(F.col("_next") - F.col(ts), F.lit(wrap))
-    )
+    widths = pulse_widths(df, key, ts, tie, order, wrap, **opts)
     accepted = cap_first(band_filter(widths, "width", lo, hi), key, by, cap)
     return (
         accepted.groupBy(*od.names(key), "width")
