@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,19 +27,14 @@ def local_session(cores: str = "8", name: str = "pulsegrid", **conf: str) -> Spa
     return spark
 
 
-_fallback: str | None = None
-
-
 def workspace(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of this machine: on a cluster
-    the executors could not see it.
+    A local session without that setting works beside its warehouse.
     """
-    global _fallback
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        _fallback = root = _fallback or tempfile.mkdtemp(prefix="pulsegrid-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
