@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard
+from . import decontaminate, jaccard, lines, pieces, substrings, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +53,78 @@ def jaccard_sql(source: str, n: int, percent: int) -> str:
 def op8_ngram_jaccard_join(read) -> DataFrame:
     """Documents grouped by links of Jaccard similarity 0.9 or more over three-word shingles."""
     return jaccard.jaccard_groups(read("documents"), n=3, percent=90)
+
+
+@query()
+def op10_quality_classifier(read) -> DataFrame:
+    """Quality of every document by the line model, fitted outside the held-out quarter."""
+    docs = read("documents")
+    model = lines.train(docs, read("labels"))
+    return lines.scored(docs, model).select(
+        "doc_id", lines.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "n_lines", "n_bad_lines")
+
+
+def decontaminate_sql(source: str, size: int = 10) -> str:
+    """CTEs ending in ``judged`` with the columns of the decontamination query."""
+    split = f"[x for x in regexp_split_to_array({LOWERED}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> '']"
+    return f"""
+    spoken AS (SELECT doc_id, {split} AS w FROM {source}),
+    asked AS (SELECT item_id, {split} AS w FROM benchmark),
+    wins AS (SELECT DISTINCT item_id, least(len(w), {size}) AS k, unnest([array_to_string(w[i:i + {size} - 1], ' ')
+        for i in range(1, greatest(len(w) - {size - 1}, 1) + 1)]) AS t FROM asked WHERE len(w) > 0),
+    runs AS (SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i,
+        unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) AS t
+      FROM spoken, (SELECT DISTINCT k FROM wins) WHERE len(w) >= k),
+    found AS (SELECT doc_id, i, r.k, item_id FROM runs r JOIN wins v ON r.t = v.t AND r.k = v.k),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY 1),
+    named AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY 1),
+    judged AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+        coalesce(named.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+      FROM spoken LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id))"""
+
+
+@query(f"WITH {decontaminate_sql('documents')} SELECT * FROM judged")
+def op9_benchmark_decontamination(read) -> DataFrame:
+    """Words of every document that lie in a ten-word window of a benchmark item."""
+    return decontaminate.contaminated(read("documents"), read("benchmark"))
+
+
+#: where the public vocabulary files lie, and the key of the surrogates
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+SURROGATE_KEY = b"replace this key by a secret one"
+
+
+@query()
+def op4_sentencepiece_codec(read) -> DataFrame:
+    """Ids of every whole document, as a digest, and whether they decode to the same text."""
+    return pieces.round_trips(read("documents"), pieces.load(VOCABULARY))
+
+
+@query()
+def op5_pii_surrogates(read) -> DataFrame:
+    """Every document with its entities replaced, and the number of them."""
+    return surrogates.surrogate_spans(read("documents"), SURROGATE_KEY).select("doc_id", "n_entities", "text")
+
+
+@query("""
+    WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM bytes)),
+    first AS (SELECT s, min(doc_id) AS d FROM strings GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
+    starts AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p
+      FROM strings JOIN first USING (s) WHERE doc_id > d),
+    runs AS (SELECT doc_id, r, min(i) AS a, max(i) + 50 AS b FROM
+      (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS r
+       FROM starts) GROUP BY 1, 2),
+    edges AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER w AS from_, row_number() OVER w AS k, count(*) OVER (PARTITION BY doc_id) AS n
+      FROM runs WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
+    kept AS (SELECT doc_id, string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a)
+        || max(substr(h, 2 * b + 1)) FILTER (WHERE k = n) AS h, any_value(n) AS n FROM edges JOIN bytes USING (doc_id) GROUP BY 1)
+    SELECT doc_id, (len(b.h) // 2)::BIGINT AS n_bytes, ((len(b.h) - coalesce(len(k.h), len(b.h))) // 2)::BIGINT AS n_removed,
+      coalesce(k.n, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.h, b.h))) AS kept_sha256
+    FROM bytes b LEFT JOIN kept k USING (doc_id)""")
+def op2_suffix_array_dedup(read) -> DataFrame:
+    """Documents without the 50-byte strings that a document with a smaller id holds too."""
+    return substrings.without_repeats(read("documents")).drop("kept")
