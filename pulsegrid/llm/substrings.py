@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from .arrays import _BASE, _BYTE, _INVERSE, arrow_step, byte_view, mix, powers
 
 GRAM = 16
-#: mean bytes of a piece
-PIECE = 512
-#: rows of an anchor from which on its strings travel one by one
-FREQUENT = 20_000
+#: mean and largest bytes of a piece
+PIECE, LONGEST = 512, 1 << 18
+#: stretches of an anchor in one step from which on its strings travel one by one
+FREQUENT = 64
+OFTEN, LATER = 1, 2
 #: bytes of stretches that are sorted at a time
 SORTED_BYTES = 2_000_000
 
@@ -56,6 +57,14 @@ class _Rolling:
             return mix((self.total[end] - self.total[start]) * self.inverse[start] ^ mix((end - start).astype(np.uint64)), 5)
 
 
+    def again(self, start, n: int) -> np.ndarray:
+        """A second hash, independent of the first, of the ``n`` bytes from each start."""
+        with np.errstate(over="ignore"):
+            half = n // 2
+            one, two = self.of(start, start + half), self.of(start + half, start + n)
+            return mix(one * np.uint64(0xD6E8FEB86659FD93) ^ mix(two, 17), 18)
+
+
 def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """start[0], start[0]+1, ... for every start and length, one after another."""
     total = int(length.sum())
@@ -64,8 +73,8 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 def _pieces(n: int):
-    """Pieces of texts: place, digest, doc, print, start, end of removal, and whether a smaller document of
-    the step holds the same piece."""
+    """Pieces of texts: place, digest, doc, print, span (start and length packed), and whether a smaller document
+    of the step holds the same piece."""
 
     def work(batch: pa.RecordBatch) -> pa.Table:
         doc, seal = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -75,6 +84,9 @@ def _pieces(n: int):
             cut[:len(data) - GRAM + 1] = (_Rolling(data).grams(GRAM) >> np.uint64(20)) % np.uint64(PIECE) == 0
         cut[ends[:-1]] = True
         start = np.flatnonzero(cut[:len(data)])
+        long = np.diff(np.append(start, len(data))) // LONGEST
+        if long.any():
+            start = np.union1d(start, np.repeat(start, long) + _ranges(np.ones(len(long), np.int64), long) * LONGEST)
         of = np.searchsorted(ends, start, side="right") - 1
         stop = np.minimum(np.append(start[1:], len(data)), ends[of + 1])
         reach = np.minimum(stop + n - 1, ends[of + 1])
@@ -90,8 +102,7 @@ def _pieces(n: int):
         at = start - ends[of]
         return pa.table({
             "place": np.where(gone, mix(doc[of].view(np.uint64)).view(np.int64), key[:, 0]), "d1": key[:, 0],
-            "d2": key[:, 1], "doc": doc[of], "print": seal[of], "start": at.astype(np.int32),
-            "end": (reach - ends[of]).astype(np.int32), "gone": gone})
+            "d2": key[:, 1], "doc": doc[of], "print": seal[of], "span": at << 20 | (reach - start), "gone": gone})
 
     return arrow_step(work, "text")
 
@@ -111,13 +122,14 @@ def _owned(batches):
             least = np.where(np.cumsum(new) == 1, owner, least)
         key, owner = (d1[-1], d2[-1]), least[-1]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), batch.column("print"), batch.column("start"), batch.column("end"),
-             pa.array(gone | (doc > least))], ["doc", "print", "start", "end", "gone"])
+            [batch.column("doc"), batch.column("print"), batch.column("span"), pa.array(gone | (doc > least))],
+            ["doc", "print", "span", "gone"])
 
 
 def _anchors(n: int):
-    """Stretches of strings with one anchor in pieces that are not gone: place, anchor hash, doc, print, start
-    and number of strings, and whether another document of the step has the anchor too."""
+    """Stretches of strings with one anchor in pieces that are not gone: anchor hash, doc, print, and packed in
+    ``spot`` the start, the number of strings, whether the anchor is frequent in the step, and if so whether a
+    smaller document of the step has it too."""
 
     def work(batch: pa.RecordBatch) -> pa.Table | None:
         doc, seal = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
@@ -125,13 +137,13 @@ def _anchors(n: int):
         pieces = batch.column(3)
         if len(data) < n:
             return None
-        valid = np.zeros(len(data) - n + 1, np.int8)
         parts = pieces.flatten()
         of = np.repeat(np.arange(len(doc)), np.diff(pieces.offsets.to_numpy()))
-        start = parts.field("start").to_numpy(zero_copy_only=False) + ends[of]
-        last = parts.field("end").to_numpy(zero_copy_only=False) + ends[of] - n + 1
+        span = parts.field("span").to_numpy(zero_copy_only=False)
+        start = (span >> 20) + ends[of]
+        last = start + (span & 0xFFFFF) - n + 1
         gone = parts.field("gone").to_numpy(zero_copy_only=False)
-        edge = np.zeros(len(valid) + 1, np.int64)
+        edge = np.zeros(len(data) - n + 2, np.int64)
         np.add.at(edge, start[~gone], 1)
         np.add.at(edge, last[~gone], -1)
         valid = np.cumsum(edge)[:-1] > 0
@@ -155,25 +167,25 @@ def _anchors(n: int):
         own, begin = own[first], at[first]
         key, who = grams[anchor[begin]], doc[own]
         order = np.lexsort((who, key))
-        key, who, own, begin, count = key[order], who[order], own[order], begin[order], count[order]
         head = np.ones(len(key), bool)
-        head[1:] = key[1:] != key[:-1]
+        head[1:] = key[order][1:] != key[order][:-1]
         run = np.cumsum(head) - 1
-        least, most = who[head], who[np.append(np.flatnonzero(head)[1:], len(who)) - 1]
-        near = (most > least)[run]
-        later = near & (who > least[run])
-        return pa.table({
-            "place": np.where(later, mix(who.view(np.uint64), 1), key).view(np.int64), "anchor": key.view(np.int64),
-            "doc": who, "print": seal[own], "start": (begin - ends[own]).astype(np.int32),
-            "count": count.astype(np.int32), "near": near})
+        often = np.empty(len(key), bool)
+        later = np.empty(len(key), bool)
+        often[order] = (np.bincount(run) >= FREQUENT)[run]
+        later[order] = who[order] > who[order][head][run]
+        flags = np.where(often, np.where(later, OFTEN | LATER, OFTEN), 0)
+        return pa.table({"anchor": key.view(np.int64), "doc": who, "print": seal[own],
+                         "spot": (begin - ends[own]) << 20 | count << 4 | flags})
 
     return arrow_step(work, "text")
 
 
 def _shared(batches):
-    """Of anchors sorted by hash and document: those that several documents have."""
-    names = ("anchor", "doc", "print", "start", "count", "near")
-    held, sure = None, None
+    """Of anchors sorted by hash (frequent ones first) and document: those that several documents have, all of
+    them marked as frequent if one is."""
+    names = ("anchor", "doc", "print", "spot")
+    held, sure, often = None, None, False
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -185,15 +197,19 @@ def _shared(batches):
         head[1:] = key[1:] != key[:-1]
         at = np.flatnonzero(head)
         run = np.cumsum(head) - 1
-        many = np.logical_or.reduceat((doc != doc[at][run]) | rows["near"], at)
-        many[0] |= sure is not None and key[0] == sure
+        hot = (rows["spot"][at] & OFTEN) > 0
+        many = np.logical_or.reduceat(doc != doc[at][run], at) | hot
+        if sure is not None and key[0] == sure:
+            many[0], hot[0] = True, often
         out = many[run]
-        sure = key[-1] if many[-1] else None
+        sure, often = (key[-1], hot[-1]) if many[-1] else (None, False)
         held = None if many[-1] else {c: v[at[-1]:] for c, v in rows.items()}
-        yield pa.RecordBatch.from_arrays([pa.array(rows[c][out]) for c in names[:-1]], names=list(names[:-1]))
+        spot = np.where(hot[run], rows["spot"] | OFTEN, rows["spot"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows[c][out]) for c in names[:-1]] + [pa.array(spot[out])],
+                                         names=list(names))
 
 
-ROW = "place long, doc long, print long, start int, end int, bytes binary"
+ROW = "place long, doc long, print long, span long, bytes binary"
 
 
 def _stretches(n: int):
@@ -207,10 +223,10 @@ def _stretches(n: int):
         own = np.repeat(np.arange(len(doc)), np.diff(batch.column(3).offsets.to_numpy()))
         if not len(own):
             return None
-        start = parts.field("start").to_numpy(zero_copy_only=False) + ends[own]
-        count = parts.field("count").to_numpy(zero_copy_only=False).astype(np.int64)
+        spot = parts.field("spot").to_numpy(zero_copy_only=False)
+        start, count = (spot >> 20) + ends[own], spot >> 4 & 0xFFFF
         place = parts.field("anchor").to_numpy(zero_copy_only=False)
-        often = parts.field("often").to_numpy(zero_copy_only=False)
+        often = (spot & OFTEN) > 0
         rolling = _Rolling(data)
         if often.any():  # single strings, keyed by content
             alone = _ranges(start[often], count[often])
@@ -218,26 +234,31 @@ def _stretches(n: int):
             start = np.concatenate([start[~often], alone])
             place = np.concatenate([place[~often], rolling.of(alone, alone + n).view(np.int64)])
             count = np.concatenate([count[~often], np.ones(len(alone), np.int64)])
+            often = np.arange(len(start)) >= len(start) - len(alone)
         end = start + count + n - 1
         who = doc[own]
         held = rolling.of(start, end)
         order = np.lexsort((who, held))
-        own, start, end, place, who, held = (x[order] for x in (own, start, end, place, who, held))
-        head = np.ones(len(held), bool)
-        head[1:] = (held[1:] != held[:-1]) | (np.diff(end - start) != 0)
-        first = np.flatnonzero(head)[np.cumsum(head) - 1]
         size = end - start
+        head = np.ones(len(held), bool)
+        head[1:] = (held[order][1:] != held[order][:-1]) | (size[order][1:] != size[order][:-1])
+        first = np.empty(len(held), np.int64)
+        first[order] = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
         same = np.logical_and.reduceat(data[_ranges(start, size)] == data[_ranges(start[first], size)],
                                        np.cumsum(size) - size)
         gone = same & (who > who[first])
-        where = _ranges(start, np.where(gone, 0, size))
-        cuts = np.concatenate([[0], np.cumsum(np.where(gone, 0, size))]).astype(np.int32)
-        text = pa.Array.from_buffers(pa.binary(), len(start), [
-            pa.array(~gone).buffers()[1], pa.py_buffer(cuts.tobytes()), pa.py_buffer(data[where].tobytes())])
+        # what travels: nothing if gone, a digest of a single string, else the bytes
+        sent = np.where(gone, 0, np.where(often, 8, size))
+        cuts = np.concatenate([[0], np.cumsum(sent)])
+        text = np.empty(cuts[-1], np.uint8)
+        plain, short = ~gone & ~often, ~gone & often
+        text[_ranges(cuts[:-1][plain], size[plain])] = data[_ranges(start[plain], size[plain])]
+        text[_ranges(cuts[:-1][short], np.full(short.sum(), 8))] = rolling.again(start[short], n).view(np.uint8)
+        bytes_ = pa.Array.from_buffers(pa.binary(), len(start), [
+            pa.array(~gone).buffers()[1], pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(text.tobytes())])
         return pa.table({
-            "place": np.where(gone, mix(who.view(np.uint64), 1).view(np.int64), place), "doc": who,
-            "print": seal[own], "start": (start - ends[own]).astype(np.int32),
-            "end": (end - ends[own]).astype(np.int32), "bytes": text})
+            "place": np.where(gone, mix(who.view(np.uint64), 1).view(np.int64), place), "doc": who, "print": seal[own],
+            "span": (start - ends[own]) << 20 | size, "bytes": bytes_})
 
     return arrow_step(work, "text")
 
@@ -259,17 +280,32 @@ def refine(data: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _settled(n: int):
-    def spans(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def spans(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         table = pa.Table.from_batches(rows).combine_chunks()
-        doc, seal, start = (table.column(c).to_numpy() for c in ("doc", "print", "start"))
+        place, doc, seal, span = (table.column(c).to_numpy() for c in ("place", "doc", "print", "span"))
         data, ends = byte_view(table.column("bytes").chunk(0))
-        strings = np.diff(ends) - n + 1
-        at = _ranges(ends[:-1], strings)
-        row = np.repeat(np.arange(len(doc)), strings)
-        bucket = refine(data, n)[at]
-        least = np.full(int(bucket.max()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, bucket, doc[row])
-        gone = doc[row] > least[bucket]
+        size = np.diff(ends)
+        # single strings of frequent anchors by digest, all others by their bytes
+        row, at, equal = [], [], []
+        short = np.flatnonzero(size == 8)
+        if len(short):
+            digest = data[_ranges(ends[short], np.full(len(short), 8))].view(np.uint64)
+            pair = np.stack([place[short].view(np.uint64), digest], axis=1)
+            equal.append(np.unique(pair, axis=0, return_inverse=True)[1].reshape(-1))
+            row.append(short)
+            at.append(np.zeros(len(short), np.int64))
+        if len(short) < len(size):
+            long = np.flatnonzero(size != 8)
+            strings = size[long] - n + 1
+            begin = _ranges(ends[long], strings)
+            bucket = refine(data, n)
+            row.append(np.repeat(long, strings))
+            at.append(begin - np.repeat(ends[long], strings))
+            equal.append(bucket[begin] + (int(equal[0].max()) + 1 if equal else 0))
+        row, at, equal = (np.concatenate(x) for x in (row, at, equal))
+        least = np.full(int(equal.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, equal, doc[row])
+        gone = doc[row] > least[equal]
         row, at = row[gone], at[gone]
         if not len(row):
             return None
@@ -278,16 +314,17 @@ def _settled(n: int):
         one = np.flatnonzero(head)
         last = np.append(one[1:], len(row)) - 1
         own = row[one]
+        start = (span[own] >> 20) + at[one]
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc[own]), pa.array(seal[own]), pa.array((at[one] - ends[own] + start[own]).astype(np.int32)),
-             pa.array((at[last] - ends[own] + start[own] + n).astype(np.int32))], ["doc", "print", "start", "end"])
+            [pa.array(doc[own]), pa.array(seal[own]), pa.array(start << 20 | (at[last] - at[one] + n))],
+            ["doc", "print", "span"])
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
             ready = batch.filter(batch.column("bytes").is_null())
             if ready.num_rows:
-                yield ready.select(["doc", "print", "start", "end"])
+                yield ready.select(["doc", "print", "span"])
             batch = batch.filter(batch.column("bytes").is_valid())
             while batch.num_rows:
                 # up to the size, and then to the end of the place
@@ -324,7 +361,9 @@ def _kept(batch: pa.RecordBatch) -> pa.Table:
     flat = parts.flatten()
     cuts = parts.offsets.to_numpy()
     cuts = cuts - cuts[0]
-    first, last = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "end"))
+    flat = flat.to_numpy(zero_copy_only=False)
+    first = flat >> 20
+    last = first + (flat & 0xFFFFF)
     for i in range(batch.num_rows):
         text = data[ends[i]:ends[i + 1]]
         if cuts[i + 1] > cuts[i]:
@@ -354,25 +393,29 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     """
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     docs = docs.select("doc", F.xxhash64("text").alias("print"), "text")
-    known, row = docs.where("doc is not null"), ["doc", "print"]
-    pieces = (known.mapInArrow(_pieces(n), "place long, d1 long, d2 long, doc long, print long, start int, end int, gone boolean")
+    row = ["doc", "print"]
+
+    def beside(parts: DataFrame, kind: str) -> DataFrame:
+        """Each text with what is known of it. Always an outer join: so all three are over one and the same
+        shuffle of the texts."""
+        return docs.join(parts, row, "left").select(*row, "text", F.coalesce("parts", F.array().cast(kind)).alias("parts"))
+
+    pieces = (docs.where("doc is not null").mapInArrow(_pieces(n), "place long, d1 long, d2 long, doc long, print long, span long, gone boolean")
               .repartition("place").sortWithinPartitions("d1", "d2", "doc")
-              .mapInArrow(_owned, "doc long, print long, start int, end int, gone boolean"))
-    pieces = pieces.groupBy(*row).agg(F.collect_list(F.struct("start", "end", "gone")).alias("parts"))
-    anchors = (known.join(pieces, row).select(*row, "text", "parts")
-               .mapInArrow(_anchors(n), "place long, anchor long, doc long, print long, start int, count int, near boolean")
-               .repartition("place").sortWithinPartitions("anchor", "doc")
-               .mapInArrow(_shared, "anchor long, doc long, print long, start int, count int"))
-    often = anchors.groupBy("anchor").count().where(F.col("count") > FREQUENT).select("anchor", F.lit(True).alias("often"))
-    anchors = anchors.join(often, "anchor", "left").withColumn("often", F.coalesce("often", F.lit(False)))
-    anchors = anchors.groupBy(*row).agg(F.collect_list(F.struct("anchor", "start", "count", "often")).alias("parts"))
-    found = (known.join(anchors, row).select(*row, "text", "parts").mapInArrow(_stretches(n), ROW)
+              .mapInArrow(_owned, "doc long, print long, span long, gone boolean"))
+    pieces = pieces.groupBy(*row).agg(F.collect_list(F.struct("span", "gone")).alias("parts"))
+    frequent = F.col("spot").bitwiseAND(OFTEN | LATER)
+    anchors = (beside(pieces, "array<struct<span: bigint, gone: boolean>>")
+               .mapInArrow(_anchors(n), "anchor long, doc long, print long, spot long")
+               .repartition(F.when(frequent == (OFTEN | LATER), F.xxhash64("doc")).otherwise(F.col("anchor")))
+               .sortWithinPartitions("anchor", F.desc(F.col("spot").bitwiseAND(OFTEN)), "doc")
+               .mapInArrow(_shared, "anchor long, doc long, print long, spot long"))
+    anchors = anchors.groupBy(*row).agg(F.collect_list(F.struct("anchor", "spot")).alias("parts"))
+    found = (beside(anchors, "array<struct<anchor: bigint, spot: bigint>>").mapInArrow(_stretches(n), ROW)
              .repartition("place").sortWithinPartitions("place")
-             .mapInArrow(_settled(n), "doc long, print long, start int, end int"))
-    whole = pieces.select(*row, F.explode(F.filter("parts", lambda p: p["gone"])).alias("p")).select(*row, "p.start", "p.end")
-    spans = found.unionByName(whole).groupBy(*row).agg(F.collect_list(F.struct("start", "end")).alias("parts"))
-    empty = F.array().cast("array<struct<start: int, end: int>>")
-    out = (docs.join(spans, row, "left").select(*row, "text", F.coalesce("parts", empty).alias("parts"))
-           .mapInArrow(arrow_step(_kept, "text"), "doc long, n_bytes long, n_removed long, n_spans long, "
-                       "kept_sha256 string, kept binary"))
+             .mapInArrow(_settled(n), "doc long, print long, span long"))
+    whole = pieces.select(*row, F.explode(F.filter("parts", lambda p: p["gone"])).alias("p")).select(*row, "p.span")
+    spans = found.unionByName(whole).groupBy(*row).agg(F.collect_list("span").alias("parts"))
+    out = beside(spans, "array<bigint>").mapInArrow(
+        arrow_step(_kept, "text"), "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.withColumnRenamed("doc", key)
