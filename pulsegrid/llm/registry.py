@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, lines, pieces, substrings, surrogates
+from . import decontaminate, hosts, jaccard, lines, neighbours, pieces, substrings, surrogates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,52 @@ def op5_pii_surrogates(read) -> DataFrame:
 def op2_suffix_array_dedup(read) -> DataFrame:
     """Documents without the 50-byte strings that a document with a smaller id holds too."""
     return substrings.without_repeats(read("documents")).drop("kept")
+
+
+#: fixed values: the rules of the query
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+         ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def _level_sql(level: str, parent: str) -> str:
+    """CTEs that shrink the rates of one level towards those of the level above it."""
+    return f"""
+    {level}_in AS (SELECT {level}, sum(c.n) AS n, sum(c.b) AS b, any_value(p.mu) AS mu
+      FROM named c JOIN {parent}_out p USING ({parent}) GROUP BY {level}),
+    {level}_size AS (SELECT CASE WHEN coalesce(sum(n * (n - 1)), 0) = 0 THEN 10.0
+        WHEN (sum(power(b - n * mu, 2) / (mu * (1 - mu))) - sum(n)) / sum(n * (n - 1)) <= 1.0 / 1001 THEN 1000.0
+        ELSE greatest(1.0, sum(n * (n - 1)) / (sum(power(b - n * mu, 2) / (mu * (1 - mu))) - sum(n)) - 1) END AS m
+      FROM {level}_in WHERE n > 0),
+    {level}_out AS (SELECT {level}, n, m, (b + m * mu) / (n + m) AS mu FROM {level}_in, {level}_size)"""
+
+
+_FITS = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{d} {h}{p}'"
+                 for d, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2])))
+
+
+@query(f"""
+    WITH rest AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+    split AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+    fit AS (SELECT *, CASE {_FITS} END AS f FROM split),
+    judged AS (SELECT page_id, host, path, split_part(f, ' ', 2) AS rule, split_part(f, ' ', 1) AS decision FROM fit),
+    plain AS (SELECT host, count(*) FILTER (WHERE decision <> '') AS n, count(*) FILTER (WHERE decision = 'block') AS b,
+        string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS w FROM judged GROUP BY host),
+    marked AS (SELECT *, array_to_string(w, '.') AS name, CASE WHEN list_contains({list(hosts.TWO_LABELS)}, array_to_string(w[-2:], '.'))
+        THEN 2 ELSE 1 END AS k, regexp_matches(array_to_string(w, '.'), '^[0-9]+(\\.[0-9]+){{3}}$') OR len(w) < 2 AS alone FROM plain),
+    named AS (SELECT host, n, b, CASE WHEN alone THEN name ELSE array_to_string(w[-k:], '.') END AS suffix,
+        CASE WHEN alone THEN name ELSE array_to_string(w[-least(len(w), k + 1):], '.') END AS domain, 0 AS root FROM marked),
+    root_out AS (SELECT 0 AS root, (sum(b) + 0.5) / (sum(n) + 1) AS mu FROM named),
+    {_level_sql('suffix', 'root')}, {_level_sql('domain', 'suffix')}, {_level_sql('host', 'domain')}
+    SELECT page_id, host, path, nullif(rule, '') AS rule, CASE WHEN decision <> '' THEN decision
+      WHEN mu - 1.645 * sqrt(mu * (1 - mu) / (n + m + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+    FROM judged LEFT JOIN host_out USING (host)""")
+def op6_url_filters(read) -> DataFrame:
+    """Verdict on every page's url, by rule or by its host's reputation."""
+    return hosts.filtered(read("pages"), RULES)
+
+
+@query()
+def op7_nearest_neighbours(read) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    return neighbours.nearest(read("embeddings"), lambda key: key % 100 == 0)
