@@ -60,6 +60,31 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     docs = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("print", F.xxhash64("text"))
     found = windows(items, item_key, item_text, size)
+    rows = _hits(docs, found, shingle, broadcast_rows)
+    of = (rows.where("n_hit > 0").select("doc", "print", F.explode("windows").alias("window")).distinct()
+          .join(found, "window").groupBy("doc", "print").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    r, o = rows.alias("r"), of.alias("o")
+    joined = r.join(o, F.col("r.doc").eqNullSafe(F.col("o.doc")) & (F.col("r.print") == F.col("o.print")), "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return joined.select(F.col("r.doc").alias(key), "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
+          item_text: str = "text", size: int = 10, shingle: int = 3, broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` without a hit word, with all their columns."""
+    plain = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    plain = plain.withColumn("print", F.xxhash64("text"))
+    hit = _hits(plain, windows(items, item_key, item_text, size), shingle, broadcast_rows, only_hit=True)
+    left, right = docs.alias("l"), hit.where("n_hit > 0").select("doc", "print").distinct().alias("r")
+    seal = F.xxhash64(F.coalesce(F.col(f"l.{text}").cast("string"), F.lit("")))
+    return left.join(right, F.col(f"l.{key}").eqNullSafe(F.col("r.doc")) & (seal == F.col("r.print")), "left_anti")
+
+
+def _hits(docs: DataFrame, found: DataFrame, shingle: int, broadcast_rows: int, only_hit: bool = False) -> DataFrame:
+    """(doc, print, n_words, n_hit, windows) of every row of ``docs(doc, print, text)``, or only of rows with
+    candidates."""
     one = saved(found.select("window").distinct()
                 .select("window", F.split("window", " ").alias("w"))
                 .withColumn("len", F.size("w")).withColumn("g", F.least("len", F.lit(shingle)))
@@ -68,9 +93,9 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     lengths = sorted(r.g for r in one.select("g").distinct().collect())  # at most ``shingle`` figures
     grams = one.select("gram").distinct()
     if not lengths:
-        return _result(docs.select("doc", F.size(words(F.col("text"))).cast("long").alias("n_words"),
-                                   F.lit(0).cast("long").alias("n_hit"), F.lit(None).cast("array<string>").alias("items")),
-                       key)
+        return docs.where(F.lit(not only_hit)).select(
+            "doc", "print", F.size(words(F.col("text"))).cast("long").alias("n_words"),
+            F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("windows"))
     if one.count() <= broadcast_rows:
         grams = F.broadcast(grams)
 
@@ -94,21 +119,17 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
     # exact words of the candidates
     left, right = docs.alias("l"), candidates.alias("r")
-    whole = left.join(right, F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.print") == F.col("r.print")), "left")
+    whole = left.join(right, F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.print") == F.col("r.print")),
+                      "inner" if only_hit else "left")
     whole = whole.select("l.doc", "l.print", F.size(words(F.col("l.text"))).cast("long").alias("n_words"),
                          F.when(F.col("r.c").isNotNull(), words(exact(F.col("l.text")))).alias("w"), "r.c")
     same = F.filter("c", lambda x: F.array_join(F.slice(F.col("w"), x["start"] + 1, x["len"]), " ") == x["window"])
     whole = whole.select("doc", "print", "n_words", same.alias("c"))
     covered = F.array_distinct(F.flatten(F.transform(
         "c", lambda x: F.sequence(x["start"], x["start"] + x["len"] - 1))))
-    rows = saved(whole.select("doc", "print", "n_words",
+    return saved(whole.select("doc", "print", "n_words",
                               F.coalesce(F.when(F.size("c") > 0, F.size(covered)), F.lit(0)).cast("long").alias("n_hit"),
                               F.array_distinct(F.transform("c", lambda x: x["window"])).alias("windows")), "hits")
-    of = (rows.where("n_hit > 0").select("doc", "print", F.explode("windows").alias("window")).distinct()
-          .join(found, "window").groupBy("doc", "print").agg(F.sort_array(F.collect_set("item")).alias("items")))
-    r, o = rows.alias("r"), of.alias("o")
-    joined = r.join(o, F.col("r.doc").eqNullSafe(F.col("o.doc")) & (F.col("r.print") == F.col("o.print")), "left")
-    return _result(joined.select("r.doc", "n_words", "n_hit", "items"), key)
 
 
 def _window_gram(shingle: int) -> Column:
@@ -117,10 +138,3 @@ def _window_gram(shingle: int) -> Column:
     for g in range(1, shingle + 1):
         kinds = F.when(F.col("g") == g, _shingle([F.get("w", F.col("at") + k) for k in range(g)])).otherwise(kinds)
     return kinds
-
-
-def _result(rows: DataFrame, key: str) -> DataFrame:
-    items = F.coalesce("items", F.array().cast("array<string>"))
-    return rows.select(F.col("doc").alias(key), "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
-                       F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-                       (F.col("n_hit") > 0).alias("contaminated"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hosts, jaccard, lines, neighbours, pieces, substrings, surrogates
+from . import decontaminate, hosts, jaccard, lines, neighbours, pieces, substrings, surrogates, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -177,3 +177,15 @@ def op6_url_filters(read) -> DataFrame:
 def op7_nearest_neighbours(read) -> DataFrame:
     """The ten nearest vectors of every vector whose id is divisible by 100."""
     return neighbours.nearest(read("embeddings"), lambda key: key % 100 == 0)
+
+
+#: a byte-level vocabulary in rank format
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@query()
+def op1_token_counts(read) -> DataFrame:
+    """Tokens of every line of every document, from one encoding of the whole document."""
+    return tokens.attributed(read("documents"), tokens.load(RANKS)).select(
+        "doc_id", F.col("section").cast("long").alias("line"), "n_bytes", F.col("n_tokens").cast("long").alias("n_tokens"),
+        "n_crossing")
