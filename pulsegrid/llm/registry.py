@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hosts, jaccard, lines, neighbours, pieces, substrings, surrogates, tokens
+from . import chat, decontaminate, hosts, jaccard, lines, neighbours, pieces, substrings, surrogates, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,3 +189,24 @@ def op1_token_counts(read) -> DataFrame:
     return tokens.attributed(read("documents"), tokens.load(RANKS)).select(
         "doc_id", F.col("section").cast("long").alias("line"), "n_bytes", F.col("n_tokens").cast("long").alias("n_tokens"),
         "n_crossing")
+
+
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """Conversations as people paste them: each in one of five marker styles, every fifth marker missing."""
+    style = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(5))
+    there = F.pmod(F.crc32(F.concat_ws("-", "conv_id", "turn").cast("binary")), F.lit(5)) > 0
+    name, text = F.initcap("role"), F.coalesce("text", F.lit(""))
+    short = F.when(F.col("role") == "user", "Q").when(F.col("role") == "assistant", "A").otherwise(name)
+    marked = (F.when(style == 0, F.concat(name, F.lit(": "), text)).when(style == 1, F.concat(F.lit("### "), name, F.lit(":\n"), text))
+              .when(style == 2, F.concat(F.lit("["), F.upper("role"), F.lit("] "), text))
+              .when(style == 3, F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"), text, F.lit("\n<|im_end|>")))
+              .otherwise(F.concat(short, F.lit(": "), text)))
+    return conversations.withColumn("raw", F.concat(F.when(there, marked).otherwise(text), F.lit("\n")))
+
+
+@query()
+def op3_chat_formatting(read) -> DataFrame:
+    """Canonical turns of the conversations' raw transcripts; the model counts three quarters of them."""
+    rows = raw_transcripts(read("conversations"))
+    model = chat.fit(rows.where(~lines.held_out("conv_id")), "conv_id", [F.col("turn")], "raw")
+    return chat.parsed(rows, model, "conv_id", [F.col("turn")], "raw")
