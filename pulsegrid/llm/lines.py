@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import SPACE, arrow_step, byte_view, mix, space_words, word_hashes
+from .arrays import SPACE, arrow_step, byte_view, mix, space_words, steps, word_hashes
 
 # kinds of bytes
 _KIND = np.zeros(256, np.uint8)
@@ -130,8 +130,10 @@ class LineModel:
     def shares(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: length-weighted share of good text (0.5 without lines), lines, lines that are bad."""
         own, size, of = line_features(data, ends)
-        good = forward_backward(with_neighbours(own, of) @ self.weights, self.moves, of)[2]
-        rows = len(ends) - 1
+        return self.summed(with_neighbours(own, of), size, of, len(ends) - 1)
+
+    def summed(self, x: np.ndarray, size: np.ndarray, of: np.ndarray, rows: int):
+        good = forward_backward(x @ self.weights, self.moves, of)[2]
         total = np.bincount(of, size, rows)
         share = np.where(total > 0, np.bincount(of, size * good, rows) / np.maximum(total, 1), 0.5)
         return share, np.bincount(of, minlength=rows), np.bincount(of, good < 0.5, rows).astype(np.int64)
@@ -165,9 +167,13 @@ def _fit_chain(x, of, y, weight, rounds=150, rate=0.1, decay=1e-4):
 
 def fit(texts: list[str], quality: np.ndarray, prior: float) -> LineModel:
     """Fit on whole labelled texts; ``prior`` is the share of good ones among all labelled rows."""
-    data, ends = byte_view(pa.array(texts, pa.string()))
-    own, size, of = line_features(data, ends)
-    x, doc = with_neighbours(own, of), quality.astype(float)
+    parts, first = [], 0
+    for piece in steps(pa.record_batch({"text": pa.array(texts, pa.string())}), "text"):
+        own, size, of = line_features(*byte_view(piece.column(0)))
+        parts.append((with_neighbours(own, of), size, of + first))
+        first += piece.num_rows
+    x, size, of = (np.concatenate(p) for p in zip(*parts))
+    doc = quality.astype(float)
     share = max(min(doc.mean(), 0.999), 0.001)
     even = np.where(doc > 0, 0.5 / share, 0.5 / (1 - share))
     y = doc[of]
@@ -178,7 +184,7 @@ def fit(texts: list[str], quality: np.ndarray, prior: float) -> LineModel:
     np.minimum.at(worst, of, good)
     y = np.where((doc[of] == 0) & (good > 0.5) & (good > worst[of]), 1.0, y)
     model = LineModel(*_fit_chain(x, of, y, even[of]))
-    value = model.shares(data, ends)[0]
+    value = model.summed(x, size, of, len(texts))[0]
     real = np.where(doc > 0, prior / share, (1 - prior) / (1 - share))
     z = np.zeros(2)
     f = np.stack([value, np.ones_like(value)], axis=1)
@@ -197,7 +203,7 @@ def held_out(key: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-          sample_docs: int = 2000, sample_bytes: int = 200_000) -> LineModel:
+          sample_docs: int = 1000, sample_bytes: int = 50_000) -> LineModel:
     """Fit on labelled rows outside the held-out quarter: of each class at most ``sample_docs`` documents of
     at most ``sample_bytes`` bytes, those whose key has the smallest hash."""
     rows = (labels.select(F.col(key).alias("doc"), F.col(label).cast("int").alias("y"))
