@@ -127,7 +127,7 @@ def _owned(batches):
 
 
 def _anchors(n: int):
-    """Stretches of strings with one anchor in pieces that are not gone: anchor hash, doc, print, and packed in
+    """Stretches of strings with one anchor in pieces that are not gone: anchor hash, doc, and packed in
     ``spot`` the start, the number of strings, whether the anchor is frequent in the step, and if so whether a
     smaller document of the step has it too."""
 
@@ -137,12 +137,14 @@ def _anchors(n: int):
         pieces = batch.column(3)
         if len(data) < n:
             return None
+        doc = doc.astype(np.int64)
         parts = pieces.flatten()
         of = np.repeat(np.arange(len(doc)), np.diff(pieces.offsets.to_numpy()))
-        span = parts.field("span").to_numpy(zero_copy_only=False)
+        own_text = parts.field("print").to_numpy(zero_copy_only=False) == seal[of]
+        of, span = of[own_text], parts.field("span").to_numpy(zero_copy_only=False)[own_text]
         start = (span >> 20) + ends[of]
         last = start + (span & 0xFFFFF) - n + 1
-        gone = parts.field("gone").to_numpy(zero_copy_only=False)
+        gone = parts.field("gone").to_numpy(zero_copy_only=False)[own_text]
         edge = np.zeros(len(data) - n + 2, np.int64)
         np.add.at(edge, start[~gone], 1)
         np.add.at(edge, last[~gone], -1)
@@ -175,8 +177,7 @@ def _anchors(n: int):
         often[order] = (np.bincount(run) >= FREQUENT)[run]
         later[order] = who[order] > who[order][head][run]
         flags = np.where(often, np.where(later, OFTEN | LATER, OFTEN), 0)
-        return pa.table({"anchor": key.view(np.int64), "doc": who, "print": seal[own],
-                         "spot": (begin - ends[own]) << 20 | count << 4 | flags})
+        return pa.table({"anchor": key.view(np.int64), "doc": who, "spot": (begin - ends[own]) << 20 | count << 4 | flags})
 
     return arrow_step(work, "text")
 
@@ -184,7 +185,7 @@ def _anchors(n: int):
 def _shared(batches):
     """Of anchors sorted by hash (frequent ones first) and document: those that several documents have, all of
     them marked as frequent if one is."""
-    names = ("anchor", "doc", "print", "spot")
+    names = ("anchor", "doc", "spot")
     held, sure, often = None, None, False
     for batch in batches:
         if not batch.num_rows:
@@ -224,8 +225,14 @@ def _stretches(n: int):
         if not len(own):
             return None
         spot = parts.field("spot").to_numpy(zero_copy_only=False)
-        start, count = (spot >> 20) + ends[own], spot >> 4 & 0xFFFF
         place = parts.field("anchor").to_numpy(zero_copy_only=False)
+        start, count = (spot >> 20) + ends[own], spot >> 4 & 0xFFFF
+        # texts that share a key get each other's stretches; what lies beyond their end is left out
+        fits = start + count + n - 1 <= ends[own + 1]
+        own, spot, place, start, count = (x[fits] for x in (own, spot, place, start, count))
+        if not len(own):
+            return None
+        doc = doc.astype(np.int64)
         often = (spot & OFTEN) > 0
         rolling = _Rolling(data)
         if often.any():  # single strings, keyed by content
@@ -247,6 +254,12 @@ def _stretches(n: int):
         same = np.logical_and.reduceat(data[_ranges(start, size)] == data[_ranges(start[first], size)],
                                        np.cumsum(size) - size)
         gone = same & (who > who[first])
+        # settled strings that follow each other are one span
+        chain = gone[1:] & gone[:-1] & often[1:] & often[:-1] & (own[1:] == own[:-1]) & (np.diff(start) == 1)
+        opens = np.append(True, ~chain)
+        run = np.cumsum(opens) - 1
+        size = np.where(gone & often, np.bincount(run)[run] + n - 1, size)
+        own, start, place, who, gone, often, size = (x[opens] for x in (own, start, place, who, gone, often, size))
         # what travels: nothing if gone, a digest of a single string, else the bytes
         sent = np.where(gone, 0, np.where(often, 8, size))
         cuts = np.concatenate([[0], np.cumsum(sent)])
@@ -398,24 +411,25 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     def beside(parts: DataFrame, kind: str) -> DataFrame:
         """Each text with what is known of it. Always an outer join: so all three are over one and the same
         shuffle of the texts."""
-        return docs.join(parts, row, "left").select(*row, "text", F.coalesce("parts", F.array().cast(kind)).alias("parts"))
+        return docs.join(parts, "doc", "left").select(*row, "text", F.coalesce("parts", F.array().cast(kind)).alias("parts"))
 
     pieces = (docs.where("doc is not null").mapInArrow(_pieces(n), "place long, d1 long, d2 long, doc long, print long, span long, gone boolean")
               .repartition("place").sortWithinPartitions("d1", "d2", "doc")
               .mapInArrow(_owned, "doc long, print long, span long, gone boolean"))
-    pieces = pieces.groupBy(*row).agg(F.collect_list(F.struct("span", "gone")).alias("parts"))
+    pieces = pieces.groupBy("doc").agg(F.collect_list(F.struct("print", "span", "gone")).alias("parts"))
     frequent = F.col("spot").bitwiseAND(OFTEN | LATER)
-    anchors = (beside(pieces, "array<struct<span: bigint, gone: boolean>>")
-               .mapInArrow(_anchors(n), "anchor long, doc long, print long, spot long")
+    anchors = (beside(pieces, "array<struct<print: bigint, span: bigint, gone: boolean>>")
+               .mapInArrow(_anchors(n), "anchor long, doc long, spot long")
                .repartition(F.when(frequent == (OFTEN | LATER), F.xxhash64("doc")).otherwise(F.col("anchor")))
                .sortWithinPartitions("anchor", F.desc(F.col("spot").bitwiseAND(OFTEN)), "doc")
-               .mapInArrow(_shared, "anchor long, doc long, print long, spot long"))
-    anchors = anchors.groupBy(*row).agg(F.collect_list(F.struct("anchor", "spot")).alias("parts"))
+               .mapInArrow(_shared, "anchor long, doc long, spot long"))
+    anchors = anchors.groupBy("doc").agg(F.collect_list(F.struct("anchor", "spot")).alias("parts"))
     found = (beside(anchors, "array<struct<anchor: bigint, spot: bigint>>").mapInArrow(_stretches(n), ROW)
              .repartition("place").sortWithinPartitions("place")
              .mapInArrow(_settled(n), "doc long, print long, span long"))
-    whole = pieces.select(*row, F.explode(F.filter("parts", lambda p: p["gone"])).alias("p")).select(*row, "p.span")
-    spans = found.unionByName(whole).groupBy(*row).agg(F.collect_list("span").alias("parts"))
-    out = beside(spans, "array<bigint>").mapInArrow(
+    whole = pieces.select("doc", F.explode(F.filter("parts", lambda p: p["gone"])).alias("p")).select("doc", "p.print", "p.span")
+    spans = found.unionByName(whole).groupBy("doc").agg(F.collect_list(F.struct("print", "span")).alias("parts"))
+    own = F.transform(F.filter("parts", lambda p: p["print"] == F.col("print")), lambda p: p["span"])
+    out = beside(spans, "array<struct<print: bigint, span: bigint>>").withColumn("parts", own).mapInArrow(
         arrow_step(_kept, "text"), "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.withColumnRenamed("doc", key)
