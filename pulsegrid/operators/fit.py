@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from math import comb
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -34,45 +36,55 @@ def poly_fit(df: DataFrame, x: str, y: str, order: int, keys=None,
 
     Executors sum powers of x and y·powers in one aggregation; only one row of sums
     per group goes on to the small solve. Powers are taken of (x - center) / scale,
-    for which the mean and deviation of the whole column are measured unless given.
+    the mean and deviation of each group's own x unless given. ``coefs`` is null only
+    for a group with too few different x.
     """
     keys = names(keys)
+    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     if center is None or scale is None:
-        m = df.agg(F.avg(x).alias("c"), F.stddev_pop(x).alias("s")).first()
-        center = (m["c"] or 0.0) if center is None else center
-        scale = (m["s"] or 1.0) if scale is None else scale
-    center, scale = float(center), float(scale)
-    t = (F.col(x) - F.lit(center)) / F.lit(scale)
+        measured = pairs.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+            F.avg(x).alias("_c"), F.stddev_pop(x).alias("_s"))
+        if keys:
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+            pairs = pairs.join(measured, same).drop(*[f"_k{i}" for i in range(len(keys))])
+        else:
+            m = measured.first()
+            pairs = pairs.withColumns({"_c": F.lit(m["_c"]).cast("double"), "_s": F.lit(m["_s"]).cast("double")})
+    mid = F.coalesce("_c", F.lit(0.0)) if center is None else F.lit(float(center))
+    spread = F.coalesce(F.nullif("_s", F.lit(0.0)), F.lit(1.0)) if scale is None else F.lit(float(scale))
+    t = (F.col(x) - mid) / spread
     v = F.col(y).cast("double")
-    pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     powers = [F.lit(1.0)]
     for _ in range(2 * order):
         powers.append(powers[-1] * t)
     sums = pairs.groupBy(*keys).agg(
         F.array(*[F.sum(p) for p in powers]).alias("_sx"),
         F.array(*[F.sum(v * p) for p in powers[: order + 1]]).alias("_sxy"),
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("n"), F.min(mid).alias("_mid"), F.min(spread).alias("_spread"),
     )
     schema = T.StructType(
         [sums.schema[k] for k in keys]
         + [T.StructField("coefs", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType())]
     )
     size = order + 1
-    # back from powers of (x - center) / scale to powers of x
-    back = np.zeros((size, size))
-    for p in range(size):
-        for q in range(p + 1):
-            back[q, p] = comb(p, q) * (-center) ** (p - q) / scale**p
+
+    def back(center: float, scale: float) -> np.ndarray:
+        """From powers of (x - center) / scale to powers of x."""
+        out = np.zeros((size, size))
+        for p in range(size):
+            for q in range(p + 1):
+                out[q, p] = comb(p, q) * (-center) ** (p - q) / scale**p
+        return out
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for sx, sxy in zip(batch.column("_sx").to_pylist(), batch.column("_sxy").to_pylist()):
+            for sx, sxy, center, scale in zip(*(batch.column(c).to_pylist() for c in ("_sx", "_sxy", "_mid", "_spread"))):
                 gram = np.array([[sx[i + j] for j in range(size)] for i in range(size)]) if sx[0] else None
                 if gram is None or np.linalg.matrix_rank(gram) < size:
                     out.append(None)
                 else:
-                    out.append(list(back @ np.linalg.solve(gram, np.array(sxy))))
+                    out.append(list(back(center, scale) @ np.linalg.solve(gram, np.array(sxy))))
             arrays = [batch.column(k) for k in keys]
             arrays += [pa.array(out, pa.list_(pa.float64())), batch.column("n")]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])

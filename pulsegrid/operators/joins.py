@@ -40,19 +40,26 @@ def positional_join(a: DataFrame, b: DataFrame, order_a, order_b, key=None,
 
 
 def fifo_match(arrivals: DataFrame, services: DataFrame, queue, ts: str, tie=None,
-               max_rows: int | None = None) -> DataFrame:
-    """The k-th arrival of a queue with its k-th service start: (queue, k, arrived, started, wait)."""
+               max_rows: int | None = None, position: str = "k") -> DataFrame:
+    """The k-th arrival of a queue with its k-th service start: (queue, k, arrived, started, wait).
+
+    A null queue is a queue like any other. ``position`` names the column k.
+    """
     keys, order = od.names(queue), [ts] + od.names(tie)
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return od.scan(df, keys, order, k=od.row_number(), max_rows=max_rows).select(
-            *keys, "k", F.col(ts).alias(name)
+        return od.scan(df, keys, order, _k=od.row_number(), max_rows=max_rows).select(
+            *[F.col(c).alias(f"_{name}_{i}") for i, c in enumerate(keys)],
+            F.col("_k").alias(f"_{name}_k"), F.col(ts).alias(name)
         )
 
-    return (
-        side(arrivals, "arrived")
-        .join(side(services, "started"), keys + ["k"], "inner")
-        .withColumn("wait", F.col("started") - F.col("arrived"))
+    same = F.col("_arrived_k") == F.col("_started_k")
+    for i in range(len(keys)):
+        same = same & F.col(f"_arrived_{i}").eqNullSafe(F.col(f"_started_{i}"))
+    return side(arrivals, "arrived").join(side(services, "started"), same).select(
+        *[F.col(f"_arrived_{i}").alias(c) for i, c in enumerate(keys)],
+        F.col("_arrived_k").alias(position), "arrived", "started",
+        (F.col("started") - F.col("arrived")).alias("wait"),
     )
 
 
@@ -62,13 +69,18 @@ def snapshot(events: DataFrame, key, ts: str, every: int = 3000,
              span: tuple[int, int] | None = None) -> DataFrame:
     """State as of every ``every`` ticks: running ``sums`` and the ``latest`` values so far.
 
-    Events are condensed to one row per key and tick before the shuffle, so the
-    ordered pass sees keys x ticks rows, however many events a key has.
+    A key is reported from the tick of its first event on, up to the last tick of all keys. ``span``
+    (first and last tick) limits the report; events before it count in its first tick. Events are
+    condensed to one row per key and tick before the shuffle, so the ordered pass sees keys x ticks
+    rows, however many events a key has. A null key is a key like any other.
     """
     keys = od.names(key)
     sums, latest = dict(sums or {}), dict(latest or {})
     tick = (F.ceil(F.col(ts) / every) * every).cast("long")
     position = F.struct(ts, *od.names(tie))
+    if span is not None:
+        tick = F.greatest(tick, F.lit(span[0]).cast("long"))
+        events = events.filter(F.col(ts) <= span[1])
     condensed = events.withColumn("tick", tick).groupBy(*keys, "tick").agg(
         *[F.sum(c).alias(n) for n, c in sums.items()],
         *[F.max_by(c, F.when(c.isNotNull(), position)).alias(n) for n, c in latest.items()],
@@ -81,14 +93,18 @@ def snapshot(events: DataFrame, key, ts: str, every: int = 3000,
     lo, hi = span
     # the grid is the report itself, one row per key and tick, made in blocks of ticks
     block = every * _TICKS_PER_BLOCK
-    firsts = F.explode(F.sequence(F.lit(lo), F.lit(hi), F.lit(block)))
-    owners = condensed.select(*keys).distinct() if keys else events.sparkSession.range(1).select()
-    grid = owners.select("*", firsts.alias("_first")).select(
-        *keys,
+    firsts = F.explode(F.sequence("_begin", F.lit(hi).cast("long"), F.lit(block).cast("long")))
+    owners = condensed.groupBy(*keys).agg(F.min("tick").alias("_begin")).filter("_begin is not null")
+    grid = owners.select(*keys, firsts.alias("_first")).select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(keys)],
         F.explode(F.sequence("_first", F.least(F.col("_first") + (block - every), F.lit(hi)), F.lit(every)))
-        .alias("tick"),
+        .alias("_tick"),
     )
-    filled = grid.join(condensed, keys + ["tick"], "left")
+    same = F.col("_tick") == F.col("tick")
+    for i, c in enumerate(keys):
+        same = same & F.col(f"_g{i}").eqNullSafe(F.col(c))
+    filled = grid.join(condensed, same, "left").drop("tick", *keys).withColumnsRenamed(
+        {"_tick": "tick"} | {f"_g{i}": c for i, c in enumerate(keys)})
     count = (hi - lo) // every + 1
     split = od.whole(keys, "tick") if count <= od.DEFAULT_MAX_ROWS else None
     out = od.scan(

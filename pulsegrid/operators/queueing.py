@@ -70,15 +70,15 @@ def server_report(services: DataFrame, breaks: DataFrame, server: str, start: st
             "_longest_break"]
     )
     if n_servers is None:
-        known = services.select(server).unionByName(breaks.select(server)).distinct()
-        servers = known.agg(F.count(F.lit(1)).alias("c")).scalar()
+        # the rows of ``both`` are the servers; counting them reuses its shuffles
+        servers = both.agg(F.count(F.lit(1)).alias("c")).scalar()
     else:
         servers = F.lit(n_servers)
 
     def minutes(c: str) -> Column:
         return _div(F.col(c), F.lit(100))
 
-    none = F.lit("No breaks taken")
+    none = F.lit("none")
     avg_break = _whole_minutes(F.col("_break"), F.col("breaks"))
     return both.select(
         server,

@@ -7,31 +7,31 @@ from pyspark.sql import functions as F
 
 from ..plans.ordered import names
 
-#: at most this many characters take part in a comparison
-COMPARED = 256
-
-
 def find_exact(df: DataFrame, word: str, literal: str, order) -> DataFrame:
     """The first row along ``order`` whose word equals ``literal``; empty if there is none."""
-    same = F.left(F.col(word), F.lit(COMPARED)) == literal[:COMPARED]
-    return df.filter(same).orderBy(*names(order)).limit(1)
+    return df.filter(F.col(word) == literal).orderBy(*names(order)).limit(1)
 
 
 def word_hits(corpus: DataFrame, queries: DataFrame, word: str = "word") -> DataFrame:
-    """Every distinct query word with whether the corpus has it.
-
-    The corpus is reduced to its vocabulary before any join, with the reduction
-    starting inside each task, so a very frequent word costs nothing extra.
-    """
-    have = corpus.select(F.left(F.col(word), F.lit(COMPARED)).alias("_w")).distinct()
-    asked = queries.select(word).distinct().withColumn("_q", F.left(F.col(word), F.lit(COMPARED)))
-    joined = asked.join(have, F.col("_q") == F.col("_w"), "left")
+    """Every distinct query word with whether the corpus has it."""
+    asked = queries.select(word).distinct()
+    have = _seen(corpus, asked, word).select(F.col(word).alias("_w"))
+    joined = asked.join(have, F.col(word) == F.col("_w"), "left")
     return joined.select(word, F.col("_w").isNotNull().alias("found"))
 
 
 def occurring(corpus: DataFrame, queries: DataFrame, word: str = "word") -> DataFrame:
-    return queries.select(word).distinct().join(corpus.select(word).distinct(), word, "left_semi")
+    """The distinct query words that the corpus has."""
+    return _seen(corpus, queries.select(word).distinct(), word)
 
 
 def missing(corpus: DataFrame, queries: DataFrame, word: str = "word") -> DataFrame:
-    return queries.select(word).distinct().join(corpus.select(word).distinct(), word, "left_anti")
+    """The distinct query words that the corpus lacks."""
+    asked = queries.select(word).distinct()
+    return asked.join(_seen(corpus, asked, word), word, "left_anti")
+
+
+def _seen(corpus: DataFrame, asked: DataFrame, word: str) -> DataFrame:
+    """The asked words of the corpus. The corpus meets the asked words before it is made distinct, so its other
+    words are never shuffled when Spark can broadcast the asked ones."""
+    return corpus.select(word).join(asked, word, "left_semi").distinct()

@@ -104,12 +104,14 @@ def pulse_widths(df: DataFrame, key, ts: str, tie=None, order=None, wrap: int =
     return kept.withColumn("width", F.pmod(F.col("_next") - F.col(ts), F.lit(wrap))).drop("_rn", "_next")
 
 
-def pulse_histogram(df: DataFrame, key, ts: str, lo: int, hi: int | None = None, cap: int = 1000,
+def pulse_histogram(df: DataFrame, key, ts: str, lo: int, hi: int | None = None, cap: int | None = None,
                     tie=None, order=None, wrap: int = WRAP, **opts) -> DataFrame:
-    """(key, bucket, width, count) of the first ``cap`` widths within the band of each key."""
+    """(key, bucket, width, count) of all widths within the band of each key, or of the first ``cap``."""
     by = od.names(order) or [ts] + od.names(tie)
     widths = pulse_widths(df, key, ts, tie, order, wrap, **opts)
-    accepted = cap_first(band_filter(widths, "width", lo, hi), key, by, cap)
+    accepted = band_filter(widths, "width", lo, hi)
+    if cap is not None:
+        accepted = cap_first(accepted, key, by, cap)
     return (
         accepted.groupBy(*od.names(key), "width")
         .agg(F.count(F.lit(1)).alias("count"))

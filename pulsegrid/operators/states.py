@@ -38,6 +38,8 @@ class DebounceFold(folds.Fold):
         times, gap = cols[0], self.min_gap
         for i in range(lo, hi):
             t = times[i]
+            if t is None:
+                continue
             if state is None or t - state >= gap:
                 rows.append(i)
                 state = t
@@ -52,6 +54,8 @@ class DebounceFold(folds.Fold):
         times, gap, chains = cols[0], self.min_gap, d["chains"]
         for i in range(lo, hi):
             t = times[i]
+            if t is None:
+                continue
             if d["first"] is None:
                 d["first"] = t
             joined: list[int] = []
@@ -80,7 +84,8 @@ class DebounceFold(folds.Fold):
 
 def debounce(df: DataFrame, key, ts: str, min_gap: int, initial_last: int | None = None,
              tie: str | None = None, **opts) -> DataFrame:
-    """Keep an event only if it is ``min_gap`` ticks after the last *kept* one of its key."""
+    """Keep an event only if it is ``min_gap`` ticks after the last *kept* one of its key. An event without a
+    time is not kept."""
     order = [ts] + od.names(tie)
     return folds.run_fold(df, key, order, DebounceFold(ts, min_gap, initial_last),
                           list(df.columns), **opts)
@@ -168,34 +173,38 @@ def state_machine(df: DataFrame, key, order, event: str,
 
 
 class LineFold(folds.Fold):
-    """State: [lines sent so far, the text typed so far]."""
+    """State: [lines sent so far, the text typed so far, characters dropped from it]."""
 
     def __init__(self, ch: str, max_len: int):
         self.inputs = (ch,)
-        self.extra = (T.StructField("line_no", T.LongType()), T.StructField("line", T.StringType()))
+        self.extra = (T.StructField("line_no", T.LongType()), T.StructField("line", T.StringType()),
+                      T.StructField("dropped", T.LongType()))
         self.max_len = max_len
 
     def initial(self):
-        return [0, ""]
+        return [0, "", 0]
 
     def walk(self, cols, lo, hi, state, rows, extra):
         chars, cap = cols[0], self.max_len
-        numbers, lines = extra
-        sent, typed = state[0], list(state[1])
+        numbers, lines, lost = extra
+        sent, typed, dropped = state[0], list(state[1]), state[2]
         for i in range(lo, hi):
             c = chars[i]
             if c == "\n" or c == "\r":
                 rows.append(i)
                 numbers.append(sent)
                 lines.append("".join(typed))
-                sent += 1
+                lost.append(dropped)
+                sent, dropped = sent + 1, 0
                 typed.clear()
             elif c == "\b":
                 if typed:
                     typed.pop()
-            elif len(typed) < cap:
+            elif c is not None and len(typed) < cap:
                 typed.append(c)
-        return [sent, "".join(typed)]
+            else:
+                dropped += 1
+        return [sent, "".join(typed), dropped]
 
     # Until the first line end, what a segment does to the incoming text depends only
     # on its length, so one lane per length 0..max_len is followed. ``keep`` is how much
@@ -207,6 +216,7 @@ class LineFold(folds.Fold):
             "state": None,
             "size": np.arange(n),
             "keep": np.arange(n),
+            "dropped": np.zeros(n, dtype=np.int64),
             "text": np.full((n, self.max_len), "", dtype=object),
         }
 
@@ -217,40 +227,44 @@ class LineFold(folds.Fold):
             c = chars[i]
             i += 1
             if c == "\n" or c == "\r":
-                d["sent"], d["state"] = 1, [0, ""]
+                d["sent"], d["state"] = 1, [0, "", 0]
             elif c == "\b":
                 d["size"] = np.maximum(d["size"] - 1, 0)
                 d["keep"] = np.minimum(d["keep"], d["size"])
+            elif c is None:
+                d["dropped"] += 1
             else:
+                d["dropped"][d["size"] >= cap] += 1
                 room = np.nonzero(d["size"] < cap)[0]
                 d["text"][room, d["size"][room]] = c
                 d["size"][room] += 1
         if d["state"] is not None and i < hi:
-            sink: list[list] = [[], []]
+            sink: list[list] = [[], [], []]
             d["state"] = self.walk(cols, i, hi, d["state"], [], sink)
         return d
 
     def seal(self, d):
         if d["state"] is not None:
-            return {"sent": d["sent"] + d["state"][0], "typed": d["state"][1]}
+            return {"sent": d["sent"] + d["state"][0], "typed": d["state"][1], "dropped": d["state"][2]}
         lanes = [
-            [int(k), "".join(row[int(k):int(s)])]
-            for k, s, row in zip(d["keep"], d["size"], d["text"])
+            [int(k), "".join(row[int(k):int(s)]), int(lost)]
+            for k, s, row, lost in zip(d["keep"], d["size"], d["text"], d["dropped"])
         ]
         return {"sent": 0, "lanes": lanes}
 
     def step(self, state, sealed):
-        sent, typed = state
+        sent, typed, dropped = state
         if "typed" in sealed:
-            return [sent + sealed["sent"], sealed["typed"]]
-        keep, suffix = sealed["lanes"][len(typed)]
-        return [sent, typed[:keep] + suffix]
+            return [sent + sealed["sent"], sealed["typed"], sealed["dropped"]]
+        keep, suffix, lost = sealed["lanes"][len(typed)]
+        return [sent, typed[:keep] + suffix, dropped + lost]
 
 
 def assemble_lines(df: DataFrame, key, order, ch: str, max_len: int = 80, **opts) -> DataFrame:
     """Lines from single characters: append up to ``max_len``, backspace deletes, CR or LF sends.
 
-    Returns the key and order columns of the sending character, ``line_no`` and ``line``.
+    Returns the key and order columns of the sending character, ``line_no``, ``line`` and ``dropped``, the
+    number of characters that found the line full (or were null).
     """
     passed = list(dict.fromkeys(od.names(key) + od.names(order)))
     return folds.run_fold(df, key, order, LineFold(ch, max_len), passed, **opts)
@@ -310,14 +324,16 @@ def frame_arrays(framed: DataFrame, key, value: str, chunk: int = 65536) -> Data
 # ----------------------------------------------------------------------------- closing report
 
 
-def final_report(df: DataFrame, ts: str, depth: str, close: int, key=None) -> DataFrame:
-    """One row (per key): the first moment at or after ``close`` with nobody left in the queue."""
-    done = (F.col(ts) >= close) & (F.col(depth) == 0)
-    return (
-        df.filter(done)
-        .groupBy(*od.names(key))
-        .agg(F.min(ts).alias("report_ts"), F.count(F.lit(1)).alias("quiet_moments"))
-    )
+def final_report(df: DataFrame, ts: str, depth: str, close: int, key=None, tie=None) -> DataFrame:
+    """One row (per key): the first moment at or after ``close`` with nobody left in the queue.
+
+    ``df`` holds the depth after each event. A queue whose last event up to ``close`` left it empty, or that had
+    none, reports at ``close``; one that never empties has no row. ``tie`` orders events of one moment.
+    """
+    last = F.max_by(depth, F.when(F.col(ts) <= close, F.struct(ts, *od.names(tie))))
+    after = F.min(F.when((F.col(ts) > close) & (F.col(depth) == 0), F.col(ts)))
+    report = F.when(F.coalesce(last, F.lit(0)) == 0, F.lit(close).cast("long")).otherwise(after)
+    return df.groupBy(*od.names(key)).agg(report.alias("report_ts")).filter("report_ts is not null")
 
 
 def collect_n(df: DataFrame, key, order, n: int, accept: Column | None = None) -> DataFrame:

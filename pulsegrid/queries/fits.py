@@ -56,6 +56,18 @@ def poly_fit(t):
                       F.round(c[2], 5).alias("c2"))
 
 
+@query("a3_poly_fit_far", """
+SELECT l_linenumber, count(*) AS n, round(2 * 25 * 25 + 3e0, 2) AS at_25 FROM lineitem GROUP BY l_linenumber
+""")
+def poly_fit_far(t):
+    """Groups ten thousand apart: y = 2u² + 3 over u = quantity, with x = u + 10000 · line number."""
+    u, far = F.col("l_quantity"), F.col("l_linenumber") * 10000
+    df = t.lineitem.select("l_linenumber", (u + far).alias("x"), (2 * u * u + 3).alias("y"))
+    out = fit.poly_fit(df, "x", "y", 2, "l_linenumber")
+    x, c = F.col("l_linenumber") * 10000 + 25.0, F.col("coefs")
+    return out.select("l_linenumber", "n", F.round(c[0] + c[1] * x + c[2] * x * x, 2).alias("at_25"))
+
+
 @query("a3_poly_fit_line", """
 SELECT l_shipdate < TIMESTAMP '1998-01-01' AS early, count(*) AS n,
   round(regr_intercept(l_extendedprice, l_quantity), 3) AS c0, round(regr_slope(l_extendedprice, l_quantity), 4) AS c1

@@ -112,13 +112,25 @@ def queue_report(t):
 
 CLOSING = f"""
 WITH {CUSTOMERS}, {DEPTH}
-SELECT queue, min(ts) AS report_ts FROM depths WHERE ts >= 1500000000 AND depth = 0 GROUP BY queue
+SELECT queue, CASE WHEN coalesce(max_by(depth, (ts, event_id, delta)) FILTER (ts <= 1500000000), 0) = 0 THEN 1500000000
+  ELSE min(ts) FILTER (ts > 1500000000 AND depth = 0) END AS report_ts
+FROM depths GROUP BY queue
 """
 
 
-@query("t7_final_report", CLOSING.replace("min(ts) AS report_ts", "min(ts) AS report_ts, count(*) AS quiet_moments"))
+@query("t7_final_report", f"SELECT * FROM ({CLOSING}) WHERE report_ts IS NOT NULL")
 def final_report(t):
-    return st.final_report(depths(t), "ts", "depth", 1_500_000_000, "queue")
+    return st.final_report(depths(t), "ts", "depth", 1_500_000_000, "queue", tie=["event_id", "delta"])
+
+
+@query("t7_final_report_drained", f"""
+WITH {CUSTOMERS}, {DEPTH}
+SELECT queue, max(ts) + 1 AS report_ts FROM depths WHERE queue = 1 GROUP BY queue
+""")
+def final_report_drained(t):
+    """A queue whose last customer left before closing time reports at closing time."""
+    d = depths(t).filter("queue = 1")
+    return st.final_report(d, "ts", "depth", d.agg(F.max("ts") + 1).first()[0], "queue", tie=["event_id", "delta"])
 
 
 # ----------------------------------------------------------------------------- servers
@@ -146,8 +158,8 @@ report AS (SELECT server, coalesce(served, 0) AS served,
   CAST(trunc(trunc(idle / served) / 100) AS BIGINT) AS avg_idle,
   CAST(trunc(trunc(coalesce(idle, 0) / (SELECT count(*) FROM (SELECT server FROM w UNION SELECT server FROM b))) / 100) AS BIGINT) AS ref_idle_div,
   CAST(trunc(coalesce(longest_idle, 0) / 100) AS BIGINT) AS max_idle, coalesce(breaks, 0) AS breaks,
-  coalesce(CAST(total // breaks // 100 AS VARCHAR), 'No breaks taken') AS avg_break,
-  coalesce(b.longest, 0) // 100 AS longest_break, coalesce(CAST(shortest // 100 AS VARCHAR), 'No breaks taken') AS shortest_break
+  coalesce(CAST(total // breaks // 100 AS VARCHAR), 'none') AS avg_break,
+  coalesce(b.longest, 0) // 100 AS longest_break, coalesce(CAST(shortest // 100 AS VARCHAR), 'none') AS shortest_break
   FROM w FULL JOIN b USING (server))
 """
 
@@ -159,16 +171,16 @@ def server_report(t):
 
 @query("s9_server_report_text", f"""
 WITH {SERVERS} SELECT server, unnest([0, 1, 2]) AS line_no, unnest([
-  'Teller ' || server || ' served ' || served || ' customers',
-  'Teller ' || server || ' total number of breaks: ' || breaks,
-  'Teller ' || server || ' shortest break time: ' || shortest_break]) AS line FROM report
+  'server ' || server || ': ' || served || ' served',
+  'server ' || server || ': ' || breaks || ' pauses',
+  'server ' || server || ': briefest pause ' || shortest_break]) AS line FROM report
 """)
 def server_report_text(t):
     report = qu.server_report(customers(t), breaks(t), "server", "start", "finish", tie="event_id")
     return gen.render_report(report, [
-        ("Teller %d served %d customers", ["server", "served"]),
-        ("Teller %d total number of breaks: %d", ["server", "breaks"]),
-        ("Teller %d shortest break time: %s", ["server", "shortest_break"]),
+        ("server %d: %d served", ["server", "served"]),
+        ("server %d: %d pauses", ["server", "breaks"]),
+        ("server %d: briefest pause %s", ["server", "shortest_break"]),
     ], keep=["server"])
 
 
@@ -182,10 +194,10 @@ m AS (SELECT *, CAST(sum(delta) OVER w AS BIGINT) AS waiting, CAST(sum(done) OVE
   FROM moves WINDOW w AS (PARTITION BY queue ORDER BY ts, event_id, done ROWS UNBOUNDED PRECEDING)),
 last AS (SELECT *, row_number() OVER (PARTITION BY queue ORDER BY ts, event_id, done) AS rn FROM m),
 pos AS (SELECT tick, q.queue, max(rn) AS rn FROM ticks, (SELECT DISTINCT queue FROM moves) q
-  LEFT JOIN last ON last.queue = q.queue AND last.ts <= tick GROUP BY tick, q.queue)
-SELECT tick, pos.queue, coalesce(waiting, 0) AS waiting, coalesce(served, 0) AS served,
+  LEFT JOIN last ON last.queue IS NOT DISTINCT FROM q.queue AND last.ts <= tick GROUP BY tick, q.queue)
+SELECT tick, pos.queue, waiting, served,
   CASE WHEN done = 1 THEN 'left' WHEN done = 0 THEN 'came' END AS status
-FROM pos LEFT JOIN last USING (queue, rn)
+FROM pos JOIN last ON last.queue IS NOT DISTINCT FROM pos.queue AND last.rn = pos.rn
 """
 
 
@@ -209,16 +221,16 @@ def snapshot(t):
 @query("j5_snapshot_text", f"""
 WITH s AS ({SNAPSHOT})
 SELECT tick, queue, unnest([0, 1]) AS line_no, unnest([
-  'Simulated Time: ' || printf('%02d:%02d', 9 + tick // 6000, (tick // 100) % 60) || ' (Clock Time)',
-  'Customers in Queue: ' || waiting || ' Status: ' || CASE WHEN waiting > 0 THEN 'Busy' WHEN served % 2 = 1 THEN 'On Break' ELSE 'Idle' END]) AS line
+  'at ' || printf('%02d:%02d', 9 + tick // 6000, (tick // 100) % 60),
+  'waiting ' || waiting || ', now ' || CASE WHEN waiting > 0 THEN 'Busy' WHEN served % 2 = 1 THEN 'On Break' ELSE 'Idle' END]) AS line
 FROM s
 """)
 def snapshot_text(t):
     """The periodic screen: clock, depth and status."""
     shot = snapshot(t)
     return gen.render_report(shot, [
-        ("Simulated Time: %s (Clock Time)", [tick_to_clock("tick")]),
-        ("Customers in Queue: %d Status: %s",
+        ("at %s", [tick_to_clock("tick")]),
+        ("waiting %d, now %s",
          ["waiting", busy_label(F.col("waiting") > 0, F.col("served") % 2 == 1)]),
     ], keep=["tick", "queue"])
 

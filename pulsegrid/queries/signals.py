@@ -152,15 +152,14 @@ PULSES = f"""
 WITH {EV}, p AS (SELECT user_id, us, event_id, tick // 3600000 AS hour, row_number() OVER w AS rn,
     lead(tick // 3600000) OVER w AS nxt FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)),
 d AS (SELECT user_id, us, event_id, nxt - hour AS width FROM p WHERE rn % 2 = 1 AND nxt IS NOT NULL),
-b AS (SELECT user_id, width FROM d WHERE width BETWEEN 2 AND 40
-      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) <= 20)
+b AS (SELECT user_id, width FROM d WHERE width BETWEEN 2 AND 40)
 SELECT user_id, width, width - 2 AS bucket, count(*) AS count FROM b GROUP BY user_id, width
 """
 
 
 def pulses(t, **opts):
     df = t.ev.withColumn("hour", F.floor(F.col("tick") / 3600000))
-    return sg.pulse_histogram(df, "user_id", "hour", 2, 40, cap=20, order=["us", "event_id"], **opts)
+    return sg.pulse_histogram(df, "user_id", "hour", 2, 40, order=["us", "event_id"], **opts)
 
 
 @query("a1_pulse_histogram", PULSES)
@@ -170,5 +169,5 @@ def pulse_histogram(t):
 
 @query("a1_pulse_histogram_cut", PULSES)
 def pulse_histogram_cut(t):
-    """One hot source: all events of a type are one signal, cut into segments."""
+    """The same with the events of a user cut into segments."""
     return pulses(t, max_rows=40)

@@ -144,7 +144,11 @@ typed AS (SELECT conv_id, string_agg(replace(replace(text, 't', chr(8)), '. ', c
 pieces AS (SELECT conv_id, string_split(replace(s, chr(13), chr(10)), chr(10)) AS p FROM typed),
 each AS (SELECT conv_id, unnest(range(len(p) - 1)) AS line_no, unnest(p[:len(p) - 1]) AS raw FROM pieces),
 lines AS (SELECT conv_id, line_no, list_reduce(list_concat([''], string_split(raw, '')), lambda a, c:
-  CASE WHEN c = chr(8) THEN a[:greatest(length(a) - 1, 0)] WHEN length(a) < 80 THEN a || c ELSE a END) AS line FROM each)
+  CASE WHEN c = chr(8) THEN CASE WHEN ltrim(a, chr(1)) = '' THEN a ELSE a[:length(a) - 1] END
+    WHEN length(ltrim(a, chr(1))) < 80 THEN a || c ELSE chr(1) || a END) AS held FROM each)
+"""
+LINES = f"""
+WITH {TYPED} SELECT conv_id, line_no, ltrim(held, chr(1)) AS line, length(held) - length(ltrim(held, chr(1))) AS dropped FROM lines
 """
 
 
@@ -165,25 +169,26 @@ def lines(t, max_rows=None):
     sizes = texts.groupBy("conv_id").agg(F.sum(F.length("text")).alias("_n"))
     chars, order = keystrokes(texts), ["turn", "pos"]
     split = od.measure(chars, "conv_id", order, max_rows, sizes)
-    return st.assemble_lines(chars, "conv_id", order, "ch", split=split).select("conv_id", "line_no", "line")
+    return st.assemble_lines(chars, "conv_id", order, "ch", split=split).select(
+        "conv_id", "line_no", "line", "dropped")
 
 
-@query("t5_assemble_lines", f"WITH {TYPED} SELECT conv_id, line_no, line FROM lines")
+@query("t5_assemble_lines", LINES)
 def assemble_lines(t):
     return lines(t)
 
 
-@query("t5_assemble_lines_cut", f"WITH {TYPED} SELECT conv_id, line_no, line FROM lines")
+@query("t5_assemble_lines_cut", LINES)
 def assemble_lines_cut(t):
     return lines(t, max_rows=700)
 
 
-@query("t5_assemble_lines_stream", f"WITH {TYPED} SELECT conv_id, line_no, line FROM lines")
+@query("t5_assemble_lines_stream", LINES)
 def assemble_lines_stream(t):
     live = ss.table_stream(t.spark, t.folder, "conversations", t.conversations.schema)
     chars = keystrokes(typed(live))
     out = ss.run_to_table(ss.assemble_lines(chars, "conv_id", ["turn", "pos"], "ch"), "lines")
-    return out.select("conv_id", "line_no", "line")
+    return out.select("conv_id", "line_no", "line", "dropped")
 
 
 # ----------------------------------------------------------------------------- state machine
@@ -234,8 +239,9 @@ SELECT epoch_us(s) // 1000000 AS window_start, epoch_us(s) // 1000000 + 21600 AS
 
 
 def periodic(df):
+    # files come in any order, so a row may be as late as the table is long
     out = ss.periodic_metrics(
-        df, "ts", "6 hours", "1 hour", "event_type",
+        df, "ts", "6 hours", "36500 days", "event_type",
         n=F.count(F.lit(1)), cents=F.sum(F.round(F.col("value") * 100).cast("long")),
     )
     return out
@@ -250,11 +256,9 @@ def periodic_metrics(t):
     return as_seconds(periodic(t.events))
 
 
-@query("t1_periodic_metrics_stream", f"""
-WITH {WINDOWS} WHERE epoch_us(s) // 1000 + 21600000 <= (SELECT epoch_us(max(ts)) // 1000 - 3600000 FROM events)
-""")
+@query("t1_periodic_metrics_stream", f"WITH {WINDOWS}")
 def periodic_metrics_stream(t):
-    """Windows that the watermark has closed."""
+    """All windows; the last ones close when the input ends."""
     live = ss.table_stream(t.spark, t.folder, "events", t.events.schema)
     return as_seconds(ss.run_to_table(periodic(live), "periodic"))
 
@@ -265,13 +269,13 @@ def running_totals_stream(t):
     return ss.run_updates(ss.running_totals(live, "server", "cents"), "server", "totals")
 
 
-@query("t7_final_report_stream", CLOSING.replace("min(ts) AS report_ts", "min(ts) AS ts"))
+@query("t7_final_report_stream", f"SELECT queue, report_ts AS ts FROM ({CLOSING}) WHERE report_ts IS NOT NULL")
 def final_report_stream(t):
     """The depth feed, written as a table first, then streamed."""
     feed = workspace(t.spark, "depth-feed")
-    depths(t).select("queue", "ts", "depth").write.parquet(feed)
+    depths(t).select("queue", "ts", "event_id", "delta", "depth").write.parquet(feed)
     live = t.spark.readStream.schema(t.spark.read.parquet(feed).schema).parquet(feed)
-    return ss.run_to_table(ss.final_report(live, "queue", "ts", "depth", 1_500_000_000), "report")
+    return ss.run_to_table(ss.final_report(live, "queue", "ts", "depth", 1_500_000_000, ["event_id", "delta"]), "report")
 
 
 @query("t8_collect_n_stream", f"""
@@ -287,13 +291,12 @@ def collect_n_stream(t):
 SELECT 'events ' || event_type || ': ' || count(*) AS line FROM events GROUP BY event_type
 """)
 def each_batch(t):
-    """A handler per micro-batch that writes report lines."""
-    out = workspace(t.spark, "batch-report")
+    """A handler per micro-batch that writes its counts; the report adds them up."""
+    out = workspace(t.spark, "batch-counts")
 
     def handler(batch, batch_id):
-        counts = batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-        lines = counts.select(F.format_string("events %s: %d", "event_type", "n").alias("line"))
-        lines.write.mode("overwrite").text(f"{out}/batch={batch_id}")
+        batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     ss.each_batch(ss.table_stream(t.spark, t.folder, "events", t.events.schema), handler)
-    return t.spark.read.text(out).select(F.col("value").alias("line"))
+    counts = t.spark.read.schema("event_type string, n long").parquet(out).groupBy("event_type").agg(F.sum("n").alias("n"))
+    return counts.select(F.format_string("events %s: %d", "event_type", "n").alias("line"))

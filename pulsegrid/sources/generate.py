@@ -15,6 +15,11 @@ def range_generate(spark: SparkSession, n: int, parts: int | None = None) -> Dat
     return spark.range(0, n, 1, parts).select("id", (F.col("id") * 4).alias("v"))
 
 
+def range_values(df: DataFrame, seq: str) -> DataFrame:
+    """(id, v = 4·id) for the numbers in a column."""
+    return df.select(F.col(seq).cast("long").alias("id"), (F.col(seq).cast("long") * 4).alias("v"))
+
+
 def range_verify(df: DataFrame) -> DataFrame:
     """How many values there are and how many differ from 4·id."""
     return df.agg(
@@ -36,16 +41,21 @@ def segment_progress(df: DataFrame, seq: str, n: int, parts: int) -> DataFrame:
     return counted.withColumn("percent", (F.col("step") + 1) * 10)
 
 
+def _drawn(key, seed: int) -> Column:
+    """60 bits of the MD5 of the keys (as text, null as nothing) and the seed, joined by ``|``."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in names(key)]
+    digest = F.md5(F.concat_ws("|", *parts, F.lit(str(seed))).cast("binary"))
+    return F.conv(F.left(digest, F.lit(15)), 16, 10).cast("long")
+
+
 def bounded_uniform(df: DataFrame, key, lo: int, hi: int, seed: int = 42, name: str = "u") -> DataFrame:
     """A uniform integer in lo..hi that depends only on the key, so a retried task repeats it."""
-    drawn = F.pmod(F.xxhash64(*names(key), F.lit(seed)), F.lit(hi - lo + 1)) + F.lit(lo)
-    return df.withColumn(name, drawn)
+    return df.withColumn(name, _drawn(key, seed) % F.lit(hi - lo + 1) + F.lit(lo))
 
 
 def bounded_decimal(df: DataFrame, key, seed: int = 42, name: str = "u") -> DataFrame:
     """A value in -50.0..50.0 in steps of 0.1."""
-    drawn = F.pmod(F.xxhash64(*names(key), F.lit(seed)), F.lit(1001)) / 10 - 50
-    return df.withColumn(name, drawn)
+    return df.withColumn(name, (_drawn(key, seed) % 1001 - 500) / 10)
 
 
 def hex_text(c) -> Column:

@@ -80,8 +80,9 @@ def tokenize(df: DataFrame, doc: str, text: str, max_len: int = 256) -> DataFram
     return tokens.filter(F.col("word").isNotNull()).withColumn("rejected", F.length("word") >= max_len)
 
 
-def words_of(df: DataFrame, doc: str, text: str, max_len: int = 256) -> DataFrame:
-    return tokenize(df, doc, text, max_len).filter(~F.col("rejected")).drop("rejected")
+def words_of(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """(doc, pos, word): every word, however long."""
+    return tokenize(df, doc, text).drop("rejected")
 
 
 # ----------------------------------------------------------------------------- matrices
@@ -93,9 +94,9 @@ REASONS: dict[int, str] = {
     5: "not enough columns",
     6: "too many rows",
     7: "not enough rows",
-    20: "unreadable dimensions",
-    97: "no dimensions",
 }
+# reasons of our own
+REASONS |= {20: "unreadable dimensions", 21: "unreadable number", 97: "no dimensions"}
 
 
 def _dimension(i: int) -> Column:
@@ -103,12 +104,15 @@ def _dimension(i: int) -> Column:
 
 
 def validate_matrices(lines: DataFrame, file: str = "file", order=LINE_ORDER, line: str = "line",
-                      split=None, max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+                      split=None, max_rows: int | None = None,
+                      files: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Cells (file, row, col, val) of the good files, and (file, reason, why, ...) for every file.
 
     The reason is that of the first offending line. A blank line counts as a short
     row, unless every declared row came before it. All steps share one ordering of
     the lines of a file, so there is no join and a very large file is cut.
+    An empty file has no line: it is judged only if ``files``, a table with the column
+    ``file``, names it.
     """
     split = split or od.measure(lines, file, order, max_rows)
     body = ~F.col(line).startswith("#")
@@ -123,7 +127,8 @@ def validate_matrices(lines: DataFrame, file: str = "file", order=LINE_ORDER, li
     rows, cols = F.col("_dim.rows"), F.col("_dim.cols")
     # blank lines after the last declared row are no rows
     is_row = body & (F.col("_n") > 1) & ~((width == 0) & (row > rows))
-    wrong = F.when(is_row, F.when(width > cols, 4).when(width < cols, 5).when(row > rows, 6))
+    unreadable = F.exists("_f", lambda f: number(f).isNull())
+    wrong = F.when(is_row, F.when(width > cols, 4).when(width < cols, 5).when(row > rows, 6).when(unreadable, 21))
     numbered = numbered.withColumns({
         "rows": rows,
         "cols": cols,
@@ -153,6 +158,9 @@ def validate_matrices(lines: DataFrame, file: str = "file", order=LINE_ORDER, li
         .withColumn("reason", reason(F.col("_n") > 0, F.col("rows"), F.col("cols"), F.col("_wrong"),
                                      F.col("seen_rows")))
     )
+    if files is not None:
+        verdict = files.select(file).distinct().join(verdict, file, "left").withColumns({
+            "reason": F.coalesce("reason", F.lit(97)), "seen_rows": F.coalesce("seen_rows", F.lit(0).cast("long"))})
     why = F
     for code, words in REASONS.items():
         why = why.when(F.col("reason") == code, words)
@@ -173,27 +181,34 @@ def validate_matrices(lines: DataFrame, file: str = "file", order=LINE_ORDER, li
 
 
 def parse_coeffs(text, tol: float = TOLERANCE) -> Column:
-    """The numbers of a line, highest power first, leading zeros stripped."""
-    values = F.transform(fields(text), lambda t: F.coalesce(number(t), F.lit(0.0)))
+    """The numbers of a line, highest power first, leading zeros stripped; null if a field is no number."""
+    values = F.transform(fields(text), number)
     flags = F.transform(values, lambda v: F.abs(v) > tol)
     first = F.array_position(flags, True)
-    return F.when(first > 0, F.slice(values, first.cast("int"), F.size(values))).otherwise(
+    kept = F.when(first > 0, F.slice(values, first.cast("int"), F.size(values))).otherwise(
         F.array().cast("array<double>")
     )
+    return F.when(~F.exists(values, lambda v: v.isNull()), kept)
 
 
 def read_coeffs(spark: SparkSession, path) -> DataFrame:
-    return read_lines(spark, path).select("file", *LINE_ORDER, parse_coeffs("line").alias("coefs"))
+    """(file, order, line, coefs, rejected) of every line; ``coefs`` is null on a rejected one."""
+    lines = read_lines(spark, path).withColumn("coefs", parse_coeffs("line"))
+    return lines.select("file", *LINE_ORDER, "line", "coefs", F.col("coefs").isNull().alias("rejected"))
 
 
 _NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
-_LEADING = rf"^(?:[ \t\x0B\f]*{_NUMBER})*"
 
 
 def leading_numbers(text) -> Column:
-    """All numbers a line starts with; the first thing that is no number ends it. CR and LF end the line."""
-    one_line = F.regexp_replace(col(text), r"(?s)[\r\n].*", "")
-    run = F.regexp_extract(one_line, _LEADING, 0)
+    """All numbers a line starts with; the first thing that is no number ends it. CR and LF end the line.
+
+    Every number is put between two marks and the line is cut at the first thing outside of marks, so no
+    pattern repeats a group, which would overflow the stack on a long line.
+    """
+    one_line = F.translate(F.substring_index(F.translate(col(text), "\r", "\n"), "\n", 1), "\x01\x02", "??")
+    marked = F.regexp_replace(one_line, rf"[ \t\x0B\f]*{_NUMBER}", "\x01$0\x02")
+    run = F.regexp_replace(marked, r"(?s)(?:^|(?<=\x02))(?!\x01).*$", "")
     found = F.regexp_extract_all(run, F.lit(_NUMBER), F.lit(0))
     return F.transform(found, lambda t: t.cast("double"))
 

@@ -1,14 +1,16 @@
 """The stateful operators on streams.
 
-A stream uses the same folds as the batch operators: the state of a key is the
-fold's state, kept by Spark between micro-batches. Within a micro-batch the rows
-of a key are put in order first; across micro-batches they are taken as they
-come, as a device would send them.
+A stream uses the same folds as the batch operators. Rows are put in the order of their events, whatever
+files and micro-batches they arrive in: a key's rows wait in its state until the watermark has passed them
+(no earlier row can come then), a timer wakes the key for that, and only then the fold sees them. ``lateness``
+says how far rows may be out of order; later ones are dropped by Spark and counted. A run over a finished input
+ends with a closing row far in the future, which moves the watermark past everything.
 """
 
 from __future__ import annotations
 
 import json
+import pickle
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
@@ -22,51 +24,102 @@ from ..plans.folds import Fold
 from ..plans.ordered import names
 from ..session import workspace
 
+#: event times are milliseconds after this one, so that orders from 0 on lie after the first watermark
+ORIGIN = 10**12
+#: the closing row, and how far rows may be out of order unless said otherwise: any order of a finished input
+CLOSING, ANY_ORDER = 9 * 10**12, 4 * 10**12
+#: the watermark of the closing row is no smaller; all events lie before it
+LAST = CLOSING - ANY_ORDER
+
 
 def event_time(stream: DataFrame, ts: str) -> DataFrame:
     """``ts`` as a timestamp with time zone, which watermarks need (session zone UTC)."""
     return stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str]) -> DataFrame:
-    """A fold per key over a stream. Memory per key: one micro-batch of its rows and one state."""
+def closing_rows(stream: DataFrame) -> tuple[DataFrame, str]:
+    """``stream`` together with a folder that holds nothing until the input has ended."""
+    spark = stream.sparkSession
+    end = workspace(spark, "closing")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema])
+    spark.createDataFrame([], schema).write.parquet(end)
+    return stream.unionByName(spark.readStream.schema(schema).parquet(end)), end
+
+
+def _ordered(stream: DataFrame, keys: list[str], order: list[str], need: list[str], out: T.StructType,
+             lateness: int, first, process) -> DataFrame:
+    """``process(rows, state, passed)`` for each key over its rows in event order: ``rows`` is a frame whose
+    events the watermark has passed, ``passed`` the watermark in units of the order. State: JSON-ready."""
+    at = F.col(order[0])
+    if isinstance(stream.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+        at = F.unix_millis(at.cast("timestamp"))
+    stream = stream.select(*need, F.timestamp_millis(at.cast("long") + ORIGIN).alias("_at"), F.lit(False).alias("_end"))
+    stream, end = closing_rows(stream.filter("_at is not null"))
+    stream = stream.withWatermark("_at", f"{lateness} milliseconds")
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("rows", T.BinaryType())])
+
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now, held = (json.loads(state.get[0]), pickle.loads(state.get[1])) if state.exists else (first(), None)
+        frames = ([] if held is None else [held]) + ([] if state.hasTimedOut else list(pdfs))
+        pdf = pd.concat(frames) if frames else None
+        mark = state.getCurrentWatermarkMs()
+        if pdf is not None:
+            pdf = pdf[~pdf["_end"].astype(bool)]
+            due = pdf["_at"].astype("datetime64[ms]").astype("int64") <= mark
+            ready, pdf = pdf[due].sort_values(order, kind="stable"), pdf[~due]
+        else:
+            ready = None
+        now, rows = process(key, ready, now, mark - ORIGIN)
+        state.update((json.dumps(now), pickle.dumps(pdf)))
+        if pdf is not None and len(pdf):
+            soonest = int(pdf["_at"].astype("datetime64[ms]").astype("int64").min())
+            state.setTimeoutTimestamp(max(soonest, mark + 1))
+        elif mark < LAST - 1:
+            state.setTimeoutTimestamp(LAST - 1)  # wakes a key without rows when the input ends
+        if rows is not None:
+            yield rows
+
+    result = stream.groupBy(*keys).applyInPandasWithState(step, out, schema, "append", GroupStateTimeout.EventTimeTimeout)
+    result.closing = end
+    return result
+
+
+def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str], lateness: int = ANY_ORDER) -> DataFrame:
+    """A fold per key over a stream, in the order of events. The first order column is the event time (a time,
+    or a number from -10**12 to 4 * 10**12); rows without it are left out. State per key: the fold's, and the rows
+    of the last ``lateness`` (milliseconds, or units of the number)."""
     keys, order = names(keys), names(order)
     need = list(dict.fromkeys(keys + order + list(fold.inputs) + passed))
-    stream = stream.select(*need)
     out = T.StructType([stream.schema[c] for c in passed] + list(fold.extra))
     extras = [f.name for f in fold.extra]
 
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = json.loads(state.get[0]) if state.exists else fold.initial()
-        pdf = pd.concat(list(pdfs)).sort_values(order, kind="stable")
-        cols = [pdf[c].tolist() for c in fold.inputs]
+    def process(key, ready, now, mark):
+        if ready is None or not len(ready):
+            return now, None
+        cols = [ready[c].tolist() for c in fold.inputs]
         rows: list[int] = []
         extra: list[list] = [[] for _ in fold.extra]
-        now = fold.walk(cols, 0, len(pdf), now, rows, extra)
-        state.update((json.dumps(now),))
-        yield pdf.iloc[rows][passed].reset_index(drop=True).assign(**dict(zip(extras, extra)))[passed + extras]
+        now = fold.walk(cols, 0, len(ready), now, rows, extra)
+        return now, ready.iloc[rows][passed].reset_index(drop=True).assign(**dict(zip(extras, extra)))[passed + extras]
 
-    return stream.groupBy(*keys).applyInPandasWithState(
-        step, out, T.StructType([T.StructField("s", T.StringType())]), "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    return _ordered(stream, keys, order, need, out, lateness, fold.initial, process)
 
 
 def debounce(stream: DataFrame, key, ts: str, min_gap: int, initial_last: int | None = None,
-             tie: str | None = None) -> DataFrame:
+             tie: str | None = None, **opts) -> DataFrame:
     return stream_fold(stream, key, [ts] + names(tie), DebounceFold(ts, min_gap, initial_last),
-                       stream.columns)
+                       stream.columns, **opts)
 
 
 def state_machine(stream: DataFrame, key, order, event: str,
                   transitions: Mapping[tuple[str, str], str] = SERVO_TRANSITIONS,
-                  initial: str = "paused") -> DataFrame:
-    return stream_fold(stream, key, order, MachineFold(event, transitions, initial), stream.columns)
+                  initial: str = "paused", **opts) -> DataFrame:
+    return stream_fold(stream, key, order, MachineFold(event, transitions, initial), stream.columns, **opts)
 
 
-def assemble_lines(stream: DataFrame, key, order, ch: str, max_len: int = 80) -> DataFrame:
+def assemble_lines(stream: DataFrame, key, order, ch: str, max_len: int = 80, **opts) -> DataFrame:
     return stream_fold(stream, key, order, LineFold(ch, max_len),
-                       list(dict.fromkeys(names(key) + names(order))))
+                       list(dict.fromkeys(names(key) + names(order))), **opts)
 
 
 class FrameFold(Fold):
@@ -103,33 +156,38 @@ class FrameFold(Fold):
 
 
 def frames(stream: DataFrame, key, order, value: str, opens=(-1, -3), closes=(-2, -4),
-           min_samples: Mapping[int, int] | int = 127) -> DataFrame:
+           min_samples: Mapping[int, int] | int = 127, **opts) -> DataFrame:
     """(key, frame_id, close, samples) when the closing marker of a frame arrives."""
-    return stream_fold(stream, key, order, FrameFold(value, opens, closes, min_samples), names(key))
-
-
-class ReportFold(Fold):
-    """State: whether the report was given."""
-
-    def __init__(self, ts: str, depth: str, close: int):
-        self.inputs = (ts, depth)
-        self.close = close
-
-    def initial(self):
-        return False
-
-    def walk(self, cols, lo, hi, state, rows, extra):
-        times, depth = cols
-        for i in range(lo, hi):
-            if not state and times[i] >= self.close and depth[i] == 0:
-                rows.append(i)
-                state = True
-        return state
-
-
-def final_report(stream: DataFrame, key, ts: str, depth: str, close: int) -> DataFrame:
-    """One row per key: the first moment at or after ``close`` with an empty queue."""
-    return stream_fold(stream, key, ts, ReportFold(ts, depth, close), names(key) + [ts])
+    return stream_fold(stream, key, order, FrameFold(value, opens, closes, min_samples), names(key), **opts)
+
+
+def final_report(stream: DataFrame, key, ts: str, depth: str, close: int, tie=None,
+                 lateness: int = ANY_ORDER) -> DataFrame:
+    """(key, ts): one row per key, the first moment at or after ``close`` with an empty queue. A queue that is
+    empty at ``close`` reports when the watermark passes it, by a timer, if no event comes."""
+    keys, order = names(key), [ts] + names(tie)
+    out = T.StructType([stream.schema[c] for c in keys] + [T.StructField(ts, T.LongType())])
+
+    def process(key_, ready, now, mark):
+        last, given, seen = now
+        seen = seen or (ready is not None and len(ready) > 0)
+        report = None
+        if ready is not None:
+            for at, left in zip(ready[ts].tolist(), ready[depth].tolist()):
+                if not given and report is None and at > close and last == 0:
+                    report = close
+                last = left
+                if not given and report is None and at > close and last == 0:
+                    report = at
+        # nothing more can come up to ``close``; a key that only the closing row has is no queue
+        if seen and not given and report is None and mark >= close and last == 0:
+            report = close
+        if report is None:
+            return [last, given, seen], None
+        return [last, True, seen], pd.DataFrame({**{k: [v] for k, v in zip(keys, key_)}, ts: [report]})
+
+    need = list(dict.fromkeys(keys + order + [depth]))
+    return _ordered(stream, keys, order, need, out, lateness, lambda: [0, False, False], process)
 
 
 class CountFold(Fold):
@@ -147,9 +205,9 @@ class CountFold(Fold):
         return state + take
 
 
-def collect_n(stream: DataFrame, key, order, n: int) -> DataFrame:
-    """The first ``n`` rows of every key, then nothing more from it."""
-    return stream_fold(stream, key, order, CountFold(n), stream.columns)
+def collect_n(stream: DataFrame, key, order, n: int, **opts) -> DataFrame:
+    """The first ``n`` rows of every key along ``order``, then nothing more from it."""
+    return stream_fold(stream, key, order, CountFold(n), stream.columns, **opts)
 
 
 # ----------------------------------------------------------------------------- aggregates
@@ -157,17 +215,22 @@ def collect_n(stream: DataFrame, key, order, n: int) -> DataFrame:
 
 def periodic_metrics(stream: DataFrame, ts: str, every: str, watermark: str, keys=None, **aggs) -> DataFrame:
     """Tumbling metrics every ``every``; rows later than ``watermark`` are dropped by Spark and counted
-    in the query's progress (``numRowsDroppedByWatermark``)."""
+    (``late_rows`` of the table that ``run_to_table`` gives). At the end of a finished input all windows close."""
     timed = event_time(stream, ts)
+    end = None
     if stream.isStreaming:
+        timed, end = closing_rows(timed)
         timed = timed.withWatermark(ts, watermark)
     grouped = timed.groupBy(F.window(ts, every), *names(keys)).agg(
         *[c.alias(n) for n, c in aggs.items()]
     )
-    return grouped.select(
+    out = grouped.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
         *names(keys), *aggs,
     )
+    if end is not None:
+        out.closing, out.closing_time = end, ts
+    return out
 
 
 def running_totals(stream: DataFrame, server, duration: str) -> DataFrame:
@@ -184,30 +247,49 @@ def running_totals(stream: DataFrame, server, duration: str) -> DataFrame:
 
 def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType,
                  bytes_per_trigger: int = 512 << 20) -> DataFrame:
-    """A stream over the files of one table.
+    """A stream over the files of one table, which is a file or a folder of part files.
 
-    Each micro-batch takes at most about ``bytes_per_trigger``, which also bounds the
-    rows a task holds for one key, however large the key is.
+    Each micro-batch takes at most about ``bytes_per_trigger``.
     """
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxBytesPerTrigger", bytes_per_trigger)
-        .parquet(folder)
-    )
+    path = f"{folder}/{name}.parquet"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_trigger)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
-    """Run an append stream over all available input into a table in the shared folder, and read it."""
+    """Run an append stream over all available input into a table in the shared folder, and read it. ``late_rows``
+    of the table is the number of rows that came after their watermark."""
     spark = stream.sparkSession
     out = workspace(spark, purpose)
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{out}/data").option("checkpointLocation", f"{out}/progress")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/data")
+    late = 0
+
+    def run() -> None:
+        nonlocal late
+        query = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("path", f"{out}/data").option("checkpointLocation", f"{out}/progress")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        late += sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
+
+    run()
+    end = getattr(stream, "closing", None)
+    if end is not None:
+        time = getattr(stream, "closing_time", "_at")
+        held = spark.read.parquet(end)
+        row = held.sparkSession.range(1).select(*[
+            F.timestamp_millis(F.lit(CLOSING)).alias(f.name) if f.name == time
+            else F.lit(True).alias(f.name) if f.name == "_end" else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in held.schema])
+        row.write.mode("append").parquet(end)
+        run()
+    table = spark.read.schema(stream.schema).parquet(f"{out}/data")
+    table.late_rows = late
+    return table
 
 
 def each_batch(stream: DataFrame, handler: Callable[[DataFrame, int], None], mode: str = "append",

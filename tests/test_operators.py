@@ -154,9 +154,37 @@ def test_pulse_wrap_and_band(spark):
     assert [(r["bucket"], r["width"], r["count"]) for r in got] == [(46, 996, 1), (60, 1010, 1)]
 
 
-def test_histogram_counts_sum_to_the_cap(spark):
+def test_histogram_counts_all_unless_told(spark):
     df = spark.range(6000).select(F.lit("k").alias("k"), (F.col("id") * 1000).alias("ts"))
-    assert sg.pulse_histogram(df, "k", "ts", 950).agg(F.sum("count")).first()[0] == 1000
+    assert sg.pulse_histogram(df, "k", "ts", 950).agg(F.sum("count")).first()[0] == 3000
+    assert sg.pulse_histogram(df, "k", "ts", 950, cap=1000).agg(F.sum("count")).first()[0] == 1000
+
+
+@pytest.mark.parametrize("apart", [1e2, 1e4, 1e6])
+def test_poly_fit_of_distant_groups(spark, apart):
+    rows = [(g, g * apart + i / 10, (i / 10) ** 2) for g in range(3) for i in range(200)]
+    df = spark.createDataFrame([*rows, (9, 1.0, 1.0), (9, 1.0, 2.0)], "g int, x double, y double")
+    got = {r["g"]: r["coefs"] for r in fit.poly_fit(df, "x", "y", 2, "g").collect()}
+    assert got.pop(9) is None and len(got) == 3
+    for g, c in got.items():
+        x = g * apart + 7
+        assert abs(c[0] + c[1] * x + c[2] * x * x - 49) < 1e-9 * max(apart, 1e3) ** 2 / 1e3
+
+
+def test_fifo_with_null_queue_and_a_key_named_k(spark):
+    a = spark.createDataFrame([(None, 1), (None, 4), ("q", 2)], "k string, ts long")
+    s = spark.createDataFrame([(None, 3), (None, 9), ("q", 5)], "k string, ts long")
+    got = joins.fifo_match(a, s, "k", "ts", position="nth").orderBy("started").collect()
+    assert [(r["k"], r["nth"], r["wait"]) for r in got] == [(None, 1, 2), ("q", 1, 3), (None, 2, 5)]
+
+
+def test_snapshot_with_null_key_and_span(spark):
+    df = spark.createDataFrame([(None, 1000, 1), ("a", 4000, 1), ("a", 7000, 1), ("a", 20000, 1)], "k string, ts long, d int")
+    got = joins.snapshot(df, "k", "ts", 3000, sums={"depth": F.col("d")}, span=(6000, 9000))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        (None, 6000, 1), (None, 9000, 1), ("a", 6000, 1), ("a", 9000, 2)]))
+    got = joins.snapshot(df.filter("ts < 5000"), "k", "ts", 3000, sums={"depth": F.col("d")}).collect()
+    assert {(r["k"], r["tick"], r["depth"]) for r in got} == {(None, 3000, 1), (None, 6000, 1), ("a", 6000, 1)}
 
 
 def test_smoothing_edges(spark):
@@ -202,7 +230,7 @@ def test_server_report(spark):
     assert (got[1]["served"], got[1]["avg_service"], got[1]["max_service"]) == (2, 4, 4)
     assert (got[1]["avg_idle"], got[1]["ref_idle_div"], got[1]["max_idle"]) == (2, 2, 4)
     assert (got[1]["breaks"], got[1]["avg_break"], got[1]["longest_break"], got[1]["shortest_break"]) == (2, "4", 6, "2")
-    assert (got[2]["avg_break"], got[2]["shortest_break"]) == ("No breaks taken",) * 2
+    assert (got[2]["avg_break"], got[2]["shortest_break"]) == ("none",) * 2
 
 
 def test_depth_is_never_negative(spark):
@@ -244,9 +272,14 @@ def test_search(spark):
     corpus = spark.createDataFrame([(1, "space"), (2, "cake"), (3, "space"), (4, "w" * 300)], "seq long, word string")
     assert search.find_exact(corpus, "word", "space", "seq").first()["seq"] == 1
     assert search.find_exact(corpus, "word", "xyzzy", "seq").count() == 0
-    assert search.find_exact(corpus, "word", "w" * 256 + "tail", "seq").count() == 1
-    asked = spark.createDataFrame([("space",), ("xyzzy",), ("space",)], "word string")
-    assert {r["word"]: r["found"] for r in search.word_hits(corpus, asked).collect()} == {"space": True, "xyzzy": False}
+    long = "w" * 256 + "tail"  # as long as a word of the corpus up to there
+    assert search.find_exact(corpus, "word", long, "seq").count() == 0
+    assert search.find_exact(corpus, "word", "w" * 300, "seq").count() == 1
+    asked = spark.createDataFrame([("space",), ("xyzzy",), ("space",), (long,)], "word string")
+    hits = {r["word"]: r["found"] for r in search.word_hits(corpus, asked).collect()}
+    assert hits == {"space": True, "xyzzy": False, long: False}
+    assert {r["word"] for r in search.occurring(corpus, asked).collect()} == {w for w, f in hits.items() if f}
+    assert {r["word"] for r in search.missing(corpus, asked).collect()} == {w for w, f in hits.items() if not f}
 
 
 def test_sorts(spark):

@@ -70,6 +70,28 @@ def test_line_fixture(spark):
     assert [r["line"] for r in st.assemble_lines(df, "k", "seq", "ch").collect()] == ["ac"]
 
 
+def test_full_lines_and_nulls_are_counted(spark):
+    keys = [*"x" * 100, "\n", "a", None, "\n"]
+    df = spark.createDataFrame([("p", i, c) for i, c in enumerate(keys)], "k string, seq long, ch string")
+    for rows in (7, None):
+        got = st.assemble_lines(df, "k", "seq", "ch", max_rows=rows).orderBy("line_no").collect()
+        assert [(len(r["line"]), r["dropped"]) for r in got] == [(80, 20), (1, 1)]
+
+
+def test_debounce_leaves_out_events_without_time(spark):
+    df = spark.createDataFrame([("b", 50), ("b", None), ("b", 260)], "k string, ts long")
+    for first in (None, 0):
+        got = [r["ts"] for r in st.debounce(df, "k", "ts", 100, first).collect()]
+        assert got == ([50, 260] if first is None else [260])
+
+
+def test_report_at_closing_time(spark):
+    df = spark.createDataFrame([("early", 3, 1), ("early", 8, 0), ("late", 9, 1), ("late", 12, 0), ("after", 11, 1),
+                                ("never", 2, 1)], "q string, ts long, depth int")
+    got = {r["q"]: r["report_ts"] for r in st.final_report(df, "ts", "depth", 10, "q").collect()}
+    assert got == {"early": 10, "late": 12, "after": 10}
+
+
 @pytest.mark.parametrize("eol", [0.0, 0.02, 0.2])
 def test_lines_cut_equals_brute_force(spark, eol):
     rnd = random.Random(int(eol * 100))

@@ -80,6 +80,40 @@ def test_totals_and_windows(spark, feed):
     timed = [d.withColumn("ts", F.col("ts").cast("timestamp")) for d in (batch, stream)]
     want = ss.periodic_metrics(timed[0], "ts", "3 seconds", "1 second", n=F.count(F.lit(1)))
     got = ss.run_to_table(ss.periodic_metrics(timed[1], "ts", "3 seconds", "1 second", n=F.count(F.lit(1))), "t")
-    # the last windows are still open when the input ends
-    closed = {str(r) for r in got.collect()}
-    assert closed <= {str(r) for r in want.collect()} and len(closed) >= 14
+    same(got, want)
+    assert got.late_rows == 0
+
+
+def test_late_rows_are_counted(spark, feed):
+    rows = [("2024-01-01 00:00:50", 1), ("2024-01-01 00:00:01", 2)]
+    _, stream = feed(rows, "ts string, n long", parts=2)
+    timed = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    one = ss.run_to_table(ss.periodic_metrics(timed, "ts", "3 seconds", "1 second", n=F.count(F.lit(1))), "t")
+    assert one.count() + one.late_rows == 2
+
+
+def test_unordered_files_one_per_batch(spark, feed):
+    rnd = random.Random(8)
+    rows = [(rnd.randint(0, 9000), i, rnd.choice("abc"), rnd.choice(["continued", "paused", "servo_at_position"]))
+            for i in range(400)]
+    rnd.shuffle(rows)
+    batch, stream = feed(rows, "ts long, id long, k string, event string")
+    order = ["ts", "id"]
+    same(ss.run_to_table(ss.debounce(stream, "k", "ts", 300, 0, "id"), "t"), st.debounce(batch, "k", "ts", 300, 0, "id"))
+    same(ss.run_to_table(ss.state_machine(stream, "k", order, "event"), "t"), st.state_machine(batch, "k", order, "event"))
+    same(ss.run_to_table(ss.collect_n(stream, "k", order, 7), "t"), st.collect_n(batch, "k", order, 7))
+
+
+def test_report_by_timer(feed):
+    rows = [(3, "q", 1), (8, "q", 0), (9, "p", 1)]
+    _, stream = feed(rows, "ts long, k string, depth long", parts=2)
+    got = ss.run_to_table(ss.final_report(stream, "k", "ts", "depth", 10), "t").collect()
+    assert [(r["k"], r["ts"]) for r in got] == [("q", 10)]
+
+
+def test_table_as_folder(spark, tmp_path):
+    spark.range(40).repartition(4).write.parquet(str(tmp_path / "t.parquet"))
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "u.parquet"))
+    for name, n in (("t", 40), ("u", 5)):
+        stream = ss.table_stream(spark, str(tmp_path), name, spark.range(1).schema)
+        assert ss.run_to_table(stream, "t").count() == n
