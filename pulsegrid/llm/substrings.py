@@ -14,8 +14,8 @@ find those strings without moving every suffix:
 4. The removed spans meet the texts again.
 
 Equal stretches and pieces of one step are settled in that step, so a passage that very many documents share
-sends one row per step; the stretches of an anchor that is still very frequent travel as single strings keyed
-by their content.
+sends one row per step; where an anchor lies in a quarter of the texts of a step, its strings travel one by one,
+keyed by their content.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ from .arrays import _BASE, _BYTE, _INVERSE, arrow_step, byte_view, mix, powers
 GRAM = 16
 #: mean and largest bytes of a piece
 PIECE, LONGEST = 512, 1 << 18
-#: stretches of an anchor in one step from which on its strings travel one by one
-FREQUENT = 64
+#: an anchor of so many stretches in one step, and of so large a share of its texts, has its strings travel
+#: one by one; with a smaller share the stretches of an anchor are one task's work
+FREQUENT, SHARE = 64, 0.25
 OFTEN, LATER = 1, 2
 #: bytes of stretches that are sorted at a time
 SORTED_BYTES = 2_000_000
@@ -174,7 +175,7 @@ def _anchors(n: int):
         run = np.cumsum(head) - 1
         often = np.empty(len(key), bool)
         later = np.empty(len(key), bool)
-        often[order] = (np.bincount(run) >= FREQUENT)[run]
+        often[order] = (np.bincount(run) >= max(FREQUENT, SHARE * len(doc)))[run]
         later[order] = who[order] > who[order][head][run]
         flags = np.where(often, np.where(later, OFTEN | LATER, OFTEN), 0)
         return pa.table({"anchor": key.view(np.int64), "doc": who, "spot": (begin - ends[own]) << 20 | count << 4 | flags})
