@@ -232,7 +232,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         group = components(links.unionByName(more))
     out = known.join(group, F.col("rep") == F.col("node"), "left")
     return out.select(F.col("doc").alias(key), "n_shingles",
-                      F.coalesce("component", "rep", "doc").alias("component_id"))
+                      F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep", "doc")).alias("component_id"))
 
 
 #: 64-bit words of a parity sketch

@@ -205,12 +205,12 @@ def held_out(key: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
           sample_docs: int = 1000, sample_bytes: int = 50_000) -> LineModel:
     """Fit on labelled rows outside the held-out quarter: of each class at most ``sample_docs`` documents of
-    at most ``sample_bytes`` bytes, those whose key has the smallest hash."""
+    at most ``sample_bytes`` bytes, those whose key has the smallest hash. Without any, every score is 0.5."""
     rows = (labels.select(F.col(key).alias("doc"), F.col(label).cast("int").alias("y"))
             .where(F.col("doc").isNotNull() & F.col("y").isin(0, 1)).distinct().where(~held_out("doc")))
     prior = rows.agg(F.avg("y")).first()[0]
     if prior is None:
-        return LineModel(np.zeros(WIDTH, np.float32), np.zeros((2, 2)))
+        return LineModel(np.zeros(WIDTH, np.float32), np.zeros((2, 2)), 0.0)
     texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text")).where(
         F.octet_length("text") <= sample_bytes)
     found = []
@@ -220,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         found += (texts.join(F.broadcast(some), "doc").orderBy(F.xxhash64("doc"), "doc", "text").limit(sample_docs)
                   .select("text", "y").collect())
     if not found:
-        return LineModel(np.zeros(WIDTH, np.float32), np.zeros((2, 2)))
+        return LineModel(np.zeros(WIDTH, np.float32), np.zeros((2, 2)), 0.0)
     return fit([r.text for r in found], np.array([r.y for r in found]), float(prior))
 
 

@@ -126,7 +126,7 @@ class Pieces:
         begins, score, n = self.begins, self.score, len(text)
         best: dict[int, float] = {0: 0.0}
         back: dict[int, tuple[int, int]] = {}
-        settled, far = 0, 0
+        settled, far, wait = 0, 0, 2 * self.longest
         for i in range(n):
             here = best.pop(i)
             if text[i:i + 1] not in begins or begins[text[i]] < 0:
@@ -146,13 +146,14 @@ class Pieces:
             meet = settled
             if far == i + 1:
                 meet = i + 1
-            elif (i - settled) % (2 * self.longest) == 2 * self.longest - 1:
+            elif i - settled >= wait:
                 meet = self._meeting(best, back, settled)
+                wait *= 2  # as long as they do not meet, ask less and less often
             if meet > settled:
                 yield self._path(text, back, settled, meet)
                 for k in range(settled + 1, meet + 1):
                     back.pop(k, None)
-                settled = meet
+                settled, wait = meet, 2 * self.longest
 
     @staticmethod
     def _meeting(best, back, settled: int) -> int:

@@ -215,7 +215,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         for m in NAMES.finditer(text):
             gender = TITLES[m["title"]]
             for part in ("one", "two"):
-                if m[part]:
+                if m[part] and m["one"] not in TITLES:
                     found.append((m.start(part), m.end(part), "name", gender))
         found.sort()
     return found

@@ -84,7 +84,7 @@ def line_sections(text: Column) -> Column:
     lines = F.split(text, "\n")
     sizes = F.transform(lines, lambda x, i: F.octet_length(x) + F.when(i < F.size(lines) - 1, 1).otherwise(0))
     stops = F.aggregate(sizes, F.array().cast("array<int>"), lambda held, x: F.concat(
-        held, F.array(F.coalesce(F.element_at(held, -1), F.lit(0)) + x)))
+        held, F.array(F.coalesce(F.try_element_at(held, F.lit(-1)), F.lit(0)) + x)))
     return F.transform(stops, lambda x, i: F.struct(i.cast("string").alias("name"), (x - sizes[i]).alias("start"), x.alias("stop")))
 
 
