@@ -20,14 +20,15 @@ from ..plans.ordered import names
 
 def linear_fit(df: DataFrame, x: str, y: str, keys=None) -> DataFrame:
     """``y = a·x + b`` per group in one aggregation; null where all x are equal."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    # the slope has its own running moments; for the mean, through which the line goes, plain sums will do
     fitted = df.groupBy(*names(keys)).agg(
         F.regr_slope(y, x).alias("a"),
-        F.regr_avgx(y, x).alias("_x"),
-        F.regr_avgy(y, x).alias("_y"),
-        F.regr_count(y, x).alias("n"),
+        F.sum(F.when(both, F.col(x).cast("double"))).alias("_x"),
+        F.sum(F.when(both, F.col(y).cast("double"))).alias("_y"),
+        F.count(F.when(both, 1)).alias("n"),
     )
-    # the line goes through the mean; cheaper than a second set of moments
-    return fitted.select(*names(keys), "a", (F.col("_y") - F.col("a") * F.col("_x")).alias("b"), "n")
+    return fitted.select(*names(keys), "a", ((F.col("_y") - F.col("a") * F.col("_x")) / F.nullif("n", F.lit(0))).alias("b"), "n")
 
 
 def poly_fit(df: DataFrame, x: str, y: str, order: int, keys=None,
