@@ -74,17 +74,19 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
           item_text: str = "text", size: int = 10, shingle: int = 3, broadcast_rows: int = 500_000) -> DataFrame:
     """The rows of ``docs`` without a hit word, with all their columns."""
-    plain = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    plain = plain.withColumn("print", F.xxhash64("text"))
-    hit = _hits(plain, windows(items, item_key, item_text, size), shingle, broadcast_rows, only_hit=True)
-    left, right = docs.alias("l"), hit.where("n_hit > 0").select("doc", "print").distinct().alias("r")
-    seal = F.xxhash64(F.coalesce(F.col(f"l.{text}").cast("string"), F.lit("")))
-    return left.join(right, F.col(f"l.{key}").eqNullSafe(F.col("r.doc")) & (seal == F.col("r.print")), "left_anti")
+    others = [c for c in docs.columns if c != text]
+    source = docs.select(F.struct(F.col(text).isNull().alias("_null"), *others).alias("row"), F.col(key).alias("doc"),
+                         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    source = source.withColumn("print", F.xxhash64("text"))
+    found = windows(items, item_key, item_text, size)
+    rows = _hits(source, found, shingle, broadcast_rows, keep=True)
+    whole = F.when(~F.col("row._null"), F.col("text"))
+    return rows.where("n_hit = 0").select(*[whole.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
-def _hits(docs: DataFrame, found: DataFrame, shingle: int, broadcast_rows: int, only_hit: bool = False) -> DataFrame:
-    """(doc, print, n_words, n_hit, windows) of every row of ``docs(doc, print, text)``, or only of rows with
-    candidates."""
+def _hits(docs: DataFrame, found: DataFrame, shingle: int, broadcast_rows: int, keep: bool = False) -> DataFrame:
+    """(doc, print, n_words, n_hit, windows) of every row of ``docs(doc, print, text)``, as a table; with ``keep``
+    (row, text, n_hit) instead, as a plan."""
     one = saved(found.select("window").distinct()
                 .select("window", F.split("window", " ").alias("w"))
                 .withColumn("len", F.size("w")).withColumn("g", F.least("len", F.lit(shingle)))
@@ -93,8 +95,8 @@ def _hits(docs: DataFrame, found: DataFrame, shingle: int, broadcast_rows: int,
     lengths = sorted(r.g for r in one.select("g").distinct().collect())  # at most ``shingle`` figures
     grams = one.select("gram").distinct()
     if not lengths:
-        return docs.where(F.lit(not only_hit)).select(
-            "doc", "print", F.size(words(F.col("text"))).cast("long").alias("n_words"),
+        return docs.select(
+            *(["row", "text"] if keep else []), "doc", "print", F.size(words(F.col("text"))).cast("long").alias("n_words"),
             F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("windows"))
     if one.count() <= broadcast_rows:
         grams = F.broadcast(grams)
@@ -119,14 +121,16 @@ def _hits(docs: DataFrame, found: DataFrame, shingle: int, broadcast_rows: int,
 
     # exact words of the candidates
     left, right = docs.alias("l"), candidates.alias("r")
-    whole = left.join(right, F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.print") == F.col("r.print")),
-                      "inner" if only_hit else "left")
-    whole = whole.select("l.doc", "l.print", F.size(words(F.col("l.text"))).cast("long").alias("n_words"),
+    whole = left.join(right, F.col("l.doc").eqNullSafe(F.col("r.doc")) & (F.col("l.print") == F.col("r.print")), "left")
+    carried = ["l.row", "l.text"] if keep else []
+    whole = whole.select(*carried, "l.doc", "l.print", F.size(words(F.col("l.text"))).cast("long").alias("n_words"),
                          F.when(F.col("r.c").isNotNull(), words(exact(F.col("l.text")))).alias("w"), "r.c")
     same = F.filter("c", lambda x: F.array_join(F.slice(F.col("w"), x["start"] + 1, x["len"]), " ") == x["window"])
-    whole = whole.select("doc", "print", "n_words", same.alias("c"))
+    whole = whole.select(*(["row", "text"] if keep else []), "doc", "print", "n_words", same.alias("c"))
     covered = F.array_distinct(F.flatten(F.transform(
         "c", lambda x: F.sequence(x["start"], x["start"] + x["len"] - 1))))
+    if keep:
+        return whole.select("row", "text", F.coalesce(F.size("c"), F.lit(0)).alias("n_hit"))
     return saved(whole.select("doc", "print", "n_words",
                               F.coalesce(F.when(F.size("c") > 0, F.size(covered)), F.lit(0)).cast("long").alias("n_hit"),
                               F.array_distinct(F.transform("c", lambda x: x["window"])).alias("windows")), "hits")

@@ -72,12 +72,19 @@ def _blocks(value, of, size, level, begin, differ, blocks):
     return np.concatenate(key), np.concatenate(own), np.concatenate(rank)
 
 
-ENTRY = "place long, list long, doc long, size int, rank int, leader long"
+#: an entry: list, set, and packed the set's size, the block's first position, and two flags
+ENTRY = "list long, doc long, at long"
+#: other sets of the step are in the list; one of them, smaller, goes to the list's task for all of them
+KNOWN, AWAY = 1, 2
+
+
+def packed(size, rank, flags):
+    return (size << 33) | (rank << 2) | flags
 
 
 def _entries(n: int, percent: int):
-    """Index entries. Of equal sets in a step the first enters; of entries in one list of a step, all but
-    the smallest name that one as their leader and need no further shuffle by the list's key."""
+    """Index entries. Of equal sets in a step the first enters; of entries in one list of a step only the smallest
+    needs to be sent to the list's task, as all are known to share it."""
 
     def work(batch: pa.RecordBatch) -> pa.Table | None:
         doc = batch.column(0).to_numpy(zero_copy_only=False)
@@ -101,73 +108,68 @@ def _entries(n: int, percent: int):
                         begin, differ, blocks)
         key, own, rank = (np.concatenate(x) for x in zip((key, own, rank), below))
         order = np.lexsort((doc[own], size[own], key))
-        key, own, rank = key[order], own[order], rank[order]
         first = np.ones(len(key), bool)
-        first[1:] = key[1:] != key[:-1]
-        lead = own[np.flatnonzero(first)[np.cumsum(first) - 1]]
-        shared = np.zeros(len(key), bool)
+        first[1:] = key[order][1:] != key[order][:-1]
+        shared = ~first
         shared[:-1] |= ~first[1:]
-        place = np.where(first, key, mix(doc[own].astype(np.int64).view(np.uint64), 3)).view(np.int64)
-        # a list that is shared in this step counts as shared everywhere
-        rows = pa.table({"place": place, "list": key.view(np.int64), "doc": doc[own].astype(np.int64),
-                         "size": size[own].astype(np.int32), "rank": rank.astype(np.int32),
-                         "leader": pa.array(doc[lead].astype(np.int64), mask=first & ~shared)})
-        return rows
+        flags = np.empty(len(key), np.int64)
+        flags[order] = np.where(shared, KNOWN, 0) + np.where(first, 0, AWAY)
+        # by set, so that what neighbouring rows share is compressed away
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        return pa.table({"list": key[order].view(np.int64), "doc": doc[own].astype(np.int64),
+                         "at": packed(size[own].astype(np.int64), rank[order].astype(np.int64), flags[order])})
 
     return arrow_step(work, "text")
 
 
 def _shared(batches):
-    """Of entries sorted by list: those of lists with more than one, and the list's first as leader."""
-    held = None  # the first entry of the list that runs on
+    """Of entries sorted by list: those of lists with more than one."""
+    held = None  # the first entry of the list that runs on, and whether it has gone out
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("list", "doc", "size", "rank")}
-        leader = batch.column("leader")
-        named = np.asarray(leader.is_valid())
-        given = leader.fill_null(0).to_numpy(zero_copy_only=False)
+        key, doc, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("list", "doc", "at"))
+        fresh = np.ones(len(key), bool)
         if held is not None:
-            rows = {n: np.concatenate([[held[n]], v]) for n, v in rows.items()}
-            named, given = np.concatenate([[held["named"]], named]), np.concatenate([[held["given"]], given])
-        key, doc = rows["list"], rows["doc"]
+            key, doc, at = (np.concatenate([[h], v]) for h, v in zip(held, (key, doc, at)))
+            fresh = np.concatenate([[not held[3]], fresh])
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
-        start = np.flatnonzero(new)
-        first = start[np.cumsum(new) - 1]
         alone = new.copy()
         alone[:-1] &= new[1:]
-        # entries that a step already gave to another leader keep that leader
-        away = named & (given != doc)
-        lead = np.where(away, given, doc[first])
-        out = ~alone | named
-        fresh = np.arange(len(key)) >= (0 if held is None else 1)
-        if held is not None:
-            fresh[0] = not held["out"]
-        sel = out & fresh
+        out = ~alone | ((at & KNOWN) > 0)
+        f = np.flatnonzero(new)[-1]
+        held = key[f], doc[f], at[f], bool(out[f]) or not fresh[f]
+        out &= fresh
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key[sel]), pa.array(doc[sel]), pa.array(rows["size"][sel]), pa.array(rows["rank"][sel]),
-             pa.array(lead[sel])], ["list", "doc", "size", "rank", "leader"])
-        f = first[-1]
-        held = {n: v[f] for n, v in rows.items()} | {"named": named[f], "given": given[f],
-                                                     "out": bool(out[f]) or not fresh[f]}
+            [pa.array(key[out]), pa.array(doc[out]), pa.array((at[out] >> 33).astype(np.int32)),
+             pa.array((at[out] >> 2 & 0x7FFFFFFF).astype(np.int32))], ["list", "doc", "size", "rank"])
+
+
+#: 64-bit words of a parity sketch
+WORDS = 16
 
 
-def _tokens(n: int):
+def _sets(n: int):
+    """Sets as sorted hashes, and their parity sketches: a bit flips for every shingle that falls on it, so two
+    sketches never differ in more bits than their sets differ in shingles."""
+
     def work(batch: pa.RecordBatch) -> pa.Table:
         value, of = shingle_sets(*byte_view(batch.column(1)), n)
         cuts = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
+        spot = (mix(value, 21) % np.uint64(64 * WORDS)).astype(np.int64)
+        bits = (np.bincount(of * (64 * WORDS) + spot, minlength=batch.num_rows * 64 * WORDS) & 1).astype(np.uint8)
+        held = np.packbits(bits.reshape(batch.num_rows, WORDS, 64), axis=2).view(np.int64)[:, :, 0]
         return pa.table({"doc": batch.column(0), "tokens": pa.ListArray.from_arrays(
-            pa.array(cuts), pa.array(value.view(np.int64)))})
+            pa.array(cuts), pa.array(value.view(np.int64)))} | {
+                f"s{i}": np.ascontiguousarray(held[:, i]) for i in range(WORDS)})
 
     return arrow_step(work, "text")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Of ``pairs(a, b)`` those whose sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    sets = (docs.join(needed, "doc", "left_semi").select("doc", "text")
-            .mapInArrow(_tokens(n), "doc long, tokens array<long>"))
     one, two = (sets.select(F.col("doc").alias(c), F.col("tokens").alias(f"of_{c}")) for c in "ab")
     common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
     both = F.size("of_a") + F.size("of_b") - common
@@ -190,15 +192,18 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     present = docs.where("doc is not null")
 
     entries = present.mapInArrow(_entries(n, percent), ENTRY)
-    shared = (entries.repartition("place").sortWithinPartitions("list", "size", "doc")
-              .mapInArrow(_shared, "list long, doc long, size int, rank int, leader long"))
+    away = F.col("at").bitwiseAND(AWAY) != 0
+    shared = (entries.repartition(F.when(away, F.xxhash64("doc")).otherwise(F.col("list"))).sortWithinPartitions("list", "at", "doc")
+              .mapInArrow(_shared, "list long, doc long, size int, rank int"))
     rep = known.where("rep is not null").select("doc", "rep").distinct()
     # equal sets stand for each other from here on
-    shared = saved(saved(shared, "lists").join(rep, "doc").select("list", F.col("rep").alias("doc"), "size", "rank")
-                   .distinct(), "lists")
+    shared = saved(shared.join(rep, "doc").select("list", F.col("rep").alias("doc"), "size", "rank").distinct(), "lists")
     # the set that shares most with others leads a list; every set is compared with one such leader
     long = shared.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     central = shared.join(long, "list").groupBy("doc").agg(F.sum("n").alias("weight"))
+    # the sets that share a list at all: their texts are fetched once
+    sets = saved(present.join(central.select("doc"), "doc", "left_semi").select("doc", "text").mapInArrow(
+        _sets(n), f"doc long, tokens array<long>, {', '.join(f's{i} long' for i in range(WORDS))}"), "sets")
     leads = (shared.join(central, "doc").groupBy("list")
              .agg(F.max(F.struct("weight", -F.col("doc"))).alias("lead"), F.count("*").alias("n")).where("n > 1")
              .select("list", "lead.weight", (-F.col("lead.col2")).alias("leader")))
@@ -206,7 +211,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
             .agg(F.count("*").alias("lists"), F.max("weight").alias("weight"))
             .groupBy("doc").agg(F.max_by("leader", F.struct("lists", "weight", "leader")).alias("leader")))
     pairs = best.select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
-    links = saved(_verified(present, saved(pairs, "pairs"), n, percent), "links")
+    links = saved(_verified(sets, saved(pairs, "pairs"), percent), "links")
     twice = rep.groupBy("doc").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("b != top")
     links = links.unionByName(rep.join(twice, "doc").select(F.col("rep").alias("a"), "b").where("a != b"))
 
@@ -215,9 +220,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
             .select("list", "doc", "size", "rank", F.coalesce("component", "doc").alias("of")))
     mixed = seen.groupBy("list").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low < high")
     seen = saved(seen.join(mixed.select("list"), "list", "left_semi"), "mixed")
-    sketches = (present.join(seen.select("doc").distinct(), "doc", "left_semi").select("doc", "text")
-                .mapInArrow(_sketches(n), f"doc long, {', '.join(f's{i} long' for i in range(WORDS))}"))
-    seen = saved(seen.join(sketches, "doc"), "mixed")
+    seen = seen.join(sets.drop("tokens"), "doc")
     names = ["doc", "size", "rank", "of", *(f"s{i}" for i in range(WORDS))]
     x, y = (seen.select("list", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
     differ = F.floor((F.col("size_a") + F.col("size_b")) * (100 - percent) / (100 + percent))
@@ -227,7 +230,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     other = (x.join(y, (x["list"] == y["list"]) & (F.col("doc_a") < F.col("doc_b")) & (F.col("of_a") != F.col("of_b"))
                     & (apart <= differ) & (unlike <= differ))
              .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct())
-    more = saved(_verified(present, saved(other, "pairs"), n, percent), "links")
+    more = saved(_verified(sets, saved(other, "pairs"), percent), "links")
     if not more.isEmpty():
         group = components(links.unionByName(more))
     out = known.join(group, F.col("rep") == F.col("node"), "left")
@@ -235,24 +238,6 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
                       F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep", "doc")).alias("component_id"))
 
 
-#: 64-bit words of a parity sketch
-WORDS = 16
-
-
-def _sketches(n: int):
-    """Parity sketches: a bit flips for every shingle that falls on it, so two sketches never differ in more
-    bits than their sets differ in shingles."""
-
-    def work(batch: pa.RecordBatch) -> pa.Table:
-        value, of = shingle_sets(*byte_view(batch.column(1)), n)
-        spot = (mix(value, 21) % np.uint64(64 * WORDS)).astype(np.int64)
-        bits = (np.bincount(of * (64 * WORDS) + spot, minlength=batch.num_rows * 64 * WORDS) & 1).astype(np.uint8)
-        held = np.packbits(bits.reshape(batch.num_rows, WORDS, 64), axis=2).view(np.int64)[:, :, 0]
-        return pa.table({"doc": batch.column(0)} | {f"s{i}": np.ascontiguousarray(held[:, i]) for i in range(WORDS)})
-
-    return arrow_step(work, "text")
-
-
 def _described(n: int):
     def work(batch: pa.RecordBatch) -> pa.Table:
         value, of = shingle_sets(*byte_view(batch.column(1)), n)
