@@ -5,8 +5,9 @@ find those strings without moving every suffix:
 
 1. Texts are cut at content-defined places. A piece (with the bytes that its last strings reach into) that a
    smaller document holds too is removed as a whole; only the first document's copy is searched further.
-2. Every string of ``n`` bytes has one anchor: its ``GRAM`` bytes with the smallest hash. Consecutive strings
-   with one anchor travel as one stretch. Anchors that occur in one document only are dropped.
+2. Every string of ``n`` bytes has one anchor: its ``GRAM`` bytes with the smallest hash, where those that are very
+   frequent in the corpus come last: so a string that only borders on a common line takes its anchor outside of
+   it. Consecutive strings with one anchor travel as one stretch. Anchors of one document only are dropped.
 3. Stretches of one anchor meet in one task. There all their suffixes are sorted by bucket-pointer
    refinement: the first buckets are q-grams, and each round sorts by the pair of a suffix's own bucket and
    the bucket of the suffix as many bytes later, so the pointers of one round double the depth of the next.
@@ -35,6 +36,9 @@ PIECE, LONGEST = 512, 1 << 18
 #: an anchor of so many stretches in one step, and of so large a share of its texts, has its strings travel
 #: one by one; with a smaller share the stretches of an anchor are one task's work
 FREQUENT, SHARE = 64, 0.25
+#: grams that occur as often as this share of the documents are taken as anchors last; how many of them, at most,
+#: and bits of the table that marks them
+COMMON, MOST, TABLE = 0.02, 100_000, 22
 OFTEN, LATER = 1, 2
 #: bytes of stretches that are sorted at a time
 SORTED_BYTES = 2_000_000
@@ -127,7 +131,32 @@ def _owned(batches):
             ["doc", "print", "span", "gone"])
 
 
-def _anchors(n: int):
+def _counted(batch: pa.RecordBatch) -> pa.Table | None:
+    """Grams that are frequent in a step, and how often they occur in it."""
+    data, _ = byte_view(batch.column(0))
+    if len(data) < GRAM:
+        return None
+    grams = np.sort(_Rolling(data).grams(GRAM))
+    at = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+    count = np.diff(np.append(at, len(grams)))
+    often = count >= max(4, COMMON * batch.num_rows)
+    return pa.table({"gram": grams[at[often]].view(np.int64), "n": count[often].astype(np.int64)})
+
+
+def common_grams(docs: DataFrame) -> np.ndarray:
+    """A table by the first ``TABLE`` bits of a gram's hash: whether a gram that occurs as often as ``COMMON`` of
+    all documents begins so. At most ``MOST`` grams reach the driver. It decides which anchors are taken, not
+    which strings are found."""
+    total = docs.count()
+    rows = (docs.select("text").mapInArrow(arrow_step(_counted, "text"), "gram long, n long").groupBy("gram")
+            .agg(F.sum("n").alias("n")).where(F.col("n") >= max(4, COMMON * total)).orderBy(F.desc("n"), "gram").limit(MOST))
+    table = np.zeros(1 << TABLE, bool)
+    held = np.array([r.gram for r in rows.select("gram").collect()], np.int64).view(np.uint64)
+    table[(held >> np.uint64(64 - TABLE)).astype(np.int64)] = True
+    return np.packbits(table)
+
+
+def _anchors(n: int, common: np.ndarray):
     """Stretches of strings with one anchor in pieces that are not gone: anchor hash, doc, and packed in
     ``spot`` the start, the number of strings, whether the anchor is frequent in the step, and if so whether a
     smaller document of the step has it too."""
@@ -151,7 +180,10 @@ def _anchors(n: int):
         np.add.at(edge, last[~gone], -1)
         valid = np.cumsum(edge)[:-1] > 0
         grams = _Rolling(data).grams(GRAM)
-        low = (grams >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)
+        place = (grams >> np.uint64(64 - TABLE)).astype(np.int64)
+        last_choice = (common[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(np.uint64)
+        low = (last_choice << np.uint64(63)) | (grams << np.uint64(TABLE) >> np.uint64(33) << np.uint64(32))
+        low |= np.arange(len(grams), dtype=np.uint64)
         width, span = n - GRAM + 1, 1
         while 2 * span <= width:
             low = np.minimum(low[:-span], low[span:])
@@ -414,13 +446,14 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
         shuffle of the texts."""
         return docs.join(parts, "doc", "left").select(*row, "text", F.coalesce("parts", F.array().cast(kind)).alias("parts"))
 
+    common = common_grams(docs)
     pieces = (docs.where("doc is not null").mapInArrow(_pieces(n), "place long, d1 long, d2 long, doc long, print long, span long, gone boolean")
               .repartition("place").sortWithinPartitions("d1", "d2", "doc")
               .mapInArrow(_owned, "doc long, print long, span long, gone boolean"))
     pieces = pieces.groupBy("doc").agg(F.collect_list(F.struct("print", "span", "gone")).alias("parts"))
     frequent = F.col("spot").bitwiseAND(OFTEN | LATER)
     anchors = (beside(pieces, "array<struct<print: bigint, span: bigint, gone: boolean>>")
-               .mapInArrow(_anchors(n), "anchor long, doc long, spot long")
+               .mapInArrow(_anchors(n, common), "anchor long, doc long, spot long")
                .repartition(F.when(frequent == (OFTEN | LATER), F.xxhash64("doc")).otherwise(F.col("anchor")))
                .sortWithinPartitions("anchor", F.desc(F.col("spot").bitwiseAND(OFTEN)), "doc")
                .mapInArrow(_shared, "anchor long, doc long, spot long"))
