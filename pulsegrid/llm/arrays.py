@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text that one step works on at a time; a longer document is a step of its own
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 3)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
