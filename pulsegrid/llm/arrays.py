@@ -7,7 +7,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
+#: rows that travel to a Python worker at a time
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 4_000
 #: bytes of text that one step works on at a time; a longer document is a step of its own
 STEP_BYTES = 1_000_000
 
@@ -66,7 +69,11 @@ def steps(batch: pa.RecordBatch, text: str, size: int = STEP_BYTES) -> Iterator[
 
 
 def arrow_step(work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], text: str) -> Callable:
-    """``work`` over bounded pieces, in the form ``mapInArrow`` takes."""
+    """``work`` over bounded pieces, in the form ``mapInArrow`` takes. Rows of whole texts are wide, so the session
+    sends fewer of them at a time than it does by default."""
+    session = SparkSession.getActiveSession()
+    if session is not None and int(session.conf.get(BATCH)) > BATCH_ROWS:
+        session.conf.set(BATCH, str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

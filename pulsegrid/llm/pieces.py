@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .arrays import arrow_step
 
 #: runs of up to this many characters are remembered, and this many of them
-SHORT, REMEMBERED = 40, 300_000
+SHORT, REMEMBERED = 40, 100_000
 BLANK = "▁"
 
 
@@ -66,7 +66,7 @@ class Pieces:
             if all(ord(c) < 0x250 and self.code[ord(c)] for c in begin):
                 state[begin] = len(state)
         dead = len(state)
-        self.after = np.full((dead + 1, len(letters) + 1), dead, np.int32)
+        self.after = np.full((dead + 1, len(letters) + 1), dead, np.uint16 if dead < 1 << 16 else np.int32)
         self.piece = np.full(dead + 1, -1, np.int32)
         self.gain = np.full(dead + 1, -np.inf)
         for begin, at in state.items():
