@@ -33,7 +33,7 @@ from .arrays import _BASE, _BYTE, _INVERSE, arrow_step, byte_view, mix, powers
 GRAM = 16
 #: mean and largest bytes of a piece
 PIECE, LONGEST = 512, 1 << 18
-#: an anchor of so many stretches in one step, and of so large a share of its texts, has its strings travel
+#: an anchor in so many documents of one step, and in so large a share of its texts, has its strings travel
 #: one by one; with a smaller share the stretches of an anchor are one task's work
 FREQUENT, SHARE = 64, 0.25
 #: grams that occur as often as this share of the documents are taken as anchors last; how many of them, at most,
@@ -207,7 +207,9 @@ def _anchors(n: int, common: np.ndarray):
         run = np.cumsum(head) - 1
         often = np.empty(len(key), bool)
         later = np.empty(len(key), bool)
-        often[order] = (np.bincount(run) >= max(FREQUENT, SHARE * len(doc)))[run]
+        other = head.copy()  # a document's first stretch with the anchor
+        other[1:] |= who[order][1:] != who[order][:-1]
+        often[order] = (np.bincount(run, other) >= max(FREQUENT, SHARE * len(doc)))[run]
         later[order] = who[order] > who[order][head][run]
         flags = np.where(often, np.where(later, OFTEN | LATER, OFTEN), 0)
         return pa.table({"anchor": key.view(np.int64), "doc": who, "spot": (begin - ends[own]) << 20 | count << 4 | flags})
