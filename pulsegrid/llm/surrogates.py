@@ -13,6 +13,7 @@ import ipaddress
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +43,9 @@ _GENDER = {name: (kind, names) for kind, names in GIVEN.items() for name in name
 
 NUMBERS = re.compile(r"""
   (?P<secret>(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?[ ]?[=:][ ]?["']?)
-     (?P<value>[A-Za-z0-9+/_.~-]{6,200}))
-| (?P<key>\b(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})\b)
-| (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b)
+     (?P<value>[A-Za-z0-9+/_.~-]{6,}))
+| (?P<key>\b(?:AKIA[0-9A-Z]{16,}|ghp_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,})\b)
+| (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b)
 | (?P<iban>\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
 | (?P<mac>\b(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}\b)
 | (?P<ipv6>(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:]))
@@ -55,6 +56,8 @@ NUMBERS = re.compile(r"""
 | (?P<card>(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}
      |[0-9]{4}(?P<gap2>[ -])[0-9]{6}(?P=gap2)[0-9]{5})(?![0-9A-Za-z]|[.-][0-9]))
 """, re.X)
+#: characters of entities that are remembered, and numbers that are permuted as two whole ones (under 256 bits each)
+HELD_CHARS, WHOLE_PARTS = 256, 64
 _TRIGGER = re.compile("[0-9@]")
 _HAS_TITLE = re.compile("|".join(sorted(TITLES, key=len, reverse=True)))
 NAMES = re.compile(rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? "
@@ -71,7 +74,11 @@ class Surrogates:
 
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key).digest()[:32]
-        self.of = lru_cache(maxsize=100_000)(self._of)
+        self._held = lru_cache(maxsize=100_000)(self._of)
+
+    def of(self, kind: str, text: str, gender: str = "n") -> str:
+        """The surrogate of an entity; long ones are not remembered."""
+        return (self._held if len(text) <= HELD_CHARS else self._of)(kind, text, gender)
 
     def _number(self, label: str, turn: int, value: int) -> int:
         held = hashlib.blake2b(f"{label}|{turn}|{value}".encode(), key=self.key, digest_size=32)
@@ -81,13 +88,14 @@ class Surrogates:
         """A permutation of the mixed-radix numbers with ``sizes``: eight rounds between the two halves."""
         if not parts:
             return parts
+        if len(parts) > WHOLE_PARTS:
+            return self._permute_long(label, parts, sizes)
         if len(parts) == 1:
             step = 1 + self._number(label, 0, 0) % (sizes[0] - 1) if sizes[0] > 1 else 0
             return [(parts[0] + step) % sizes[0]]
         cut = (len(parts) + 1) // 2
         whole, total = [], []
         for half, size in ((parts[:cut], sizes[:cut]), (parts[cut:], sizes[cut:])):
-            n = t = 0
             n, t = 0, 1
             for p, s in zip(half, size):
                 n, t = n * s + p, t * s
@@ -105,6 +113,20 @@ class Surrogates:
             out += reversed(back)
         return out
 
+    def _permute_long(self, label: str, parts: list[int], sizes: list[int]) -> list[int]:
+        """The same rounds for any length: a half is moved number by number, each by its own 64 bits of a stream that
+        the other half decides. As one number only its last 256 bits would move."""
+        cut = (len(parts) + 1) // 2
+        halves = [np.array(parts[:cut], np.uint64), np.array(parts[cut:], np.uint64)]
+        radix = [np.array(sizes[:cut], np.uint64), np.array(sizes[cut:], np.uint64)]
+        for turn in range(8):
+            k = turn % 2
+            seed = hashlib.blake2b(f"{label}|{turn}|".encode() + halves[1 - k].astype("<u2").tobytes(), key=self.key,
+                                   digest_size=32).digest()
+            stream = np.frombuffer(hashlib.shake_256(self.key + seed).digest(8 * len(halves[k])), "<u8")
+            halves[k] = (halves[k] + stream % radix[k]) % radix[k]
+        return [int(n) for half in halves for n in half]
+
     def string(self, label: str, text: str, classes: list[str]) -> str:
         """``text`` with each character of a class replaced by one of that class; others stay."""
         at = {c: g for g in classes for c in g}

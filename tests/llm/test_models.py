@@ -174,6 +174,29 @@ def test_surrogates_are_distinct_and_of_their_kind():
     assert surrogates.Surrogates(b"other").of("card", min(cards)) != s.of("card", min(cards))
 
 
+@pytest.mark.parametrize("n", [65, 109, 201, 300, 5_000, 50_000])
+@pytest.mark.parametrize("shape", ["api_key={}", 'token: "{}"', "key sk-{} there", "key sk-proj-{} there", "ghp_{}", "{}@example.com"])
+def test_long_secrets_go_whole(n, shape):
+    r = random.Random(n)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789" + ("" if "ghp_" in shape else "_-" if "sk-" in shape else "._-")
+    value = "a1" + "".join(r.choice(letters) for _ in range(n - 3)) + "z"
+    s = surrogates.Surrogates(b"k")
+    text, spans = surrogates.replaced(shape.format(value), s)
+    assert len(spans) == 1 and spans[0][3].endswith(value if "@" not in shape else "example.com")
+    runs = {value[i:i + 20] for i in range(len(value) - 19)}
+    assert not [i for i in range(len(text) - 19) if text[i:i + 20] in runs]
+    assert len(text) == len(shape.format(value))
+
+
+def test_long_permutations_are_distinct():
+    s = surrogates.Surrogates(b"k")
+    for n in (surrogates.WHOLE_PARTS, surrogates.WHOLE_PARTS + 1, 300):
+        near = [[0] * i + [1] + [0] * (n - 1 - i) for i in range(n)]
+        assert len({tuple(s.permute("x", p, [10] * n)) for p in near}) == n
+    same = {s.of("secret", "1a" * 200) for _ in range(2)}
+    assert len(same) == 1 and len(same.pop()) == 400
+
+
 def test_surrogates_on_tables(spark):
     extra = [(50 + i, " ".join(map(sentence, PRIVATE)) + f" {i}") for i in range(20)] + [(80, t) for t in CLEAN]
     df = hostile(spark, extra)
