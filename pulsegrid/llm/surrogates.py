@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -48,7 +49,9 @@ NUMBERS = re.compile(r"""
 | (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b)
 | (?P<iban>\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
 | (?P<mac>\b(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}\b)
-| (?P<ipv6>(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:]))
+| (?P<ipv6>(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])
+     |(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*::)(?:[0-9A-Fa-f]{0,4}:){2,7}
+      (?:(?:[0-9]{1,3}\.){3}[0-9]{1,3}|[0-9A-Fa-f]{0,4})(?![0-9A-Za-z:]|[.-][0-9]))
 | (?P<ipv4>(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9]))
 | (?P<phone>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}
      |\+[0-9]{8,15}|\([0-9]{3}\)[ ]?[0-9]{3}[-. ][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?![0-9A-Za-z]|-[0-9]))
@@ -60,8 +63,18 @@ NUMBERS = re.compile(r"""
 HELD_CHARS, WHOLE_PARTS = 256, 64
 _TRIGGER = re.compile("[0-9@]")
 _HAS_TITLE = re.compile("|".join(sorted(TITLES, key=len, reverse=True)))
-NAMES = re.compile(rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? "
-                   r"(?P<one>[^\W\d_a-zа-яё][^\W\d_]+)(?: (?P<two>[^\W\d_a-zа-яё][^\W\d_]+))?")
+NAMED = re.compile(rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})(?:\.|(?=\s))")
+#: white space without an empty line, particles, and a part of a name; hyphens and apostrophes join its words
+PART = re.compile(r"""(?P<gap>[^\S\n]*(?:\n[^\S\n]*)?)
+  (?:(?:van|von|der|den|de|la|le|du|di|da|del|della|dos|das|do|bin|ibn|al|el|ter|ten|zu)[ ])*
+  (?:d['’]|al-|el-)?(?P<part>[^\W\d_]+(?:[-‐‑][^\W\d_]+|['’](?=[^\W\d_a-zа-яё])[^\W\d_]+)*)(?P<dot>\.?)""", re.X)
+WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: words that are replaced where they stand in a name, but not elsewhere
+COMMON = set("""The An And But Or He She It They We You His Her Its Their Our My Your This That These Those There Here In
+On At To Of For From With By As If When While After Before Who What Where Why How Is Was Are Were Has Had Have Will Would
+Can Could May Might Shall Should Do Does Did Not No Yes So Then Der Die Das Und Ein Eine Er Sie Es Wir Ich Le La Les Un
+Une Et Il Elle El Los Las Una""".split())
 
 
 def luhn(digits: str) -> int:
@@ -158,6 +171,9 @@ class Surrogates:
             local = self.string("email", local, [DIGITS, LOW, UP])
             front = [self.string("host", f, [DIGITS, LOW, UP]) for f in front]
             return f"{local}@{'.'.join([*front, self.string('host', name, [DIGITS, LOW, UP]), top])}"
+        if kind == "ipv6" and "." in text:
+            head, _, tail = text.rpartition(":")
+            return f"{self._of(kind, head)}:{self._ipv4(tail)}"
         if kind in ("mac", "ipv6"):
             return self.string(kind, text, [HEX] if text == text.lower() else [HEX.upper()]
                                if text == text.upper() else [DIGITS, "abcdef", "ABCDEF"])
@@ -194,10 +210,20 @@ class Surrogates:
             kind, names = _GENDER[text]
             return names[self.permute(str(kind), [names.index(text)], [len(names)])[0]]
         classes = [*NAME_CLASSES, *(c.upper() for c in NAME_CLASSES if c.upper().lower() == c and len(c.upper()) == len(c))]
+        if len(text) == 1:
+            return self.string("initial", text, classes)
         # the last letter may mark gender and stays
         return self.walk("name", text[:-1], classes, lambda t: t + text[-1] not in _GENDER) + text[-1]
 
 
+def _is_ipv6(text: str) -> bool:
+    """A valid address with a digit; without one it is rather a name of a program (``Face::Add``)."""
+    try:
+        return bool(re.search("[0-9]", text)) and ipaddress.IPv6Address(text) is not None
+    except ValueError:
+        return False
+
+
 def _network(address: int) -> str:
     a = ipaddress.ip_address(address)
     if a.is_private:
@@ -206,6 +232,45 @@ def _network(address: int) -> str:
     return "special" if a.is_reserved or a.is_unspecified else "multicast" if a.is_multicast else "public"
 
 
+def _parts(text: str, at: int) -> list[tuple[int, int]]:
+    """(start, end) of each word of the name that begins after a title: all capitalised parts and initials."""
+    words: list[tuple[int, int]] = []
+    joined = text[at - 1] == "."
+    while m := PART.match(text, at):
+        part = m["part"]
+        if part[0].islower() or part in TITLES or not (m["gap"] or joined) or (words and part == "I" and not m["dot"]):
+            break
+        words += [(w.start(), w.end()) for w in _LETTERS.finditer(text, m.start("part"), m.end("part"))]
+        joined = len(part) == 1 and bool(m["dot"])
+        at = m.end()
+        if m["dot"] and not joined:
+            break
+    return words
+
+
+def _names(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+    """The words of every name after a title, and every other mention of one of them in the text, outside of
+    the ``taken`` spans."""
+    places, genders = {}, {}
+    for m in NAMED.finditer(text):
+        for start, end in _parts(text, m.end()):
+            word, gender = text[start:end], TITLES[m["title"]]
+            places.setdefault((start, end), gender)
+            if end - start > 1 and not word[0].islower() and word not in COMMON and word not in TITLES:
+                genders.setdefault(word, gender)
+    if genders:
+        for m in WORD.finditer(text):
+            if m[0] in genders:
+                places.setdefault(m.span(), genders[m[0]])
+    begins = [t[0] for t in taken]
+
+    def free(start: int, end: int) -> bool:
+        k = bisect_left(begins, end)
+        return k == 0 or taken[k - 1][1] <= start
+
+    return [(*place, "name", gender) for place, gender in places.items() if free(*place)]
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, gender) of every entity, in order, not overlapping."""
     found = []
@@ -222,6 +287,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             value = text[start:end]
             if kind == "ipv4" and (any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in value.split("."))):
                 continue
+            if kind == "ipv6" and not _is_ipv6(value):
+                continue
             if kind == "card" and luhn(re.sub("[^0-9]", "", value)) % 10:
                 continue
             if kind == "iban" and int("".join(str(int(c, 36)) for c in
@@ -234,12 +301,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
                 continue
             found.append((start, end, kind, "n"))
     if _HAS_TITLE.search(text):
-        for m in NAMES.finditer(text):
-            gender = TITLES[m["title"]]
-            for part in ("one", "two"):
-                if m[part] and m["one"] not in TITLES:
-                    found.append((m.start(part), m.end(part), "name", gender))
-        found.sort()
+        found = sorted(found + _names(text, [f[:2] for f in found]))
     return found
 
 

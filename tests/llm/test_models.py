@@ -197,6 +197,43 @@ def test_long_permutations_are_distinct():
     assert len(same) == 1 and len(same.pop()) == 400
 
 
+@pytest.mark.parametrize("text, gone, stays", [
+    ("Mr. John F. Kennedy spoke. Kennedy said no.", ["John", "F.", "Kennedy"], ["spoke.", "said"]),
+    ("Dr. Martin Luther King Jr. left. King and Luther", ["Martin", "Luther", "King"], ["left."]),
+    ("Mrs. Mary-Jane Smith, Jane and Smith's; Smithsonian", ["Mary", "Jane", "Smith"], ["Smithsonian"]),
+    ("Kennedy came before Mr. Kennedy", ["Kennedy"], ["before"]),
+    ("Mr. J.F. Kennedy and Mr.Brown", ["J.", "F.", "Kennedy", "Brown"], ["and"]),
+    ("Monsieur Charles de Gaulle était là", ["Charles", "Gaulle"], ["était", "de"]),
+    ("Ms. O'Brien; Brien", ["Brien"], []),
+    ("Mr.\nSmithson and Prof. Hans\nMüller. The end", ["Smithson", "Hans", "Müller"], ["The", "end"]),
+    ("Mr. Mrs. Smith", ["Smith"], ["Mr.", "Mrs."]),
+    ("Mr. Smith I think. I do. Mr. He went. He is", ["Smith"], ["I think", "I do", "He is"]),
+])
+def test_names_go_whole(text, gone, stays):
+    new, spans = surrogates.replaced(text, surrogates.Surrogates(b"k"))
+    words = re.findall(r"\w+", new)
+    assert not [g for g in gone if g.rstrip(".") in words] and all(x in new for x in stays), new
+    assert all(len({x[4] for x in spans if x[3] == g}) <= 1 for g in gone)
+    assert len(words) == len(re.findall(r"\w+", text))
+
+
+def test_a_name_inside_an_address_leaves_it_whole():
+    new, spans = surrogates.replaced("Mr. Kennedy: Kennedy@mail.example.com", surrogates.Surrogates(b"k"))
+    assert [x[2] for x in spans] == ["name", "email"] and "Kennedy" not in new and "mail" not in new
+
+
+def test_short_ipv6():
+    s = surrogates.Surrogates(b"k")
+    for value in ("2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:db8:1::", "::ffff:74.213.31.89", "2001:DB8::A1"):
+        for text in (f"at {value} now", f"at {value}.", f"[{value}]:80"):
+            new, spans = surrogates.replaced(text, s)
+            assert [x[2:4] for x in spans] == [("ipv6", value)] and value not in new, text
+            assert surrogates.replaced(new, s)[1][0][2] == "ipv6"
+    for text in ("std::map 1", "Face::Add 1", "10:30:15 at 7", "a :: b 2", "1::2::3 x"):
+        assert surrogates.replaced(text, s) == (text, []), text
+    assert surrogates.replaced("12:30:555-123-4567", s)[1][0][2] == "phone"
+
+
 def test_surrogates_on_tables(spark):
     extra = [(50 + i, " ".join(map(sentence, PRIVATE)) + f" {i}") for i in range(20)] + [(80, t) for t in CLEAN]
     df = hostile(spark, extra)
