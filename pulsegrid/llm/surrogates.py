@@ -3,7 +3,8 @@
 Every entity is mapped by a keyed permutation of the values of its own format (a Feistel network over its
 digits and letters, walked on until the value is valid again). A permutation cannot send two entities to one
 surrogate, and the same entity gets the same surrogate in every document and on every executor, so no table
-of entities is built and nothing is shuffled. ``collisions`` checks both over all documents.
+of entities is needed. Each job still runs ``collisions`` over its entities first, which shuffles each distinct one
+once, and gives those that it finds other surrogates.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import arrow_step
+from .tables import saved
 
 DIGITS, HEX, LOW, UP = "0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: letters that stand for each other in names: vowels and consonants of one script and case
@@ -83,7 +85,8 @@ def luhn(digits: str) -> int:
 
 
 class Surrogates:
-    """Keyed permutations. ``key`` decides all replacements."""
+    """Keyed permutations. ``key`` decides all replacements. The gender that a title tells is not used: with 'Dr. Smith'
+    and 'Mrs. Smith' one entity would have two surrogates. A given name stays of its own gender."""
 
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key).digest()[:32]
@@ -152,7 +155,8 @@ class Surrogates:
         return "".join(out)
 
     def walk(self, label: str, text: str, classes: list[str], valid) -> str:
-        """Permute until ``valid`` holds again, which is a permutation of the valid values."""
+        """Permute until ``valid`` holds again. That is a permutation of the valid values as long as ``valid`` asks only
+        for a class of values to which ``text`` itself belongs, and not for anything else of ``text``."""
         out = self.string(label, text, classes)
         while not valid(out):
             out = self.string(label, out, classes)
@@ -160,11 +164,12 @@ class Surrogates:
 
     def _of(self, kind: str, text: str, gender: str = "n") -> str:
         if kind in ("secret", "key"):
-            if re.fullmatch("[0-9a-f]+", text):
-                return self.string(kind, text, [HEX])
-            head = {"AKIA": 4, "ghp_": 4, "sk-": 3}
-            n = next((v for k, v in head.items() if kind == "key" and text.startswith(k)), 0)
-            return text[:n] + self.string(kind, text[n:], [DIGITS, LOW, UP])
+            form = _secret_form(text)
+            if form == "hex":
+                return self.string("secret", text, [HEX])
+            head = text[:len(form)]
+            return head + self.walk(f"secret{form}", text[len(form):], [DIGITS, LOW, UP],
+                                    lambda t: _secret_form(head + t) == form)
         if kind == "email":
             local, _, host = text.rpartition("@")
             *front, name, top = host.split(".")
@@ -175,15 +180,18 @@ class Surrogates:
             head, _, tail = text.rpartition(":")
             return f"{self._of(kind, head)}:{self._ipv4(tail)}"
         if kind in ("mac", "ipv6"):
-            return self.string(kind, text, [HEX] if text == text.lower() else [HEX.upper()]
-                               if text == text.upper() else [DIGITS, "abcdef", "ABCDEF"])
+            if text == text.lower():
+                return self.string(kind, text, [HEX])
+            if text == text.upper():  # digits alone are lower case
+                return self.walk(kind + "A", text, [HEX.upper()], lambda t: t != t.lower())
+            return self.string(kind, text, [DIGITS, "abcdef", "ABCDEF"])
         if kind == "ipv4":
             return self._ipv4(text)
         if kind == "phone":
             lead = re.match(r"\+[0-9]{1,3}(?=[ .(-])|\+[0-9]", text)
             n = lead.end() if lead else 0
-            return text[:n] + self.walk("phone", text[n:], [DIGITS],
-                                        lambda t: re.search("[0-9]", t)[0] not in "01" or text[n:].strip(" (.-")[0] in "01")
+            low = re.search("[0-9]", text[n:])[0] in "01"
+            return text[:n] + self.walk("phone", text[n:], [DIGITS], lambda t: (re.search("[0-9]", t)[0] in "01") == low)
         if kind == "ssn":
             return self.walk(kind, text, [DIGITS], lambda t: t[:3] not in ("000", "666") and t[0] != "9"
                              and t[4:6] != "00" and t[7:] != "0000")
@@ -193,9 +201,11 @@ class Surrogates:
             last = -luhn(re.sub("[^0-9]", "", first + body) + "0") % 10
             return first + body + str(last)
         if kind == "iban":
-            body = self.string(kind + text[:2], text[4:], [DIGITS, UP])
-            number = "".join(str(int(c, 36)) for c in re.sub(" ", "", body) + text[:2] + "00")
-            return f"{text[:2]}{98 - int(number) % 97:02d}{body}"
+            # 00, 01 and 99 are other spellings of 97, 98 and 02, and stay that
+            shift = int(text[2:4]) - _iban_check(text[:2], text[4:])
+            body = self.walk(kind + text[:2], text[4:], [DIGITS, UP],
+                             lambda t: 0 <= _iban_check(text[:2], t) + shift <= 99)
+            return f"{text[:2]}{_iban_check(text[:2], body) + shift:02d}{body}"
         return self._name(text, gender)
 
     def _ipv4(self, text: str) -> str:
@@ -216,6 +226,17 @@ class Surrogates:
         return self.walk("name", text[:-1], classes, lambda t: t + text[-1] not in _GENDER) + text[-1]
 
 
+def _secret_form(text: str) -> str:
+    """``hex``, the fixed beginning of a key, or nothing; each form has its own surrogates."""
+    if re.fullmatch("[0-9a-f]+", text):
+        return "hex"
+    return next((h for h in ("AKIA", "ghp_", "sk-") if text.startswith(h)), "")
+
+
+def _iban_check(country: str, body: str) -> int:
+    return 98 - int("".join(str(int(c, 36)) for c in re.sub(" ", "", body) + country + "00")) % 97
+
+
 def _is_ipv6(text: str) -> bool:
     """A valid address with a digit; without one it is rather a name of a program (``Face::Add``)."""
     try:
@@ -305,61 +326,129 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     return found
 
 
-def replaced(text: str, surrogates: Surrogates) -> tuple[str, list[tuple[int, int, str, str, str]]]:
-    """The text with surrogates, and (start, end, kind, entity, surrogate) of each in the input."""
+def replaced(text: str, surrogates: Surrogates, given=None) -> tuple[str, list[tuple[int, int, str, str, str]]]:
+    """The text with surrogates, and (start, end, kind, entity, surrogate) of each in the input. ``given`` has
+    surrogates by kind and entity that go before the permutations."""
     out, spans, at = [], [], 0
     for start, end, kind, gender in entities(text):
         if start < at:
             continue
-        new = surrogates.of(kind, text[start:end], gender)
+        entity = text[start:end]
+        new = (given or {}).get((kind, entity)) or surrogates.of(kind, entity, gender)
         out += [text[at:start], new]
-        spans.append((start, end, kind, text[start:end], new))
+        spans.append((start, end, kind, entity, new))
         at = end
     return ("".join([*out, text[at:]]) if spans else text), spans
 
 
 SPANS = "array<struct<start: int, end: int, kind: string, entity: string, surrogate: string>>"
+PAIRS = "kind string, entity string, surrogate string"
+#: column of the surrogates that a text has instead of the permuted ones
+_GIVEN = "_given_surrogates"
 
 
-def with_surrogates(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
+def _pairs(docs: DataFrame, key: bytes, text: str, make, hashed: bool = False) -> DataFrame:
+    """Kind, entity and surrogate of the entities of all texts, each once for a step, or for each text with its hash."""
+    def work(batch: pa.RecordBatch) -> pa.Table:
+        s = make(key) if not hasattr(work, "held") else work.held
+        work.held = s
+        found = {}
+        for t in batch.column(0).to_pylist():
+            h = hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() if hashed and t is not None else ""
+            found.update(dict.fromkeys((*x[2:], h) for x in (replaced(t, s)[1] if t is not None else ())))
+        columns = list(zip(*found)) or [()] * 4
+        return pa.table({n: pa.array(c, pa.string()) for n, c in zip(("kind", "entity", "surrogate", "hash"), columns)
+                         if hashed or n != "hash"})
+
+    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
+        arrow_step(work, "text"), PAIRS + (", hash string" if hashed else ""))
+
+
+def _other_surrogates(pairs: DataFrame, key: bytes, make) -> DataFrame:
+    """Kind, entity and new surrogate of the entities that must not have their first one: of those that share
+    one, all but the smallest take those of other keys until none is shared."""
+    first = now = saved(pairs.distinct(), "surrogates")
+    turn = 0
+    while not collisions(now).isEmpty():
+        turn += 1
+        keep = now.groupBy("kind", "surrogate").agg(F.min("entity").alias("least"), F.count("*").alias("n")).where("n > 1")
+        moved = now.join(keep, ["kind", "surrogate"]).where("entity != least").select("kind", "entity").distinct()
+        other = key + f"|{turn}".encode()
+
+        def work(batches):
+            s = make(other)
+            for b in batches:
+                kinds, values = b.column(0).to_pylist(), b.column(1).to_pylist()
+                new = [s.of(k, v) for k, v in zip(kinds, values)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(new, pa.string())],
+                                                 names=["kind", "entity", "surrogate"])
+
+        now = saved(now.join(moved, ["kind", "entity"], "left_anti").unionByName(moved.mapInArrow(work, PAIRS)), "surrogates")
+    return now.join(first, ["kind", "entity", "surrogate"], "left_anti")
+
+
+def _settled(docs: DataFrame, key: bytes, text: str, make) -> DataFrame:
+    """``docs`` with the surrogates that each text has instead of the permuted ones; null unless ``collisions`` finds
+    some. Reads ``docs`` once more."""
+    kind = "array<struct<kind: string, entity: string, surrogate: string>>"
+    pairs = _pairs(docs, key, text, make)
+    if collisions(pairs).isEmpty():
+        return docs.withColumn(_GIVEN, F.lit(None).cast(kind))
+    other = _other_surrogates(pairs, key, make)
+    places = _pairs(docs, key, text, make, hashed=True).select("kind", "entity", "hash").distinct()
+    given = places.join(other, ["kind", "entity"]).groupBy("hash").agg(
+        F.collect_list(F.struct("kind", "entity", "surrogate")).alias(_GIVEN)).withColumnRenamed("hash", "_given_hash")
+    return docs.join(given, F.sha2(F.col(text).cast("string").cast("binary"), 256) == F.col("_given_hash"), "left").drop("_given_hash")
+
+
+def _replaced_batch(batch: pa.RecordBatch, text: str, surrogates: Surrogates) -> list:
+    at, given = batch.schema.get_field_index(text), batch.column(batch.schema.get_field_index(_GIVEN)).to_pylist()
+    return [(None, []) if t is None else replaced(t, surrogates, {(x["kind"], x["entity"]): x["surrogate"] for x in g or ()})
+            for t, g in zip(batch.column(at).to_pylist(), given)]
+
+
+def with_surrogates(docs: DataFrame, key: bytes, text: str = "text", make=Surrogates) -> DataFrame:
     """All columns of ``docs`` with entities of ``text`` replaced. Null stays null; a text without entities
     is returned as it is."""
-    schema = docs.withColumn(text, F.col(text).cast("string")).schema
+    docs = docs.withColumn(text, F.col(text).cast("string"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         at = batch.schema.get_field_index(text)
-        s = Surrogates(key) if not hasattr(work, "held") else work.held
+        s = make(key) if not hasattr(work, "held") else work.held
         work.held = s
-        column = batch.column(at)
-        new = pa.array([t if t is None else replaced(t, s)[0] for t in column.to_pylist()], column.type)
-        return pa.RecordBatch.from_arrays([*batch.columns[:at], new, *batch.columns[at + 1:]], batch.schema.names)
+        new = pa.array([t for t, _ in _replaced_batch(batch, text, s)], batch.column(at).type)
+        return pa.RecordBatch.from_arrays([*batch.columns[:at], new, *batch.columns[at + 1:-1]], batch.schema.names[:-1])
 
-    return docs.withColumn(text, F.col(text).cast("string")).mapInArrow(arrow_step(work, text), schema)
+    return _settled(docs, key, text, make).mapInArrow(arrow_step(work, text), docs.schema)
 
 
-def surrogate_spans(docs: DataFrame, key: bytes, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def surrogate_spans(docs: DataFrame, key: bytes, id_column: str = "doc_id", text: str = "text",
+                    make=Surrogates) -> DataFrame:
     """id, ``n_entities``, ``spans`` and the replaced ``text`` of every row; a null text stays null."""
     source = docs.select(F.col(id_column).alias("doc"), F.col(text).cast("string").alias("text"))
     kind = dict(source.dtypes)["doc"]
 
     def work(batch: pa.RecordBatch) -> pa.Table:
-        s = Surrogates(key) if not hasattr(work, "held") else work.held
+        s = make(key) if not hasattr(work, "held") else work.held
         work.held = s
-        both = [(None, []) if t is None else replaced(t, s) for t in batch.column(1).to_pylist()]
+        both = _replaced_batch(batch, "text", s)
         names = ("start", "end", "kind", "entity", "surrogate")
         spans = pa.array([[dict(zip(names, x)) for x in b[1]] for b in both], pa.list_(pa.struct(
             [("start", pa.int32()), ("end", pa.int32())] + [(n, pa.string()) for n in names[2:]])))
         return pa.table({"doc": batch.column(0), "n_entities": pa.array([len(b[1]) for b in both], pa.int64()),
                          "spans": spans, "text": pa.array([b[0] for b in both], pa.string())})
 
-    out = source.mapInArrow(arrow_step(work, "text"), f"doc {kind}, n_entities long, spans {SPANS}, text string")
+    out = _settled(source, key, "text", make).mapInArrow(
+        arrow_step(work, "text"), f"doc {kind}, n_entities long, spans {SPANS}, text string")
     return out.withColumnRenamed("doc", id_column)
 
 
 def collisions(spans: DataFrame) -> DataFrame:
     """Surrogates that stand for more than one entity, and entities with more than one surrogate, over all
-    documents; empty when distinctness and coreference hold."""
-    pairs = spans.select(F.explode("spans").alias("s")).select("s.kind", "s.entity", "s.surrogate").distinct()
-    shared = pairs.groupBy("kind", F.col("surrogate").alias("value")).count().where("count > 1")
-    split = pairs.groupBy("kind", F.col("entity").alias("value")).count().where("count > 1")
-    return shared.withColumn("what", F.lit("shared")).unionByName(split.withColumn("what", F.lit("split")))
+    documents (their ``spans``, or rows of kind, entity and surrogate); empty when distinctness and coreference hold."""
+    if "spans" in spans.columns:
+        spans = spans.select(F.explode("spans").alias("s")).select("s.kind", "s.entity", "s.surrogate")
+    sides = F.array(F.struct(F.lit("shared").alias("what"), F.col("surrogate").alias("value")),
+                    F.struct(F.lit("split").alias("what"), F.col("entity").alias("value")))
+    pairs = spans.distinct().select("kind", F.explode(sides).alias("x")).select("kind", "x.what", "x.value")
+    return pairs.groupBy("kind", "value", "what").count().where("count > 1").select("kind", "value", "count", "what")

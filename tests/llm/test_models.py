@@ -234,6 +234,50 @@ def test_short_ipv6():
     assert surrogates.replaced("12:30:555-123-4567", s)[1][0][2] == "phone"
 
 
+def test_every_format_is_permuted():
+    s = surrogates.Surrogates(b"k")
+    phones = [f"{n:03d}-555-01{m:02d}" for n in range(0, 1000, 3) for m in range(30)]
+    assert len({s.of("phone", p) for p in phones}) == len(phones)
+    assert all((s.of("phone", p)[0] in "01") == (p[0] in "01") for p in phones)
+    few = ["".join(p) for p in itertools.product("0123456789abcdef", repeat=3)]  # all-digit, hex and mixed ones of one length
+    few += ["".join(p) for p in itertools.product("ghz9", "a7", "0z")]
+    few = list(dict.fromkeys(few + ["".join(p) for p in itertools.product("0123456789", "abcdefghijklmnopqrstuvwxyz", "0123456789")]))
+    assert len({s.of("secret", t) for t in few}) == len(few)
+    assert all(s.of("secret", t) == s.of("key", t) for t in ("sk-" + "a1" * 12, "0a" * 20))
+    macs = [f"00:00:00:00:00:{a}{b}" for a in "0123456789ABCDEF" for b in "0123456789ABCDEF"]
+    small = surrogates.Surrogates(b"k")
+    small.permute = lambda label, parts, sizes: [(p + 1) % n for p, n in zip(parts, sizes)]
+    assert len({small.of("mac", m) for m in macs}) == len(macs)
+    twice = ["DE" + f"{c:02d}" + b for b in (f"{n:018d}" for n in range(400)) for c in range(100)
+             if int(b + "1314" + f"{c:02d}") % 97 == 1]
+    assert len({s.of("iban", t) for t in twice}) == len(twice) > 400
+
+
+def test_collisions_are_resolved_in_the_job(spark):
+    class Merging(surrogates.Surrogates):
+        def _of(self, kind, text, gender="n"):
+            new = super()._of(kind, text, gender)
+            return new[:4] + "555-0000" if kind == "phone" and self.first else new
+
+        def __init__(self, key):
+            super().__init__(key)
+            self.first = key[:3] if len(key) == 3 else b""
+
+    phones = [f"212-555-{n:04d}" for n in range(300)]
+    df = spark.createDataFrame([(i % 7, f"call {p} or {phones[0]}") for i, p in enumerate(phones)] + [(None, None)],
+                               "doc_id long, text string").repartition(3)
+    for key, merging in ((b"key", True), (b"other", False)):
+        s = Merging(key)
+        assert (len({s.of("phone", p) for p in phones}) < 300) == merging
+        spans = surrogates.surrogate_spans(df, key, make=Merging)
+        rows = [r for r in spans.collect() if r["text"] is not None]
+        to = {(x["entity"], x["surrogate"]) for r in rows for x in r["spans"]}
+        assert len(to) == len(dict(to)) == len({b for _, b in to}) == 300 and len(rows) == 300
+        texts = Counter((r["doc_id"], r["text"]) for r in surrogates.with_surrogates(df, key, make=Merging).collect())
+        assert texts == Counter((r["doc_id"], r["text"]) for r in spans.collect())
+        assert surrogates.collisions(spans).count() == 0
+
+
 def test_surrogates_on_tables(spark):
     extra = [(50 + i, " ".join(map(sentence, PRIVATE)) + f" {i}") for i in range(20)] + [(80, t) for t in CLEAN]
     df = hostile(spark, extra)
