@@ -5,6 +5,9 @@ files and micro-batches they arrive in: a key's rows wait in its state until the
 (no earlier row can come then), a timer wakes the key for that, and only then the fold sees them. ``lateness``
 says how far rows may be out of order; later ones are dropped by Spark and counted. A run over a finished input
 ends with a closing row far in the future, which moves the watermark past everything.
+
+In any order nothing is due before the input ends. Then no row waits in a state: ``run_to_table`` appends each
+micro-batch to a table in the shared folder and runs the batch operator, which cuts large keys, over it at the end.
 """
 
 from __future__ import annotations
@@ -19,7 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import states as batch_states
 from ..operators.states import SERVO_TRANSITIONS, DebounceFold, LineFold, MachineFold
+from ..plans import ordered as od
 from ..plans.folds import Fold
 from ..plans.ordered import names
 from ..session import workspace
@@ -84,6 +89,16 @@ def _ordered(stream: DataFrame, keys: list[str], order: list[str], need: list[st
     return result
 
 
+def _at_end(result: DataFrame, stream: DataFrame, need: list[str], order: str, lateness: int, whole,
+            trim=None) -> DataFrame:
+    """``result`` that ``run_to_table`` gets by ``whole(table)`` over all rows if they may come in any order. ``trim``
+    leaves the rows of a micro-batch that ``whole`` can still need."""
+    if lateness >= ANY_ORDER:
+        result.source = stream.select(*need).filter(F.col(order).isNotNull())
+        result.whole, result.trim = whole, trim
+    return result
+
+
 def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str], lateness: int = ANY_ORDER) -> DataFrame:
     """A fold per key over a stream, in the order of events. The first order column is the event time (a time,
     or a number from -10**12 to 4 * 10**12); rows without it are left out. State per key: the fold's, and the rows
@@ -106,20 +121,25 @@ def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str], l
 
 
 def debounce(stream: DataFrame, key, ts: str, min_gap: int, initial_last: int | None = None,
-             tie: str | None = None, **opts) -> DataFrame:
-    return stream_fold(stream, key, [ts] + names(tie), DebounceFold(ts, min_gap, initial_last),
-                       stream.columns, **opts)
+             tie: str | None = None, lateness: int = ANY_ORDER) -> DataFrame:
+    out = stream_fold(stream, key, [ts] + names(tie), DebounceFold(ts, min_gap, initial_last), stream.columns, lateness)
+    return _at_end(out, stream, stream.columns, ts, lateness,
+                   lambda table: batch_states.debounce(table, key, ts, min_gap, initial_last, tie))
 
 
 def state_machine(stream: DataFrame, key, order, event: str,
                   transitions: Mapping[tuple[str, str], str] = SERVO_TRANSITIONS,
-                  initial: str = "paused", **opts) -> DataFrame:
-    return stream_fold(stream, key, order, MachineFold(event, transitions, initial), stream.columns, **opts)
+                  initial: str = "paused", lateness: int = ANY_ORDER) -> DataFrame:
+    out = stream_fold(stream, key, order, MachineFold(event, transitions, initial), stream.columns, lateness)
+    return _at_end(out, stream, stream.columns, names(order)[0], lateness,
+                   lambda table: batch_states.state_machine(table, key, order, event, transitions, initial))
 
 
-def assemble_lines(stream: DataFrame, key, order, ch: str, max_len: int = 80, **opts) -> DataFrame:
-    return stream_fold(stream, key, order, LineFold(ch, max_len),
-                       list(dict.fromkeys(names(key) + names(order))), **opts)
+def assemble_lines(stream: DataFrame, key, order, ch: str, max_len: int = 80, lateness: int = ANY_ORDER) -> DataFrame:
+    need = list(dict.fromkeys(names(key) + names(order)))
+    out = stream_fold(stream, key, order, LineFold(ch, max_len), need, lateness)
+    return _at_end(out, stream, list(dict.fromkeys([*need, ch])), names(order)[0], lateness,
+                   lambda table: batch_states.assemble_lines(table, key, order, ch, max_len))
 
 
 class FrameFold(Fold):
@@ -156,9 +176,28 @@ class FrameFold(Fold):
 
 
 def frames(stream: DataFrame, key, order, value: str, opens=(-1, -3), closes=(-2, -4),
-           min_samples: Mapping[int, int] | int = 127, **opts) -> DataFrame:
-    """(key, frame_id, close, samples) when the closing marker of a frame arrives."""
-    return stream_fold(stream, key, order, FrameFold(value, opens, closes, min_samples), names(key), **opts)
+           min_samples: Mapping[int, int] | int = 127, lateness: int = ANY_ORDER) -> DataFrame:
+    """(key, frame_id, close, samples) when the closing marker of a frame arrives. A frame is one array."""
+    fold, keys, along = FrameFold(value, opens, closes, min_samples), names(key), names(order)
+
+    def whole(table: DataFrame) -> DataFrame:
+        split = od.measure(table, keys, along)
+        marker = F.coalesce(F.col(value).isin(*opens, *closes), F.lit(False))
+        numbered = od.scan(table, keys, along, split, _rn=od.row_number(),
+                           _seen=od.running_sum(F.when(marker, 1).otherwise(0)))
+        # rows of frames that nothing closes go before any frame is gathered
+        ahead = od.scan(numbered, keys, along, split, _close=od.next_value(F.when(marker, F.col(value))))
+        samples = F.array_sort(F.collect_list(F.when(~marker, F.struct("_rn", F.col(value).cast("long").alias("v")))))
+        sent = ahead.filter(F.col("_close").isin(*closes)).withColumn(
+            "frame_id", (F.col("_seen") - F.when(marker, 1).otherwise(0)).cast("long")).groupBy(*keys, "frame_id").agg(
+            F.max("_close").cast("long").alias("close"), F.transform(samples, lambda x: x["v"]).alias("samples"))
+        least = F.lit(0 if isinstance(min_samples, Mapping) else min_samples)
+        for mark, n in min_samples.items() if isinstance(min_samples, Mapping) else ():
+            least = F.when(F.col("close") == mark, n).otherwise(least)
+        return sent.filter(F.size("samples") >= least)
+
+    return _at_end(stream_fold(stream, key, order, fold, keys, lateness), stream,
+                   list(dict.fromkeys([*keys, *along, value])), along[0], lateness, whole)
 
 
 def final_report(stream: DataFrame, key, ts: str, depth: str, close: int, tie=None,
@@ -187,7 +226,9 @@ def final_report(stream: DataFrame, key, ts: str, depth: str, close: int, tie=No
         return [last, True, seen], pd.DataFrame({**{k: [v] for k, v in zip(keys, key_)}, ts: [report]})
 
     need = list(dict.fromkeys(keys + order + [depth]))
-    return _ordered(stream, keys, order, need, out, lateness, lambda: [0, False, False], process)
+    return _at_end(
+        _ordered(stream, keys, order, need, out, lateness, lambda: [0, False, False], process), stream, need, ts, lateness,
+        lambda table: batch_states.final_report(table, ts, depth, close, keys, tie).withColumnRenamed("report_ts", ts))
 
 
 class CountFold(Fold):
@@ -205,9 +246,13 @@ class CountFold(Fold):
         return state + take
 
 
-def collect_n(stream: DataFrame, key, order, n: int, **opts) -> DataFrame:
+def collect_n(stream: DataFrame, key, order, n: int, lateness: int = ANY_ORDER) -> DataFrame:
     """The first ``n`` rows of every key along ``order``, then nothing more from it."""
-    return stream_fold(stream, key, order, CountFold(n), stream.columns, **opts)
+    def first(table: DataFrame) -> DataFrame:
+        return batch_states.collect_n(table, key, order, n)
+
+    return _at_end(stream_fold(stream, key, order, CountFold(n), stream.columns, lateness), stream, stream.columns,
+                   names(order)[0], lateness, first, first)
 
 
 # ----------------------------------------------------------------------------- aggregates
@@ -263,6 +308,8 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     """Run an append stream over all available input into a table in the shared folder, and read it. ``late_rows``
     of the table is the number of rows that came after their watermark."""
     spark = stream.sparkSession
+    if getattr(stream, "whole", None) is not None:
+        return _run_whole(stream, purpose)
     out = workspace(spark, purpose)
     late = 0
 
@@ -292,6 +339,22 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
     return table
 
 
+def _run_whole(stream: DataFrame, purpose: str) -> DataFrame:
+    """All rows of the source as a table, each micro-batch under its own number, then the batch operator over it."""
+    spark, source = stream.sparkSession, stream.source
+    rows = f"{workspace(spark, purpose)}/rows"
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in source.schema])
+    spark.createDataFrame([], schema).write.parquet(f"{rows}/_batch=-1")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        (batch if stream.trim is None else stream.trim(batch)).write.mode("overwrite").parquet(f"{rows}/_batch={batch_id}")
+
+    each_batch(source, store, purpose=purpose)
+    table = stream.whole(spark.read.schema(schema).parquet(rows).select(*schema.names)).select(*stream.columns)
+    table.late_rows = 0
+    return table
+
+
 def each_batch(stream: DataFrame, handler: Callable[[DataFrame, int], None], mode: str = "append",
                purpose: str = "each-batch") -> None:
     """Call ``handler(batch, batch_id)`` for every micro-batch until the input is used up."""

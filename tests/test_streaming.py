@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import states as st
+from pulsegrid.plans import folds
 from pulsegrid.streaming import stateful as ss
 
 
@@ -117,3 +118,47 @@ def test_table_as_folder(spark, tmp_path):
     for name, n in (("t", 40), ("u", 5)):
         stream = ss.table_stream(spark, str(tmp_path), name, spark.range(1).schema)
         assert ss.run_to_table(stream, "t").count() == n
+
+
+def test_a_large_key_is_cut_and_waits_in_no_state(spark, feed, monkeypatch):
+    """With rows in any order no key's rows meet in a state, and a key over the limit is cut."""
+    rnd = random.Random(5)
+    rows = [(rnd.randint(0, 9000), i, "a" if i % 3 else rnd.choice("bc"), rnd.choice([-1, -2, -3, -4, 1, 2, 3, None]),
+             rnd.choice("xyz\b\n"), rnd.choice(["continued", "paused", None]), rnd.randint(0, 2)) for i in range(400)]
+    rows.append((None, 400, "a", 1, "x", "paused", 0))
+    rnd.shuffle(rows)
+    batch, stream = feed(rows, "ts long, id long, k string, v long, ch string, event string, depth long")
+    batch, order, cut = batch.filter("ts is not null"), ["ts", "id"], []
+    real = folds.segmented
+    monkeypatch.setattr(folds, "segmented", lambda *a: cut.append(1) or real(*a))
+    spark.conf.set("pulsegrid.window.maxRows", "30")
+    try:
+        for one, want in (
+                (ss.debounce(stream, "k", "ts", 300, 0, "id"), st.debounce(batch, "k", "ts", 300, 0, "id")),
+                (ss.state_machine(stream, "k", order, "event"), st.state_machine(batch, "k", order, "event")),
+                (ss.assemble_lines(stream, "k", order, "ch", 4), st.assemble_lines(batch, "k", order, "ch", 4))):
+            cut.clear()
+            got = ss.run_to_table(one, "t")
+            assert cut and got.late_rows == 0 and got.dtypes == one.dtypes
+            same(got, want)
+        same(ss.run_to_table(ss.collect_n(stream, "k", order, 7), "t"), st.collect_n(batch, "k", order, 7))
+        got = ss.run_to_table(ss.final_report(stream, "k", "ts", "depth", 4000, "id"), "t")
+        want = st.final_report(batch, "ts", "depth", 4000, "k", "id").withColumnRenamed("report_ts", "ts")
+        same(got, want)
+        one = ss.frames(stream, "k", order, "v", min_samples={-2: 2, -4: 0})
+        got = ss.run_to_table(one, "t")
+        assert got.dtypes == one.dtypes
+        fold, sent = ss.FrameFold("v", (-1, -3), (-2, -4), {-2: 2, -4: 0}), []
+        for k in "abc":
+            values, extra = [r[3] for r in sorted(r for r in rows if r[0] is not None and r[2] == k)], [[], [], []]
+            fold.walk([values], 0, len(values), fold.initial(), [], extra)
+            sent += [(k, *x) for x in zip(*extra)]
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, sent)) and any(not x[3] for x in sent)
+    finally:
+        spark.conf.unset("pulsegrid.window.maxRows")
+
+
+def test_an_empty_feed(spark, tmp_path):
+    spark.createDataFrame([], "ts long, k string, event string").write.parquet(str(tmp_path / "none"))
+    stream = spark.readStream.schema("ts long, k string, event string").parquet(str(tmp_path / "none"))
+    assert ss.run_to_table(ss.state_machine(stream, "k", "ts", "event"), "t").count() == 0
