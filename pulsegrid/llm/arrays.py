@@ -68,7 +68,8 @@ def steps(batch: pa.RecordBatch, text: str, size: int = STEP_BYTES) -> Iterator[
         at = to
 
 
-def arrow_step(work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], text: str) -> Callable:
+def arrow_step(work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], text: str,
+               size: int = STEP_BYTES) -> Callable:
     """``work`` over bounded pieces, in the form ``mapInArrow`` takes. Rows of whole texts are wide, so the session
     sends fewer of them at a time than it does by default."""
     session = SparkSession.getActiveSession()
@@ -77,7 +78,7 @@ def arrow_step(work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in steps(batch, text):
+            for piece in steps(batch, text, size):
                 out = work(piece)
                 if out is not None and out.num_rows:
                     yield from out.to_batches() if isinstance(out, pa.Table) else [out]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hosts, jaccard, lines, neighbours, pieces, substrings, surrogates, tokens
+from . import (automaton, chat, decontaminate, divergence, hosts, jaccard, lines, negatives, neighbours, pieces,
+               substrings, surrogates, tokens)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -210,3 +211,82 @@ def op3_chat_formatting(read) -> DataFrame:
     rows = raw_transcripts(read("conversations"))
     model = chat.fit(rows.where(~lines.held_out("conv_id")), "conv_id", [F.col("turn")], "raw")
     return chat.parsed(rows, model, "conv_id", [F.col("turn")], "raw")
+
+
+@query(f"""
+    WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all({LOWERED}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    used AS (SELECT lang, source, d, unnest(w) AS term FROM docs),
+    kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM used GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+    langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM used JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM docs) g
+      LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+    shares AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (g.total + 5 * v) AS p,
+        1 + (1000000000 * (k.n + 5)) // (l.total + 5 * v) AS q
+      FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+    apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a
+      JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    listed AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM groups a
+        JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM listed)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def op13_source_divergence(read) -> DataFrame:
+    """Differences between the sources of every language, and the terms that set each source apart."""
+    return divergence.audit(read("documents"))
+
+
+@query("""
+    WITH rows AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    scores AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+        list_dot_product(a.v, b.v)::BIGINT AS s FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    first AS (SELECT a, b, s FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+    SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER w)::INTEGER AS rank, n.b AS negative_id,
+      p.s AS positive_score, n.s AS negative_score
+    FROM first p JOIN scores n ON n.a = p.a AND NOT n.same AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s
+    WINDOW w AS (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b) QUALIFY row_number() OVER w <= 10""")
+def op12_hard_negatives(read) -> DataFrame:
+    """Rows of other labels that come close to each anchor's positives, every seventh label moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read("embeddings").withColumn("label", moved), lambda key: key % 100 == 0)
+
+
+#: weight of the shorter context in the language model
+MASS = 1000.0
+
+
+@query(f"""
+    WITH named AS (SELECT doc_id, row_number() OVER () AS d, [chr(10)] || [x for x in regexp_split_to_array({LOWERED},
+        '[\\x20\\x09-\\x0D]+') if x <> ''] || [chr(9)] AS w, doc_id::VARCHAR AS id FROM documents),
+    -- the remainder of CRC-32, bit by bit
+    held AS (SELECT doc_id, d, w, coalesce(xor(list_reduce([4294967295] || flatten([[(ascii(id[k]) >> j) & 1 for j in range(8)]
+        for k in range(1, len(id) + 1)]), lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295) % 7 = 2, true)
+        AS held_out FROM named),
+    placed AS (SELECT d, held_out, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS t FROM held),
+    seen AS (SELECT d, held_out, i, t AS g1, lag(t) OVER p || ' ' || t AS g2, lag(t, 2) OVER p || ' ' || lag(t) OVER p || ' ' || t AS g3
+      FROM placed WINDOW p AS (PARTITION BY d ORDER BY i)),
+    c1 AS (SELECT g1 AS g, count(*) AS c FROM seen WHERE NOT held_out GROUP BY 1),
+    c2 AS (SELECT g2 AS g, count(*) AS c FROM seen WHERE NOT held_out AND i > 1 GROUP BY 1),
+    c3 AS (SELECT g3 AS g, count(*) AS c FROM seen WHERE NOT held_out AND i > 2 GROUP BY 1),
+    total AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c1 WHERE g <> chr(10)),
+    counted AS (SELECT d, i, coalesce(c1.c, 0) AS c1, coalesce(c2.c, 0) AS c2, coalesce(c3.c, 0) AS c3 FROM seen
+      LEFT JOIN c1 ON c1.g = g1 LEFT JOIN c2 ON c2.g = g2 LEFT JOIN c3 ON c3.g = g3),
+    ahead AS (SELECT *, lag(c1) OVER p AS h1, lag(c2) OVER p AS h2 FROM counted WINDOW p AS (PARTITION BY d ORDER BY i)),
+    one AS (SELECT d, i, c1, c2, c3, h1, h2, n, (c1 + 1) / (n + v + 1) AS p1 FROM ahead, total WHERE i > 1),
+    two AS (SELECT *, (c2 + {MASS} * p1) / (h1 + {MASS}) AS p2 FROM one),
+    three AS (SELECT *, CASE WHEN i > 2 THEN (c3 + {MASS} * p2) / (h2 + {MASS}) ELSE p2 END AS p3 FROM two),
+    summed AS (SELECT d, count(*) AS n_tokens, count(*) FILTER (WHERE c1 > 0) AS n_known, any_value(n) AS train_tokens,
+        sum(log10(p1)) AS base_score, sum(log10(p3)) AS score FROM three GROUP BY d)
+    SELECT doc_id, held_out, n_tokens, n_known, train_tokens, round(base_score, 6) AS base_score, round(score, 6) AS score
+    FROM held JOIN summed USING (d)""")
+def op11_lm_scores(read) -> DataFrame:
+    """Log-probability of every document by a backoff automaton learned outside every seventh document."""
+    out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(True))
+    return automaton.scored(read("documents"), ~out, mass=MASS).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"),
+        F.round("score", 6).alias("score"))

@@ -19,7 +19,7 @@ def value(v):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
 
 
