@@ -18,6 +18,7 @@ arcs that its own texts can reach, with the weights of the whole.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,19 +32,19 @@ from .arrays import arrow_step, byte_view, mix, space_words, steps, word_hashes
 from .tables import saved
 
 #: bytes of text of a part (a longer text is a part), distinct n-grams of a slice, tokens that a lane reads
-PART_BYTES, SLICE, LANE = 8_000_000, 2_000_000, 256
+PART_BYTES, SLICE, LANE = 5_000_000, 2_000_000, 256
 #: hashes of the two tokens that are no words; words never have them but by a clash of 64 bits
 BEGIN, END = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
 
 
 def planes(values: np.ndarray) -> bytes:
     """Whole numbers as their bytes, all lowest bytes first: leading zeros lie together and compress well."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return zlib.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T), 1)
 
 
 def from_planes(data: bytes, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def rises(values: np.ndarray) -> bytes:
@@ -175,44 +176,43 @@ class Automaton:
     """States and arcs that the tokens of a part can reach. State 0 is the root."""
 
     def __init__(self, tokens: np.ndarray, first: np.ndarray, totals: list[np.ndarray], mass: float, n: int, v: int):
-        self.order = len(totals)
-        size = len(tokens)
-        self.arcs: list[np.ndarray] = []  # the arc of each token out of a state of each depth; -1: there is none
-        weight, target, back, fail, depth = [], [], [np.zeros(1)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
-        arcs, states = 0, 1
-        shorter_p, shorter_state, shorter_count, shorter_of = None, None, None, None
+        self.order, size = len(totals), len(tokens)
+        #: the arc of each token out of a state of each depth; -1: there is none
+        self.arcs = np.full((self.order, size), -1, np.int32)
         self.count = np.zeros(size, np.int64)  # of each token, in the learning texts
+        weight, target, back, fail, depth = [], [], [np.zeros(1)], [np.zeros(1, np.int32)], [np.zeros(1, np.int8)]
+        arcs, states = 0, 1
+        shorter_of = np.zeros(size, np.int32)  # which n-gram of the order before ends at a token
+        shorter_p = shorter_state = shorter_count = np.zeros(0)
         for k, (ends, hashes) in enumerate(grams(tokens, first, self.order), 1):
-            known, at, of = np.unique(hashes, return_index=True, return_inverse=True)
-            count, at = totals[k - 1], ends[at]  # a place of each n-gram
+            _, at, of = np.unique(hashes, return_index=True, return_inverse=True)
+            del hashes
+            count, at, of = totals[k - 1], ends[at], of.astype(np.int32)  # at: a place of each n-gram
+            real = count > 0
             if k == 1:
                 p = (count + 1) / (n + v + 1)
                 self.count[ends] = count[of]
-                arc = np.arange(len(known))
-                suffix = np.zeros(len(known), np.int64)
+                held = np.ones(len(at), bool)
+                suffix = np.zeros(len(at), np.int32)
             else:
-                context, rest = shorter_count[shorter_of[at - 1]], shorter_of[at]
-                p = (count + mass * shorter_p[rest]) / (context + mass)
-                arc = np.where(count > 0, arcs + np.cumsum(count > 0) - 1, -1)
+                rest = shorter_of[at]
+                p = (count + mass * shorter_p[rest]) / (shorter_count[shorter_of[at - 1]] + mass)
+                held = real
                 suffix = shorter_state[rest]
-            held = arc >= 0
+            del at
+            arc = np.where(held, arcs + np.cumsum(held) - 1, -1).astype(np.int32)
+            state = suffix
             if k < self.order:  # n-grams that a text goes on from are states
-                state = np.where(count > 0, states + np.cumsum(count > 0) - 1, suffix)
-                real = count > 0
+                state = np.where(real, states + np.cumsum(real) - 1, suffix).astype(np.int32)
                 back.append(np.log10(mass / (count[real] + mass)))
                 fail.append(suffix[real])
-                depth.append(np.full(int(real.sum()), k))
+                depth.append(np.full(int(real.sum()), k, np.int8))
                 states += int(real.sum())
-            else:
-                state = suffix
             weight.append(np.log10(p[held]))
             target.append(state[held])
             arcs += int(held.sum())
-            taken = np.full(size, -1, np.int64)
-            taken[ends] = arc[of]
-            self.arcs.append(taken)
+            self.arcs[k - 1, ends] = arc[of]
             shorter_p, shorter_state, shorter_count = p, state, count
-            shorter_of = np.zeros(size, np.int64)
             shorter_of[ends] = of
         self.weight, self.target = np.concatenate(weight), np.concatenate(target)
         self.back, self.fail, self.depth = map(np.concatenate, (back, fail, depth))
@@ -231,8 +231,7 @@ class Automaton:
         end = np.minimum(own + lane, first[text + 1])
         at = np.maximum(own - self.order + 1, first[text])
         counted = np.maximum(own, first[text] + 1)  # the begin of a text has no weight
-        state, total = np.zeros(len(text), np.int64), np.zeros(len(text))
-        arcs = np.stack(self.arcs)
+        state, total, arcs = np.zeros(len(text), np.int32), np.zeros(len(text)), self.arcs
         live = np.arange(len(text))
         while len(live):
             here, now = at[live], state[live]
