@@ -7,11 +7,12 @@ operators on streams.
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import deque
+import re
 from collections.abc import Mapping
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,11 @@ from .sorting import cap_first
 
 
 class DebounceFold(folds.Fold):
-    """State: the time of the last accepted event, or None."""
+    """State: the time of the last accepted event, or None.
+
+    In a batch every event points to the first one at least a gap later; the pointers, doubled until all have ended,
+    tell which events a start leads to. A digest keeps where every possible first accepted event of the segment leads.
+    """
 
     def __init__(self, ts: str, min_gap: int, initial_last: int | None):
         self.inputs = (ts,)
@@ -34,52 +39,100 @@ class DebounceFold(folds.Fold):
     def initial(self):
         return self.start
 
-    def walk(self, cols, lo, hi, state, rows, extra):
-        times, gap = cols[0], self.min_gap
-        for i in range(lo, hi):
-            t = times[i]
-            if t is None:
-                continue
-            if state is None or t - state >= gap:
-                rows.append(i)
-                state = t
-        return state
-
-    # A digest follows every possible first accepted event at once. Two of them that
-    # accept the same event stay together from there on.
+    def _pointers(self, times: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each event the first one of its run at least a gap later; ``len(times)``: there is none."""
+        n = len(times)
+        ends = np.append(starts[1:], n)
+        starts, ends = starts[starts < ends], ends[starts < ends]
+        of = np.repeat(np.arange(len(starts)), ends - starts)
+        # one axis for all runs, each beyond the reach of the one before
+        width = (times[ends - 1] - times[starts]).astype(np.float64) + self.min_gap + 1
+        if times.dtype.kind == "i" and width.sum() < 1 << 62:
+            shift = np.cumsum(width.astype(np.int64)) - width.astype(np.int64) - times[starts]
+            line = times + shift[of]
+            at = np.searchsorted(line, line + self.min_gap)
+        else:
+            at = np.concatenate([np.zeros(0, np.int64), *[lo + np.searchsorted(times[lo:hi], times[lo:hi] + self.min_gap)
+                                                          for lo, hi in zip(starts.tolist(), ends.tolist())]])
+        at = np.maximum(at, np.arange(1, n + 1))  # a gap of zero goes on to the next
+        at[at >= ends[of]] = n
+        return np.append(at, n)
+
+    def walk(self, cols, starts, states):
+        valid = cols[0].is_valid().to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(valid)
+        times = cols[0].filter(pa.array(valid)).to_numpy(zero_copy_only=False)
+        cuts = np.searchsorted(rows, starts)  # where each run begins among the events with a time
+        ends = np.append(cuts[1:], len(rows))
+        pointers = self._pointers(times, cuts)
+        first = [lo if state is None else lo + int(np.searchsorted(times[lo:hi], state + self.min_gap))
+                 for lo, hi, state in zip(cuts.tolist(), ends.tolist(), states)]
+        reached = np.array([at for at, hi in zip(first, ends.tolist()) if at < hi], np.int64)
+        doubled = [pointers]
+        while (doubled[-1][:-1] < len(times)).any():
+            doubled.append(doubled[-1][doubled[-1]])
+        for jump in reversed(doubled):
+            reached = np.concatenate([reached, jump[reached]])
+            reached = reached[reached < len(times)]
+        kept = np.sort(reached)
+        own = kept[kept >= cuts[-1]]
+        return rows[kept], [], times[own[-1]].item() if len(own) else states[-1]
+
     def blank(self):
-        return {"first": None, "open": True, "entries": [], "chains": deque()}
-
-    def feed(self, cols, lo, hi, d):
-        times, gap, chains = cols[0], self.min_gap, d["chains"]
-        for i in range(lo, hi):
-            t = times[i]
-            if t is None:
-                continue
-            if d["first"] is None:
-                d["first"] = t
-            joined: list[int] = []
-            while chains and chains[0][0] + gap <= t:
-                joined += chains.popleft()[1]
-            if d["open"] and (not d["entries"] or d["entries"][-1] < t):
-                joined.append(len(d["entries"]))
-                d["entries"].append(t)
-                d["open"] = t < d["first"] + gap
-            if joined:
-                chains.append((t, joined))
-        return d
+        return {"first": None, "open": True, "entries": [], "ends": np.zeros(0), "of": []}
+
+    def feed(self, cols, digest):
+        times = cols[0].drop_null().to_numpy(zero_copy_only=False)
+        if not len(times):
+            return digest
+        pointers = self._pointers(times, np.zeros(1, np.int64))
+        last = np.where(pointers[:-1] < len(times), pointers[:-1], np.arange(len(times)))
+        while True:  # the end of each event's chain in this batch
+            further = last[last]
+            if (further == last).all():
+                break
+            last = further
+        first = times[0] if digest["first"] is None else digest["first"]
+        ends, of, entries, open_ = digest["ends"], digest["of"], digest["entries"], digest["open"]
+        if len(ends):
+            at = np.searchsorted(times, ends + self.min_gap)
+            moved = np.append(times[last], 0)[np.minimum(at, len(times))]
+            ends = np.where(at < len(times), moved, ends)
+        if open_:
+            # up to the first event that no state before the segment can hold back
+            new = np.unique(times)
+            new = new[:np.searchsorted(new, first + self.min_gap) + 1]
+            if entries:
+                new = new[new > entries[-1][-1]]
+            if len(new):
+                open_ = bool(new[-1] < first + self.min_gap)
+                of = [*of, np.arange(len(ends), len(ends) + len(new))]
+                entries = [*entries, new]
+                ends = np.concatenate([ends, times[last[np.searchsorted(times, new)]]])
+        if not open_ and len(ends) > 1:  # chains that have met stay together
+            ends, at = np.unique(ends, return_inverse=True)
+            of = [at[np.concatenate(of)]]
+        return {"first": first, "open": open_, "entries": entries, "ends": ends, "of": of}
 
-    def seal(self, d):
-        exits = [None] * len(d["entries"])
-        for last, members in d["chains"]:
-            for m in members:
-                exits[m] = last
-        return [d["entries"], exits]
+    def seal(self, digest):
+        if not digest["entries"]:
+            return [None, None]
+        entries, exits = np.concatenate(digest["entries"]), digest["ends"][np.concatenate(digest["of"])]
+        # one entry, the last, for each stretch with the same exit
+        keep = np.append(exits[1:] != exits[:-1], True)
+        entries, exits = entries[keep], exits[keep]
+        if entries.dtype.kind != "i":
+            return [entries.tolist(), exits.tolist()]
+        own = bool((entries == exits).all())
+        return [folds.packed(entries), None if own else folds.packed(exits)]
 
     def step(self, state, sealed):
-        entries, exits = sealed
-        at = 0 if state is None else bisect_left(entries, state + self.min_gap)
-        return exits[at] if at < len(entries) else state
+        entries, exits = (folds.unpacked(x) if isinstance(x, str) else x for x in sealed)
+        if entries is None:
+            return state
+        exits = entries if exits is None else exits
+        at = 0 if state is None else int(np.searchsorted(entries, state + self.min_gap))
+        return np.asarray(exits[at]).item() if at < len(entries) else state
 
 
 def debounce(df: DataFrame, key, ts: str, min_gap: int, initial_last: int | None = None,
@@ -119,46 +172,80 @@ SERVO_TRANSITIONS: dict[tuple[str, str], str] = {
 }
 
 
+#: events that a lane of a batch holds
+LANE = 16
+
+
 class MachineFold(folds.Fold):
-    """State: the machine's state. A digest maps every state before to one after."""
+    """State: the machine's state.
+
+    Every event is a map from states to states, and maps compose. A batch is cut into lanes; each lane's map tells
+    the state in which the next lane begins, and then all lanes run side by side. A digest is the map of a segment.
+    """
 
     def __init__(self, event: str, transitions: Mapping[tuple[str, str], str], initial: str):
         self.inputs = (event,)
         self.extra = (T.StructField("from", T.StringType()), T.StructField("to", T.StringType()))
         self.start = initial
-        self.table = dict(transitions)
-        self.states = sorted({initial, *(s for s, _ in self.table), *self.table.values()})
+        self.states = sorted({initial, *(s for s, _ in transitions), *transitions.values()})
+        self.events = sorted({e for _, e in transitions})
+        number = {s: i for i, s in enumerate(self.states)}
+        #: a row per event, the last one for those that change nothing
+        self.maps = np.tile(np.arange(len(self.states), dtype=np.int32), (len(self.events) + 1, 1))
+        for (state, event_), to in transitions.items():
+            self.maps[self.events.index(event_), number[state]] = number[to]
 
     def initial(self):
         return self.start
 
-    def walk(self, cols, lo, hi, state, rows, extra):
-        events, table = cols[0], self.table
-        before, after = extra
-        for i in range(lo, hi):
-            before.append(state)
-            state = table.get((state, events[i]), state)
-            after.append(state)
-        rows.extend(range(lo, hi))
-        return state
+    def _lanes(self, column: pa.Array) -> np.ndarray:
+        """The number of each row's map, lanes along the second axis, filled up with the last."""
+        at = pc.fill_null(pc.index_in(column, pa.array(self.events, column.type)), len(self.events))
+        lanes = np.full((-(-len(column) // LANE), LANE), len(self.events), np.int32)
+        lanes.ravel()[:len(column)] = at.to_numpy(zero_copy_only=False)
+        return np.ascontiguousarray(lanes.T)
+
+    def _composed(self, lanes: np.ndarray, given: np.ndarray | None = None) -> np.ndarray:
+        """The map of each lane. ``given``: the state that a row begins in whatever came before, or -1."""
+        total = np.tile(np.arange(len(self.states), dtype=np.int32), (lanes.shape[1], 1))
+        for j, events in enumerate(lanes):
+            if given is not None and (given[j] >= 0).any():
+                total = np.where((given[j] >= 0)[:, None], given[j][:, None], total)
+            total = self.maps[events[:, None], total]
+        return total
+
+    def walk(self, cols, starts, states):
+        n = len(cols[0])
+        lanes = self._lanes(cols[0])
+        given = np.full((lanes.shape[1], LANE), -1, np.int32)
+        given.ravel()[starts] = [self.states.index(s) for s in states]
+        given = np.ascontiguousarray(given.T)
+        state, begins = 0, []
+        for lane in self._composed(lanes, given).tolist():
+            begins.append(state)
+            state = lane[state]
+        now = np.array(begins, np.int32)
+        before, after = np.empty_like(lanes), np.empty_like(lanes)
+        for j, events in enumerate(lanes):
+            before[j] = np.where(given[j] >= 0, given[j], now)
+            after[j] = now = self.maps[events, before[j]]
+        names = pa.array(self.states)
+        out = [pa.DictionaryArray.from_arrays(pa.array(x.T.ravel()[:n]), names).cast(pa.string()) for x in (before, after)]
+        return None, out, self.states[state]
 
     def blank(self):
-        return {s: [s] for s in self.states}
-
-    def feed(self, cols, lo, hi, digest):
-        events, table = cols[0], self.table
-        for i in range(lo, hi):
-            moved: dict[str, list[str]] = {}
-            for now, origins in digest.items():
-                moved.setdefault(table.get((now, events[i]), now), []).extend(origins)
-            digest = moved
+        return list(range(len(self.states)))
+
+    def feed(self, cols, digest):
+        for lane in self._composed(self._lanes(cols[0])).tolist():
+            digest = [lane[s] for s in digest]
         return digest
 
     def seal(self, digest):
-        return {origin: now for now, origins in digest.items() for origin in origins}
+        return [self.states[s] for s in digest]
 
     def step(self, state, sealed):
-        return sealed[state]
+        return sealed[self.states.index(state)]
 
 
 def state_machine(df: DataFrame, key, order, event: str,
@@ -172,8 +259,15 @@ def state_machine(df: DataFrame, key, order, event: str,
 # ----------------------------------------------------------------------------- line assembly
 
 
+#: line ends, runs of backspaces, runs of other characters
+_KEYS = re.compile("[\r\n]|\x08+|[^\x08\r\n]+")
+
+
 class LineFold(folds.Fold):
-    """State: [lines sent so far, the text typed so far, characters dropped from it]."""
+    """State: [lines sent so far, the text typed so far, characters dropped from it].
+
+    A row holds one character or many. It is taken as line ends, runs of backspaces and runs of text.
+    """
 
     def __init__(self, ch: str, max_len: int):
         self.inputs = (ch,)
@@ -184,27 +278,32 @@ class LineFold(folds.Fold):
     def initial(self):
         return [0, "", 0]
 
-    def walk(self, cols, lo, hi, state, rows, extra):
-        chars, cap = cols[0], self.max_len
-        numbers, lines, lost = extra
-        sent, typed, dropped = state[0], list(state[1]), state[2]
-        for i in range(lo, hi):
-            c = chars[i]
-            if c == "\n" or c == "\r":
-                rows.append(i)
-                numbers.append(sent)
-                lines.append("".join(typed))
-                lost.append(dropped)
-                sent, dropped = sent + 1, 0
-                typed.clear()
-            elif c == "\b":
-                if typed:
-                    typed.pop()
-            elif c is not None and len(typed) < cap:
-                typed.append(c)
+    def _type(self, chunk: str | None, state: list, send) -> list:
+        sent, typed, dropped = state
+        if chunk is None:
+            return [sent, typed, dropped + 1]
+        for key in _KEYS.findall(chunk):
+            if key == "\n" or key == "\r":
+                send(sent, typed, dropped)
+                sent, typed, dropped = sent + 1, "", 0
+            elif key[0] == "\b":
+                typed = typed[:-len(key)]
             else:
-                dropped += 1
-        return [sent, "".join(typed), dropped]
+                room = self.max_len - len(typed)
+                typed, dropped = typed + key[:room], dropped + max(len(key) - room, 0)
+        return [sent, typed, dropped]
+
+    def walk(self, cols, starts, states):
+        chunks = cols[0].to_pylist()
+        rows: list[int] = []
+        out: list[tuple] = []
+        state = None
+        for lo, hi, state in zip(starts.tolist(), [*starts[1:].tolist(), len(chunks)], states):
+            for i in range(lo, hi):
+                held = len(out)
+                state = self._type(chunks[i], state, lambda *line: out.append(line))
+                rows.extend([i] * (len(out) - held))
+        return np.array(rows, np.int64), [list(x) for x in zip(*out)] or [[], [], []], state
 
     # Until the first line end, what a segment does to the incoming text depends only
     # on its length, so one lane per length 0..max_len is followed. ``keep`` is how much
@@ -220,27 +319,33 @@ class LineFold(folds.Fold):
             "text": np.full((n, self.max_len), "", dtype=object),
         }
 
-    def feed(self, cols, lo, hi, d):
-        chars, cap = cols[0], self.max_len
-        i = lo
-        while d["state"] is None and i < hi:
-            c = chars[i]
-            i += 1
-            if c == "\n" or c == "\r":
-                d["sent"], d["state"] = 1, [0, "", 0]
-            elif c == "\b":
-                d["size"] = np.maximum(d["size"] - 1, 0)
-                d["keep"] = np.minimum(d["keep"], d["size"])
-            elif c is None:
-                d["dropped"] += 1
-            else:
-                d["dropped"][d["size"] >= cap] += 1
-                room = np.nonzero(d["size"] < cap)[0]
-                d["text"][room, d["size"][room]] = c
-                d["size"][room] += 1
-        if d["state"] is not None and i < hi:
-            sink: list[list] = [[], [], []]
-            d["state"] = self.walk(cols, i, hi, d["state"], [], sink)
+    def feed(self, cols, d):
+        cap, sent = self.max_len, []
+        for chunk in cols[0].to_pylist():
+            if d["state"] is None:
+                end = re.search("[\r\n]", chunk or "")
+                chunk, rest = (chunk, None) if end is None else (chunk[:end.start()], chunk[end.end():])
+                if chunk is None:
+                    d["dropped"] += 1
+                for key in _KEYS.findall(chunk or ""):
+                    if key[0] == "\b":
+                        d["size"] = np.maximum(d["size"] - len(key), 0)
+                        d["keep"] = np.minimum(d["keep"], d["size"])
+                        continue
+                    for c in key[:cap]:
+                        room = np.nonzero(d["size"] < cap)[0]
+                        if not len(room):
+                            break
+                        d["text"][room, d["size"][room]] = c
+                        d["size"][room] += 1
+                        d["dropped"][room] -= 1
+                    d["dropped"] += len(key)
+                if end is not None:
+                    d["sent"], d["state"] = 1, [0, "", 0]
+                chunk = rest
+                if end is None:
+                    continue
+            d["state"] = self._type(chunk, d["state"], lambda *line: sent.append(1))
         return d
 
     def seal(self, d):
@@ -261,10 +366,11 @@ class LineFold(folds.Fold):
 
 
 def assemble_lines(df: DataFrame, key, order, ch: str, max_len: int = 80, **opts) -> DataFrame:
-    """Lines from single characters: append up to ``max_len``, backspace deletes, CR or LF sends.
+    """Lines from typed text, a character or a piece of any length per row: characters append up to ``max_len``,
+    backspace deletes, CR or LF sends.
 
-    Returns the key and order columns of the sending character, ``line_no``, ``line`` and ``dropped``, the
-    number of characters that found the line full (or were null).
+    Returns the key and order columns of the row with the sending character, ``line_no``, ``line`` and ``dropped``,
+    the number of characters that found the line full. A null row is one character that is dropped.
     """
     passed = list(dict.fromkeys(od.names(key) + od.names(order)))
     return folds.run_fold(df, key, order, LineFold(ch, max_len), passed, **opts)

@@ -153,24 +153,14 @@ WITH {TYPED} SELECT conv_id, line_no, ltrim(held, chr(1)) AS line, length(held)
 
 
 def typed(df):
-    """Conversations as typed text; a ``t`` is a backspace, ``. `` a carriage return."""
+    """Conversations as typed text, a turn per row; a ``t`` is a backspace, ``. `` a carriage return."""
     text = F.concat(F.replace(F.replace("text", F.lit("t"), F.lit("\b")), F.lit(". "), F.lit("\r")), F.lit("\n"))
-    return df.select("conv_id", "turn", text.alias("text"))
-
-
-def keystrokes(texts):
-    chars = texts.select("conv_id", "turn", F.posexplode(F.split("text", "")).alias("pos", "ch"))
-    return chars.filter(F.col("ch") != "")
+    return df.select("conv_id", "turn", text.alias("text")).filter("text is not null")
 
 
 def lines(t, max_rows=None):
-    texts = typed(t.conversations)
-    # the lengths of the texts say how many characters there will be
-    sizes = texts.groupBy("conv_id").agg(F.sum(F.length("text")).alias("_n"))
-    chars, order = keystrokes(texts), ["turn", "pos"]
-    split = od.measure(chars, "conv_id", order, max_rows, sizes)
-    return st.assemble_lines(chars, "conv_id", order, "ch", split=split).select(
-        "conv_id", "line_no", "line", "dropped")
+    out = st.assemble_lines(typed(t.conversations), "conv_id", "turn", "text", max_rows=max_rows)
+    return out.select("conv_id", "line_no", "line", "dropped")
 
 
 @query("t5_assemble_lines", LINES)
@@ -180,14 +170,13 @@ def assemble_lines(t):
 
 @query("t5_assemble_lines_cut", LINES)
 def assemble_lines_cut(t):
-    return lines(t, max_rows=700)
+    return lines(t, max_rows=3)
 
 
 @query("t5_assemble_lines_stream", LINES)
 def assemble_lines_stream(t):
     live = ss.table_stream(t.spark, t.folder, "conversations", t.conversations.schema)
-    chars = keystrokes(typed(live))
-    out = ss.run_to_table(ss.assemble_lines(chars, "conv_id", ["turn", "pos"], "ch"), "lines")
+    out = ss.run_to_table(ss.assemble_lines(typed(live), "conv_id", "turn", "text"), "lines")
     return out.select("conv_id", "line_no", "line", "dropped")
 
 

@@ -16,10 +16,14 @@ import json
 import pickle
 from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type as arrow_type
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import states as batch_states
@@ -107,15 +111,16 @@ def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str], l
     need = list(dict.fromkeys(keys + order + list(fold.inputs) + passed))
     out = T.StructType([stream.schema[c] for c in passed] + list(fold.extra))
     extras = [f.name for f in fold.extra]
+    kinds = [arrow_type(stream.schema[c].dataType) for c in fold.inputs]
 
     def process(key, ready, now, mark):
         if ready is None or not len(ready):
             return now, None
-        cols = [ready[c].tolist() for c in fold.inputs]
-        rows: list[int] = []
-        extra: list[list] = [[] for _ in fold.extra]
-        now = fold.walk(cols, 0, len(ready), now, rows, extra)
-        return now, ready.iloc[rows][passed].reset_index(drop=True).assign(**dict(zip(extras, extra)))[passed + extras]
+        cols = [pa.Array.from_pandas(ready[c], kind) for c, kind in zip(fold.inputs, kinds)]
+        rows, extra, now = fold.walk(cols, np.zeros(1, np.int64), [now])
+        kept = ready if rows is None else ready.iloc[rows]
+        extra = [x.to_pylist() if isinstance(x, pa.Array) else x for x in extra]
+        return now, kept[passed].reset_index(drop=True).assign(**dict(zip(extras, extra)))[passed + extras]
 
     return _ordered(stream, keys, order, need, out, lateness, fold.initial, process)
 
@@ -160,19 +165,18 @@ class FrameFold(Fold):
     def _least(self, mark: int) -> int:
         return self.need.get(mark, 0) if isinstance(self.need, Mapping) else self.need
 
-    def walk(self, cols, lo, hi, state, rows, extra):
-        seen, samples = state
-        for i in range(lo, hi):
-            v = cols[0][i]
-            if v in self.closes and len(samples) >= self._least(v):
-                rows.append(i)
-                for sink, item in zip(extra, (seen, v, samples)):
-                    sink.append(item)
-            if v in self.opens or v in self.closes:
-                seen, samples = seen + 1, []
-            else:
-                samples.append(v)
-        return [seen, samples]
+    def walk(self, cols, starts, states):
+        marks = np.flatnonzero(pc.is_in(cols[0], pa.array([*self.opens, *self.closes], cols[0].type)).to_numpy(zero_copy_only=False))
+        rows, out = [], []
+        for lo, hi, (seen, samples) in zip(starts.tolist(), [*starts[1:].tolist(), len(cols[0])], states):
+            for at in marks[(marks >= lo) & (marks < hi)].tolist():
+                mark, samples = cols[0][at].as_py(), samples + cols[0].slice(lo, at - lo).to_pylist()
+                if mark in self.closes and len(samples) >= self._least(mark):
+                    rows.append(at)
+                    out.append((seen, mark, samples))
+                seen, samples, lo = seen + 1, [], at + 1
+            samples = samples + cols[0].slice(lo, hi - lo).to_pylist()
+        return np.array(rows, np.int64), [list(x) for x in zip(*out)] or [[], [], []], [seen, samples]
 
 
 def frames(stream: DataFrame, key, order, value: str, opens=(-1, -3), closes=(-2, -4),
@@ -234,16 +238,18 @@ def final_report(stream: DataFrame, key, ts: str, depth: str, close: int, tie=No
 class CountFold(Fold):
     """State: rows accepted so far."""
 
-    def __init__(self, n: int):
+    def __init__(self, order: str, n: int):
+        self.inputs = (order,)
         self.n = n
 
     def initial(self):
         return 0
 
-    def walk(self, cols, lo, hi, state, rows, extra):
-        take = min(hi - lo, self.n - state)
-        rows.extend(range(lo, lo + take))
-        return state + take
+    def walk(self, cols, starts, states):
+        size = np.diff(np.append(starts, len(cols[0])))
+        take = np.minimum(size, self.n - np.array(states))
+        rows = [np.arange(lo, lo + n) for lo, n in zip(starts.tolist(), take.tolist())]
+        return np.concatenate(rows), [], states[-1] + int(take[-1])
 
 
 def collect_n(stream: DataFrame, key, order, n: int, lateness: int = ANY_ORDER) -> DataFrame:
@@ -251,7 +257,7 @@ def collect_n(stream: DataFrame, key, order, n: int, lateness: int = ANY_ORDER)
     def first(table: DataFrame) -> DataFrame:
         return batch_states.collect_n(table, key, order, n)
 
-    return _at_end(stream_fold(stream, key, order, CountFold(n), stream.columns, lateness), stream, stream.columns,
+    return _at_end(stream_fold(stream, key, order, CountFold(names(order)[0], n), stream.columns, lateness), stream, stream.columns,
                    names(order)[0], lateness, first, first)
 
 

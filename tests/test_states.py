@@ -1,7 +1,11 @@
 """Stateful operators: small fixtures, and cut keys against whole keys."""
 
+import json
 import random
+import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulsegrid.operators import states as st
@@ -122,3 +126,70 @@ def test_cap_first_is_exact(spark):
     got = sorted(map(tuple, st.collect_n(df, "k", "seq", 40).collect()))
     expect = sorted([r for r in rows if r[0] == "hot"][:40] + [r for r in rows if r[0] == "x"][:40])
     assert got == expect
+
+
+def test_machine_equals_a_plain_loop():
+    """Lanes, group starts at every place, unknown and null events."""
+    rnd = random.Random(4)
+    fold = st.MachineFold("event", st.SERVO_TRANSITIONS, "paused")
+    events = [rnd.choice([*fold.events, "noise", None]) for _ in range(1003)]
+    for starts in ([0], [0, 1, 2, 15, 16, 17, 500], list(range(0, 1003, 5))):
+        states = [rnd.choice(fold.states) for _ in starts]
+        rows, (before, after), last = fold.walk([pa.array(events)], np.array(starts), states)
+        want, now, begin = [], None, dict(zip(starts, states))
+        for i, e in enumerate(events):
+            now = begin.get(i, now)
+            then = st.SERVO_TRANSITIONS.get((now, e), now)
+            want.append((now, then))
+            now = then
+        assert rows is None and list(zip(before.to_pylist(), after.to_pylist())) == want and last == now
+    digest = fold.seal(fold.feed([pa.array(events[400:])], fold.feed([pa.array(events[:400])], fold.blank())))
+    for state in fold.states:
+        assert fold.step(state, json.loads(json.dumps(digest))) == fold.walk([pa.array(events)], np.zeros(1, int), [state])[2]
+
+
+@pytest.mark.parametrize("gap", [0, 1, 13, 5000])
+def test_debounce_digest_equals_the_walk(gap):
+    rnd = random.Random(gap)
+    for kind in (int, float):
+        fold = st.DebounceFold("t", gap, None)
+        times = sorted(kind(rnd.randint(100, 2000)) for _ in range(400))
+        parts = [times[:7], times[7:8], times[8:300], times[300:]]
+        digest = fold.blank()
+        for part in parts:
+            digest = fold.feed([pa.array(part + [None])], digest)
+        sealed = json.loads(json.dumps(fold.seal(digest)))
+        for state in [None, *map(kind, range(-20 - gap, 100, 7)), *map(kind, range(95, 105))]:
+            if state is None or state <= times[0]:
+                assert fold.step(state, sealed) == fold.walk([pa.array(times)], np.zeros(1, int), [state])[2]
+
+
+def test_debounce_digest_of_millions_of_events_in_one_gap():
+    """Regular events of one gap, and irregular ones over many: small digests, in little time."""
+    for gap, times in ((10**9, np.arange(4_000_000)),
+                       (50_000, np.cumsum(np.random.default_rng(1).integers(0, 5, 4_000_000)))):
+        fold = st.DebounceFold("t", gap, None)
+        digest, begun = fold.blank(), time.perf_counter()
+        for lo in range(0, len(times), 10_000):
+            digest = fold.feed([pa.array(times[lo:lo + 10_000])], digest)
+        sealed = fold.seal(digest)
+        assert len(json.dumps(sealed)) < 64_000 and time.perf_counter() - begun < 30
+        for state in (None, -gap + 3, -5):
+            last = state
+            for lo in range(0, len(times), 1_000_000):
+                last = fold.walk([pa.array(times[lo:lo + 1_000_000])], np.zeros(1, int), [last])[2]
+            assert fold.step(state, sealed) == last
+
+
+@pytest.mark.parametrize("rows_per_task", [3, 10_000])
+def test_lines_from_pieces_of_text(spark, rows_per_task):
+    """Pieces of any length give the lines that their single characters give."""
+    rnd = random.Random(rows_per_task)
+    text = "".join(rnd.choice(["ab", "\n", "\b", "\b\b\b", "é日", "x" * 12, "\r\n"]) for _ in range(300)) + "\n"
+    cuts = sorted(rnd.sample(range(len(text)), 40))
+    pieces = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+    df = spark.createDataFrame([("k", i, c) for i, c in enumerate(pieces)] + [("e", 1, ""), ("e", 2, None), ("e", 3, "\n")],
+                               "k string, seq long, ch string").repartition(3)
+    got = st.assemble_lines(df, "k", "seq", "ch", 10, max_rows=rows_per_task).collect()
+    assert [r["line"] for r in sorted(got, key=lambda r: r["line_no"]) if r["k"] == "k"] == brute_lines(text, 10)
+    assert [(r["seq"], r["line"], r["dropped"]) for r in got if r["k"] == "e"] == [(3, "", 1)]

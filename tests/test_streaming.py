@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,8 +152,8 @@ def test_a_large_key_is_cut_and_waits_in_no_state(spark, feed, monkeypatch):
         assert got.dtypes == one.dtypes
         fold, sent = ss.FrameFold("v", (-1, -3), (-2, -4), {-2: 2, -4: 0}), []
         for k in "abc":
-            values, extra = [r[3] for r in sorted(r for r in rows if r[0] is not None and r[2] == k)], [[], [], []]
-            fold.walk([values], 0, len(values), fold.initial(), [], extra)
+            values = [r[3] for r in sorted(r for r in rows if r[0] is not None and r[2] == k)]
+            _, extra, _ = fold.walk([pa.array(values, pa.int64())], np.zeros(1, int), [fold.initial()])
             sent += [(k, *x) for x in zip(*extra)]
         assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, sent)) and any(not x[3] for x in sent)
     finally:
