@@ -217,7 +217,7 @@ def transcript_lines(rows: DataFrame, chat: str, order: list[Column], text: str,
     first = ranged.groupBy("chat").agg(F.min("range").alias("zero"))
     return each.join(first, "chat").select(
         "chat", (F.col("range") - F.col("zero")).alias("block"),
-        (F.shiftleft("row", 24) + F.col("i")).alias("pos"), F.col("z")["lines"].alias("line"),
+        (F.shiftleft("row", 30) + F.col("i")).alias("pos"), F.col("z")["lines"].alias("line"),
         F.col("z")["1"].alias("before"), "i", *keep)
 
 
@@ -249,7 +249,7 @@ def turns(lines: DataFrame, states: DataFrame) -> DataFrame:
     out = rows.groupBy("chat", "turn").agg(F.min("r").alias("r"), F.count("*").alias("n_lines"), held.alias("held"))
     text = F.array_join(F.transform("held", lambda h: h["line"]), "\n")  # lines that went are null and left out
     role = F.element_at(F.array(*map(F.lit, ROLES)), F.col("r") + 1)
-    body = F.regexp_replace(text, r"^\s+|\s+$", "")
+    body = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
     return out.select("chat", "turn", role.alias("role"), "n_lines",
                       F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), body, F.lit("<|im_end|>")).alias("text"))
 

@@ -3,7 +3,8 @@
 Pages with a known outcome (bad or not) vote for their host. Few votes are shrunk: the rate of a suffix towards
 that of all pages, the rate of a registered domain towards its suffix, that of a host towards its domain, each
 with a beta prior whose strength is fitted to how much the rates of that level differ (the beta-binomial's
-moments). A host is blocked when the lower bound of its posterior rate of bad pages exceeds a threshold.
+moments), in which the uncertainty of all levels above adds up. A host is blocked when its domain has votes and the
+lower bound of its posterior rate of bad pages exceeds a threshold.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import saved
+
 #: suffixes of two labels under which names are registered
 TWO_LABELS = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "ne.jp",
               "com.br", "com.cn", "com.mx", "co.in", "co.za", "com.tr", "com.ar")
@@ -53,25 +56,29 @@ def _strength(level: DataFrame, least: float = 1.0, most: float = 1000.0) -> flo
 
 
 def reputation(votes: DataFrame, z: float = 1.645) -> DataFrame:
-    """(host, n, b, rate, bound) from rows (host, outcome: 1 bad, 0 good, null unknown): votes, bad votes,
-    posterior mean and its lower bound (``z`` standard deviations) of the rate of bad pages. Hosts without
-    votes have their domain's or suffix's rate with the prior's uncertainty."""
-    by_host = with_domains(votes.groupBy("host").agg(F.count("outcome").alias("n"),
-                                                     F.coalesce(F.sum("outcome"), F.lit(0)).alias("b")))
+    """(host, n, b, near, rate, bound) from rows (host, outcome: 1 bad, 0 good, null unknown): votes, bad votes, votes
+    of the whole domain, posterior mean and its lower bound (``z`` standard deviations) of the rate of bad pages.
+
+    What is not known of a level is not known of those below it: a child's prior has its parent's mean, and a variance
+    that is the parent's own plus that between the children of a parent. As a beta prior, that is one of fewer pages.
+    """
+    by_host = saved(with_domains(votes.groupBy("host").agg(F.count("outcome").alias("n"), F.coalesce(
+        F.sum("outcome"), F.lit(0)).alias("b"))), "votes")
     total = by_host.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
     mean = ((total.b or 0) + 0.5) / ((total.n or 0) + 1)
     above = None
     for level, parent in (("suffix", None), ("domain", "suffix"), ("host", "domain")):
-        keys = [level] if parent is None or parent == level else [level, parent]
-        rows = by_host.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
-        rows = rows.withColumn("mu", F.lit(mean)) if parent is None else rows.join(above, parent)
-        size = _strength(rows)
-        above = rows.select(level, ((F.col("b") + size * F.col("mu")) / (F.col("n") + size)).alias("mu"))
-    sure = F.col("n") + size
-    rate = (F.col("b") + size * F.col("mu")) / sure
-    rows = rows.select("host", "n", "b", rate.alias("rate"), sure.alias("sure"))
-    return rows.select("host", "n", "b", "rate",
-                       (F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("sure") + 1))).alias("bound"))
+        rows = by_host.groupBy(*([level] if parent is None else [level, parent])).agg(
+            F.sum("n").alias("n"), F.sum("b").alias("b"))
+        rows = (rows.withColumns({"mu": F.lit(mean), "var": F.lit(mean * (1 - mean) / ((total.n or 0) + 2)), "near": F.col("n")})
+                if parent is None else rows.join(above, parent))
+        spread = F.col("mu") * (1 - F.col("mu"))
+        size = F.greatest(spread / (spread / (_strength(rows) + 1) + F.col("var")) - 1, F.lit(0.01))
+        rate = (F.col("b") + F.col("size") * F.col("mu")) / (F.col("n") + F.col("size"))
+        rows = rows.withColumn("size", size).withColumn("rate", rate).withColumn(
+            "var", F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("size") + 1))
+        above = rows.select(level, F.col("rate").alias("mu"), "var", F.col("n").alias("near"))
+    return rows.select("host", "n", "b", "near", "rate", (F.col("rate") - z * F.sqrt("var")).alias("bound"))
 
 
 def ruled(rows: DataFrame, rules: list[tuple[str, str, str]], literal: int = 1_000) -> DataFrame:
@@ -104,7 +111,8 @@ def filtered(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "pa
              outcome: Column | None = None, threshold: float = 0.5) -> DataFrame:
     """One row per row of ``pages``: key, ``host``, ``path``, ``rule`` and ``verdict`` (allow or block).
 
-    A rule's decision stands; other pages are blocked when their host's bound exceeds ``threshold``. ``outcome``
+    A rule's decision stands; other pages are blocked when their host's bound exceeds ``threshold`` and its domain has
+    votes; a host about whose domain nothing is known is allowed. ``outcome``
     (1 bad, 0 good, null unknown) labels pages; by default the rules' decisions are the labels. A null url or
     one without ``://`` has empty host and path and is judged like any other host. Other columns are ignored.
     """
@@ -114,7 +122,7 @@ def filtered(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "pa
     rows = ruled(rows, rules)
     own = F.when(F.col("decision") == "block", 1).when(F.col("decision") == "allow", 0)
     votes = rows.select("host", (own if outcome is None else F.col("given")).alias("outcome"))
-    bad = reputation(votes).select("host", (F.col("bound") > threshold).alias("bad"))
+    bad = reputation(votes).select("host", ((F.col("bound") > threshold) & (F.col("near") > 0)).alias("bad"))
     out = rows.join(bad, "host", "left")
     return out.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce(
         "decision", F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"))

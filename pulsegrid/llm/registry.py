@@ -139,13 +139,16 @@ RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 def _level_sql(level: str, parent: str) -> str:
     """CTEs that shrink the rates of one level towards those of the level above it."""
     return f"""
-    {level}_in AS (SELECT {level}, sum(c.n) AS n, sum(c.b) AS b, any_value(p.mu) AS mu
+    {level}_in AS (SELECT {level}, sum(c.n) AS n, sum(c.b) AS b, any_value(p.mu) AS mu, any_value(p.var) AS var,
+        any_value(p.n) AS near, any_value(p.mu) * (1 - any_value(p.mu)) AS spread
       FROM named c JOIN {parent}_out p USING ({parent}) GROUP BY {level}),
     {level}_size AS (SELECT CASE WHEN coalesce(sum(n * (n - 1)), 0) = 0 THEN 10.0
         WHEN (sum(power(b - n * mu, 2) / (mu * (1 - mu))) - sum(n)) / sum(n * (n - 1)) <= 1.0 / 1001 THEN 1000.0
         ELSE greatest(1.0, sum(n * (n - 1)) / (sum(power(b - n * mu, 2) / (mu * (1 - mu))) - sum(n)) - 1) END AS m
       FROM {level}_in WHERE n > 0),
-    {level}_out AS (SELECT {level}, n, m, (b + m * mu) / (n + m) AS mu FROM {level}_in, {level}_size)"""
+    {level}_prior AS (SELECT *, greatest(spread / (spread / (m + 1) + var) - 1, 0.01) AS size FROM {level}_in, {level}_size),
+    {level}_mean AS (SELECT *, (b + size * mu) / (n + size) AS rate FROM {level}_prior),
+    {level}_out AS (SELECT {level}, n, near, rate AS mu, rate * (1 - rate) / (n + size + 1) AS var FROM {level}_mean)"""
 
 
 _FITS = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{d} {h}{p}'"
@@ -164,10 +167,11 @@ _FITS = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_wit
         THEN 2 ELSE 1 END AS k, regexp_matches(array_to_string(w, '.'), '^[0-9]+(\\.[0-9]+){{3}}$') OR len(w) < 2 AS alone FROM plain),
     named AS (SELECT host, n, b, CASE WHEN alone THEN name ELSE array_to_string(w[-k:], '.') END AS suffix,
         CASE WHEN alone THEN name ELSE array_to_string(w[-least(len(w), k + 1):], '.') END AS domain, 0 AS root FROM marked),
-    root_out AS (SELECT 0 AS root, (sum(b) + 0.5) / (sum(n) + 1) AS mu FROM named),
+    root_out AS (SELECT 0 AS root, n, mu, mu * (1 - mu) / (n + 2) AS var
+      FROM (SELECT sum(n) AS n, (sum(b) + 0.5) / (sum(n) + 1) AS mu FROM named)),
     {_level_sql('suffix', 'root')}, {_level_sql('domain', 'suffix')}, {_level_sql('host', 'domain')}
     SELECT page_id, host, path, nullif(rule, '') AS rule, CASE WHEN decision <> '' THEN decision
-      WHEN mu - 1.645 * sqrt(mu * (1 - mu) / (n + m + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+      WHEN near > 0 AND mu - 1.645 * sqrt(var) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
     FROM judged LEFT JOIN host_out USING (host)""")
 def op6_url_filters(read) -> DataFrame:
     """Verdict on every page's url, by rule or by its host's reputation."""

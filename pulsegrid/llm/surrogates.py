@@ -15,6 +15,7 @@ import re
 from bisect import bisect_left
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,9 +46,11 @@ TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "n", "Prof": "n",
 _GENDER = {name: (kind, names) for kind, names in GIVEN.items() for name in names}
 
 NUMBERS = re.compile(r"""
-  (?P<secret>(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?[ ]?[=:][ ]?["']?)
-     (?P<value>[A-Za-z0-9+/_.~-]{6,}))
-| (?P<key>\b(?:AKIA[0-9A-Z]{16,}|ghp_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,})\b)
+  (?P<secret>(?:(?i:password|passwd|passwort|kennwort|contrase[nñ]a|mot\ de\ passe|пароль|pwd|token|secret
+        |(?:api|access|private)[_-]?key)["']?[ \t]*(?:=>|:=|[=:])[ \t]*(?!(?i:bearer|basic)\b)|\b(?i:bearer|basic)[ ]+)
+     (?:"(?P<double>[^"\n]{4,})"|'(?P<single>[^'\n]{4,})'|(?P<value>[^\s"'<>`]{6,})))
+| (?P<key>\b(?:AKIA[0-9A-Z]{16,}|gh[opsur]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|xox[abeoprs]-[A-Za-z0-9-]{10,}
+     |sk-[A-Za-z0-9_-]{20,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]+)?)\b)
 | (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b)
 | (?P<iban>\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b)
 | (?P<mac>\b(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}\b)
@@ -55,7 +58,7 @@ NUMBERS = re.compile(r"""
      |(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*::)(?:[0-9A-Fa-f]{0,4}:){2,7}
       (?:(?:[0-9]{1,3}\.){3}[0-9]{1,3}|[0-9A-Fa-f]{0,4})(?![0-9A-Za-z:]|[.-][0-9]))
 | (?P<ipv4>(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9]))
-| (?P<phone>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}
+| (?P<phone>(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,8}){1,4}
      |\+[0-9]{8,15}|\([0-9]{3}\)[ ]?[0-9]{3}[-. ][0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?![0-9A-Za-z]|-[0-9]))
 | (?P<ssn>(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9]))
 | (?P<card>(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}
@@ -230,7 +233,8 @@ def _secret_form(text: str) -> str:
     """``hex``, the fixed beginning of a key, or nothing; each form has its own surrogates."""
     if re.fullmatch("[0-9a-f]+", text):
         return "hex"
-    return next((h for h in ("AKIA", "ghp_", "sk-") if text.startswith(h)), "")
+    m = re.match("AKIA|gh[opsur]_|github_pat_|xox[abeoprs]-|sk-|eyJ", text)
+    return m[0] if m else ""
 
 
 def _iban_check(country: str, body: str) -> int:
@@ -283,13 +287,38 @@ def _names(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str,
         for m in WORD.finditer(text):
             if m[0] in genders:
                 places.setdefault(m.span(), genders[m[0]])
+    free = _free(taken)
+    return [(*place, "name", gender) for place, gender in places.items() if free(*place)]
+
+
+def _free(taken: list[tuple[int, int]]):
+    """Whether a span meets none of the ``taken`` ones, which are in order."""
     begins = [t[0] for t in taken]
 
     def free(start: int, end: int) -> bool:
         k = bisect_left(begins, end)
         return k == 0 or taken[k - 1][1] <= start
 
-    return [(*place, "name", gender) for place, gender in places.items() if free(*place)]
+    return free
+
+
+def _repeats(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Every other mention of a secret of six characters or more that the text holds."""
+    secrets = {text[start:end] for start, end, kind, _ in found if kind in ("secret", "key") and end - start >= 6}
+    if not secrets:
+        return []
+    words, out = ahocorasick.Automaton(), []
+    for secret in secrets:
+        words.add_word(secret, len(secret))
+    words.make_automaton()
+    free, at = _free([f[:2] for f in found]), 0
+    for last, size in sorted(words.iter(text), key=lambda m: (m[0] - m[1], -m[1])):
+        start, end = last + 1 - size, last + 1
+        inside = (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum())
+        if start >= at and not inside and free(start, end):
+            out.append((start, end, "secret", "n"))
+            at = end
+    return out
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -298,11 +327,13 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     if _TRIGGER.search(text):
         for m in NUMBERS.finditer(text):
             kind, start, end = m.lastgroup, m.start(), m.end()
-            if kind in ("value", "secret"):
-                kind, start = "secret", m.start("value")
-                if not re.search("[0-9]", m["value"]):
+            if kind == "secret":
+                group = next(g for g in ("double", "single", "value") if m[g] is not None)
+                start, end = m.span(group)
+                if not re.search("[0-9]", m[group]):
                     continue
-                end = start + len(m["value"].rstrip("."))
+                if group == "value":
+                    end = start + len(m["value"].rstrip(".,;:)]}"))
             elif kind in ("gap", "gap2"):
                 kind = "card"
             value = text[start:end]
@@ -321,6 +352,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
                                   or value[7:] == "0000"):
                 continue
             found.append((start, end, kind, "n"))
+    found = sorted(found + _repeats(text, found))
     if _HAS_TITLE.search(text):
         found = sorted(found + _names(text, [f[:2] for f in found]))
     return found

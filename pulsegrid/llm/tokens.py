@@ -14,6 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from .arrays import arrow_step
 #: fixed value: how the byte-level vocabularies cut text into words
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RULES = ("largest", "first", "share")
+#: runs of white space that are too long for the encoder's pattern
+_LONG_BLANK = regex.compile(r"\p{White_Space}{10000,}")
 
 
 class Encoder:
@@ -35,9 +38,21 @@ class Encoder:
         for token, i in held.items():
             self.length[i] = len(token)
 
+    def ids(self, text: str) -> list[int]:
+        """Token ids. The pattern takes a run of white space but for its last character as one word (all of it at
+        the end), so a long run is encoded as that word, apart from the texts before and after it."""
+        out: list[int] = []
+        at = 0
+        for run in _LONG_BLANK.finditer(text):
+            stop = run.end() - (run.end() < len(text))
+            out += self.encoding.encode_ordinary(text[at:run.start()])
+            out += self.encoding._encode_single_piece(text[run.start():stop])
+            at = stop
+        return out + self.encoding.encode_ordinary(text[at:] if at else text)
+
     def ends(self, text: str) -> np.ndarray:
         """Byte offset at which each token of ``text`` ends."""
-        return np.cumsum(self.length[np.array(self.encoding.encode_ordinary(text), np.int64)])
+        return np.cumsum(self.length[np.array(self.ids(text), np.int64)])
 
 
 def _held(ranks: bytes, pattern: str) -> Encoder:
