@@ -207,7 +207,8 @@ def leading_numbers(text) -> Column:
     pattern repeats a group, which would overflow the stack on a long line.
     """
     one_line = F.translate(F.substring_index(F.translate(col(text), "\r", "\n"), "\n", 1), "\x01\x02", "??")
-    marked = F.regexp_replace(one_line, rf"[ \t\x0B\f]*{_NUMBER}", "\x01$0\x02")
+    # blanks are taken from the first of a run and never given back, so long runs cost no more than their length
+    marked = F.regexp_replace(one_line, rf"(?<![ \t\x0B\f])[ \t\x0B\f]*+{_NUMBER}", "\x01$0\x02")
     run = F.regexp_replace(marked, r"(?s)(?:^|(?<=\x02))(?!\x01).*$", "")
     found = F.regexp_extract_all(run, F.lit(_NUMBER), F.lit(0))
     return F.transform(found, lambda t: t.cast("double"))

@@ -1,5 +1,7 @@
 """Readers on real files with small hand fixtures."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +151,14 @@ def test_uniform_is_stable_under_repartition(spark):
     two = gen.bounded_uniform(df.repartition(7), "id", 5, 14).orderBy("id").collect()
     assert sorted(one) == sorted(two)
     assert {r["u"] for r in one} == set(range(5, 15))
+
+
+def test_numbers_after_very_long_blanks(spark):
+    """In time that grows with the length, wherever the blanks are."""
+    lines = [" " * 1_000_000 + "x", " " * 1_000_000 + "5 x", "\t " * 500_000 + "1\t" * 5, "1 " * 100_000 + "z", "5-LOW 3", "1-2 .5e3x"]
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string").repartition(1)
+    begun = time.perf_counter()
+    rows = {r["id"]: r for r in tx.extract_numbers(df, "line").collect()}
+    assert time.perf_counter() - begun < 60
+    assert [rows[i]["n"] for i in range(6)] == [0, 1, 5, 100_000, 1, 3]
+    assert rows[5]["values"] == [1.0, -2.0, 500.0]
