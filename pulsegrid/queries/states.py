@@ -21,6 +21,23 @@ def live_events(t):
     return with_ticks(ss.table_stream(t.spark, t.folder, "events", t.events.schema))
 
 
+SLICES = 6
+
+
+def event_feed(t):
+    """The events as a feed: a slice of time after the other is written to a folder, and streamed a few files at a time.
+    Also how late a row can be: a slice's files may come in any order."""
+    feed = workspace(t.spark, "event-feed")
+    events = with_ticks(t.events)
+    lo, hi = events.agg(F.min("tick"), F.max("tick")).first()
+    span = ((hi or 0) - (lo or 0)) // SLICES + 1
+    for i in range(SLICES):
+        part = F.col("tick").between((lo or 0) + i * span, (lo or 0) + (i + 1) * span - 1)
+        events.filter(part).write.mode("append").parquet(feed)
+    live = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(feed)
+    return live, span
+
+
 # ----------------------------------------------------------------------------- debounce
 
 DEBOUNCE = f"""
@@ -49,6 +66,14 @@ def debounce_stream(t):
     return ss.run_to_table(ss.debounce(live, "user_id", "tick", GAP, 0, "event_id"), "debounce")
 
 
+@query("t3_debounce_live", DEBOUNCE)
+def debounce_live(t):
+    """On the feed as it comes: a key keeps a slice of rows and its last accepted time, and timers send what is due."""
+    live, late = event_feed(t)
+    out = ss.debounce(live.select("event_id", "user_id", "tick"), "user_id", "tick", GAP, 0, "event_id", late)
+    return ss.run_to_table(out, "debounce")
+
+
 ONE = DEBOUNCE.replace("user_id, tick, min(event_id)", "0 AS user_id, tick, min(event_id)").replace(
     "GROUP BY user_id, tick)", "GROUP BY tick)").replace("SELECT e.event_id, e.user_id, e.tick", "SELECT e.event_id, e.tick")
 
@@ -218,6 +243,14 @@ def state_machine_stream(t):
     return ss.run_to_table(live, "machine")
 
 
+@query("t6_state_machine_live", MACHINE)
+def state_machine_live(t):
+    live, late = event_feed(t)
+    timed = live.select("user_id", "event_id", "tick", code_label("event_type", EVENTS, None).alias("event"))
+    out = ss.state_machine(timed, "user_id", ["tick", "event_id"], "event", lateness=late)
+    return ss.run_to_table(out, "machine").drop("tick")
+
+
 # ----------------------------------------------------------------------------- periodic, totals, report
 
 WINDOWS = """

@@ -231,18 +231,26 @@ def read_coeffs_files(t):
 
 
 @query("s3_read_matrix_file", """
-SELECT 0 AS reason, 'ok' AS why, count(*)::INTEGER AS rows, count(*)::INTEGER + 1 AS cols, count(*) AS seen_rows FROM region
+WITH cells AS (SELECT l_orderkey // 1000 AS matrix, l_linenumber AS i, count(*) AS n, count(*) FILTER (l_suppkey % 8 = 0) AS first
+  FROM lineitem GROUP BY ALL)
+SELECT matrix, CASE WHEN count(*) < 7 THEN 7 ELSE 0 END AS reason, CASE WHEN count(*) < 7 THEN 'not enough rows' ELSE 'ok' END AS why,
+  7 AS rows, 8 AS cols, count(*) AS seen_rows, CASE WHEN count(*) = 7 THEN sum(n)::DOUBLE END AS total,
+  CASE WHEN count(*) = 7 THEN sum(first)::DOUBLE END AS first
+FROM cells GROUP BY matrix
 """)
 def read_matrix_file(t):
-    """A matrix with a row for each region, written as one file and read again."""
-    n = t.region.count()
-    # few rows: a header and one line per region
-    body = t.region.select(F.col("r_regionkey").alias("i"), F.concat_ws(" ", *[F.col("r_regionkey").cast("string")] * (n + 1))
-                           .alias("line"))
-    head = t.spark.createDataFrame([(-1, f"{n} {n + 1}")], "i long, line string")
-    lines = head.unionByName(body.withColumn("i", F.col("i").cast("long"))).coalesce(1).sortWithinPartitions("i")
-    verdict = tx.validate_matrices(tx.read_lines(t.spark, written(t, "matrix", lines)))[1]
-    return verdict.drop("file")
+    """A matrix for each thousand orders, in a file of its own: a row per line number, line items counted by supplier."""
+    counts = [F.count(F.when(F.col("l_suppkey") % 8 == k, 1)).cast("string") for k in range(8)]
+    body = t.lineitem.groupBy(F.expr("l_orderkey div 1000").alias("matrix"), F.col("l_linenumber").cast("int").alias("i")).agg(
+        F.concat_ws(" ", *counts).alias("line"))
+    head = body.select("matrix", F.lit(0).alias("i"), F.lit("7 8").alias("line")).distinct()
+    path = workspace(t.spark, "matrices")
+    lines = head.unionByName(body).repartition("matrix").sortWithinPartitions("matrix", "i")
+    lines.select("matrix", F.col("line").alias("value")).write.partitionBy("matrix").text(path)
+    cells, verdict = tx.validate_matrices(tx.read_lines(t.spark, path))
+    totals = cells.groupBy("file").agg(F.sum("val").alias("total"), F.sum(F.when(F.col("col") == 1, F.col("val"))).alias("first"))
+    matrix = F.regexp_extract("file", "matrix=([0-9]+)", 1).cast("long")
+    return verdict.join(totals, "file", "left").withColumn("matrix", matrix).drop("file")
 
 
 # ----------------------------------------------------------------------------- coefficients, numbers

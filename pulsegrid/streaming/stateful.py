@@ -116,7 +116,7 @@ def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str], l
     def process(key, ready, now, mark):
         if ready is None or not len(ready):
             return now, None
-        cols = [pa.Array.from_pandas(ready[c], kind) for c, kind in zip(fold.inputs, kinds)]
+        cols = [pa.array(ready[c].to_numpy(), kind, from_pandas=True) for c, kind in zip(fold.inputs, kinds)]
         rows, extra, now = fold.walk(cols, np.zeros(1, np.int64), [now])
         kept = ready if rows is None else ready.iloc[rows]
         extra = [x.to_pylist() if isinstance(x, pa.Array) else x for x in extra]
