@@ -71,49 +71,39 @@ def snapshot(events: DataFrame, key, ts: str, every: int = 3000,
 
     A key is reported from the tick of its first event on, up to the last tick of all keys. ``span``
     (first and last tick) limits the report; events before it count in its first tick. Events are
-    condensed to one row per key and tick before the shuffle, so the ordered pass sees keys x ticks
-    rows, however many events a key has. A null key is a key like any other.
+    condensed to one row per key and tick before the shuffle; such a row holds its state until the next
+    one, and only at the end is each written out for the ticks in between. So all work before the report
+    grows with events, however many quiet ticks lie between them. A null key is a key like any other.
     """
     keys = od.names(key)
     sums, latest = dict(sums or {}), dict(latest or {})
     tick = (F.ceil(F.col(ts) / every) * every).cast("long")
     position = F.struct(ts, *od.names(tie))
+    events = events.filter(F.col(ts).isNotNull())
     if span is not None:
         tick = F.greatest(tick, F.lit(span[0]).cast("long"))
         events = events.filter(F.col(ts) <= span[1])
     condensed = events.withColumn("tick", tick).groupBy(*keys, "tick").agg(
-        *[F.sum(c).alias(n) for n, c in sums.items()],
-        *[F.max_by(c, F.when(c.isNotNull(), position)).alias(n) for n, c in latest.items()],
+        *[F.sum(c).alias(f"_i_{n}") for n, c in sums.items()],
+        *[F.max_by(c, F.when(c.isNotNull(), position)).alias(f"_i_{n}") for n, c in latest.items()],
     )
     if span is None:
         ends = events.agg(F.min(tick).alias("lo"), F.max(tick).alias("hi")).first()
-        if ends["lo"] is None:
-            return condensed
-        span = (ends["lo"], ends["hi"])
+        span = (ends["lo"] or 0, ends["hi"] or 0)
     lo, hi = span
-    # the grid is the report itself, one row per key and tick, made in blocks of ticks
-    block = every * _TICKS_PER_BLOCK
-    firsts = F.explode(F.sequence("_begin", F.lit(hi).cast("long"), F.lit(block).cast("long")))
-    owners = condensed.groupBy(*keys).agg(F.min("tick").alias("_begin")).filter("_begin is not null")
-    grid = owners.select(*keys, firsts.alias("_first")).select(
-        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(keys)],
-        F.explode(F.sequence("_first", F.least(F.col("_first") + (block - every), F.lit(hi)), F.lit(every)))
-        .alias("_tick"),
-    )
-    same = F.col("_tick") == F.col("tick")
-    for i, c in enumerate(keys):
-        same = same & F.col(f"_g{i}").eqNullSafe(F.col(c))
-    filled = grid.join(condensed, same, "left").drop("tick", *keys).withColumnsRenamed(
-        {"_tick": "tick"} | {f"_g{i}": c for i, c in enumerate(keys)})
-    count = (hi - lo) // every + 1
-    split = od.whole(keys, "tick") if count <= od.DEFAULT_MAX_ROWS else None
-    out = od.scan(
-        filled.select(*keys, "tick", *[F.col(n).alias(f"_i_{n}") for n in [*sums, *latest]]),
-        keys, "tick", split,
+    split = od.whole(keys, "tick") if (hi - lo) // every < od.DEFAULT_MAX_ROWS else None
+    states = od.scan(
+        condensed, keys, "tick", split, _next=od.lead("tick", hi + every),
         **{n: od.running_sum(f"_i_{n}") for n in sums},
         **{n: od.last_value(f"_i_{n}") for n in latest},
     )
-    return out.select(*keys, "tick", *sums, *latest)
+    # a long quiet stretch is written out in blocks of ticks, so that no array is longer than a block
+    last = F.col("_next") - every
+    block = every * _TICKS_PER_BLOCK
+    held = states.filter(F.col("tick") <= hi).withColumn(
+        "_first", F.explode(F.sequence("tick", last, F.lit(block).cast("long"))))
+    ticks = F.sequence("_first", F.least(F.col("_first") + (block - every), last), F.lit(every).cast("long"))
+    return held.select(*keys, F.explode(ticks).alias("tick"), *sums, *latest)
 
 
 def label_join(df: DataFrame, code: str, labels: DataFrame, default: str | None = None,

@@ -22,9 +22,8 @@ def depth_over_time(arrivals: DataFrame, departures: DataFrame, queue, ts: str,
         .withColumn("_later", F.when(F.col("delta") < 0, 1).otherwise(0))
     )
     order = [ts, "_later", *ties]
-    split = split or od.measure(events, keys, order, max_rows)
-    deep = od.scan(events, keys, order, split, depth=od.running_sum("delta"))
-    return od.scan(deep, keys, order, split, peak=od.running_max("depth")).drop("_later")
+    return od.scan(events, keys, order, split, max_rows, depth=od.running_sum("delta"),
+                   peak=od.running_peak("delta")).drop("_later")
 
 
 def idle_gaps(df: DataFrame, server, start: str, end: str, day_start: int = 0, tie=None, **opts) -> DataFrame:
@@ -113,6 +112,40 @@ def queue_report(matched: DataFrame, depth: DataFrame, queue: str) -> DataFrame:
     )
 
 
+def queue_day(arrivals: DataFrame, starts: DataFrame, departures: DataFrame, queue, ts: str, tie=None,
+              max_rows: int | None = None) -> DataFrame:
+    """``queue_report`` from the events themselves, in one ordered pass: (queue, served, avg_wait, max_wait, max_depth).
+
+    All events of a queue are measured and sorted once, arrivals first at equal times. That pass numbers arrivals and
+    starts and keeps the depth; the k-th arrival and the k-th start then meet as one group, without a join. A queue that
+    nobody came to or left is not reported; a null queue is a queue like any other.
+    """
+    keys, ties = od.names(queue), od.names(tie)
+    cols = [*keys, ts, *ties]
+    events = arrivals.select(*cols, F.lit(0).alias("_kind"))
+    for kind, side in ((1, starts), (2, departures)):
+        events = events.unionByName(side.select(*cols, F.lit(kind).alias("_kind")))
+    came, started = F.col("_kind") == 0, F.col("_kind") == 1
+    seen = od.scan(
+        events, keys, [ts, "_kind", *ties], max_rows=max_rows,
+        _a=od.running_sum(came.cast("int")), _s=od.running_sum(started.cast("int")),
+        _depth=od.running_sum(F.when(came, 1).when(started, 0).otherwise(-1)))
+    # departures have no turn: their group is folded to one row in every task before it moves
+    turns = seen.withColumn("_k", F.when(came, F.col("_a")).when(started, F.col("_s"))).groupBy(*keys, "_k").agg(
+        (F.max(came) & F.max(started)).alias("_both"),
+        (F.max(F.when(started, F.col(ts))) - F.max(F.when(came, F.col(ts)))).alias("_wait"),
+        F.max(F.when(~started, F.col("_depth"))).alias("_deep"),
+    )
+    return turns.groupBy(*keys).agg(
+        F.count(F.when(F.col("_both"), 1)).alias("served"),
+        F.sum(F.when(F.col("_both"), F.col("_wait"))).alias("_total"),
+        F.max(F.when(F.col("_both"), F.col("_wait"))).alias("_longest"),
+        F.max("_deep").alias("max_depth"),
+    ).filter("max_depth is not null").select(
+        *keys, "served", _whole_minutes(F.col("_total"), F.col("served")).alias("avg_wait"),
+        _div(F.col("_longest"), F.lit(100)).alias("max_wait"), "max_depth")
+
+
 def stopwatch(df: DataFrame, key, ts: str, tie=None, **opts) -> DataFrame:
     """Alternate presses start and stop the watch: (key, start, stop, elapsed)."""
     seen = od.scan(df, key, [ts] + od.names(tie), _rn=od.row_number(), stop=od.lead(ts), **opts)

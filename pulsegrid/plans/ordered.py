@@ -190,8 +190,10 @@ class Spec:
     value: Column | None = None
     default: Column | None = None
 
-    def local(self, w, back) -> Column:
+    def local(self, w, back, inner: str) -> Column:
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        if self.kind == "peak":
+            return F.max(inner).over(upto)
         if self.kind == "row_number":
             return F.row_number().over(w).cast("long")
         if self.kind == "sum":
@@ -212,7 +214,9 @@ class Spec:
             return F.lag(F.struct(self.value.alias("v"))).over(w)
         return F.lead(F.struct(self.value.alias("v"))).over(w)
 
-    def summary(self, position: Column) -> Column:
+    def summary(self, position: Column, inner: str) -> Column:
+        if self.kind == "peak":
+            return F.struct(F.sum(F.coalesce(self.value, F.lit(0))).alias("total"), F.max(inner).alias("top"))
         if self.kind == "row_number":
             return F.count(F.lit(1))
         if self.kind == "sum":
@@ -229,8 +233,10 @@ class Spec:
             return F.max_by(F.struct(self.value.alias("v")), position)
         return F.min_by(F.struct(self.value.alias("v")), position)
 
-    def carry(self, column: str, w, back) -> Column:
+    def carry(self, column: str, w, back, inner: str) -> Column:
         before = w.rowsBetween(Window.unboundedPreceding, -1)
+        if self.kind == "peak":
+            return F.struct(F.col(inner).alias("base"), F.max(F.col(inner) + F.col(column)["top"]).over(before).alias("top"))
         if self.kind == "next":
             return F.last(column, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
         if self.kind in ("row_number", "sum"):
@@ -256,6 +262,8 @@ class Spec:
             return local
         if self.kind in ("row_number", "sum"):
             return local + F.coalesce(carried, F.lit(0))
+        if self.kind == "peak":
+            return F.greatest(local + F.coalesce(carried["base"], F.lit(0)), carried["top"])
         if self.kind == "max":
             return F.greatest(local, carried)
         if self.kind == "min":
@@ -281,6 +289,11 @@ def running_min(value) -> Spec:
     return Spec("min", _col(value))
 
 
+def running_peak(value) -> Spec:
+    """The largest running sum of ``value`` so far. What a segment adds is its sum and its own peak."""
+    return Spec("peak", _col(value))
+
+
 def last_value(value) -> Spec:
     """The latest non-null value up to and including the row."""
     return Spec("last", _col(value))
@@ -315,29 +328,39 @@ def scan(df: DataFrame, keys, order, split: Split | None = None,
         split = measure(df, keys, order, max_rows)
     keys, order = list(split.keys), list(split.order)
     by = [F.col(c) for c in order]
+    peaks = {n: s.value for n, s in specs.items() if s.kind == "peak"}
+
+    def summed(rows: DataFrame, w) -> DataFrame:
+        """With the running sums that peaks are taken of; the window above them needs no sort of its own."""
+        return rows.withColumns({f"_p_{n}": running_sum(v).local(w, w, "") for n, v in peaks.items()}) if peaks else rows
+
     if split.cuts is None:
         w = Window.partitionBy(*keys).orderBy(*by)
         back = Window.partitionBy(*keys).orderBy(*[c.desc() for c in by])
-        return df.select("*", *[s.merge(s.local(w, back), None).alias(n) for n, s in specs.items()])
+        return summed(df, w).select(
+            *df.columns, *[s.merge(s.local(w, back, f"_p_{n}"), None).alias(n) for n, s in specs.items()])
 
-    cut = segmented(df, split)
     w = Window.partitionBy(*keys, SEG).orderBy(*by)
     back = Window.partitionBy(*keys, SEG).orderBy(*[c.desc() for c in by])
-    local = cut.select("*", *[s.local(w, back).alias(f"_l_{n}") for n, s in specs.items()])
+    local = summed(segmented(df, split), w).select(
+        *df.columns, SEG, *[s.local(w, back, f"_p_{n}").alias(f"_l_{n}") for n, s in specs.items()])
 
     position = F.struct(*by)
     parts = (
-        segmented(df, split, "inner")
+        summed(segmented(df, split, "inner"), w)
         .groupBy(*keys, SEG)
-        .agg(*[s.summary(position).alias(f"_s_{n}") for n, s in specs.items()])
+        .agg(*[s.summary(position, f"_p_{n}").alias(f"_s_{n}") for n, s in specs.items()])
     )
     # one row per segment: at most MAX_SEGMENTS + MAX_HOT_KEYS rows in all
     along = Window.partitionBy(*keys).orderBy(SEG)
     against = Window.partitionBy(*keys).orderBy(F.col(SEG).desc())
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    for n in peaks:
+        parts = parts.withColumn(f"_b_{n}", F.coalesce(F.sum(F.col(f"_s_{n}")["total"]).over(before), F.lit(0)))
     carried = parts.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(SEG).alias("_kseg"),
-        *[s.carry(f"_s_{n}", along, against).alias(f"_c_{n}") for n, s in specs.items()],
+        *[s.carry(f"_s_{n}", along, against, f"_b_{n}").alias(f"_c_{n}") for n, s in specs.items()],
     )
     joined = _attach(local, carried, keys, "_k", "left", local[SEG] == carried["_kseg"])
     return joined.select(

@@ -14,7 +14,7 @@ from ..operators import queueing as qu
 from ..operators import states as st
 from ..sources import generate as gen
 from ..streaming import stateful as ss
-from .registry import EV, query
+from .registry import EV, ORACLES, query
 
 DAY0 = 1704067200000
 
@@ -99,6 +99,12 @@ def depth_over_time_cut(t):
     return depths(t, max_rows=150)
 
 
+def queue_day(t, **opts):
+    c = customers(t)
+    sides = (c.select("queue", F.col(at).alias("ts"), "event_id") for at in ("arrived", "start", "finish"))
+    return qu.queue_day(*sides, "queue", "ts", "event_id", **opts)
+
+
 @query("a6_queue_report", f"""
 WITH {FIFO}, {DEPTH},
 w AS (SELECT queue, count(*) AS served, CAST(sum(wait) AS BIGINT) // count(*) // 100 AS avg_wait, max(wait) // 100 AS max_wait
@@ -107,6 +113,17 @@ d AS (SELECT queue, max(depth) AS max_depth FROM depths GROUP BY queue)
 SELECT queue, served, avg_wait, max_wait, max_depth FROM w JOIN d USING (queue)
 """)
 def queue_report(t):
+    return queue_day(t)
+
+
+@query("a6_queue_report_cut", ORACLES["a6_queue_report"])
+def queue_report_cut(t):
+    return queue_day(t, max_rows=150)
+
+
+@query("a6_queue_report_joined", ORACLES["a6_queue_report"])
+def queue_report_joined(t):
+    """The same report from the matched customers and the depths, where these are at hand already."""
     return qu.queue_report(matched(t), depths(t), "queue")
 
 

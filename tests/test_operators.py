@@ -10,6 +10,7 @@ from pulsegrid.functions import scalars as sc
 from pulsegrid.operators import fit, joins, search, sorting
 from pulsegrid.operators import queueing as qu
 from pulsegrid.operators import signal as sg
+from pulsegrid.plans import ordered as od
 
 
 def one(spark, column):
@@ -221,6 +222,39 @@ def test_queue_day(spark):
     assert [r["depth"] for r in depth.orderBy("ts").collect()] == [1, 2, 3, 2, 1, 0]
     report = qu.queue_report(matched, depth, "queue").first()
     assert tuple(report) == ("q", 3, 2, 3, 3)
+    for limit in (None, 2):
+        assert tuple(qu.queue_day(arrivals, starts, ends, "queue", "ts", "id", max_rows=limit).first()) == ("q", 3, 2, 3, 3)
+    none = arrivals.filter("false")
+    assert qu.queue_day(none, starts, none, "queue", "ts", "id").count() == 0
+    waiting = arrivals.withColumn("queue", F.lit(None).cast("string"))
+    assert tuple(qu.queue_day(waiting, none, none, "queue", "ts", "id").first()) == (None, 0, None, None, 3)
+
+
+def test_peak_of_a_running_sum(spark):
+    """In segments and whole: also where the peak lies in an earlier segment, and where all sums are negative."""
+    rnd = random.Random(11)
+    rows = [(k, i, rnd.choice([-3, -1, 2] if k == "down" else [-2, 1, 1, None])) for k in ("down", "up") for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i long, v int").repartition(3)
+    want, total, best = {}, {}, {}
+    for k, i, v in rows:
+        total[k] = total.get(k, 0) + (v or 0)
+        best[k] = max(best.get(k, total[k]), total[k])
+        want[k, i] = (total[k], best[k])
+    for limit in (None, 40):
+        out = od.scan(df, "k", "i", max_rows=limit, s=od.running_sum("v"), p=od.running_peak("v"))
+        assert {(r["k"], r["i"]): (r["s"], r["p"]) for r in out.collect()} == want
+
+
+def test_snapshot_work_grows_with_events(spark):
+    """Two events a million ticks apart: one row each until the report, which has all ticks."""
+    df = spark.createDataFrame([("a", 1, 1), ("a", 3_000_000_000, 1), ("b", 6001, 5)], "k string, ts long, d int")
+    out = joins.snapshot(df, "k", "ts", 3000, sums={"depth": F.col("d")})
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: tuple(r)[1:] for r in out.groupBy("k").agg(
+        F.count("*"), F.min("tick"), F.max("tick"), F.countDistinct("tick"), F.sum("depth")).collect()}
+    assert got == {"a": (1_000_000, 3000, 3_000_000_000, 1_000_000, 1_000_001),
+                   "b": (999_998, 9000, 3_000_000_000, 999_998, 4_999_990)}
+    assert joins.snapshot(df.filter("false"), "k", "ts", 3000, sums={"depth": F.col("d")}).count() == 0
 
 
 def test_server_report(spark):
