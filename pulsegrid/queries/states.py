@@ -11,7 +11,7 @@ from ..plans import ordered as od
 from ..session import workspace
 from ..streaming import stateful as ss
 from .queues import CLOSING, TOTALS, depths
-from .registry import EV, query, with_ticks
+from .registry import EV, ORACLES, query, with_ticks
 
 GAP = 6 * 3600 * 1000
 
@@ -24,18 +24,20 @@ def live_events(t):
 SLICES = 6
 
 
-def event_feed(t):
-    """The events as a feed: a slice of time after the other is written to a folder, and streamed a few files at a time.
+def feed(rows, by):
+    """A table as a feed: a slice of ``by`` after the other is written to a folder, and streamed a few files at a time.
     Also how late a row can be: a slice's files may come in any order."""
-    feed = workspace(t.spark, "event-feed")
-    events = with_ticks(t.events)
-    lo, hi = events.agg(F.min("tick"), F.max("tick")).first()
+    spark, folder = rows.sparkSession, workspace(rows.sparkSession, "feed")
+    lo, hi = rows.agg(F.min(by), F.max(by)).first()
     span = ((hi or 0) - (lo or 0)) // SLICES + 1
     for i in range(SLICES):
-        part = F.col("tick").between((lo or 0) + i * span, (lo or 0) + (i + 1) * span - 1)
-        events.filter(part).write.mode("append").parquet(feed)
-    live = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(feed)
-    return live, span
+        part = F.col(by).between((lo or 0) + i * span, (lo or 0) + (i + 1) * span - 1)
+        rows.filter(part).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder), span
+
+
+def event_feed(t, by="tick"):
+    return feed(with_ticks(t.events), by)
 
 
 # ----------------------------------------------------------------------------- debounce
@@ -145,6 +147,14 @@ def frames_stream(t):
     return weigh(ss.run_to_table(live, "frames"))
 
 
+@query("t4_frames_live", ORACLES["t4_frames_stream"])
+def frames_live(t):
+    """On the feed as it comes: a frame is sent when the watermark has passed its closing marker."""
+    live, late = event_feed(t, "event_id")
+    return weigh(ss.run_to_table(
+        ss.frames(marked(live), "user_id", "event_id", "value", min_samples=LEAST, lateness=late), "frames"))
+
+
 @query("line_scan", f"""
 WITH {FRAMES}, smooth AS (SELECT *, avg(value) OVER (PARTITION BY user_id, frame_id ORDER BY idx
   ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS smooth FROM rows)
@@ -300,6 +310,16 @@ def final_report_stream(t):
     return ss.run_to_table(ss.final_report(live, "queue", "ts", "depth", 1_500_000_000, ["event_id", "delta"]), "report")
 
 
+@query("t7_final_report_live", ORACLES["t7_final_report_stream"])
+def final_report_live(t):
+    """The depths as a feed with a finite lateness. A queue that is empty at closing time reports by its timer."""
+    table = workspace(t.spark, "depths")
+    depths(t).select("queue", "ts", "event_id", "delta", "depth").write.parquet(table)
+    live, late = feed(t.spark.read.parquet(table), "ts")
+    out = ss.final_report(live, "queue", "ts", "depth", 1_500_000_000, ["event_id", "delta"], late)
+    return ss.run_to_table(out, "report")
+
+
 @query("t8_collect_n_stream", f"""
 WITH {EV} SELECT user_id, event_id FROM ev WHERE cents > 300
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) <= 5

@@ -1,8 +1,8 @@
 """The stateful operators on streams.
 
 A stream uses the same folds as the batch operators. Rows are put in the order of their events, whatever
-files and micro-batches they arrive in: a key's rows wait in its state until the watermark has passed them
-(no earlier row can come then), a timer wakes the key for that, and only then the fold sees them. ``lateness``
+files and micro-batches they arrive in: a key's rows wait in its state, in parts of time and chunks of rows, until the
+watermark has passed a part (no earlier row can come then), a timer wakes the key for that, and only then the fold sees it. ``lateness``
 says how far rows may be out of order; later ones are dropped by Spark and counted. A run over a finished input
 ends with a closing row far in the future, which moves the watermark past everything.
 
@@ -20,11 +20,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type as arrow_type
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import states as batch_states
 from ..operators.states import SERVO_TRANSITIONS, DebounceFold, LineFold, MachineFold
@@ -39,6 +39,11 @@ ORIGIN = 10**12
 CLOSING, ANY_ORDER = 9 * 10**12, 4 * 10**12
 #: the watermark of the closing row is no smaller; all events lie before it
 LAST = CLOSING - ANY_ORDER
+#: rows in one value of a key's waiting rows
+CHUNK = 50_000
+#: states of many values need a store that keeps them apart
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def event_time(stream: DataFrame, ts: str) -> DataFrame:
@@ -55,41 +60,106 @@ def closing_rows(stream: DataFrame) -> tuple[DataFrame, str]:
     return stream.unionByName(spark.readStream.schema(schema).parquet(end)), end
 
 
+class _InOrder(StatefulProcessor):
+    """Keeps a key's rows until the watermark has passed them, then hands them to ``process`` in event order.
+
+    Rows wait in parts, an eighth of the lateness each, and a part in chunks of at most CHUNK rows: values of a map
+    state of their own. A new row adds a chunk and reads none. Every part has a timer at its end; then only its chunks
+    are read, sorted, handled and removed. So a task holds one part of a key, and no value grows with the lateness.
+    The other state is what ``process`` carries and how many chunks each open part has.
+    """
+
+    def __init__(self, columns: list[str], order: list[str], lateness: int, first, process, wake: int | None):
+        self.columns, self.order, self.first, self.process = columns, order, first, process
+        self.width = max(1, lateness // 8)
+        self.wake = None if wake is None else wake + ORIGIN
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.carried = handle.getValueState("carried", "s string")
+        self.held = handle.getMapState("held", "part long, chunk long", "rows binary")
+
+    def _ends(self, part: int) -> int:
+        return min((part + 1) * self.width, LAST)
+
+    def _known(self):
+        """What ``process`` carries, and the number of chunks of each open part."""
+        if not self.carried.exists():
+            return self.first(), {}
+        now, parts = json.loads(self.carried.get()[0])
+        return now, {int(p): n for p, n in parts.items()}
+
+    def _keep(self, state, part: int, rows: list[tuple]) -> None:
+        parts = state[1]
+        if part not in parts:
+            self.handle.registerTimer(self._ends(part))
+        parts[part] = parts.get(part, 0) + 1
+        self.held.updateValue((part, parts[part]), (pickle.dumps(rows),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state, fresh = None, {}
+        for row in rows:
+            *values, at, _, end = row
+            if end:
+                continue
+            if state is None:
+                if self.wake is not None and not self.carried.exists():
+                    self.handle.registerTimer(self.wake)
+                state = self._known()
+            waiting = fresh.setdefault(at // self.width, [])
+            waiting.append(tuple(values))
+            if len(waiting) == CHUNK:
+                self._keep(state, at // self.width, fresh.pop(at // self.width))
+        for part, waiting in fresh.items():
+            self._keep(state, part, waiting)
+        if state is not None:
+            self.carried.update((json.dumps(state),))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        now, parts = self._known()
+        for p in sorted(p for p in parts if self._ends(p) <= mark):
+            chunks = [(p, n + 1) for n in range(parts.pop(p))]
+            # as objects: whole numbers beside nulls stay whole
+            ready = pd.DataFrame([r for c in chunks for r in pickle.loads(self.held.getValue(c)[0])],
+                                 columns=self.columns, dtype=object)
+            for c in chunks:
+                self.held.removeKey(c)
+            now, out = self.process(key, ready.sort_values(self.order, kind="stable"), now, self._ends(p) - 1 - ORIGIN)
+            yield from _as_rows(out)
+        # up to here nothing waits any more
+        passed = min([mark, *(p * self.width - 1 for p in parts)])
+        now, out = self.process(key, None, now, passed - ORIGIN)
+        self.carried.update((json.dumps([now, parts]),))
+        yield from _as_rows(out)
+
+    def close(self) -> None:
+        pass
+
+
+def _as_rows(out: pd.DataFrame | None) -> Iterator[Row]:
+    if out is not None and len(out):
+        named = Row(*out.columns)
+        for values in zip(*(out[c].astype(object).tolist() for c in out.columns)):
+            yield named(*values)
+
+
 def _ordered(stream: DataFrame, keys: list[str], order: list[str], need: list[str], out: T.StructType,
-             lateness: int, first, process) -> DataFrame:
+             lateness: int, first, process, wake: int | None = None) -> DataFrame:
     """``process(rows, state, passed)`` for each key over its rows in event order: ``rows`` is a frame whose
-    events the watermark has passed, ``passed`` the watermark in units of the order. State: JSON-ready."""
+    events the watermark has passed (null where only time has passed), ``passed`` the time up to which no row is left, in
+    units of the order. ``wake`` is a time at which every key is asked, also one without rows. State: JSON-ready."""
     at = F.col(order[0])
     if isinstance(stream.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
         at = F.unix_millis(at.cast("timestamp"))
-    stream = stream.select(*need, F.timestamp_millis(at.cast("long") + ORIGIN).alias("_at"), F.lit(False).alias("_end"))
+    ms = at.cast("long") + ORIGIN
+    stream = stream.select(*need, ms.alias("_ms"), F.timestamp_millis(ms).alias("_at"), F.lit(False).alias("_end"))
     stream, end = closing_rows(stream.filter("_at is not null"))
     stream = stream.withWatermark("_at", f"{lateness} milliseconds")
-    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("rows", T.BinaryType())])
-
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now, held = (json.loads(state.get[0]), pickle.loads(state.get[1])) if state.exists else (first(), None)
-        frames = ([] if held is None else [held]) + ([] if state.hasTimedOut else list(pdfs))
-        pdf = pd.concat(frames) if frames else None
-        mark = state.getCurrentWatermarkMs()
-        if pdf is not None:
-            pdf = pdf[~pdf["_end"].astype(bool)]
-            due = pdf["_at"].astype("datetime64[ms]").astype("int64") <= mark
-            ready, pdf = pdf[due].sort_values(order, kind="stable"), pdf[~due]
-        else:
-            ready = None
-        now, rows = process(key, ready, now, mark - ORIGIN)
-        state.update((json.dumps(now), pickle.dumps(pdf)))
-        if pdf is not None and len(pdf):
-            soonest = int(pdf["_at"].astype("datetime64[ms]").astype("int64").min())
-            state.setTimeoutTimestamp(max(soonest, mark + 1))
-        elif mark < LAST - 1:
-            state.setTimeoutTimestamp(LAST - 1)  # wakes a key without rows when the input ends
-        if rows is not None:
-            yield rows
-
-    result = stream.groupBy(*keys).applyInPandasWithState(step, out, schema, "append", GroupStateTimeout.EventTimeTimeout)
-    result.closing = end
+    result = stream.groupBy(*(keys or [F.lit(0).alias("_all")])).transformWithState(
+        _InOrder(need, order, lateness, first, process, wake), out, "Append", "EventTime")
+    result.closing, result.provider = end, ROCKS
     return result
 
 
@@ -106,7 +176,7 @@ def _at_end(result: DataFrame, stream: DataFrame, need: list[str], order: str, l
 def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str], lateness: int = ANY_ORDER) -> DataFrame:
     """A fold per key over a stream, in the order of events. The first order column is the event time (a time,
     or a number from -10**12 to 4 * 10**12); rows without it are left out. State per key: the fold's, and the rows
-    of the last ``lateness`` (milliseconds, or units of the number)."""
+    of the last ``lateness`` (milliseconds, or units of the number), in chunks; a task holds an eighth of them."""
     keys, order = names(keys), names(order)
     need = list(dict.fromkeys(keys + order + list(fold.inputs) + passed))
     out = T.StructType([stream.schema[c] for c in passed] + list(fold.extra))
@@ -231,7 +301,7 @@ def final_report(stream: DataFrame, key, ts: str, depth: str, close: int, tie=No
 
     need = list(dict.fromkeys(keys + order + [depth]))
     return _at_end(
-        _ordered(stream, keys, order, need, out, lateness, lambda: [0, False, False], process), stream, need, ts, lateness,
+        _ordered(stream, keys, order, need, out, lateness, lambda: [0, False, False], process, close), stream, need, ts, lateness,
         lambda table: batch_states.final_report(table, ts, depth, close, keys, tie).withColumnRenamed("report_ts", ts))
 
 
@@ -321,12 +391,17 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
 
     def run() -> None:
         nonlocal late
-        query = (
-            stream.writeStream.format("parquet").outputMode("append")
-            .option("path", f"{out}/data").option("checkpointLocation", f"{out}/progress")
-            .trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
+        usual = spark.conf.get(PROVIDER)
+        spark.conf.set(PROVIDER, getattr(stream, "provider", usual))
+        try:
+            query = (
+                stream.writeStream.format("parquet").outputMode("append")
+                .option("path", f"{out}/data").option("checkpointLocation", f"{out}/progress")
+                .trigger(availableNow=True).start()
+            )
+            query.awaitTermination()
+        finally:
+            spark.conf.set(PROVIDER, usual)
         late += sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
 
     run()
