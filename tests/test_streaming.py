@@ -164,3 +164,37 @@ def test_an_empty_feed(spark, tmp_path):
     spark.createDataFrame([], "ts long, k string, event string").write.parquet(str(tmp_path / "none"))
     stream = spark.readStream.schema("ts long, k string, event string").parquet(str(tmp_path / "none"))
     assert ss.run_to_table(ss.state_machine(stream, "k", "ts", "event"), "t").count() == 0
+
+
+def test_two_million_rows_of_a_key_wait(spark, tmp_path):
+    """All rows of a hot key lie within the lateness and come in any order; they wait in chunks, a part is handled at a time."""
+    folder = str(tmp_path / "hot")
+    n = 2_000_000
+    spark.range(n).select(((F.col("id") * 7919) % n).alias("ts"), F.lit("hot").alias("k")).repartition(2).write.parquet(folder)
+    live = spark.readStream.schema("ts long, k string").option("maxFilesPerTrigger", 1).parquet(folder)
+    got = ss.run_to_table(ss.debounce(live, "k", "ts", 1000, 0, lateness=n), "t")
+    assert [r["ts"] for r in got.orderBy("ts").collect()] == list(range(1000, n, 1000)) and got.late_rows == 0
+
+
+def test_waiting_rows_are_kept_exactly(feed):
+    """Null keys, repeated times, whole numbers beyond 2**53 beside nulls, and more chunks than one."""
+    rnd = random.Random(5)
+    rows = [(i // 2, rnd.choice(["a", None]), rnd.choice([2**60 + i, None, -2, -1])) for i in range(120)]
+    batch, stream = feed(rows, "seq long, k string, v long")
+    old, ss.CHUNK = ss.CHUNK, 3
+    try:
+        live = ss.run_to_table(ss.collect_n(stream, "k", ["seq", "v"], 20, lateness=40), "t")
+        assert live.late_rows == 0
+        same(live, st.collect_n(batch, "k", ["seq", "v"], 20))
+    finally:
+        ss.CHUNK = old
+
+
+def test_a_report_at_closing_time_waits_for_earlier_rows(feed):
+    """A queue that is empty at closing time reports then, but not while rows before it still wait."""
+    rows = [(1, "q", 0), (3, "q", 2), (90, "q", 1), (12, "q", 0), (95, "q", 0), (5, None, 0), (400, "z", 1), (2000, "z", 0)]
+    batch, stream = feed(rows, "ts long, k string, depth long", parts=8)
+    live = ss.run_to_table(ss.final_report(stream, "k", "ts", "depth", 50, lateness=100), "t")
+    assert live.late_rows == 0
+    want = st.final_report(batch, "ts", "depth", 50, "k").withColumnRenamed("report_ts", "ts")
+    assert {tuple(r) for r in live.collect()} == {tuple(r) for r in want.select("k", "ts").collect() if r["ts"] is not None}
