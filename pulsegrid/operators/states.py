@@ -58,7 +58,7 @@ class DebounceFold(folds.Fold):
         at[at >= ends[of]] = n
         return np.append(at, n)
 
-    def walk(self, cols, starts, states):
+    def runs(self, cols, starts, states):
         valid = cols[0].is_valid().to_numpy(zero_copy_only=False)
         rows = np.flatnonzero(valid)
         times = cols[0].filter(pa.array(valid)).to_numpy(zero_copy_only=False)
@@ -75,8 +75,10 @@ class DebounceFold(folds.Fold):
             reached = np.concatenate([reached, jump[reached]])
             reached = reached[reached < len(times)]
         kept = np.sort(reached)
-        own = kept[kept >= cuts[-1]]
-        return rows[kept], [], times[own[-1]].item() if len(own) else states[-1]
+        last = np.searchsorted(kept, ends) - 1
+        after = [times[kept[at]].item() if at >= 0 and kept[at] >= lo else state
+                 for at, lo, state in zip(last.tolist(), cuts.tolist(), states)]
+        return rows[kept], [], after
 
     def blank(self):
         return {"first": None, "open": True, "entries": [], "ends": np.zeros(0), "of": []}
@@ -214,7 +216,7 @@ class MachineFold(folds.Fold):
             total = self.maps[events[:, None], total]
         return total
 
-    def walk(self, cols, starts, states):
+    def runs(self, cols, starts, states):
         n = len(cols[0])
         lanes = self._lanes(cols[0])
         given = np.full((lanes.shape[1], LANE), -1, np.int32)
@@ -231,7 +233,8 @@ class MachineFold(folds.Fold):
             after[j] = now = self.maps[events, before[j]]
         names = pa.array(self.states)
         out = [pa.DictionaryArray.from_arrays(pa.array(x.T.ravel()[:n]), names).cast(pa.string()) for x in (before, after)]
-        return None, out, self.states[state]
+        last = np.append(starts[1:], n) - 1
+        return None, out, [self.states[s] for s in after[last % LANE, last // LANE].tolist()]
 
     def blank(self):
         return list(range(len(self.states)))
@@ -293,17 +296,18 @@ class LineFold(folds.Fold):
                 typed, dropped = typed + key[:room], dropped + max(len(key) - room, 0)
         return [sent, typed, dropped]
 
-    def walk(self, cols, starts, states):
+    def runs(self, cols, starts, states):
         chunks = cols[0].to_pylist()
         rows: list[int] = []
         out: list[tuple] = []
-        state = None
+        after: list[list] = []
         for lo, hi, state in zip(starts.tolist(), [*starts[1:].tolist(), len(chunks)], states):
             for i in range(lo, hi):
                 held = len(out)
                 state = self._type(chunks[i], state, lambda *line: out.append(line))
                 rows.extend([i] * (len(out) - held))
-        return np.array(rows, np.int64), [list(x) for x in zip(*out)] or [[], [], []], state
+            after.append(state)
+        return np.array(rows, np.int64), [list(x) for x in zip(*out)] or [[], [], []], after
 
     # Until the first line end, what a segment does to the incoming text depends only
     # on its length, so one lane per length 0..max_len is followed. ``keep`` is how much

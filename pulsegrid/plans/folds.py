@@ -37,11 +37,16 @@ class Fold:
     def initial(self) -> Any:
         raise NotImplementedError
 
-    def walk(self, cols: list[pa.Array], starts: np.ndarray, states: list) -> tuple[np.ndarray | None, list, Any]:
+    def runs(self, cols: list[pa.Array], starts: np.ndarray, states: list) -> tuple[np.ndarray | None, list, list]:
         """Run a batch whose groups begin at ``starts`` (the first one at 0) in ``states``. Returns the indexes of the
-        rows kept (None: all), a column of each extra value for them, and the state after the last row."""
+        rows kept (None: all), a column of each extra value for them, and the state after the last row of each group."""
         raise NotImplementedError
 
+    def walk(self, cols: list[pa.Array], starts: np.ndarray, states: list) -> tuple[np.ndarray | None, list, Any]:
+        """The same with the state after the last group only."""
+        rows, extra, after = self.runs(cols, starts, states)
+        return rows, extra, after[-1]
+
     def blank(self) -> Any:
         """An empty digest."""
         raise NotImplementedError

@@ -25,7 +25,7 @@ SLICES = 6
 
 
 def feed(rows, by):
-    """A table as a feed: a slice of ``by`` after the other is written to a folder, and streamed a few files at a time.
+    """A table as a feed: a slice of ``by`` after the other is written to a folder, and streamed a half of one at a time.
     Also how late a row can be: a slice's files may come in any order."""
     spark, folder = rows.sparkSession, workspace(rows.sparkSession, "feed")
     lo, hi = rows.agg(F.min(by), F.max(by)).first()
@@ -33,7 +33,11 @@ def feed(rows, by):
     for i in range(SLICES):
         part = F.col(by).between((lo or 0) + i * span, (lo or 0) + (i + 1) * span - 1)
         rows.filter(part).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder), span
+    # as many micro-batches whatever the number of files, until they would be large ones
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    size = where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    most = max(1, min(size // (2 * SLICES), 512 << 20))
+    return spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", most).parquet(folder), span
 
 
 def event_feed(t, by="tick"):

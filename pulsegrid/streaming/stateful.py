@@ -1,8 +1,8 @@
 """The stateful operators on streams.
 
 A stream uses the same folds as the batch operators. Rows are put in the order of their events, whatever
-files and micro-batches they arrive in: a key's rows wait in its state, in parts of time and chunks of rows, until the
-watermark has passed a part (no earlier row can come then), a timer wakes the key for that, and only then the fold sees it. ``lateness``
+files and micro-batches they arrive in: the rows of a bucket of keys wait in its state, in parts of time and chunks of rows, until the
+watermark has passed a part (no earlier row can come then), a timer wakes the bucket for that, and only then the fold sees it. ``lateness``
 says how far rows may be out of order; later ones are dropped by Spark and counted. A run over a finished input
 ends with a closing row far in the future, which moves the watermark past everything.
 
@@ -15,9 +15,9 @@ from __future__ import annotations
 import json
 import pickle
 from collections.abc import Callable, Iterator, Mapping
+from operator import itemgetter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -42,6 +42,7 @@ LAST = CLOSING - ANY_ORDER
 #: rows in one value of a key's waiting rows
 CHUNK = 50_000
 #: states of many values need a store that keeps them apart
+PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -60,107 +61,114 @@ def closing_rows(stream: DataFrame) -> tuple[DataFrame, str]:
     return stream.unionByName(spark.readStream.schema(schema).parquet(end)), end
 
 
+#: buckets that the keys of a stream are dealt into; a session with far more keys sets more
+BUCKETS = "pulsegrid.stream.buckets"
+_NAN = float("nan")
+
+
+def _key(values) -> tuple:
+    """Key values that can be told apart as Spark does."""
+    return tuple(_NAN if v != v else tuple(v) if isinstance(v, list) else bytes(v) if isinstance(v, bytearray) else v
+                 for v in values)
+
+
+def _rank(value) -> tuple:
+    """Nulls first, then numbers, then what is none."""
+    return value is not None, value != value, value
+
+
 class _InOrder(StatefulProcessor):
-    """Keeps a key's rows until the watermark has passed them, then hands them to ``process`` in event order.
+    """Keeps a bucket's rows until the watermark has passed them, then hands them to ``process`` in event order.
 
     Rows wait in parts, an eighth of the lateness each, and a part in chunks of at most CHUNK rows: values of a map
     state of their own. A new row adds a chunk and reads none. Every part has a timer at its end; then only its chunks
-    are read, sorted, handled and removed. So a task holds one part of a key, and no value grows with the lateness.
-    The other state is what ``process`` carries and how many chunks each open part has.
+    are read, sorted, handled and removed. So a task holds one part of a bucket, and no value grows with the lateness.
+    The other state is how many chunks each open part has, and what ``process`` carries of each key in the bucket. A
+    bucket costs a call or two a part and micro-batch, however many keys are in it.
     """
 
-    def __init__(self, columns: list[str], order: list[str], lateness: int, first, process, wake: int | None):
-        self.columns, self.order, self.first, self.process = columns, order, first, process
+    def __init__(self, keys: list[int], order: list[int], lateness: int, process):
+        self.keys, self.order, self.process = keys, order, process
         self.width = max(1, lateness // 8)
-        self.wake = None if wake is None else wake + ORIGIN
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.carried = handle.getValueState("carried", "s string")
+        self.open = handle.getValueState("open", "s string")
+        self.carried = handle.getValueState("carried", "s binary")
         self.held = handle.getMapState("held", "part long, chunk long", "rows binary")
 
     def _ends(self, part: int) -> int:
         return min((part + 1) * self.width, LAST)
 
-    def _known(self):
-        """What ``process`` carries, and the number of chunks of each open part."""
-        if not self.carried.exists():
-            return self.first(), {}
-        now, parts = json.loads(self.carried.get()[0])
-        return now, {int(p): n for p, n in parts.items()}
+    def _parts(self) -> dict[int, int]:
+        """The number of chunks of each open part."""
+        return {int(p): n for p, n in json.loads(self.open.get()[0]).items()} if self.open.exists() else {}
 
-    def _keep(self, state, part: int, rows: list[tuple]) -> None:
-        parts = state[1]
+    def _keep(self, parts: dict[int, int], part: int, rows: list[tuple]) -> None:
         if part not in parts:
             self.handle.registerTimer(self._ends(part))
         parts[part] = parts.get(part, 0) + 1
         self.held.updateValue((part, parts[part]), (pickle.dumps(rows),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state, fresh = None, {}
+        parts, fresh = None, {}
         for row in rows:
-            *values, at, _, end = row
-            if end:
+            if row[-1]:
                 continue
-            if state is None:
-                if self.wake is not None and not self.carried.exists():
-                    self.handle.registerTimer(self.wake)
-                state = self._known()
-            waiting = fresh.setdefault(at // self.width, [])
-            waiting.append(tuple(values))
+            if parts is None:
+                parts = self._parts()
+            part = row[-3] // self.width
+            waiting = fresh.get(part)
+            if waiting is None:
+                waiting = fresh[part] = []
+            waiting.append(row[:-4])
             if len(waiting) == CHUNK:
-                self._keep(state, at // self.width, fresh.pop(at // self.width))
+                self._keep(parts, part, fresh.pop(part))
         for part, waiting in fresh.items():
-            self._keep(state, part, waiting)
-        if state is not None:
-            self.carried.update((json.dumps(state),))
+            self._keep(parts, part, waiting)
+        if parts is not None:
+            self.open.update((json.dumps(parts),))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs()
-        now, parts = self._known()
-        for p in sorted(p for p in parts if self._ends(p) <= mark):
+        parts = self._parts()
+        due = sorted(p for p in parts if self._ends(p) <= mark)
+        if not due:  # another timer of this micro-batch has handled the part
+            return
+        states = {_key(k): v for k, v in pickle.loads(self.carried.get()[0])} if self.carried.exists() else {}
+        for p in due:
             chunks = [(p, n + 1) for n in range(parts.pop(p))]
-            # as objects: whole numbers beside nulls stay whole
-            ready = pd.DataFrame([r for c in chunks for r in pickle.loads(self.held.getValue(c)[0])],
-                                 columns=self.columns, dtype=object)
+            rows = [r for c in chunks for r in pickle.loads(self.held.getValue(c)[0])]
             for c in chunks:
                 self.held.removeKey(c)
-            now, out = self.process(key, ready.sort_values(self.order, kind="stable"), now, self._ends(p) - 1 - ORIGIN)
-            yield from _as_rows(out)
-        # up to here nothing waits any more
-        passed = min([mark, *(p * self.width - 1 for p in parts)])
-        now, out = self.process(key, None, now, passed - ORIGIN)
-        self.carried.update((json.dumps([now, parts]),))
-        yield from _as_rows(out)
+            for i in reversed(self.order):
+                plain = not any(r[i] is None or r[i] != r[i] for r in rows)
+                rows.sort(key=itemgetter(i) if plain else lambda r, i=i: _rank(r[i]))
+            of: dict[tuple, list] = {}
+            for r in rows:
+                of.setdefault(_key(r[i] for i in self.keys), []).append(r)
+            yield from self.process(of, states)
+        self.carried.update((pickle.dumps(list(states.items())),))
+        self.open.update((json.dumps(parts),))
 
     def close(self) -> None:
         pass
 
 
-def _as_rows(out: pd.DataFrame | None) -> Iterator[Row]:
-    if out is not None and len(out):
-        named = Row(*out.columns)
-        for values in zip(*(out[c].astype(object).tolist() for c in out.columns)):
-            yield named(*values)
-
-
-def _ordered(stream: DataFrame, keys: list[str], order: list[str], need: list[str], out: T.StructType,
-             lateness: int, first, process, wake: int | None = None) -> DataFrame:
-    """``process(rows, state, passed)`` for each key over its rows in event order: ``rows`` is a frame whose
-    events the watermark has passed (null where only time has passed), ``passed`` the time up to which no row is left, in
-    units of the order. ``wake`` is a time at which every key is asked, also one without rows. State: JSON-ready."""
-    at = F.col(order[0])
-    if isinstance(stream.schema[order[0]].dataType, (T.TimestampType, T.TimestampNTZType)):
+def _timed(stream: DataFrame, keys: list[str], order: str, need: list[str], lateness: int) -> tuple[DataFrame, str]:
+    """The rows with their event time as ``_ms`` and ``_at``, under a watermark, and with ``_bucket``, a number of
+    their key; and the folder of the closing row, whose ``_end`` is true."""
+    at = F.col(order)
+    if isinstance(stream.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)):
         at = F.unix_millis(at.cast("timestamp"))
     ms = at.cast("long") + ORIGIN
-    stream = stream.select(*need, ms.alias("_ms"), F.timestamp_millis(ms).alias("_at"), F.lit(False).alias("_end"))
+    buckets = int(stream.sparkSession.conf.get(BUCKETS, "256"))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)) if keys else F.lit(0).cast("long")
+    stream = stream.select(*need, bucket.alias("_bucket"), ms.alias("_ms"), F.timestamp_millis(ms).alias("_at"),
+                           F.lit(False).alias("_end"))
     stream, end = closing_rows(stream.filter("_at is not null"))
-    stream = stream.withWatermark("_at", f"{lateness} milliseconds")
-    result = stream.groupBy(*(keys or [F.lit(0).alias("_all")])).transformWithState(
-        _InOrder(need, order, lateness, first, process, wake), out, "Append", "EventTime")
-    result.closing, result.provider = end, ROCKS
-    return result
+    return stream.withWatermark("_at", f"{lateness} milliseconds"), end
 
 
 def _at_end(result: DataFrame, stream: DataFrame, need: list[str], order: str, lateness: int, whole,
@@ -175,24 +183,32 @@ def _at_end(result: DataFrame, stream: DataFrame, need: list[str], order: str, l
 
 def stream_fold(stream: DataFrame, keys, order, fold: Fold, passed: list[str], lateness: int = ANY_ORDER) -> DataFrame:
     """A fold per key over a stream, in the order of events. The first order column is the event time (a time,
-    or a number from -10**12 to 4 * 10**12); rows without it are left out. State per key: the fold's, and the rows
-    of the last ``lateness`` (milliseconds, or units of the number), in chunks; a task holds an eighth of them."""
+    or a number from -10**12 to 4 * 10**12); rows without it are left out. Keys are dealt into ``BUCKETS`` buckets. State
+    per bucket: the fold's of each key, and the rows of the last ``lateness`` (milliseconds, or units of the number), in
+    chunks; a task holds an eighth of them."""
     keys, order = names(keys), names(order)
     need = list(dict.fromkeys(keys + order + list(fold.inputs) + passed))
     out = T.StructType([stream.schema[c] for c in passed] + list(fold.extra))
-    extras = [f.name for f in fold.extra]
     kinds = [arrow_type(stream.schema[c].dataType) for c in fold.inputs]
-
-    def process(key, ready, now, mark):
-        if ready is None or not len(ready):
-            return now, None
-        cols = [pa.array(ready[c].to_numpy(), kind, from_pandas=True) for c, kind in zip(fold.inputs, kinds)]
-        rows, extra, now = fold.walk(cols, np.zeros(1, np.int64), [now])
-        kept = ready if rows is None else ready.iloc[rows]
+    inputs, kept = [need.index(c) for c in fold.inputs], [need.index(c) for c in passed]
+    named = Row(*out.names)
+
+    def process(of: dict[tuple, list], states: dict) -> Iterator[Row]:
+        rows = [r for some in of.values() for r in some]
+        starts = np.cumsum([0, *map(len, of.values())])[:-1]
+        cols = [pa.array([r[i] for r in rows], kind, from_pandas=True) for i, kind in zip(inputs, kinds)]
+        at, extra, after = fold.runs(cols, starts, [states[k] if k in states else fold.initial() for k in of])
+        states.update(zip(of, after))
         extra = [x.to_pylist() if isinstance(x, pa.Array) else x for x in extra]
-        return now, kept[passed].reset_index(drop=True).assign(**dict(zip(extras, extra)))[passed + extras]
+        sent = rows if at is None else [rows[i] for i in at.tolist()]
+        for row, *more in zip(sent, *extra):
+            yield named(*[row[i] for i in kept], *more)
 
-    return _ordered(stream, keys, order, need, out, lateness, fold.initial, process)
+    timed, end = _timed(stream, keys, order[0], need, lateness)
+    result = timed.groupBy("_bucket").transformWithState(
+        _InOrder([need.index(k) for k in keys], [need.index(c) for c in order], lateness, process), out, "Append", "EventTime")
+    result.closing, result.provider = end, ROCKS
+    return result
 
 
 def debounce(stream: DataFrame, key, ts: str, min_gap: int, initial_last: int | None = None,
@@ -235,18 +251,20 @@ class FrameFold(Fold):
     def _least(self, mark: int) -> int:
         return self.need.get(mark, 0) if isinstance(self.need, Mapping) else self.need
 
-    def walk(self, cols, starts, states):
+    def runs(self, cols, starts, states):
         marks = np.flatnonzero(pc.is_in(cols[0], pa.array([*self.opens, *self.closes], cols[0].type)).to_numpy(zero_copy_only=False))
-        rows, out = [], []
-        for lo, hi, (seen, samples) in zip(starts.tolist(), [*starts[1:].tolist(), len(cols[0])], states):
-            for at in marks[(marks >= lo) & (marks < hi)].tolist():
-                mark, samples = cols[0][at].as_py(), samples + cols[0].slice(lo, at - lo).to_pylist()
+        ends = np.append(starts[1:], len(cols[0]))
+        cuts, marks, values = np.searchsorted(marks, [starts, ends]).T.tolist(), marks.tolist(), cols[0].to_pylist()
+        rows, out, after = [], [], []
+        for lo, hi, (first, last), (seen, samples) in zip(starts.tolist(), ends.tolist(), cuts, states):
+            for at in marks[first:last]:
+                mark, samples = values[at], samples + values[lo:at]
                 if mark in self.closes and len(samples) >= self._least(mark):
                     rows.append(at)
                     out.append((seen, mark, samples))
                 seen, samples, lo = seen + 1, [], at + 1
-            samples = samples + cols[0].slice(lo, hi - lo).to_pylist()
-        return np.array(rows, np.int64), [list(x) for x in zip(*out)] or [[], [], []], [seen, samples]
+            after.append([seen, samples + values[lo:hi]])
+        return np.array(rows, np.int64), [list(x) for x in zip(*out)] or [[], [], []], after
 
 
 def frames(stream: DataFrame, key, order, value: str, opens=(-1, -3), closes=(-2, -4),
@@ -274,34 +292,71 @@ def frames(stream: DataFrame, key, order, value: str, opens=(-1, -3), closes=(-2
                    list(dict.fromkeys([*keys, *along, value])), along[0], lateness, whole)
 
 
+class _Closing(StatefulProcessor):
+    """The report of a queue. No row waits: state per queue is the last event up to ``close``, the first moment after it
+    with nobody left, and whether it has reported. A timer wakes the queue at ``close``, another one at that moment."""
+
+    def __init__(self, order: list[int], depth: int, keys: int, close: int, named):
+        self.order, self.depth, self.keys, self.close_, self.named = order, depth, keys, close, named
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "s binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        at, ties, depth, close = self.order[0], self.order[1:], self.depth, self.close_
+        began = fresh = self.known.exists()
+        last, empty, given = pickle.loads(self.known.get()[0]) if began else (None, None, False)
+        was = empty
+        for row in rows:
+            if row[-1]:
+                continue
+            fresh = True
+            if given:
+                continue
+            ts = row[at]
+            if ts > close:
+                if row[depth] == 0 and (empty is None or ts < empty):
+                    empty = ts
+            elif last is None or ts >= last[0][0]:
+                order = ts, *[_rank(row[i]) for i in ties]
+                if last is None or order >= last[0]:
+                    last = order, row[depth]
+        if fresh:  # a queue that only the closing row has is none
+            if not began:
+                self.handle.registerTimer(close + ORIGIN)
+            if empty != was:
+                self.handle.registerTimer(empty + ORIGIN)
+            self.known.update((pickle.dumps((last, empty, given)),))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        last, empty, given = pickle.loads(self.known.get()[0])
+        passed = timerValues.getCurrentWatermarkInMs() - ORIGIN
+        if given or passed < self.close_:
+            return
+        report = self.close_ if last is None or not last[1] else empty if empty is not None and empty <= passed else None
+        if report is not None:
+            self.known.update((pickle.dumps((None, None, True)),))
+            yield self.named(*key[:self.keys], report)
+
+    def close(self) -> None:
+        pass
+
+
 def final_report(stream: DataFrame, key, ts: str, depth: str, close: int, tie=None,
                  lateness: int = ANY_ORDER) -> DataFrame:
     """(key, ts): one row per key, the first moment at or after ``close`` with an empty queue. A queue that is
     empty at ``close`` reports when the watermark passes it, by a timer, if no event comes."""
     keys, order = names(key), [ts] + names(tie)
     out = T.StructType([stream.schema[c] for c in keys] + [T.StructField(ts, T.LongType())])
-
-    def process(key_, ready, now, mark):
-        last, given, seen = now
-        seen = seen or (ready is not None and len(ready) > 0)
-        report = None
-        if ready is not None:
-            for at, left in zip(ready[ts].tolist(), ready[depth].tolist()):
-                if not given and report is None and at > close and last == 0:
-                    report = close
-                last = left
-                if not given and report is None and at > close and last == 0:
-                    report = at
-        # nothing more can come up to ``close``; a key that only the closing row has is no queue
-        if seen and not given and report is None and mark >= close and last == 0:
-            report = close
-        if report is None:
-            return [last, given, seen], None
-        return [last, True, seen], pd.DataFrame({**{k: [v] for k, v in zip(keys, key_)}, ts: [report]})
-
     need = list(dict.fromkeys(keys + order + [depth]))
+    timed, end = _timed(stream, keys, ts, need, lateness)
+    result = timed.groupBy(*(keys or ["_bucket"])).transformWithState(
+        _Closing([need.index(c) for c in order], need.index(depth), len(keys), close, Row(*out.names)), out, "Append", "EventTime")
+    result.closing, result.provider = end, ROCKS
     return _at_end(
-        _ordered(stream, keys, order, need, out, lateness, lambda: [0, False, False], process, close), stream, need, ts, lateness,
+        result, stream, need, ts, lateness,
         lambda table: batch_states.final_report(table, ts, depth, close, keys, tie).withColumnRenamed("report_ts", ts))
 
 
@@ -315,11 +370,11 @@ class CountFold(Fold):
     def initial(self):
         return 0
 
-    def walk(self, cols, starts, states):
+    def runs(self, cols, starts, states):
         size = np.diff(np.append(starts, len(cols[0])))
         take = np.minimum(size, self.n - np.array(states))
         rows = [np.arange(lo, lo + n) for lo, n in zip(starts.tolist(), take.tolist())]
-        return np.concatenate(rows), [], states[-1] + int(take[-1])
+        return np.concatenate(rows), [], (np.array(states) + take).tolist()
 
 
 def collect_n(stream: DataFrame, key, order, n: int, lateness: int = ANY_ORDER) -> DataFrame:
@@ -391,8 +446,11 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
 
     def run() -> None:
         nonlocal late
-        usual = spark.conf.get(PROVIDER)
-        spark.conf.set(PROVIDER, getattr(stream, "provider", usual))
+        usual, parts = spark.conf.get(PROVIDER), spark.conf.get(PARTITIONS)
+        if getattr(stream, "provider", None) is not None:
+            # a store is opened and committed in every micro-batch: no more of them than tasks run at a time
+            spark.conf.set(PROVIDER, stream.provider)
+            spark.conf.set(PARTITIONS, min(int(parts), max(2, spark.sparkContext.defaultParallelism)))
         try:
             query = (
                 stream.writeStream.format("parquet").outputMode("append")
@@ -402,6 +460,7 @@ def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
             query.awaitTermination()
         finally:
             spark.conf.set(PROVIDER, usual)
+            spark.conf.set(PARTITIONS, parts)
         late += sum(o["numRowsDroppedByWatermark"] for p in query.recentProgress for o in p["stateOperators"])
 
     run()

@@ -198,3 +198,47 @@ def test_a_report_at_closing_time_waits_for_earlier_rows(feed):
     assert live.late_rows == 0
     want = st.final_report(batch, "ts", "depth", 50, "k").withColumnRenamed("report_ts", "ts")
     assert {tuple(r) for r in live.collect()} == {tuple(r) for r in want.select("k", "ts").collect() if r["ts"] is not None}
+
+
+@pytest.mark.parametrize("buckets", ["1", "7"])
+def test_many_keys_share_a_bucket(spark, feed, buckets):
+    """A bucket is one row group of the state: a key's fold goes on from part to part whatever keys are beside it."""
+    rnd = random.Random(6)
+    rows = [(i, i % 5, rnd.choice(["a", "b", None, "c"]), rnd.choice([-1, -2, -3, -4, 1, 2, 3, None]),
+             rnd.choice("xyz\b\n"), rnd.choice(["continued", "paused", None])) for i in range(300)]
+    batch, stream = feed(rows, "ts long, id long, k string, v long, ch string, event string")
+    order, late = ["ts", "id"], 100
+    spark.conf.set(ss.BUCKETS, buckets)
+    try:
+        for live, want in (
+                (ss.debounce(stream, "k", "ts", 9, 0, "id", late), st.debounce(batch, "k", "ts", 9, 0, "id")),
+                (ss.state_machine(stream, "k", order, "event", lateness=late), st.state_machine(batch, "k", order, "event")),
+                (ss.assemble_lines(stream, "k", order, "ch", 4, late), st.assemble_lines(batch, "k", order, "ch", 4)),
+                (ss.collect_n(stream, "k", order, 7, late), st.collect_n(batch, "k", order, 7))):
+            got = ss.run_to_table(live, "t")
+            assert got.late_rows == 0
+            same(got, want)
+        got = ss.run_to_table(ss.frames(stream, "k", order, "v", min_samples={-2: 2, -4: 0}, lateness=late), "t")
+        same(got, ss.run_to_table(ss.frames(stream, "k", order, "v", min_samples={-2: 2, -4: 0}), "t"))
+    finally:
+        spark.conf.unset(ss.BUCKETS)
+
+
+def test_a_report_keeps_no_rows_and_takes_them_in_any_order(spark, feed):
+    rnd = random.Random(4)
+    rows = [(rnd.randint(0, 900), i, rnd.choice("pq"), rnd.choice([0, 0, 1, 2])) for i in range(300)]
+    rows += [(950, 300, "late", 2), (20, 301, "open", 1), (960, 302, "none", 1), (990, 303, "none", 0)]
+    batch, stream = feed(rows, "ts long, id long, k string, depth long")
+    got = ss.run_to_table(ss.final_report(stream, "k", "ts", "depth", 450, "id", lateness=1000), "t")
+    same(got, st.final_report(batch, "ts", "depth", 450, "k", "id").withColumnRenamed("report_ts", "ts"))
+
+
+def test_a_slice_of_a_feed_is_few_micro_batches(spark):
+    """A feed of many small files comes in as many micro-batches as one of few files."""
+    from pulsegrid.queries import states
+
+    rows = spark.range(0, 6000, 1, 40).select("id")
+    live, late = states.feed(rows, "id")
+    seen = []
+    ss.each_batch(live, lambda batch, number: seen.append(batch.count()))
+    assert sum(seen) == 6000 and states.SLICES <= len(seen) <= 4 * states.SLICES and late == 1000
