@@ -76,6 +76,26 @@ def unpacked(text: str) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
 
 
+#: bytes of texts and states that a step takes at a time; a larger row is a step of its own
+STEP_BYTES = 1 << 20
+
+
+def _steps(batches: Iterator[pa.RecordBatch], inputs: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of bounded bytes: what a step makes of its texts is many times as large as they are."""
+    for batch in batches:
+        size = np.zeros(batch.num_rows, np.int64)
+        for c in dict.fromkeys([*inputs, *(["_state"] if "_state" in batch.schema.names else [])]):
+            kind = batch.column(c).type
+            if pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_binary(kind):
+                size += pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False)
+        total, at = np.cumsum(size), 0
+        while at < batch.num_rows:
+            before = total[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(total, before + STEP_BYTES, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _starts(batch: pa.RecordBatch, keys: list[str], last: tuple | None) -> tuple[np.ndarray, bool, tuple]:
     """Where runs of equal keys begin, whether the first one goes on from the batch before, and the last key."""
     n = batch.num_rows
@@ -94,9 +114,7 @@ def _walker(fold: Fold, group: list[str], passed: list[str], schema: pa.Schema,
             has_state: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _steps(batches, fold.inputs):
             starts, goes_on, last = _starts(batch, group, last)
             given = batch.column("_state").take(pa.array(starts)).to_pylist() if has_state else [None] * len(starts)
             states = [fold.initial() if g is None else json.loads(g) for g in given]
@@ -121,9 +139,7 @@ def _digester(fold: Fold, group: list[str], schema: pa.Schema) -> Callable:
             row.append(pa.array([json.dumps(fold.seal(digest))], pa.string()))
             return pa.RecordBatch.from_arrays(row, names=schema.names)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _steps(batches, fold.inputs):
             before = last
             starts, goes_on, last = _starts(batch, group, last)
             for lo, hi in zip(starts, [*starts[1:], batch.num_rows]):

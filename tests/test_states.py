@@ -193,3 +193,23 @@ def test_lines_from_pieces_of_text(spark, rows_per_task):
     got = st.assemble_lines(df, "k", "seq", "ch", 10, max_rows=rows_per_task).collect()
     assert [r["line"] for r in sorted(got, key=lambda r: r["line_no"]) if r["k"] == "k"] == brute_lines(text, 10)
     assert [(r["seq"], r["line"], r["dropped"]) for r in got if r["k"] == "e"] == [(3, "", 1)]
+
+
+def test_long_texts_are_folded_in_steps(monkeypatch):
+    """A batch of long texts goes through in pieces of bounded bytes, with the lines of one piece."""
+    from pulsegrid.plans import folds
+
+    texts = ["ab\n" * 50, None, "c" * 900, "\n", "x\b\n" * 40] * 20
+    keys = [i // 7 for i in range(len(texts))]
+    fold, schema = st.LineFold("ch", 5), pa.schema([("k", pa.int64()), ("line_no", pa.int64()), ("line", pa.string()), ("dropped", pa.int64())])
+    batch = pa.RecordBatch.from_pydict({"k": keys, "ch": pa.array(texts, pa.string())})
+
+    def run():
+        out = list(folds._walker(fold, ["k"], ["k"], schema, False)(iter([batch.slice(0, 0), batch])))
+        return out, pa.Table.from_batches(out).to_pylist()
+
+    whole = run()[1]
+    monkeypatch.setattr(folds, "STEP_BYTES", 500)
+    out, rows = run()
+    assert rows == whole and len(out) > 20
+    assert max(len(x) for x in (b.column("line") for b in out)) <= 250
