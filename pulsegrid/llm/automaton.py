@@ -135,10 +135,11 @@ def _asked(order: int, slices: int):
                 tokens, first, learns = _unpacked(part)
                 teaches = np.repeat(learns, np.diff(first))
                 for k, (ends, hashes) in enumerate(grams(tokens, first, order), 1):
-                    known = np.unique(hashes)
-                    taught, times = np.unique(hashes[teaches[ends]], return_counts=True)
-                    count = np.zeros(len(known), np.uint32)
-                    count[np.searchsorted(known, taught)] = times
+                    # few texts do not teach: all are counted by one sort, and those few taken off
+                    known, count = np.unique(hashes, return_counts=True)
+                    other, times = np.unique(hashes[~teaches[ends]], return_counts=True)
+                    count[np.searchsorted(known, other)] -= times
+                    count = count.astype(np.uint32)
                     cut = [0, *np.searchsorted(known, edges, side="right"), len(known)]
                     at = [i for i in range(slices) if cut[i + 1] > cut[i]]
                     yield pa.RecordBatch.from_arrays(
