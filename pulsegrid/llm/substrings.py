@@ -7,7 +7,9 @@ find those strings without moving every suffix:
    smaller document holds too is removed as a whole; only the first document's copy is searched further.
 2. Every string of ``n`` bytes has one anchor: its ``GRAM`` bytes with the smallest hash, where those that are very
    frequent in the corpus come last: so a string that only borders on a common line takes its anchor outside of
-   it. Consecutive strings with one anchor travel as one stretch. Anchors of one document only are dropped.
+   it. Consecutive strings with one anchor are one stretch. Texts are dealt into groups of about ``GROUP_BYTES``; a group
+   sends short prints of its anchors, sorted and as differences, and gets back those that several documents hold.
+   Only the stretches of these travel.
 3. Stretches of one anchor meet in one task. There all their suffixes are sorted by bucket-pointer
    refinement: the first buckets are q-grams, and each round sorts by the pair of a suffix's own bucket and
    the bucket of the suffix as many bytes later, so the pointers of one round double the depth of the next.
@@ -15,7 +17,7 @@ find those strings without moving every suffix:
 4. The removed spans meet the texts again.
 
 Equal stretches and pieces of one step are settled in that step, so a passage that very many documents share
-sends one row per step; where an anchor lies in a quarter of the texts of a step, its strings travel one by one,
+sends one row per step; where an anchor lies in a quarter of the texts of a group, its strings travel one by one,
 keyed by their content.
 """
 
@@ -23,25 +25,34 @@ from __future__ import annotations
 
 import hashlib
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import _BASE, _BYTE, _INVERSE, arrow_step, byte_view, mix, powers
+from .arrays import _BASE, _BYTE, _INVERSE, arrow_step, byte_view, mix, powers, steps
+from .tables import saved
 
 GRAM = 16
 #: mean and largest bytes of a piece
 PIECE, LONGEST = 512, 1 << 18
-#: an anchor in so many documents of one step, and in so large a share of its texts, has its strings travel
+#: an anchor in so many documents of one group, and in so large a share of its texts, has its strings travel
 #: one by one; with a smaller share the stretches of an anchor are one task's work
 FREQUENT, SHARE = 64, 0.25
+#: bytes of text of a group: most groups are one step
+GROUP_BYTES = 750_000
+#: bytes of text whose anchors are held against each other at a time
+BUCKET_BYTES = 16_000_000
+#: bits of an anchor's print beyond those that number the anchors: one in 2 ** SPARE meets another by chance, and its
+#: stretch travels for nothing
+SPARE = 8
 #: grams that occur as often as this share of the documents are taken as anchors last; how many of them, at most,
 #: and bits of the table that marks them
 COMMON, MOST, TABLE = 0.02, 100_000, 22
-OFTEN, LATER = 1, 2
 #: bytes of stretches that are sorted at a time
-SORTED_BYTES = 2_000_000
+SORTED_BYTES = 100_000
 
 
 class _Rolling:
@@ -143,11 +154,10 @@ def _counted(batch: pa.RecordBatch) -> pa.Table | None:
     return pa.table({"gram": grams[at[often]].view(np.int64), "n": count[often].astype(np.int64)})
 
 
-def common_grams(docs: DataFrame) -> np.ndarray:
+def common_grams(docs: DataFrame, total: int) -> np.ndarray:
     """A table by the first ``TABLE`` bits of a gram's hash: whether a gram that occurs as often as ``COMMON`` of
-    all documents begins so. At most ``MOST`` grams reach the driver. It decides which anchors are taken, not
+    all ``total`` documents begins so. At most ``MOST`` grams reach the driver. It decides which anchors are taken, not
     which strings are found."""
-    total = docs.count()
     rows = (docs.select("text").mapInArrow(arrow_step(_counted, "text"), "gram long, n long").groupBy("gram")
             .agg(F.sum("n").alias("n")).where(F.col("n") >= max(4, COMMON * total)).orderBy(F.desc("n"), "gram").limit(MOST))
     table = np.zeros(1 << TABLE, bool)
@@ -156,119 +166,169 @@ def common_grams(docs: DataFrame) -> np.ndarray:
     return np.packbits(table)
 
 
-def _anchors(n: int, common: np.ndarray):
-    """Stretches of strings with one anchor in pieces that are not gone: anchor hash, doc, and packed in
-    ``spot`` the start, the number of strings, whether the anchor is frequent in the step, and if so whether a
-    smaller document of the step has it too."""
-
-    def work(batch: pa.RecordBatch) -> pa.Table | None:
-        doc, seal = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        data, ends = byte_view(batch.column(2))
-        pieces = batch.column(3)
-        if len(data) < n:
-            return None
-        doc = doc.astype(np.int64)
-        parts = pieces.flatten()
-        of = np.repeat(np.arange(len(doc)), np.diff(pieces.offsets.to_numpy()))
-        own_text = parts.field("print").to_numpy(zero_copy_only=False) == seal[of]
-        of, span = of[own_text], parts.field("span").to_numpy(zero_copy_only=False)[own_text]
-        start = (span >> 20) + ends[of]
-        last = start + (span & 0xFFFFF) - n + 1
-        gone = parts.field("gone").to_numpy(zero_copy_only=False)[own_text]
-        edge = np.zeros(len(data) - n + 2, np.int64)
-        np.add.at(edge, start[~gone], 1)
-        np.add.at(edge, last[~gone], -1)
-        valid = np.cumsum(edge)[:-1] > 0
-        grams = _Rolling(data).grams(GRAM)
-        place = (grams >> np.uint64(64 - TABLE)).astype(np.int64)
-        last_choice = (common[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(np.uint64)
-        low = (last_choice << np.uint64(63)) | (grams << np.uint64(TABLE) >> np.uint64(33) << np.uint64(32))
-        low |= np.arange(len(grams), dtype=np.uint64)
-        width, span = n - GRAM + 1, 1
-        while 2 * span <= width:
-            low = np.minimum(low[:-span], low[span:])
-            span *= 2
-        if span < width:
-            low = np.minimum(low[:span - width], low[width - span:])
-        anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        at = np.flatnonzero(valid)
-        if not len(at):
-            return None
-        own = np.searchsorted(ends, at, side="right") - 1
-        new = np.ones(len(at), bool)
-        new[1:] = (np.diff(at) > 1) | (anchor[at[1:]] != anchor[at[:-1]]) | (own[1:] != own[:-1])
-        first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(at)))
-        own, begin = own[first], at[first]
-        key, who = grams[anchor[begin]], doc[own]
+def _own(doc: np.ndarray, seal: np.ndarray, held: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Which span of ``held`` is of which text: the text's number and the span, ordered by text."""
+    of, print_, span = (held.column(c).to_numpy() for c in ("doc", "print", "span"))
+    order = np.lexsort((span, print_, of))
+    of, print_, span = of[order], print_[order], span[order]
+    if len(of):  # rows that are alike say the same
+        new = np.append(True, (of[1:] != of[:-1]) | (print_[1:] != print_[:-1]) | (span[1:] != span[:-1]))
+        of, print_, span = of[new], print_[new], span[new]
+    every, prints = np.concatenate([doc, of]), np.concatenate([seal, print_])
+    order = np.lexsort((prints, every))
+    ident = np.empty(len(every), np.int64)
+    ident[order] = np.cumsum(np.append(False, (np.diff(every[order]) != 0) | (np.diff(prints[order]) != 0))[:len(every)])
+    texts, spans = ident[:len(doc)], ident[len(doc):]
+    first, last = (np.searchsorted(spans, texts, side) for side in ("left", "right"))
+    return np.repeat(np.arange(len(doc)), last - first), span[_ranges(first, last - first)]
+
+
+def _steps(texts: pa.Table, held: pa.Table, nameless: bool = False) -> Iterator[tuple]:
+    """A group's texts in steps: key (as it came), print, bytes and their ends, and the spans in ``held`` of these
+    texts. Those without a key only if ``nameless``, and without spans."""
+    held = held.filter(held.column("doc").is_valid())
+    for whole in texts.select(["doc", "print", "text"]).to_batches():
+        if not nameless:
+            whole = whole.filter(whole.column("doc").is_valid())
+        for batch in steps(whole, "text"):
+            doc, named = batch.column("doc"), batch.column("doc").is_valid().to_numpy(zero_copy_only=False)
+            seal = batch.column("print").to_numpy()
+            at = np.flatnonzero(named)
+            own, span = _own(doc.drop_null().to_numpy(), seal[at], held)
+            yield doc, seal, *byte_view(batch.column("text")), at[own], span
+
+
+def _anchored(data, ends, own, span, n: int, common: np.ndarray):
+    """Stretches of strings with one anchor, outside of the pieces (text's number, start and length packed) that
+    are gone: text's number, start, number of strings, anchor hash."""
+    if len(data) < n:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+    edge, gone = np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
+    fits = np.diff(ends) >= n
+    np.add.at(edge, ends[:-1][fits], 1)
+    np.add.at(edge, ends[1:][fits] - n + 1, -1)
+    start = (span >> 20) + ends[own]
+    np.add.at(gone, start, 1)
+    np.add.at(gone, start + (span & 0xFFFFF) - n + 1, -1)
+    at = np.flatnonzero((np.cumsum(edge) > 0) & (np.cumsum(gone) == 0))
+    grams = _Rolling(data).grams(GRAM)
+    place = (grams >> np.uint64(64 - TABLE)).astype(np.int64)
+    last_choice = (common[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(np.uint64)
+    low = (last_choice << np.uint64(63)) | (grams << np.uint64(TABLE) >> np.uint64(33) << np.uint64(32))
+    low |= np.arange(len(grams), dtype=np.uint64)
+    width, reach = n - GRAM + 1, 1
+    while 2 * reach <= width:
+        low = np.minimum(low[:-reach], low[reach:])
+        reach *= 2
+    if reach < width:
+        low = np.minimum(low[:reach - width], low[width - reach:])
+    anchor = (low[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    own = np.searchsorted(ends, at, side="right") - 1
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) > 1) | (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])
+    first = np.flatnonzero(new)
+    return own[first], at[first], np.diff(np.append(first, len(at))), grams[anchor[first]]
+
+
+def _print(anchor: np.ndarray, bits: int) -> np.ndarray:
+    return mix(anchor, 9) >> np.uint64(64 - bits)
+
+
+def packed(value: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """Ascending numbers of each row as bytes: differences, seven bits a byte, the last byte of each below 128."""
+    first = np.append(True, row[1:] != row[:-1])[:len(row)]
+    step = np.where(first, value, value - np.append(value[:1], value[:-1])).astype(np.uint64)
+    size = np.ones(len(step), np.int64)
+    for k in range(7, 64, 7):
+        size += step >> np.uint64(k) > 0
+    begin = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        there = size > k
+        out[begin[there] + k] = (step[there] >> np.uint64(7 * k) & np.uint64(127)) | ((size[there] > k + 1).astype(np.uint64) << np.uint64(7))
+    cuts = np.append(0, np.cumsum(np.bincount(row, size, rows).astype(np.int64)))
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(out.tobytes())])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of ``packed``, and the row of each."""
+    data, ends = byte_view(column)
+    stop = np.flatnonzero(data < 128)
+    begin = np.append(0, stop + 1)[:len(stop)]
+    step = np.zeros(len(stop), np.uint64)
+    for k in range(int((stop - begin).max(initial=-1)) + 1):
+        there = stop - begin >= k
+        step[there] |= (data[begin[there] + k] & 127).astype(np.uint64) << np.uint64(7 * k)
+    row = np.searchsorted(ends, stop, side="right") - 1
+    value = np.cumsum(step, dtype=np.uint64)
+    first = np.searchsorted(row, row, side="left")
+    return value - value[first] + step[first], row
+
+
+PRINTS, SHARED = "bucket long, group long, prints binary", "group long, shared binary"
+
+
+def _prints(n: int, common: np.ndarray, bits: int, shift: int):
+    """Prints of a group's anchors by ranges of prints: once if of one document, twice if of several, three times if
+    the anchor is frequent."""
+
+    def work(texts: pa.Table, gone: pa.Table) -> pa.Table:
+        key, who, count = [], [], 0
+        for doc, _, data, ends, own, span in _steps(texts, gone):
+            of, _, _, anchor = _anchored(data, ends, own, span, n, common)
+            key.append(_print(anchor, bits))
+            who.append(doc.to_numpy()[of])
+            count += len(doc)
+        key, who = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (key, who))
         order = np.lexsort((who, key))
-        head = np.ones(len(key), bool)
-        head[1:] = key[order][1:] != key[order][:-1]
-        run = np.cumsum(head) - 1
-        often = np.empty(len(key), bool)
-        later = np.empty(len(key), bool)
-        other = head.copy()  # a document's first stretch with the anchor
-        other[1:] |= who[order][1:] != who[order][:-1]
-        often[order] = (np.bincount(run, other) >= max(FREQUENT, SHARE * len(doc)))[run]
-        later[order] = who[order] > who[order][head][run]
-        flags = np.where(often, np.where(later, OFTEN | LATER, OFTEN), 0)
-        return pa.table({"anchor": key.view(np.int64), "doc": who, "spot": (begin - ends[own]) << 20 | count << 4 | flags})
-
-    return arrow_step(work, "text")
-
-
-def _shared(batches):
-    """Of anchors sorted by hash (frequent ones first) and document: those that several documents have, all of
-    them marked as frequent if one is."""
-    names = ("anchor", "doc", "spot")
-    held, sure, often = None, None, False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-        if held is not None:
-            rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
-        key, doc = rows["anchor"], rows["doc"]
-        head = np.ones(len(key), bool)
-        head[1:] = key[1:] != key[:-1]
-        at = np.flatnonzero(head)
-        run = np.cumsum(head) - 1
-        hot = (rows["spot"][at] & OFTEN) > 0
-        many = np.logical_or.reduceat(doc != doc[at][run], at) | hot
-        if sure is not None and key[0] == sure:
-            many[0], hot[0] = True, often
-        out = many[run]
-        sure, often = (key[-1], hot[-1]) if many[-1] else (None, False)
-        held = None if many[-1] else {c: v[at[-1]:] for c, v in rows.items()}
-        spot = np.where(hot[run], rows["spot"] | OFTEN, rows["spot"])
-        yield pa.RecordBatch.from_arrays([pa.array(rows[c][out]) for c in names[:-1]] + [pa.array(spot[out])],
-                                         names=list(names))
+        key, who = key[order].astype(np.uint64), who[order]
+        head = np.append(True, key[1:] != key[:-1])[:len(key)]
+        other = head | np.append(True, who[1:] != who[:-1])[:len(key)]
+        docs = np.bincount(np.cumsum(head) - 1, other).astype(np.int64) if len(key) else np.zeros(0, np.int64)
+        key = np.repeat(key[head], np.where(docs >= max(FREQUENT, SHARE * count), 3, np.minimum(docs, 2)))
+        bucket, row = np.unique((key >> np.uint64(shift)).astype(np.int64), return_inverse=True)
+        group = texts.column("group")[0].as_py() if count else 0
+        return pa.table({"bucket": bucket, "group": np.full(len(bucket), group), "prints": packed(key, row, len(bucket))})
+
+    return work
+
+
+def agreed(held: pa.Table) -> pa.Table:
+    """For each group those of its prints that several documents have, those of frequent anchors twice."""
+    value, row = unpacked(held.column("prints").combine_chunks())
+    first = np.append(True, (value[1:] != value[:-1]) | (row[1:] != row[:-1]))[:len(value)]
+    at = np.flatnonzero(first)
+    times = np.diff(np.append(at, len(value)))
+    value, row = value[at], row[at]
+    order = np.argsort(value, kind="stable")
+    head = np.append(True, np.diff(value[order]) != 0)[:len(value)]
+    run = np.empty(len(value), np.int64)
+    run[order] = np.cumsum(head) - 1
+    several = np.bincount(run, times)[run] > 1
+    often = np.zeros(len(value), bool)
+    often[run[times > 2]] = True
+    keep = np.where(several, 1 + often[run], 0)
+    value, row = np.repeat(value, keep), np.repeat(row, keep)
+    rows, row = np.unique(row, return_inverse=True)
+    return pa.table({"group": held.column("group").to_numpy()[rows], "shared": packed(value, row, len(rows))})
 
 
 ROW = "place long, doc long, print long, span long, bytes binary"
 
 
-def _stretches(n: int):
-    """Bytes of the stretches of shared anchors. Of equal stretches in a step only the smallest document's
+def _stretches(n: int, common: np.ndarray, bits: int):
+    """Bytes of the stretches of shared anchors of a group. Of equal stretches in a step only the smallest document's
     travels; the others are spans to remove already (without bytes)."""
 
-    def work(batch: pa.RecordBatch) -> pa.Table | None:
-        doc, seal = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        data, ends = byte_view(batch.column(2))
-        parts = batch.column(3).flatten()
-        own = np.repeat(np.arange(len(doc)), np.diff(batch.column(3).offsets.to_numpy()))
+    def step(doc, seal, data, ends, gone_of, gone_span, shared, often_too) -> pa.Table | None:
+        own, start, count, anchor = _anchored(data, ends, gone_of, gone_span, n, common)
+        key = _print(anchor, bits)
+        at = np.minimum(np.searchsorted(shared, key), len(shared) - 1)
+        held = shared[at] == key
+        own, start, count, place, often = (x[held] for x in (own, start, count, anchor.view(np.int64), often_too[at]))
         if not len(own):
             return None
-        spot = parts.field("spot").to_numpy(zero_copy_only=False)
-        place = parts.field("anchor").to_numpy(zero_copy_only=False)
-        start, count = (spot >> 20) + ends[own], spot >> 4 & 0xFFFF
-        # texts that share a key get each other's stretches; what lies beyond their end is left out
-        fits = start + count + n - 1 <= ends[own + 1]
-        own, spot, place, start, count = (x[fits] for x in (own, spot, place, start, count))
-        if not len(own):
-            return None
-        doc = doc.astype(np.int64)
-        often = (spot & OFTEN) > 0
+        doc = doc.to_numpy()
         rolling = _Rolling(data)
         if often.any():  # single strings, keyed by content
             alone = _ranges(start[often], count[often])
@@ -308,22 +368,52 @@ def _stretches(n: int):
             "place": np.where(gone, mix(who.view(np.uint64), 1).view(np.int64), place), "doc": who, "print": seal[own],
             "span": (start - ends[own]) << 20 | size, "bytes": bytes_})
 
-    return arrow_step(work, "text")
-
-
-def refine(data: np.ndarray, depth: int) -> np.ndarray:
-    """Bucket of every suffix of ``data`` at ``depth`` (those nearer to the end are not to be used): equal
-    buckets mean that the next ``depth`` bytes are equal."""
-    q = min(8, depth)
-    first = np.zeros(max(len(data) - q + 1, 0), np.uint64)
-    for k in range(q):
-        first = (first << np.uint64(8)) | data[k:len(data) - q + 1 + k]
-    bucket = np.unique(first, return_inverse=True)[1]
-    while q < depth:
-        step = min(q, depth - q)
-        pair = bucket[:-step] * (int(bucket.max()) + 1) + bucket[step:]
-        bucket = np.unique(pair, return_inverse=True)[1]
-        q += step
+    def work(texts: pa.Table, held: pa.Table) -> pa.Table:
+        kept = held.column("shared").combine_chunks().drop_null()
+        shared, times = np.unique(unpacked(kept)[0], return_counts=True)
+        out = []
+        if len(shared):
+            out = [step(*texts_, shared, times > 1) for texts_ in _steps(texts, held)]
+        out = [x for x in out if x is not None]
+        return pa.concat_tables(out) if out else pa.schema(
+            [(c, pa.int64()) for c in ("place", "doc", "print", "span")] + [("bytes", pa.binary())]).empty_table()
+
+    return work
+
+
+def refine(data: np.ndarray, depth: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Bucket of the suffixes of ``data`` from ``at`` (without it: of every one) at ``depth``; those nearer to the end
+    are not to be used. Equal buckets mean that the next ``depth`` bytes are equal.
+
+    A round goes into the open buckets only, those with several suffixes, and only for suffixes that a later
+    round uses or points to."""
+    depths = [min(8, depth)]
+    while depths[-1] < depth:
+        depths.append(min(2 * depths[-1], depth))
+    used = np.zeros(max(len(data) - depths[0] + 1, 0), bool)
+    used[slice(max(len(data) - depth + 1, 0)) if at is None else at] = True
+    rounds = [used]
+    for less, more in zip(depths[-2::-1], depths[:0:-1]):
+        used = rounds[-1].copy()
+        used[more - less:] |= rounds[-1][:less - more]
+        rounds.append(used)
+    place = np.flatnonzero(rounds.pop())
+    value = np.zeros(len(place), np.uint64)
+    for k in range(depths[0]):
+        value = (value << np.uint64(8)) | data[place + k]
+    bucket, top = np.zeros(len(used), np.int64), 0
+    for less, more in zip([0, *depths], depths):
+        if less:
+            place = place[rounds.pop()[place]]
+            value = bucket[place] * top + bucket[place + more - less]
+        order = np.argsort(value)
+        ranked = value[order]
+        head = np.append(True, ranked[1:] != ranked[:-1])[:len(ranked)]
+        place = place[order]
+        bucket[place] = top + np.cumsum(head) - 1
+        top += len(place)
+        # a suffix alone in its bucket stays so, and its bucket's number is its own
+        place = np.sort(place[~(head & np.append(head[1:], True)[:len(head)])])
     return bucket
 
 
@@ -346,7 +436,7 @@ def _settled(n: int):
             long = np.flatnonzero(size != 8)
             strings = size[long] - n + 1
             begin = _ranges(ends[long], strings)
-            bucket = refine(data, n)
+            bucket = refine(data, n, begin)
             row.append(np.repeat(long, strings))
             at.append(begin - np.repeat(ends[long], strings))
             equal.append(bucket[begin] + (int(equal[0].max()) + 1 if equal else 0))
@@ -402,33 +492,30 @@ def _settled(n: int):
     return run
 
 
-def _kept(batch: pa.RecordBatch) -> pa.Table:
-    data, ends = byte_view(batch.column(2))
-    parts = batch.column(3)
-    out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
-    flat = parts.flatten()
-    cuts = parts.offsets.to_numpy()
-    cuts = cuts - cuts[0]
-    flat = flat.to_numpy(zero_copy_only=False)
-    first = flat >> 20
-    last = first + (flat & 0xFFFFF)
-    for i in range(batch.num_rows):
-        text = data[ends[i]:ends[i + 1]]
-        if cuts[i + 1] > cuts[i]:
-            edge = np.zeros(len(text) + 1, np.int64)
-            np.add.at(edge, first[cuts[i]:cuts[i + 1]], 1)
-            np.add.at(edge, last[cuts[i]:cuts[i + 1]], -1)
-            gone = np.cumsum(edge)[:-1] > 0
-            kept = text[~gone].tobytes()
-            spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-        else:
-            kept, spans = text.tobytes(), 0
-        out["n_bytes"].append(len(text))
-        out["n_removed"].append(len(text) - len(kept))
-        out["n_spans"].append(spans)
-        out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-        out["kept"].append(kept)
-    return pa.table({"doc": batch.column(0)} | out)
+def _kept(texts: pa.Table, spans: pa.Table) -> pa.Table:
+    out = {"doc": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
+    for doc, _, data, ends, own, span in _steps(texts, spans, nameless=True):
+        first, last = span >> 20, (span >> 20) + (span & 0xFFFFF)
+        cuts = np.searchsorted(own, np.arange(len(doc) + 1))
+        for i in range(len(doc)):
+            text = data[ends[i]:ends[i + 1]]
+            if cuts[i + 1] > cuts[i]:
+                edge = np.zeros(len(text) + 1, np.int64)
+                np.add.at(edge, first[cuts[i]:cuts[i + 1]], 1)
+                np.add.at(edge, last[cuts[i]:cuts[i + 1]], -1)
+                gone = np.cumsum(edge)[:-1] > 0
+                kept = text[~gone].tobytes()
+                runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+            else:
+                kept, runs = text.tobytes(), 0
+            out["n_bytes"].append(len(text))
+            out["n_removed"].append(len(text) - len(kept))
+            out["n_spans"].append(runs)
+            out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+            out["kept"].append(kept)
+        out["doc"].extend(doc.to_pylist())
+    return pa.table(out, schema=pa.schema(
+        [(c, pa.int64()) for c in ("doc", "n_bytes", "n_removed", "n_spans")] + [("kept_sha256", pa.string()), ("kept", pa.binary())]))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 50) -> DataFrame:
@@ -441,31 +528,25 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     """
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     docs = docs.select("doc", F.xxhash64("text").alias("print"), "text")
-    row = ["doc", "print"]
-
-    def beside(parts: DataFrame, kind: str) -> DataFrame:
-        """Each text with what is known of it. Always an outer join: so all three are over one and the same
-        shuffle of the texts."""
-        return docs.join(parts, "doc", "left").select(*row, "text", F.coalesce("parts", F.array().cast(kind)).alias("parts"))
-
-    common = common_grams(docs)
-    pieces = (docs.where("doc is not null").mapInArrow(_pieces(n), "place long, d1 long, d2 long, doc long, print long, span long, gone boolean")
-              .repartition("place").sortWithinPartitions("d1", "d2", "doc")
-              .mapInArrow(_owned, "doc long, print long, span long, gone boolean"))
-    pieces = pieces.groupBy("doc").agg(F.collect_list(F.struct("print", "span", "gone")).alias("parts"))
-    frequent = F.col("spot").bitwiseAND(OFTEN | LATER)
-    anchors = (beside(pieces, "array<struct<print: bigint, span: bigint, gone: boolean>>")
-               .mapInArrow(_anchors(n, common), "anchor long, doc long, spot long")
-               .repartition(F.when(frequent == (OFTEN | LATER), F.xxhash64("doc")).otherwise(F.col("anchor")))
-               .sortWithinPartitions("anchor", F.desc(F.col("spot").bitwiseAND(OFTEN)), "doc")
-               .mapInArrow(_shared, "anchor long, doc long, spot long"))
-    anchors = anchors.groupBy("doc").agg(F.collect_list(F.struct("anchor", "spot")).alias("parts"))
-    found = (beside(anchors, "array<struct<anchor: bigint, spot: bigint>>").mapInArrow(_stretches(n), ROW)
+    total, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    common = common_grams(docs, total)
+    # an anchor lies about every 18 bytes
+    bits = (size // 16).bit_length() + SPARE
+    shift = bits - (size // BUCKET_BYTES).bit_length()
+
+    group = F.pmod(F.xxhash64("doc", "print"), F.lit(size // GROUP_BYTES + 1)).alias("group")
+    texts = docs.select(group, "doc", "print", "text").groupBy("group")  # one shuffle of the texts for all three steps
+    gone = (docs.where("doc is not null").mapInArrow(_pieces(n), "place long, d1 long, d2 long, doc long, print long, span long, gone boolean")
+            .repartition("place").sortWithinPartitions("d1", "d2", "doc")
+            .mapInArrow(_owned, "doc long, print long, span long, gone boolean"))
+    gone = saved(gone.where("gone").select("doc", "print", "span"), "pieces").select(group, "doc", "print", "span")
+    shared = (texts.cogroup(gone.groupBy("group")).applyInArrow(_prints(n, common, bits, shift), PRINTS)
+              .groupBy("bucket").applyInArrow(agreed, SHARED))
+    held = gone.unionByName(shared, allowMissingColumns=True)
+    found = (texts.cogroup(held.groupBy("group")).applyInArrow(_stretches(n, common, bits), ROW)
              .repartition("place").sortWithinPartitions("place")
              .mapInArrow(_settled(n), "doc long, print long, span long"))
-    whole = pieces.select("doc", F.explode(F.filter("parts", lambda p: p["gone"])).alias("p")).select("doc", "p.print", "p.span")
-    spans = found.unionByName(whole).groupBy("doc").agg(F.collect_list(F.struct("print", "span")).alias("parts"))
-    own = F.transform(F.filter("parts", lambda p: p["print"] == F.col("print")), lambda p: p["span"])
-    out = beside(spans, "array<struct<print: bigint, span: bigint>>").withColumn("parts", own).mapInArrow(
-        arrow_step(_kept, "text"), "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    spans = found.select(group, "doc", "print", "span").unionByName(gone)
+    out = texts.cogroup(spans.groupBy("group")).applyInArrow(
+        _kept, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.withColumnRenamed("doc", key)

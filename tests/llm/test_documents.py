@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,63 @@ def test_substrings_of_long_texts_and_nothing(spark):
     assert substrings.without_repeats(none(spark)).count() == 0
 
 
+def test_prints_of_rows():
+    rng = np.random.default_rng(5)
+    value = [np.sort(rng.integers(0, 1 << bits, size, dtype=np.uint64)) for bits, size in ((40, 50), (63, 3), (5, 0), (5, 90), (1, 4))]
+    row = np.repeat(np.arange(5), [len(x) for x in value])
+    back = substrings.unpacked(substrings.packed(np.concatenate(value), row, 5))
+    assert np.array_equal(back[0], np.concatenate(value)) and np.array_equal(back[1], row)
+    assert [len(x) for x in substrings.unpacked(substrings.packed(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0))] == [0, 0]
+
+
+def test_prints_that_several_documents_have():
+    held = {7: [1, 4, 9, 9, 30], 8: [2, 4, 9, 50, 50, 50], 9: [5, 50], 10: [6]}  # twice: several documents, thrice: frequent
+    row = np.repeat(np.arange(4), [len(x) for x in held.values()])
+    prints = substrings.packed(np.concatenate([np.array(x, np.uint64) for x in held.values()]), row, 4)
+    got = substrings.agreed(pa.table({"bucket": [0] * 4, "group": list(held), "prints": prints}))
+    value, of = substrings.unpacked(got["shared"].combine_chunks())
+    assert {g: value[of == k].tolist() for k, g in enumerate(got["group"].to_pylist())} == {7: [4, 9], 8: [4, 9, 50, 50], 9: [50, 50]}
+
+
+def shuffled(df):
+    """Bytes that the last run of ``df`` has written for its exchanges."""
+    done, total, open_ = set(), 0, [df._jdf.queryExecution().executedPlan()]
+    while open_:
+        node = open_.pop()
+        kind = node.getClass().getSimpleName()
+        below = (node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan() if kind.endswith("QueryStageExec") else
+                 None if kind == "ReusedExchangeExec" else node)
+        if below is None:
+            continue
+        if below is not node:
+            open_.append(below)
+        elif node.id() not in done:
+            done.add(node.id())
+            if kind == "ShuffleExchangeExec":
+                total += node.metrics().apply("shuffleBytesWritten").value()
+            open_.extend(node.children().apply(k) for k in range(node.children().size()))
+    return total
+
+
+def test_anchors_of_one_document_do_not_travel(spark):
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(33, 127, 4000, dtype=np.uint8)).decode() for _ in range(500)]
+    texts[400] = texts[400][:1000] + texts[7][2000:2300] + texts[400][1000:]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = substrings.without_repeats(df)
+    assert {r["doc_id"]: r["n_removed"] for r in out.collect() if r["n_removed"]} == {400: 300}
+    assert shuffled(out) < 1.5 * sum(map(len, texts))
+
+
+def test_rows_that_are_alike_and_long_texts_in_one_group(spark):
+    long = prose(8, 60_000)
+    rows = [(3, long)] * 4 + [(3, long[:500])] + [(1, long[70_000:90_000]), (None, long), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.without_repeats(df).collect()
+    want = without(plain(df))
+    assert sorted((r["doc_id"] or -1, bytes(r["kept"]), r["n_spans"]) for r in got) == sorted((i or -1, k, n) for i, k, n in want)
+
+
 # ----------------------------------------------------------------------------- Jaccard groups
 
 
