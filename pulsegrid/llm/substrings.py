@@ -23,6 +23,7 @@ keyed by their content.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 from collections.abc import Iterator
@@ -51,18 +52,29 @@ SPARE = 8
 #: grams that occur as often as this share of the documents are taken as anchors last; how many of them, at most,
 #: and bits of the table that marks them
 COMMON, MOST, TABLE = 0.02, 100_000, 22
+#: bytes of text whose anchors are taken at a time
+CACHED_BYTES = 64_000
 #: bytes of stretches that are sorted at a time
 SORTED_BYTES = 100_000
 
 
+@functools.cache
+def _table(base: np.uint64) -> np.ndarray:
+    return powers(base, 1 << 20)
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return _table(base)[:n] if n <= 1 << 20 else powers(base, n)
+
+
 class _Rolling:
     """Hashes of any stretch of a byte array."""
 
     def __init__(self, data: np.ndarray):
         with np.errstate(over="ignore"):
             self.total = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=self.total[1:])
-        self.inverse = powers(_INVERSE, len(data) + 1)
+            np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), out=self.total[1:])
+        self.inverse = _powers(_INVERSE, len(data) + 1)
 
     def grams(self, k: int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -198,19 +210,32 @@ def _steps(texts: pa.Table, held: pa.Table, nameless: bool = False) -> Iterator[
             yield doc, seal, *byte_view(batch.column("text")), at[own], span
 
 
-def _anchored(data, ends, own, span, n: int, common: np.ndarray):
-    """Stretches of strings with one anchor, outside of the pieces (text's number, start and length packed) that
-    are gone: text's number, start, number of strings, anchor hash."""
+def _anchored(data, ends, own, span, n: int, common: np.ndarray) -> list[np.ndarray]:
+    """Stretches of strings with one anchor, outside of the pieces (text's number, ascending, and start and length
+    packed) that are gone: text's number, start, number of strings, anchor hash. A few texts at a time, so that the
+    arrays fit the processor's cache."""
+    out, first = [], 0
+    while first < len(ends) - 1:
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + CACHED_BYTES, side="right")) - 1)
+        a, b = np.searchsorted(own, [first, last])
+        of, start, count, anchor = _anchored_few(
+            data[ends[first]:ends[last]], ends[first:last + 1] - ends[first], own[a:b] - first, span[a:b], n, common)
+        out.append((of + first, start + ends[first], count, anchor))
+        first = last
+    return [np.concatenate(x) for x in zip(*out)]
+
+
+def _anchored_few(data, ends, own, span, n: int, common: np.ndarray):
     if len(data) < n:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    edge, gone = np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
+    edge = np.zeros(len(data) + 1, np.int32)
     fits = np.diff(ends) >= n
     np.add.at(edge, ends[:-1][fits], 1)
     np.add.at(edge, ends[1:][fits] - n + 1, -1)
     start = (span >> 20) + ends[own]
-    np.add.at(gone, start, 1)
-    np.add.at(gone, start + (span & 0xFFFFF) - n + 1, -1)
-    at = np.flatnonzero((np.cumsum(edge) > 0) & (np.cumsum(gone) == 0))
+    np.add.at(edge, start, -1)
+    np.add.at(edge, start + (span & 0xFFFFF) - n + 1, 1)
+    at = np.flatnonzero(np.cumsum(edge, dtype=np.int32) > 0)
     grams = _Rolling(data).grams(GRAM)
     place = (grams >> np.uint64(64 - TABLE)).astype(np.int64)
     last_choice = (common[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(np.uint64)
@@ -223,11 +248,12 @@ def _anchored(data, ends, own, span, n: int, common: np.ndarray):
     if reach < width:
         low = np.minimum(low[:reach - width], low[width - reach:])
     anchor = (low[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    own = np.searchsorted(ends, at, side="right") - 1
     new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) > 1) | (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])
+    new[1:] = (np.diff(at) > 1) | (anchor[1:] != anchor[:-1])  # no string starts at the end of a text
     first = np.flatnonzero(new)
-    return own[first], at[first], np.diff(np.append(first, len(at))), grams[anchor[first]]
+    start = at[first]
+    return (np.searchsorted(ends, start, side="right") - 1, start, np.diff(np.append(first, len(at))),
+            grams[anchor[first]])
 
 
 def _print(anchor: np.ndarray, bits: int) -> np.ndarray:
