@@ -23,7 +23,6 @@ keyed by their content.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 from collections.abc import Iterator
@@ -58,13 +57,15 @@ CACHED_BYTES = 64_000
 SORTED_BYTES = 100_000
 
 
-@functools.cache
-def _table(base: np.uint64) -> np.ndarray:
-    return powers(base, 1 << 20)
+_TABLES: dict[int, np.ndarray] = {}
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    return _table(base)[:n] if n <= 1 << 20 else powers(base, n)
+    if n > 1 << 20:
+        return powers(base, n)
+    if int(base) not in _TABLES:
+        _TABLES[int(base)] = powers(base, 1 << 20)
+    return _TABLES[int(base)][:n]
 
 
 class _Rolling:
