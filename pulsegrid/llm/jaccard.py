@@ -6,6 +6,10 @@ block. Entries of a list carry the size of their set and the position at which t
 entries whose sizes or positions already force too large a difference are skipped without a look at the
 sets. The answers of a set are derived from those of the set it resembles most: sets found similar to a
 list's first one form a group, and only entries of different groups are compared again.
+
+What is kept and shuffled for that stays small: a set is named by its digest, so equal sets are one without
+a join, and what travels to the comparison is compressed text (the hashes of its shingles take several
+times as much and do not compress).
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import arrow_step, byte_view, mix, shingle_sets
+from .arrays import STEP_BYTES, arrow_step, byte_view, mix, shingle_sets
 from .tables import components, saved
 
 
@@ -45,6 +49,28 @@ def set_digests(value: np.ndarray, of: np.ndarray, rows: int) -> tuple[np.ndarra
                            for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def set_names(digest: list[bytes | None]) -> np.ndarray:
+    """63 bits of each digest, by which the index names a set."""
+    return np.array([int.from_bytes(d[:8], "little") >> 1 if d else 0 for d in digest], np.int64)
+
+
+def _squeezed(batch: pa.RecordBatch) -> pa.Table:
+    """Texts as compressed bytes after their length."""
+    codec = pa.Codec("zstd")
+    data, ends = byte_view(batch.column(1))
+    plain = data.tobytes()
+    return pa.table({"doc": batch.column(0), "text": pa.array(
+        [int(b - a).to_bytes(5, "little") + codec.compress(plain[a:b], asbytes=True) for a, b in zip(ends[:-1], ends[1:])],
+        pa.binary())})
+
+
+def _plain(column: pa.Array) -> pa.Array:
+    """The texts that ``_squeezed`` made smaller."""
+    codec = pa.Codec("zstd")
+    return pa.array([codec.decompress(held[5:], int.from_bytes(held[:5], "little"), asbytes=True)
+                     for held in column.to_pylist()], pa.large_binary())
+
+
 def _blocks(value, of, size, level, begin, differ, blocks):
     """Keys, owners, sizes and first positions of the non-empty blocks of each set at its ``level``."""
     parts = blocks[level][of].astype(np.uint64)
@@ -72,7 +98,7 @@ def _blocks(value, of, size, level, begin, differ, blocks):
     return np.concatenate(key), np.concatenate(own), np.concatenate(rank)
 
 
-#: an entry: list, set, and packed the set's size, the block's first position, and two flags
+#: an entry: list (48 bits are enough, sets that meet by chance are told apart later), set, and packed the set's size, the block's first position, and two flags
 ENTRY = "list long, doc long, at long"
 #: other sets of the step are in the list; one of them, smaller, goes to the list's task for all of them
 KNOWN, AWAY = 1, 2
@@ -87,9 +113,9 @@ def _entries(n: int, percent: int):
     needs to be sent to the list's task, as all are known to share it."""
 
     def work(batch: pa.RecordBatch) -> pa.Table | None:
-        doc = batch.column(0).to_numpy(zero_copy_only=False)
         value, of = shingle_sets(*byte_view(batch.column(1)), n)
-        size, digest = set_digests(value, of, len(doc))
+        size, digest = set_digests(value, of, batch.num_rows)
+        doc = set_names(digest)
         seen: dict[bytes, int] = {}
         for i in np.lexsort((doc, size)):
             if digest[i] is not None:
@@ -107,6 +133,7 @@ def _entries(n: int, percent: int):
         below = _blocks(value[lower], of[lower], np.where(level > 0, size, 0), np.maximum(level - 1, 0),
                         begin, differ, blocks)
         key, own, rank = (np.concatenate(x) for x in zip((key, own, rank), below))
+        key >>= np.uint64(16)
         order = np.lexsort((doc[own], size[own], key))
         first = np.ones(len(key), bool)
         first[1:] = key[order][1:] != key[order][:-1]
@@ -117,63 +144,85 @@ def _entries(n: int, percent: int):
         # by set, so that what neighbouring rows share is compressed away
         order = np.argsort(own, kind="stable")
         own = own[order]
-        return pa.table({"list": key[order].view(np.int64), "doc": doc[own].astype(np.int64),
+        return pa.table({"list": key[order].view(np.int64), "doc": doc[own],
                          "at": packed(size[own].astype(np.int64), rank[order].astype(np.int64), flags[order])})
 
     return arrow_step(work, "text")
 
 
 def _shared(batches):
-    """Of entries sorted by list: those of lists with more than one."""
-    held = None  # the first entry of the list that runs on, and whether it has gone out
+    """Of entries sorted by list and set: one of each set, of lists with more than one."""
+    held = None  # the last entry so far, and whether it is to go out
+
+    def rows(key, doc, at):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array((at >> 31).astype(np.int32)),
+                                           pa.array((at & 0x7FFFFFFF).astype(np.int32))], ["list", "doc", "size", "rank"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         key, doc, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("list", "doc", "at"))
-        fresh = np.ones(len(key), bool)
+        at, known = at >> 2, (at & KNOWN) > 0
         if held is not None:
-            key, doc, at = (np.concatenate([[h], v]) for h, v in zip(held, (key, doc, at)))
-            fresh = np.concatenate([[not held[3]], fresh])
+            key, doc, at, known = (np.concatenate([h, v]) for h, v in zip(held, (key, doc, at, known)))
         new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        alone = new.copy()
-        alone[:-1] &= new[1:]
-        out = ~alone | ((at & KNOWN) > 0)
-        f = np.flatnonzero(new)[-1]
-        held = key[f], doc[f], at[f], bool(out[f]) or not fresh[f]
-        out &= fresh
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[out]), pa.array(doc[out]), pa.array((at[out] >> 33).astype(np.int32)),
-             pa.array((at[out] >> 2 & 0x7FFFFFFF).astype(np.int32))], ["list", "doc", "size", "rank"])
+        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+        first = np.flatnonzero(new)
+        key, doc, at, out = key[first], doc[first], at[first], np.logical_or.reduceat(known, first)
+        same = key[1:] == key[:-1]
+        out[1:] |= same
+        out[:-1] |= same
+        held = key[-1:], doc[-1:], at[-1:], out[-1:]
+        yield rows(*(x[:-1][out[:-1]] for x in (key, doc, at)))
+    if held is not None:
+        yield rows(*(x[held[3]] for x in held[:3]))
 
 
 #: 64-bit words of a parity sketch
 WORDS = 16
+#: bytes of compressed text that one step works on at a time
+SQUEEZED_BYTES = STEP_BYTES // 3
 
 
 def _sets(n: int):
-    """Sets as sorted hashes, and their parity sketches: a bit flips for every shingle that falls on it, so two
+    """Names of sets, their texts, and their parity sketches: a bit flips for every shingle that falls on it, so two
     sketches never differ in more bits than their sets differ in shingles."""
 
     def work(batch: pa.RecordBatch) -> pa.Table:
-        value, of = shingle_sets(*byte_view(batch.column(1)), n)
-        cuts = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
+        value, of = shingle_sets(*byte_view(_plain(batch.column(1))), n)
         spot = (mix(value, 21) % np.uint64(64 * WORDS)).astype(np.int64)
         bits = (np.bincount(of * (64 * WORDS) + spot, minlength=batch.num_rows * 64 * WORDS) & 1).astype(np.uint8)
         held = np.packbits(bits.reshape(batch.num_rows, WORDS, 64), axis=2).view(np.int64)[:, :, 0]
-        return pa.table({"doc": batch.column(0), "tokens": pa.ListArray.from_arrays(
-            pa.array(cuts), pa.array(value.view(np.int64)))} | {
-                f"s{i}": np.ascontiguousarray(held[:, i]) for i in range(WORDS)})
+        return pa.table({"doc": set_names(set_digests(value, of, batch.num_rows)[1]), "text": batch.column(1)} | {
+            f"s{i}": np.ascontiguousarray(held[:, i]) for i in range(WORDS)})
 
-    return arrow_step(work, "text")
+    return arrow_step(work, "text", SQUEEZED_BYTES)
+
+
+def _similar(n: int, percent: int):
+    """Of pairs with their texts those whose sets are similar enough; a text that comes again is cut up once."""
+
+    def sets(column):
+        coded = column.dictionary_encode()
+        value, of = shingle_sets(*byte_view(_plain(coded.dictionary)), n)
+        cuts = np.searchsorted(of, np.arange(len(coded.dictionary) + 1))
+        return [value[cuts[i]:cuts[i + 1]] for i in coded.indices.to_pylist()]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        good = []
+        for a, b in zip(sets(batch.column("of_a")), sets(batch.column("of_b"))):
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            good.append(100 * common >= percent * (len(a) + len(b) - common))
+        return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    return arrow_step(work, "of_a", SQUEEZED_BYTES)
 
-def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+
+def _verified(sets: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """Of ``pairs(a, b)`` those whose sets are similar enough."""
-    one, two = (sets.select(F.col("doc").alias(c), F.col("tokens").alias(f"of_{c}")) for c in "ab")
-    common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
-    both = F.size("of_a") + F.size("of_b") - common
-    return pairs.join(one, "a").join(two, "b").where(100 * common >= percent * both).select("a", "b")
+    one, two = (sets.select(F.col("doc").alias(c), F.col("text").alias(f"of_{c}")) for c in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "of_a", "of_b").mapInArrow(
+        _similar(n, percent), "a long, b long")
 
 
 def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3,
@@ -186,24 +235,26 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     are one document with several texts; a row without a key has no component. Other columns are ignored.
     """
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    whole = docs.mapInArrow(_described(n), "doc long, n_shingles long, digest binary")
+    whole = docs.mapInArrow(_described(n), "doc long, n_shingles long, digest binary, id long")
     same = whole.where("digest is not null and doc is not null").groupBy("digest").agg(F.min("doc").alias("rep"))
-    known = saved(whole.join(same, "digest", "left").select("doc", "n_shingles", "rep"), "sets")
+    known = saved(whole.join(same, "digest", "left").select("doc", "n_shingles", "rep", "id"), "sets")
     present = docs.where("doc is not null")
+    names = known.where("rep is not null").select(F.col("id").alias("doc"), "rep").distinct()
 
+    # equal sets have one name, so copies of a text stand for each other from here on; ``doc`` is that name
     entries = present.mapInArrow(_entries(n, percent), ENTRY)
     away = F.col("at").bitwiseAND(AWAY) != 0
-    shared = (entries.repartition(F.when(away, F.xxhash64("doc")).otherwise(F.col("list"))).sortWithinPartitions("list", "at", "doc")
-              .mapInArrow(_shared, "list long, doc long, size int, rank int"))
-    rep = known.where("rep is not null").select("doc", "rep").distinct()
-    # equal sets stand for each other from here on
-    shared = saved(shared.join(rep, "doc").select("list", F.col("rep").alias("doc"), "size", "rank").distinct(), "lists")
+    shared = saved(entries.repartition(F.when(away, F.xxhash64("doc")).otherwise(F.col("list")))
+                   .sortWithinPartitions("list", F.shiftright("at", 2), "doc")
+                   .mapInArrow(_shared, "list long, doc long, size int, rank int"), "lists")
     # the set that shares most with others leads a list; every set is compared with one such leader
-    long = shared.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
-    central = shared.join(long, "list").groupBy("doc").agg(F.sum("n").alias("weight"))
+    long = shared.groupBy("list").agg(F.count("*").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high"))
+    central = shared.join(long.where("low < high").select("list", "n"), "list").groupBy("doc").agg(F.sum("n").alias("weight"))
     # the sets that share a list at all: their texts are fetched once
-    sets = saved(present.join(central.select("doc"), "doc", "left_semi").select("doc", "text").mapInArrow(
-        _sets(n), f"doc long, tokens array<long>, {', '.join(f's{i} long' for i in range(WORDS))}"), "sets")
+    wanted = names.join(central, "doc").select(F.col("rep").alias("doc"))
+    sets = saved(present.select("doc", "text").mapInArrow(arrow_step(_squeezed, "text"), "doc long, text binary")
+                 .join(wanted, "doc", "left_semi").mapInArrow(
+        _sets(n), f"doc long, text binary, {', '.join(f's{i} long' for i in range(WORDS))}"), "sets")
     leads = (shared.join(central, "doc").groupBy("list")
              .agg(F.max(F.struct("weight", -F.col("doc"))).alias("lead"), F.count("*").alias("n")).where("n > 1")
              .select("list", "lead.weight", (-F.col("lead.col2")).alias("leader")))
@@ -211,18 +262,25 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
             .agg(F.count("*").alias("lists"), F.max("weight").alias("weight"))
             .groupBy("doc").agg(F.max_by("leader", F.struct("lists", "weight", "leader")).alias("leader")))
     pairs = best.select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")).distinct()
-    links = saved(_verified(sets, saved(pairs, "pairs"), percent), "links")
+    ends = [names.select(F.col("doc").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab"]
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        similar = _verified(sets, saved(pairs, "pairs"), n, percent).join(ends[0], "a").join(ends[1], "b")
+        return saved(similar.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), "links")
+
+    links = linked(pairs)
+    rep = known.where("rep is not null").select("doc", "rep").distinct()
     twice = rep.groupBy("doc").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("b != top")
     links = links.unionByName(rep.join(twice, "doc").select(F.col("rep").alias("a"), "b").where("a != b"))
 
     group = components(links)
-    seen = (shared.join(group, F.col("doc") == F.col("node"), "left")
-            .select("list", "doc", "size", "rank", F.coalesce("component", "doc").alias("of")))
+    of = names.join(group, F.col("rep") == F.col("node"), "left").select("doc", F.coalesce("component", "rep").alias("of"))
+    seen = shared.join(of, "doc").select("list", "doc", "size", "rank", "of")
     mixed = seen.groupBy("list").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low < high")
     seen = saved(seen.join(mixed.select("list"), "list", "left_semi"), "mixed")
-    seen = seen.join(sets.drop("tokens"), "doc")
-    names = ["doc", "size", "rank", "of", *(f"s{i}" for i in range(WORDS))]
-    x, y = (seen.select("list", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
+    seen = seen.join(sets.drop("text"), "doc")
+    columns = ["doc", "size", "rank", "of", *(f"s{i}" for i in range(WORDS))]
+    x, y = (seen.select("list", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
     differ = F.floor((F.col("size_a") + F.col("size_b")) * (100 - percent) / (100 + percent))
     apart = (F.abs(F.col("rank_a") - F.col("rank_b"))
              + F.abs(F.col("size_a") - F.col("rank_a") - F.col("size_b") + F.col("rank_b")))
@@ -230,7 +288,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     other = (x.join(y, (x["list"] == y["list"]) & (F.col("doc_a") < F.col("doc_b")) & (F.col("of_a") != F.col("of_b"))
                     & (apart <= differ) & (unlike <= differ))
              .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct())
-    more = saved(_verified(sets, saved(other, "pairs"), percent), "links")
+    more = linked(other)
     if not more.isEmpty():
         group = components(links.unionByName(more))
     out = known.join(group, F.col("rep") == F.col("node"), "left")
@@ -243,6 +301,6 @@ def _described(n: int):
         value, of = shingle_sets(*byte_view(batch.column(1)), n)
         size, digest = set_digests(value, of, batch.num_rows)
         return pa.table({"doc": batch.column(0), "n_shingles": size.astype(np.int64),
-                         "digest": pa.array(digest, pa.binary())})
+                         "digest": pa.array(digest, pa.binary()), "id": set_names(digest)})
 
     return arrow_step(work, "text")

@@ -8,12 +8,23 @@ from pyspark.sql import functions as F
 from ..session import workspace
 
 
+#: whether shuffle files go at the end of a query; else they stay until the driver happens to collect its garbage
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage ends there, so a lost executor
-    costs only what it was working on. The folder goes when the program ends."""
+    costs only what it was working on, and what it shuffled goes at once. The folder goes when the program ends."""
     spark = df.sparkSession
-    path = workspace(spark, name)
-    df.write.parquet(path)
+    path, before = workspace(spark, name), spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN)
+        else:
+            spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,10 @@
 """Token counts, substrings, Jaccard groups, decontamination: against plain versions on hostile tables."""
 
+import gc
+import glob
 import hashlib
+import os
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm import decontaminate, jaccard, substrings, tokens
 from pulsegrid.llm.registry import RANKS
+from pulsegrid.session import workspace
 
 from .data import FOLDER, groups, hits, hostile, none, prose, shingles, without
 
@@ -201,6 +206,48 @@ def test_groups_of_nothing(spark):
     assert jaccard.jaccard_groups(none(spark)).count() == 0
 
 
+def test_groups_of_copies_under_keys_of_several_texts(spark):
+    extra = [(20 + k, prose(40, 80)) for k in range(20)] + [(60 + k, prose(40, 80) + f" end{k}") for k in range(5)]
+    df = hostile(spark, [*extra, (20, prose(41, 80)), (70, prose(41, 80)), (61, prose(41, 80))])
+    got = jaccard.jaccard_groups(df, n=5, percent=80).collect()
+    want = groups(plain(df), 5, 80)
+    assert sorted((r["doc_id"], r["component_id"]) for r in got if r["doc_id"] is not None) == sorted(
+        (i, want[i]) for i, _ in plain(df) if i is not None)
+    assert want[70] == want[64] == 20 == want[39]
+
+
+def test_lists_hold_a_set_once():
+    at = [jaccard.packed(50, 3, flags) for flags in (0, 0, jaccard.KNOWN, 0, 0, jaccard.KNOWN, 0, 0)]
+    rows = list(zip([1, 1, 1, 2, 2, 3, 4, 4], [7, 7, 7, 7, 7, 8, 8, 9], at))
+    for cut in range(len(rows) + 1):
+        parts = [pa.RecordBatch.from_pylist([dict(zip(("list", "doc", "at"), r)) for r in x], pa.schema(
+            [(c, pa.int64()) for c in ("list", "doc", "at")])) for x in (rows[:cut], rows[cut:])]
+        out = [tuple(r.values()) for b in jaccard._shared(parts) for r in b.to_pylist()]
+        # copies of one set alone (list 2) don't make a list; what shares it elsewhere (KNOWN) does
+        assert out == [(1, 7, 50, 3), (3, 8, 50, 3), (4, 8, 50, 3), (4, 9, 50, 3)]
+
+
+def disk(spark):
+    """Bytes of shuffle files, and of intermediate sets."""
+    shuffled = [p for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+                for p in glob.glob(f"{d}/*/shuffle_*.data")]
+    held = glob.glob(workspace(spark, "x").removeprefix("file:").rpartition("/")[0] + "/sets-*/*.parquet")
+    return tuple(sum(os.path.getsize(p) for p in x if os.path.exists(p)) for x in (shuffled, held))
+
+
+def test_groups_leave_little_on_disk(spark):
+    texts = [(2 * k + j, prose(1000 + k, 400) + f" end{j}") for k in range(300) for j in range(2)]
+    size = sum(len(t) for _, t in texts)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    gc.collect()
+    before = disk(spark)
+    got = jaccard.jaccard_groups(df, n=5, percent=80)
+    time.sleep(2)  # files go in the background
+    after = disk(spark)
+    assert after[0] - before[0] < 0.2 * size and after[1] - before[1] < size
+    assert got.where("component_id = doc_id - doc_id % 2").count() == len(texts)
+
+
 def test_levels_leave_no_pair_out():
     for percent in (50, 80, 90, 100):
         begin, differ, blocks = jaccard.levels(percent, 400)
